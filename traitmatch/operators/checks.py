@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.sources.files import materialize
+from traitmatch.sources.files import constants, materialize
 
 
 def check_unique(df: DataFrame, col: str) -> DataFrame:
@@ -24,7 +24,7 @@ def example_model(source: DataFrame, col: str, name: str = "example_model", as_:
     """D39 (first model): an ``id`` column from ``source`` plus one NULL row,
     materialised so the next model reads it by name."""
     ids = source.select(F.col(col).cast("int").alias("id"))
-    null_row = source.sparkSession.createDataFrame([(None,)], "id int")
+    null_row = constants(source.sparkSession, [(None,)], "id int")
     return materialize(ids.unionByName(null_row), name, as_=as_)
 
 

@@ -15,6 +15,7 @@ from traitmatch.operators.relational import (
 from traitmatch.operators.traits import SCORED_TRAITS, TRAIT_GROUPS
 from traitmatch.plans.ranking import global_rank
 from traitmatch.plans.sizing import bounded
+from traitmatch.sources.files import constants
 from traitmatch.sources.fixtures import CURRENT_YEAR
 
 # --- fixed values ------------------------------------------------------------------
@@ -113,7 +114,7 @@ def group_averages(result: DataFrame) -> DataFrame:
 def _id_frame(result: DataFrame, ids: str | DataFrame) -> DataFrame:
     if isinstance(ids, DataFrame):
         return ids.select("employee_id")
-    return result.sparkSession.createDataFrame([(ids,)], "employee_id string")
+    return constants(result.sparkSession, [(ids,)], "employee_id string")
 
 
 def compare_to_benchmark(result: DataFrame, candidate: str | DataFrame) -> DataFrame:
@@ -148,8 +149,7 @@ def key_competencies(result: DataFrame, pillars: DataFrame, minimum: float = KEY
     ``Label (value)`` lines in the fixed competency order; a composite uses the
     label of its first part; one default line when none qualifies."""
     spark = result.sparkSession
-    order = spark.createDataFrame([(c, i + 1) for i, c in enumerate(COMPETENCY_FIELDS)],
-                                  "tv_name string, ordinal int")
+    order = constants(spark, [(c, i + 1) for i, c in enumerate(COMPETENCY_FIELDS)], "tv_name string, ordinal int")
     values = (result.select("tv_name", "baseline_score").distinct()
               .join(bounded(order), "tv_name")
               .groupBy("tv_name", "ordinal").agg(F.max("baseline_score").alias("baseline_score"))

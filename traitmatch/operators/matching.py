@@ -15,7 +15,9 @@ from traitmatch.operators.relational import flag_members
 from traitmatch.operators.traits import (
     COGNITIVE, COMPETENCY, CONTEXTUAL, PERSONALITY, STRENGTH_TRAIT, STRENGTHS, select_traits,
 )
+from traitmatch.plans.lineage import cut_lineage
 from traitmatch.plans.sizing import bounded, broadcast_if_small
+from traitmatch.sources.files import constants
 
 # --- fixed values ----------------------------------------------------------------------
 TRAIT_WEIGHTS = [
@@ -57,7 +59,7 @@ def benchmark_frame(spark: SparkSession, ids: Sequence[str] | DataFrame) -> Data
     """
     if isinstance(ids, DataFrame):
         return broadcast_if_small(ids.select("employee_id").distinct(), MAX_BENCHMARK_IDS)
-    return bounded(spark.createDataFrame([(str(i),) for i in dict.fromkeys(ids)], "employee_id string"))
+    return bounded(constants(spark, [(str(i),) for i in dict.fromkeys(ids)], "employee_id string"))
 
 
 def benchmark_rows(long: DataFrame, ids: DataFrame) -> DataFrame:
@@ -133,21 +135,33 @@ def benchmark_profile(long: DataFrame, ids: DataFrame) -> DataFrame:
     return benchmark_profile_from_rows(benchmark_rows(long, ids))
 
 
+def scoring_targets(profile: DataFrame) -> DataFrame:
+    """The profile prepared for scoring: target lists parsed and normalised
+    once per trait (at most 26 rows), so no row of the big side parses them."""
+    return profile.select(
+        "tv_name", "strength_target", "numeric_target", "categorical_target",
+        F.transform(json_to_array("strength_target"), norm).alias("_t_strength"),
+        to_double("numeric_target").alias("_t_numeric"),
+        F.transform(json_to_array("categorical_target"), norm).alias("_t_categorical"))
+
+
 def match_score_expr() -> Column:
-    """The per-row match score of 2.9.1 (first matching branch wins)."""
-    u, t = F.col("user_score"), F.col("numeric_target")
-    ud, td = to_double(u), to_double(t)
+    """The per-row match score of 2.9.1 (first matching branch wins).
+
+    Expects the columns of :func:`scoring_targets` next to the user row.
+    """
+    u = F.col("user_score")
+    ud, td = to_double(u), F.col("_t_numeric")
     user_items = json_to_array(u)
-    target_norm = F.transform(json_to_array(F.col("strength_target")), norm)
+    target_norm = F.col("_t_strength")
     overlap = F.size(F.array_distinct(F.filter(
         user_items, lambda x: F.coalesce(F.array_contains(target_norm, norm(x)), F.lit(False)))))
-    strength = F.when(user_items.isNull() | target_norm.isNull(), F.lit(0.0)).otherwise(
-        overlap.cast("double") / F.lit(STRENGTH_SLOTS) * F.lit(100.0))
+    strength = F.when(u.isNull() | target_norm.isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(overlap, F.lit(0)).cast("double") / F.lit(STRENGTH_SLOTS) * F.lit(100.0))
     inverse = clamp((F.lit(2.0) * td - ud) / null_if_zero(td) * F.lit(100.0))
     direct = clamp(ud / null_if_zero(td) * F.lit(100.0))
-    cat_norm = F.transform(json_to_array(F.col("categorical_target")), norm)
-    categorical = F.when(F.coalesce(F.array_contains(cat_norm, norm(u)), F.lit(False)), F.lit(100.0)) \
-        .otherwise(F.lit(0.0))
+    categorical = F.when(F.coalesce(F.array_contains(F.col("_t_categorical"), norm(u)), F.lit(False)),
+                         F.lit(100.0)).otherwise(F.lit(0.0))
     return (F.when(F.col("tv_name") == STRENGTH_TRAIT, strength)
              .when(F.col("tv_type") == "numeric",
                    F.when(F.col("tv_name").isin(list(INVERSE_TRAITS)), inverse).otherwise(direct))
@@ -159,8 +173,7 @@ def match_scores(long: DataFrame, profile: DataFrame) -> DataFrame:
 
     The profile has at most 26 rows and is broadcast; scoring is map-only.
     """
-    targets = bounded(profile.select("tv_name", "strength_target", "numeric_target", "categorical_target"))
-    joined = select_traits(long).join(targets, "tv_name", "left")
+    joined = select_traits(long).join(bounded(scoring_targets(profile)), "tv_name", "left")
     display = (F.when(F.col("tv_name") == STRENGTH_TRAIT, F.col("strength_target"))
                 .when(F.col("tv_type") == "numeric", F.col("numeric_target"))
                 .otherwise(F.col("categorical_target")))
@@ -169,7 +182,7 @@ def match_scores(long: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def weights_frame(spark: SparkSession, weights: Sequence[tuple[str, float]] = TRAIT_WEIGHTS) -> DataFrame:
-    return spark.createDataFrame([(k, float(w)) for k, w in weights], "tv_name string, weight double")
+    return constants(spark, [(k, float(w)) for k, w in weights], "tv_name string, weight double")
 
 
 def weighted_scores(scores: DataFrame, weights: DataFrame | None = None) -> DataFrame:
@@ -218,13 +231,21 @@ def result_order() -> list[Column]:
 
 
 def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame,
-                 sort: bool = True) -> DataFrame:
+                 sort: bool = True, materialize: bool = True) -> DataFrame:
     """D24 (flagship): score every employee against the benchmark profile.
 
     One row per employee x scored trait with metadata, display strings,
     rounded rates and the ``is_benchmark`` flag.
+
+    The long table is read three times (benchmark profile, per-employee
+    aggregate, row side of the back-join).  With ``materialize=True`` it is
+    checkpointed once to the shared checkpoint folder so the staging plan
+    behind it runs once; pass ``False`` when ``long`` already is a stored
+    table.
     """
     spark = long.sparkSession
+    if materialize:
+        long = cut_lineage(select_traits(long), "long_traits")
     idf = benchmark_frame(spark, ids)
     profile = benchmark_profile(long, idf)
     weighted = weighted_scores(match_scores(long, profile))
@@ -247,8 +268,9 @@ def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataF
 
 
 def talent_match_candidates(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame,
-                            sort: bool = True) -> DataFrame:
+                            sort: bool = True, materialize: bool = True) -> DataFrame:
     """The match result without the benchmark employees, best first."""
-    out = talent_match(long, stg_emp, ids, sort=False).where(F.col("is_benchmark").eqNullSafe(F.lit(False)))
+    out = talent_match(long, stg_emp, ids, sort=False, materialize=materialize) \
+        .where(F.col("is_benchmark").eqNullSafe(F.lit(False)))
     return out.orderBy(F.col("final_match_rate").desc_nulls_last(), F.col("employee_id"),
                        F.col("tgv_name")) if sort else out

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from traitmatch.plans.ranking import global_rank
 from traitmatch.plans.sizing import bounded
+from traitmatch.sources.files import constants
 
 ColumnOrName = Column | str
 
@@ -332,7 +333,7 @@ def reindex(df: DataFrame, key: str, ordered_keys: Sequence[str], value_cols: Se
             fill=0.0) -> DataFrame:
     """Force a fixed, ordered key set; missing keys get ``fill``."""
     spark = df.sparkSession
-    frame = spark.createDataFrame([(k, i) for i, k in enumerate(ordered_keys)], f"{key} string, ordinal int")
+    frame = bounded(constants(spark, [(k, i) for i, k in enumerate(ordered_keys)], f"{key} string, ordinal int"))
     joined = frame.join(df, key, "left")
     return joined.select(key, "ordinal",
                          *[F.coalesce(F.col(c).cast("double"), F.lit(float(fill))).alias(c) for c in value_cols])

@@ -17,6 +17,7 @@ from traitmatch.functions import join_items, json_to_array, norm, round_numeric
 from traitmatch.operators import checks, dashboard, matching, relational as rel, staging, traits
 from traitmatch.sources import files
 from traitmatch.sources.fixtures import CURRENT_YEAR, benchmark_ids, load_talent_tables
+from traitmatch.plans.lineage import cut_lineage, reuse
 from traitmatch.plans.sizing import bounded
 from traitmatch.session import scratch_path
 
@@ -33,7 +34,13 @@ class Context:
 
     @cached_property
     def t(self):
-        return load_talent_tables(self.spark, self.sf_dir)
+        t = load_talent_tables(self.spark, self.sf_dir)
+        # The aggregated fact tables feed several models; compute each once.
+        t.performance_yearly = reuse(t.performance_yearly)
+        t.competencies_yearly = reuse(t.competencies_yearly)
+        t.papi_scores = reuse(t.papi_scores)
+        t.strengths = reuse(t.strengths)
+        return t
 
     @cached_property
     def ids(self) -> DataFrame:
@@ -46,8 +53,8 @@ class Context:
 
     @cached_property
     def stg_emp(self):
-        return staging.stg_employees(self.t.employees, self.t.profiles_psych, self.t.performance_yearly,
-                                     self.t.dims)
+        return reuse(staging.stg_employees(self.t.employees, self.t.profiles_psych, self.t.performance_yearly,
+                                           self.t.dims))
 
     @cached_property
     def stg_papi(self):
@@ -59,7 +66,9 @@ class Context:
 
     @cached_property
     def long(self):
-        return traits.unpivot_traits(self.stg_comp, self.stg_emp, self.stg_papi, self.stg_strengths)
+        # One reliable checkpoint; every later model scans it.
+        return cut_lineage(traits.unpivot_traits(self.stg_comp, self.stg_emp, self.stg_papi, self.stg_strengths),
+                           "long_traits")
 
     @cached_property
     def profile(self):
@@ -71,7 +80,7 @@ class Context:
 
     @cached_property
     def result(self):
-        return matching.talent_match(self.long, self.stg_emp, self.ids, sort=False)
+        return reuse(matching.talent_match(self.long, self.stg_emp, self.ids, sort=False, materialize=False))
 
     @cached_property
     def directory(self):
@@ -396,8 +405,8 @@ def group_ratios(c: Context) -> DataFrame:
                       round_numeric("tgv_match_ratio", 6).alias("tgv_match_ratio"))
 
 
-def talent_match(c): return matching.talent_match(c.long, c.stg_emp, c.ids)
-def talent_match_candidates(c): return matching.talent_match_candidates(c.long, c.stg_emp, c.ids)
+def talent_match(c): return matching.talent_match(c.long, c.stg_emp, c.ids, materialize=False)
+def talent_match_candidates(c): return matching.talent_match_candidates(c.long, c.stg_emp, c.ids, materialize=False)
 
 
 # --- dashboard -------------------------------------------------------------------------------------------

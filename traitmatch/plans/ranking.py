@@ -15,27 +15,27 @@ def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank",
     """Number rows 1..n in ``order`` (``row_number`` over a total order).
 
     ``row_number()`` over an un-partitioned window moves every row into one
-    task.  Instead: range-partition and sort by the order (a sampled,
-    parallel sort), cut the lineage so both uses below see identical
-    partitions, count rows per partition, turn the counts into start offsets
-    (one row per partition: a proven-small broadcast), and add each row's
-    position inside its partition.  ``order`` must be a total order (end it
-    with a unique key) for the result to be deterministic.
+    task.  Instead the rows are range-partitioned and sorted by the order (a
+    sampled, parallel sort); in that same stage each row records its
+    partition index and its position inside the partition, and the result is
+    written once to shared storage, so the positions are data and cannot
+    change on a retry.  Counting rows per partition gives one row per
+    partition; a running sum over those few rows gives each partition's start
+    offset (a proven-small broadcast), and rank = start + position + 1.
+    ``order`` must be a total order (end it with a unique key).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    stable = cut_lineage(sorted_df.withColumn("_pid", F.spark_partition_id()))
-    # Position inside the partition: monotonically_increasing_id is
-    # (partition index << 33) + row index, and rows keep their sorted order.
-    local = stable.withColumn(
-        "_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    pid = F.spark_partition_id()
+    # monotonically_increasing_id = (partition index << 33) + row index
+    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    placed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .select("*", pid.alias("_pid"), pos.alias("_pos")))
+    stable = cut_lineage(placed, "rank")
     sizes = stable.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_start"))
-    ranked = local.join(F.broadcast(offsets), "_pid")
-    return ranked.select(
-        (F.coalesce(F.col("_start"), F.lit(0)) + F.col("_pos") + 1).cast("bigint").alias(out),
-        *[c for c in df.columns])
+        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_start"))
+    ranked = stable.join(F.broadcast(offsets), "_pid")
+    return ranked.select((F.col("_start") + F.col("_pos") + 1).cast("bigint").alias(out), *df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.plans.lineage import cut_lineage
+from pyspark import StorageLevel
 
 # A side with at most this many rows is broadcast.  Group-level aggregates
 # (medians per code or department) are far below it; a per-employee frame is
@@ -14,16 +14,18 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df`` once and hint a broadcast only if it is small.
-
-    The frame is checkpointed to the shared folder first, so the count and the
-    join read the same rows and the aggregate behind it runs once.  Above
-    ``max_rows`` the frame is returned without a hint and the join falls back
-    to a shuffled join (AQE may still convert it at run time).
+    """Compute ``df`` once and hint a broadcast only if it has at most
+    ``max_rows`` rows.
+
+    The frame is cached (memory, spilling to disk) while it is counted, so the
+    aggregate behind it runs once; a lost executor only means recomputing the
+    cached blocks from lineage.  Above ``max_rows`` the frame is returned
+    without a hint and the join is a shuffled join (AQE may still convert it at
+    run time).
     """
-    stable = cut_lineage(df)
-    n = stable.limit(max_rows + 1).count()
-    return F.broadcast(stable) if n <= max_rows else stable
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    return F.broadcast(cached) if n <= max_rows else cached
 
 
 def bounded(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ _LOCAL_DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "traitmatch") -> SparkSession:
+                app_name: str = "traitmatch", driver_memory: str | None = None) -> SparkSession:
     """Return the active session or build one with conservative defaults."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -33,6 +33,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     for key, value in _LOCAL_DEFAULTS.items():
         builder = builder.config(key, value)
+    if driver_memory:
+        # only effective when this call launches the JVM (local mode)
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -138,6 +138,27 @@ def materialize(df: DataFrame, name: str, as_: str = "view", path: str | None =
     return out
 
 
-def constants(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    """A literal table (``SELECT ... UNION ALL ...`` / ``UNNEST([STRUCT ...])``)."""
-    return spark.createDataFrame(list(rows), schema)
+def _sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def constants(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A literal table (``SELECT ... UNION ALL ...`` / ``UNNEST([STRUCT ...])``).
+
+    Built as an inline ``VALUES`` table, so the plan holds a ``LocalRelation``
+    whose exact size the optimizer knows (it is broadcast, never shuffled).
+    ``schema`` is a DDL string such as ``"tv_name string, weight double"``.
+    """
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
+    names = [f[0] for f in fields]
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in fields)
+    if not rows:
+        return spark.sql(f"SELECT {casts} FROM (SELECT {', '.join('NULL AS ' + n for n in names)}) WHERE FALSE")
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(names)})")
