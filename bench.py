@@ -1,9 +1,18 @@
 """Time the headline query keys.
 
 Runs each key on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default
-``/root/testdata/sf0.1``) and prints one JSON line.  Every key is executed in
-full through the ``noop`` sink (no driver collect), with a fresh query context
-so checkpoints and id materialisation are part of the measured time.
+``/root/testdata/sf0.1``) and prints one JSON line.
+
+* ``queries`` (and ``value``, their sum): each key cold -- a fresh query
+  context and an empty cache, so the derived tables, the staging models, the
+  checkpointed long table and every size check are part of its time.
+* ``queries_warm``: the same keys run one after another in one shared context,
+  the way a long-running service answers requests once the daily tables
+  exist; each number is the key's own incremental time.
+
+Every key runs in full through the ``noop`` sink (no driver collect).  Before
+timing, the flagship runs once at the smallest scale so JIT compilation is
+not billed to the first key.
 """
 
 from __future__ import annotations
@@ -23,6 +32,12 @@ HEADLINE = [
 ]
 
 
+def _run(spark, catalog, key, sf_dir):
+    t0 = time.perf_counter()
+    catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -33,22 +48,29 @@ def main() -> None:
     selected = list(catalog.QUERIES) if keys == "all" else (keys.split(",") if keys else HEADLINE)
     spark = get_session(f"local[{cpus}]", int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
-    # warm-up: JVM class loading and the first parquet footer reads
-    catalog.QUERIES["stg_papi"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
+    _run(spark, catalog, "talent_match", warm_dir)
 
-    times: dict[str, float] = {}
+    cold: dict[str, float] = {}
     for key in selected:
         catalog._CONTEXTS.clear()
         spark.catalog.clearCache()
-        t0 = time.perf_counter()
-        catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[key] = round(time.perf_counter() - t0, 3)
+        cold[key] = _run(spark, catalog, key, sf_dir)
+
+    catalog._CONTEXTS.clear()
+    spark.catalog.clearCache()
+    warm = {key: _run(spark, catalog, key, sf_dir) for key in selected}
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(cold.values()), 3),
         "unit": "sec",
-        "queries": times,
+        "queries": cold,
+        "queries_warm": warm,
+        "warm_total": round(sum(warm.values()), 3),
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
     }))
