@@ -155,6 +155,19 @@ def load_overwrite(c: Context) -> DataFrame:
     return files.load_table(c.stg_strengths, target)
 
 
+def stream_load(c: Context) -> DataFrame:
+    """S3/S4 as a stream: land a table, load it with an ``availableNow`` file
+    stream (full replace), read the loaded table."""
+    from traitmatch.streaming import load_landed
+
+    root = scratch_path(c.spark, "landing")
+    files.land_raw(c.t.performance_yearly, root, LANDING_DATE, "performance_yearly")
+    target = scratch_path(c.spark, "table")
+    load_landed(c.spark, root, "performance_yearly", "employee_id string, year int, rating int", target,
+                checkpoint=scratch_path(c.spark, "stream"))
+    return c.spark.read.parquet(target)
+
+
 def load_audit(c: Context) -> DataFrame:
     """Row count of each of the 16 source tables."""
     return files.load_audit(c.t.as_dict())
@@ -450,7 +463,7 @@ def key_competencies(c): return dashboard.key_competencies(c.result, c.t.dims["d
 
 
 _ALL = [
-    csv_roundtrip, csv_discover, land_raw, load_overwrite, load_audit, inline_weights, model_chain,
+    csv_roundtrip, csv_discover, land_raw, load_overwrite, stream_load, load_audit, inline_weights, model_chain,
     check_unique, check_not_null,
     filter_ratings, filter_in_list, benchmark_flag, case_disc_map,
     star_join, left_join_year_on, cross_join_mode, array_overlap, array_membership, lateral_strengths,
