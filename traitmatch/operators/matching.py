@@ -15,7 +15,7 @@ from traitmatch.operators.relational import flag_members
 from traitmatch.operators.traits import (
     COGNITIVE, COMPETENCY, CONTEXTUAL, PERSONALITY, STRENGTH_TRAIT, STRENGTHS, select_traits,
 )
-from traitmatch.plans.lineage import cut_lineage
+from traitmatch.plans.lineage import cut_lineage, reuse
 from traitmatch.plans.sizing import bounded, broadcast_if_small
 from traitmatch.sources.files import constants
 
@@ -67,46 +67,43 @@ def benchmark_rows(long: DataFrame, ids: DataFrame) -> DataFrame:
     return select_traits(long).join(ids, "employee_id", "left_semi")
 
 
-def _frequencies(bench: DataFrame) -> DataFrame:
-    return bench.groupBy("tv_name", "tv_type", "user_score").agg(F.count(F.lit(1)).alias("freq"))
-
-
-def _categorical_target(entries: Column) -> Column:
-    """From ``array<struct<freq, v>>``: every value with the top count, sorted,
-    a winning NULL kept as a trailing NULL item; NULL for an empty list."""
-    top = F.array_max(F.transform(entries, lambda x: x["freq"]))
-    vals = F.transform(F.filter(entries, lambda x: x["freq"] == top), lambda x: x["v"])
-    non_null = F.sort_array(F.filter(vals, lambda x: x.isNotNull()))
-    with_null = F.when(F.exists(vals, lambda x: x.isNull()),
-                       F.concat(non_null, F.array(F.lit(None).cast("string")))).otherwise(non_null)
-    return F.when(F.size(entries) > 0, array_to_json(with_null))
-
-
 def benchmark_profile_from_rows(bench: DataFrame) -> DataFrame:
-    """D16-D19 in one pass: per trait present in the benchmark rows, its type
-    and the three targets (JSON / text).
+    """Per trait present in the benchmark rows, its type and the
+    three targets (JSON / text).  At most one row per scored trait (26).
+
+    The benchmark rows are first counted per (trait, value) -- one scan of
+    the long table, cached because three small branches read it:
 
-    Rows are first counted per (trait, value) -- so the numeric median uses
-    ``percentile`` with a frequency, categorical modes keep ties, and the
-    strength themes are unioned -- then grouped per trait.  Output is at most
-    one row per scored trait (26).
+    * numeric: exact median via ``percentile`` with the counts as frequency;
+    * categorical: every value with the top count (ties kept, NULL kept);
+    * strength: the distinct union of all themes, made distinct per theme
+      before it is gathered, so its size is bounded by the theme vocabulary.
     """
-    freq = _frequencies(bench)
+    freq = reuse(bench.groupBy("tv_name", "tv_type", "user_score").agg(F.count(F.lit(1)).alias("freq")))
     numeric = F.col("tv_type") == "numeric"
-    categorical = F.col("tv_type") == "categorical"
-    is_strength = F.col("tv_name") == STRENGTH_TRAIT
-    items = F.array_distinct(F.flatten(F.collect_list(F.when(is_strength, json_to_array("user_score")))))
-    themes = F.sort_array(F.filter(items, lambda x: x.isNotNull()))
-    return freq.groupBy("tv_name").agg(
+    base = freq.groupBy("tv_name").agg(
         F.max("tv_type").alias("_type"),
-        F.when(F.max(is_strength.cast("int")) == 1,
-               F.when(F.size(themes) > 0, array_to_json(themes))).alias("strength_target"),
         num_to_text(F.percentile(F.when(numeric, to_double("user_score")), F.lit(0.5), F.col("freq")))
-        .alias("numeric_target"),
-        _categorical_target(F.collect_list(F.when(categorical, F.struct(
-            F.col("freq"), F.col("user_score").alias("v"))))).alias("categorical_target"),
-    ).select("tv_name", F.col("_type").alias("tv_type"), "strength_target", "numeric_target",
-             "categorical_target")
+        .alias("numeric_target"))
+    cat = _categorical_modes(freq)
+    items = (freq.where(F.col("tv_name") == STRENGTH_TRAIT)
+             .select("tv_name", F.explode(json_to_array("user_score")).alias("item"))
+             .where(F.col("item").isNotNull()).distinct()
+             .groupBy("tv_name").agg(array_to_json(F.sort_array(F.collect_list("item"))).alias("strength_target")))
+    return (base.join(bounded(cat), "tv_name", "left").join(bounded(items), "tv_name", "left")
+            .select("tv_name", F.col("_type").alias("tv_type"), "strength_target", "numeric_target",
+                    "categorical_target"))
+
+
+def _categorical_modes(freq: DataFrame) -> DataFrame:
+    """Per categorical trait: the JSON list of values with the top count."""
+    cat = freq.where(F.col("tv_type") == "categorical")
+    top = cat.groupBy("tv_name").agg(F.max("freq").alias("_top"))
+    winners = cat.join(bounded(top), "tv_name").where(F.col("freq") == F.col("_top"))
+    non_null = F.sort_array(F.collect_list("user_score"))
+    has_null = F.max(F.col("user_score").isNull().cast("int")) == 1
+    listed = F.when(has_null, F.concat(non_null, F.array(F.lit(None).cast("string")))).otherwise(non_null)
+    return winners.groupBy("tv_name").agg(array_to_json(listed).alias("categorical_target"))
 
 
 def categorical_targets(long: DataFrame, ids: DataFrame) -> DataFrame:

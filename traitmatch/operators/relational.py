@@ -143,13 +143,27 @@ def median_by(df: DataFrame, keys: str | Sequence[str], value: ColumnOrName, out
     return df.groupBy(*keys).agg(agg.cast("double").alias(out))
 
 
-def median_over(value: ColumnOrName, *keys: str) -> Column:
+def median_over(value: ColumnOrName, *keys: str, weight: ColumnOrName | None = None) -> Column:
     """Median over a whole partition, as a window column.
 
-    Kept for parity with the SQL form; the grouped form (:func:`median_by`)
-    is the production path because a window funnels each key into one task.
+    With ``weight`` (an integral count column) each row stands for that many
+    copies of its value.  Over raw rows a window funnels each key into one
+    task, so at scale apply it to pre-aggregated ``(key, value, count)`` rows
+    (see :func:`median_over_counts`); the grouped form (:func:`median_by`) is
+    the production path.
     """
-    return F.median(_c(value).cast("double")).over(Window.partitionBy(*keys))
+    v = _c(value).cast("double")
+    agg = F.median(v) if weight is None else F.percentile(v, F.lit(0.5), _c(weight))
+    return agg.over(Window.partitionBy(*keys))
+
+
+def median_over_counts(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
+    """W1 at scale: ``PERCENTILE_CONT(value, 0.5) OVER (PARTITION BY key)`` +
+    ``DISTINCT``, computed as a weighted window over per-(key, value) counts,
+    so the window only sees one row per distinct value."""
+    counts = (df.where(F.col(value).isNotNull()).groupBy(key, value)
+              .agg(F.count(F.lit(1)).alias("_n")))
+    return counts.select(key, median_over(value, key, weight="_n").alias(out)).distinct()
 
 
 def mode_value(df: DataFrame, col: str, approx: bool = False) -> Column:
@@ -168,17 +182,18 @@ def mode_value(df: DataFrame, col: str, approx: bool = False) -> Column:
 
 def modes_with_ties(df: DataFrame, key: str, col: str, out: str = "modes") -> DataFrame:
     """Per key, every value whose count equals the maximum, as a sorted
-    array; a winning NULL is kept as a trailing NULL item."""
+    array; a winning NULL is kept as a trailing NULL item.
+
+    Counts and per-key maxima are partial aggregates; only the winning values
+    are gathered per key (a join on the maxima drops the rest first).
+    """
     counts = df.groupBy(key, col).agg(F.count(F.lit(1)).alias("_freq"))
-    per_key = counts.groupBy(key).agg(F.collect_list(F.struct("_freq", F.col(col).alias("v"))).alias("_c"))
-    top = F.array_max(F.transform("_c", lambda x: x["_freq"]))
-    winners = F.filter("_c", lambda x: x["_freq"] == top)
-    vals = F.transform(winners, lambda x: x["v"])
-    non_null = F.sort_array(F.filter(vals, lambda x: x.isNotNull()))
-    has_null = F.exists(vals, lambda x: x.isNull())
-    return per_key.select(
-        key, F.when(has_null, F.concat(non_null, F.array(F.lit(None).cast("string"))))
-        .otherwise(non_null).alias(out))
+    top = counts.groupBy(key).agg(F.max("_freq").alias("_top"))
+    winners = counts.join(top, key).where(F.col("_freq") == F.col("_top"))
+    non_null = F.sort_array(F.collect_list(col))
+    has_null = F.max(F.col(col).isNull().cast("int")) == 1
+    return winners.groupBy(key).agg(
+        F.when(has_null, F.concat(non_null, F.array(F.lit(None).cast("string")))).otherwise(non_null).alias(out))
 
 
 def conditional_sums(df: DataFrame, key: str, group: str, value: str,

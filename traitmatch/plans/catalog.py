@@ -292,8 +292,7 @@ def median_by_key(c: Context) -> DataFrame:
 
 def median_window(c: Context) -> DataFrame:
     """PAPI scale medians through the window form, then DISTINCT."""
-    valid = c.t.papi_scores.where(F.col("score").isNotNull())
-    return valid.select("scale_code", rel.median_over("score", "scale_code").alias("median_score")).distinct()
+    return rel.median_over_counts(c.t.papi_scores, "scale_code", "score", out="median_score")
 
 
 def mode_value(c: Context) -> DataFrame:
