@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from traitmatch.functions import join_items, json_to_array, norm, round_numeric
 from traitmatch.operators import checks, dashboard, matching, relational as rel, staging, traits
 from traitmatch.sources import files
-from traitmatch.sources.fixtures import CURRENT_YEAR, benchmark_ids, load_talent_tables
-from traitmatch.plans.lineage import cut_lineage, reuse
+from traitmatch.sources.fixtures import (CURRENT_YEAR, FACT_TABLES, TalentTables, benchmark_ids,
+                                        load_talent_tables)
+from traitmatch.plans.lineage import cut_lineage
 from traitmatch.plans.sizing import bounded
 from traitmatch.session import scratch_path
 
@@ -25,6 +26,40 @@ LANDING_DATE = "2000-01-01"
 DIRECTORY_FILTER = {"role": "HRBP", "grade": "IV", "rating": "3.0"}
 
 
+class StoredTables:
+    """The derived source tables; each aggregated fact table is written once,
+    on first use, under the shared checkpoint folder (the role the landed and
+    loaded raw tables play in production).  The two per-customer projections
+    stay lazy: they are a cheap scan away."""
+
+    def __init__(self, raw: TalentTables):
+        self._raw = raw
+        self.employees = raw.employees
+        self.profiles_psych = raw.profiles_psych
+        self.dims = raw.dims
+
+    @cached_property
+    def performance_yearly(self) -> DataFrame:
+        return cut_lineage(self._raw.performance_yearly, "performance_yearly")
+
+    @cached_property
+    def competencies_yearly(self) -> DataFrame:
+        return cut_lineage(self._raw.competencies_yearly, "competencies_yearly")
+
+    @cached_property
+    def papi_scores(self) -> DataFrame:
+        return cut_lineage(self._raw.papi_scores, "papi_scores")
+
+    @cached_property
+    def strengths(self) -> DataFrame:
+        return cut_lineage(self._raw.strengths, "strengths")
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        out = {name: getattr(self, name) for name in FACT_TABLES}
+        out.update(self.dims)
+        return out
+
+
 class Context:
     """Shared, lazily built frames for one session and one data folder."""
 
@@ -33,14 +68,8 @@ class Context:
         self.sf_dir = sf_dir
 
     @cached_property
-    def t(self):
-        t = load_talent_tables(self.spark, self.sf_dir)
-        # The aggregated fact tables feed several models; compute each once.
-        t.performance_yearly = reuse(t.performance_yearly)
-        t.competencies_yearly = reuse(t.competencies_yearly)
-        t.papi_scores = reuse(t.papi_scores)
-        t.strengths = reuse(t.strengths)
-        return t
+    def t(self) -> StoredTables:
+        return StoredTables(load_talent_tables(self.spark, self.sf_dir))
 
     @cached_property
     def ids(self) -> DataFrame:
@@ -53,8 +82,9 @@ class Context:
 
     @cached_property
     def stg_emp(self):
-        return reuse(staging.stg_employees(self.t.employees, self.t.profiles_psych, self.t.performance_yearly,
-                                           self.t.dims))
+        # read by the long table, the metadata join and the directory
+        return cut_lineage(staging.stg_employees(self.t.employees, self.t.profiles_psych,
+                                                 self.t.performance_yearly, self.t.dims), "stg_employees")
 
     @cached_property
     def stg_papi(self):
@@ -80,7 +110,9 @@ class Context:
 
     @cached_property
     def result(self):
-        return reuse(matching.talent_match(self.long, self.stg_emp, self.ids, sort=False, materialize=False))
+        # the dashboard models read the match result several times each
+        return cut_lineage(matching.talent_match(self.long, self.stg_emp, self.ids, sort=False, materialize=False),
+                           "match_result")
 
     @cached_property
     def directory(self):
