@@ -17,7 +17,7 @@ from traitmatch.functions import join_items, json_to_array, norm, round_numeric
 from traitmatch.operators import checks, dashboard, matching, relational as rel, staging, traits
 from traitmatch.sources import files
 from traitmatch.sources.fixtures import (CURRENT_YEAR, FACT_TABLES, TalentTables, benchmark_ids,
-                                        load_talent_tables)
+                                        load_talent_tables, order_line_rollup, read_driver_tables)
 from traitmatch.plans.lineage import cut_lineage
 from traitmatch.plans.sizing import bounded
 from traitmatch.session import scratch_path
@@ -32,11 +32,19 @@ class StoredTables:
     loaded raw tables play in production).  The two per-customer projections
     stay lazy: they are a cheap scan away."""
 
-    def __init__(self, raw: TalentTables):
-        self._raw = raw
-        self.employees = raw.employees
-        self.profiles_psych = raw.profiles_psych
-        self.dims = raw.dims
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._raw = load_talent_tables(spark, sf_dir)
+        self.employees = self._raw.employees
+        self.profiles_psych = self._raw.profiles_psych
+        self.dims = self._raw.dims
+
+    @cached_property
+    def _lines(self) -> TalentTables:
+        # the three line-based facts share one stored GROUPING SETS pass
+        src = read_driver_tables(self._spark, self._sf_dir)
+        rollup = cut_lineage(order_line_rollup(src["orders"], src["lineitem"], src["part"]), "order_lines")
+        return load_talent_tables(self._spark, self._sf_dir, rollup=rollup)
 
     @cached_property
     def performance_yearly(self) -> DataFrame:
@@ -44,15 +52,15 @@ class StoredTables:
 
     @cached_property
     def competencies_yearly(self) -> DataFrame:
-        return cut_lineage(self._raw.competencies_yearly, "competencies_yearly")
+        return self._lines.competencies_yearly
 
     @cached_property
     def papi_scores(self) -> DataFrame:
-        return cut_lineage(self._raw.papi_scores, "papi_scores")
+        return self._lines.papi_scores
 
     @cached_property
     def strengths(self) -> DataFrame:
-        return cut_lineage(self._raw.strengths, "strengths")
+        return cut_lineage(self._lines.strengths, "strengths")
 
     def as_dict(self) -> dict[str, DataFrame]:
         out = {name: getattr(self, name) for name in FACT_TABLES}
@@ -69,7 +77,7 @@ class Context:
 
     @cached_property
     def t(self) -> StoredTables:
-        return StoredTables(load_talent_tables(self.spark, self.sf_dir))
+        return StoredTables(self.spark, self.sf_dir)
 
     @cached_property
     def ids(self) -> DataFrame:

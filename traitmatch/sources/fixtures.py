@@ -118,42 +118,54 @@ def derive_performance_yearly(orders: DataFrame) -> DataFrame:
             .select(_emp(F.col("o_custkey")).alias("employee_id"), "year", "rating"))
 
 
-def _order_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    return orders.join(lineitem, orders["o_orderkey"] == lineitem["l_orderkey"])
-
-
-def derive_competencies_yearly(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def order_line_rollup(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """One pass over the order lines for all three line-based fact tables.
+
+    ``orders`` join ``lineitem`` (left join ``part`` for the brand) is
+    aggregated once with GROUPING SETS -- (customer, pillar, year), (customer,
+    PAPI scale), (customer, brand) -- so ``lineitem`` is scanned and shuffled
+    once, and each map task pre-aggregates all three groupings.  The
+    ``g_*`` flags tell the sets apart; ``n_part`` counts only lines with a
+    matching part, which is what an inner join with ``part`` would count.
+    """
+    lines = (orders.join(lineitem, orders["o_orderkey"] == lineitem["l_orderkey"])
+             .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+             .select("o_custkey", F.year("o_orderdate").alias("year"),
+                     (F.col("l_partkey") % 10).alias("code_ix"), (F.col("l_suppkey") % 7).alias("scale_ix"),
+                     "p_brand", "p_partkey", "l_quantity", "l_linenumber"))
+    return (lines.groupingSets([["o_custkey", "code_ix", "year"], ["o_custkey", "scale_ix"],
+                                ["o_custkey", "p_brand"]],
+                               "o_custkey", "code_ix", "year", "scale_ix", "p_brand")
+            .agg(F.floor(F.sum("l_quantity")).cast("bigint").alias("q"),
+                 F.sum("l_linenumber").alias("n"),
+                 F.count("p_partkey").alias("n_part"),
+                 F.grouping("code_ix").alias("g_code"),
+                 F.grouping("scale_ix").alias("g_scale"),
+                 F.grouping("p_brand").alias("g_brand")))
+
+
+def competencies_from_rollup(rollup: DataFrame) -> DataFrame:
     codes = F.array(*[F.lit(c) for c in PILLAR_BY_PART_MOD10])
-    # group on integer keys; the text id and code are derived per group
-    grouped = (_order_lines(orders, lineitem)
-               .groupBy(F.col("o_custkey"), (F.col("l_partkey") % 10).alias("code_ix"),
-                        F.year("o_orderdate").alias("year"))
-               .agg(F.floor(F.sum("l_quantity")).cast("bigint").alias("q"),
-                    F.sum("l_linenumber").alias("n")))
     score = (F.when(F.col("n") % 17 == 0, F.lit(None).cast("int"))
               .when(F.col("q") % 8 == 7, F.lit(99))
               .otherwise(F.col("q") % 8))
-    return grouped.select(_emp(F.col("o_custkey")).alias("employee_id"),
-                          F.element_at(codes, (F.col("code_ix") + 1).cast("int")).alias("pillar_code"),
-                          "year", score.cast("int").alias("score"))
+    return (rollup.where(F.col("g_code") == 0)
+            .select(_emp(F.col("o_custkey")).alias("employee_id"),
+                    F.element_at(codes, (F.col("code_ix") + 1).cast("int")).alias("pillar_code"),
+                    F.col("year").cast("int").alias("year"), score.cast("int").alias("score")))
 
 
-def derive_papi_scores(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    grouped = (_order_lines(orders, lineitem)
-               .groupBy(F.col("o_custkey"), (F.col("l_suppkey") % 7).alias("scale_ix"))
-               .agg(F.floor(F.sum("l_quantity")).cast("bigint").alias("q")))
+def papi_from_rollup(rollup: DataFrame) -> DataFrame:
     letter = F.substring(F.lit(PAPI_LETTERS_BY_SUPP_MOD7), (F.col("scale_ix") + 1).cast("int"), 1)
     score = F.when(F.col("q") % 10 != 9, F.col("q") % 10)
-    return grouped.select(_emp(F.col("o_custkey")).alias("employee_id"),
-                          F.concat(F.lit("Papi_"), letter).alias("scale_code"), score.cast("int").alias("score"))
+    return (rollup.where(F.col("g_scale") == 0)
+            .select(_emp(F.col("o_custkey")).alias("employee_id"),
+                    F.concat(F.lit("Papi_"), letter).alias("scale_code"), score.cast("int").alias("score")))
 
 
-def derive_strengths(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    counts = (_order_lines(orders, lineitem)
-              .join(part, F.col("l_partkey") == F.col("p_partkey"))
-              .groupBy(F.col("o_custkey"), F.col("p_brand"))
-              .agg(F.count(F.lit(1)).alias("n"))
-              .select(_emp(F.col("o_custkey")).alias("employee_id"), "p_brand", "n"))
+def strengths_from_rollup(rollup: DataFrame) -> DataFrame:
+    counts = (rollup.where((F.col("g_brand") == 0) & (F.col("n_part") > 0))
+              .select(_emp(F.col("o_custkey")).alias("employee_id"), "p_brand", F.col("n_part").alias("n")))
     by_employee = Window.partitionBy("employee_id").orderBy(F.col("n").desc(), F.col("p_brand"))
     theme = F.col("p_brand")
     for brand, junk in JUNK_THEME_BY_BRAND.items():
@@ -163,20 +175,34 @@ def derive_strengths(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
                          theme.alias("theme"))
 
 
-def load_talent_tables(spark: SparkSession, sf_dir: str) -> TalentTables:
-    """Derive the 16 talent source tables from ``sf_dir`` (lazy DataFrames)."""
-    customer = _read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
-    orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    lineitem = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-                     "l_linenumber", "l_quantity")
-    part = _read(spark, sf_dir, "part", "p_partkey", "p_brand")
+def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four driver tables the derivation reads, pruned to the used columns."""
+    return {
+        "customer": _read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey"),
+        "orders": _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+        "lineitem": _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                          "l_linenumber", "l_quantity"),
+        "part": _read(spark, sf_dir, "part", "p_partkey", "p_brand"),
+    }
+
+
+def load_talent_tables(spark: SparkSession, sf_dir: str, rollup: DataFrame | None = None) -> TalentTables:
+    """Derive the 16 talent source tables from ``sf_dir`` (lazy DataFrames).
+
+    ``rollup`` may be a stored :func:`order_line_rollup`; otherwise it is
+    built lazily (Spark reuses its exchange when several facts meet in one
+    plan).
+    """
+    src = read_driver_tables(spark, sf_dir)
+    if rollup is None:
+        rollup = order_line_rollup(src["orders"], src["lineitem"], src["part"])
     return TalentTables(
-        employees=derive_employees(customer),
-        profiles_psych=derive_profiles_psych(customer),
-        performance_yearly=derive_performance_yearly(orders),
-        competencies_yearly=derive_competencies_yearly(orders, lineitem),
-        papi_scores=derive_papi_scores(orders, lineitem),
-        strengths=derive_strengths(orders, lineitem, part),
+        employees=derive_employees(src["customer"]),
+        profiles_psych=derive_profiles_psych(src["customer"]),
+        performance_yearly=derive_performance_yearly(src["orders"]),
+        competencies_yearly=competencies_from_rollup(rollup),
+        papi_scores=papi_from_rollup(rollup),
+        strengths=strengths_from_rollup(rollup),
         dims=dimension_frames(spark),
     )
 
