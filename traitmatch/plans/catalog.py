@@ -227,6 +227,23 @@ def model_chain(c: Context) -> DataFrame:
     return checks.filtered_model(c.spark, "example_model")
 
 
+def sql_parametrised(c: Context) -> DataFrame:
+    """The sources registered by name, and a SQL model whose year is a
+    bound parameter (a named marker, never text substitution)."""
+    files.register_sources(c.spark, c.t.as_dict())
+    return c.spark.sql(
+        "SELECT employee_id, year, rating FROM performance_yearly "
+        "WHERE rating IS NOT NULL AND rating BETWEEN 1 AND 5 AND year < :before",
+        args={"before": CURRENT_YEAR})
+
+
+def sql_ordinal_group(c: Context) -> DataFrame:
+    """Rows per (pillar, year) with an ordinal GROUP BY, in Spark SQL."""
+    files.register_sources(c.spark, c.t.as_dict())
+    return c.spark.sql("SELECT pillar_code, year, CAST(count(*) AS BIGINT) AS n_rows "
+                       "FROM competencies_yearly GROUP BY 1, 2")
+
+
 def check_unique(c: Context) -> DataFrame:
     return checks.check_unique(c.example, "id")
 
@@ -474,6 +491,13 @@ def filter_options(c: Context) -> DataFrame:
     return dashboard.filter_options(c.directory, role=DIRECTORY_FILTER["role"], grade=DIRECTORY_FILTER["grade"])
 
 
+def display_roundtrip(c: Context) -> DataFrame:
+    """the ``name (id)`` label of every directory row and the id parsed back."""
+    from traitmatch.functions import label_to_id
+
+    return c.directory.select("employee_id", "display", label_to_id("display").alias("parsed_id"))
+
+
 def default_benchmarks(c: Context) -> DataFrame:
     """The rule's benchmark ids as defaults, over the unfiltered directory."""
     return dashboard.default_benchmarks(c.directory, c.ids)
@@ -503,6 +527,7 @@ def key_competencies(c): return dashboard.key_competencies(c.result, c.t.dims["d
 
 _ALL = [
     csv_roundtrip, csv_discover, land_raw, load_overwrite, stream_load, load_audit, inline_weights, model_chain,
+    sql_parametrised, sql_ordinal_group,
     check_unique, check_not_null,
     filter_ratings, filter_in_list, benchmark_flag, case_disc_map,
     star_join, left_join_year_on, cross_join_mode, array_overlap, array_membership, lateral_strengths,
@@ -514,7 +539,7 @@ _ALL = [
     cognitive_medians, clean_mbti, clean_disc, stg_employees,
     categorical_targets, numeric_targets, strength_target, benchmark_profile, match_scores,
     weighted_scores, aggregate_scores, group_ratios, talent_match, talent_match_candidates,
-    employee_directory, filter_directory, filter_options, default_benchmarks, ranked_candidates,
+    employee_directory, filter_directory, filter_options, display_roundtrip, default_benchmarks, ranked_candidates,
     rate_histogram, group_averages, compare_to_benchmark, strongest_and_gap, baseline_profile,
     key_competencies,
 ]
