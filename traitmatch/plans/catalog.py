@@ -60,7 +60,8 @@ class StoredTables:
 
     @cached_property
     def strengths(self) -> DataFrame:
-        return cut_lineage(self._lines.strengths, "strengths")
+        # read once (by the strengths model), so not stored separately
+        return self._lines.strengths
 
     def as_dict(self) -> dict[str, DataFrame]:
         out = {name: getattr(self, name) for name in FACT_TABLES}
