@@ -49,3 +49,17 @@ def test_labels_and_codes(spark):
     assert one(spark, norm(F.lit("  abc "))) == "ABC"
     assert one(spark, map_value(F.lit("b"), {"a": "1", "b": "2"})) == "2"
     assert one(spark, map_value(F.lit("z"), {"a": "1"})) is None
+
+
+def test_array_member_and_overlap(spark):
+    from traitmatch.functions import array_member, array_overlap_count, first_item
+    targets = F.array(F.lit("ACHIEVER"), F.lit("FOCUS"), F.lit(None).cast("string"))
+    assert one(spark, array_member(F.lit(" focus "), targets)) is True
+    assert one(spark, array_member(F.lit("zeal"), targets)) is False
+    assert one(spark, array_member(F.lit(None).cast("string"), targets)) is False
+    items = F.array(F.lit(" achiever"), F.lit("Focus"), F.lit("FOCUS "), F.lit("Focus"), F.lit(None).cast("string"))
+    assert one(spark, array_overlap_count(items, targets)) == 3
+    assert one(spark, array_overlap_count(F.lit(None).cast("array<string>"), targets)) == 0
+    arr = F.array(F.struct(F.lit("x").alias("value"), F.lit(3).alias("count")))
+    assert one(spark, first_item(arr, "value")) == "x"
+    assert one(spark, first_item(F.array().cast("array<string>"))) is None

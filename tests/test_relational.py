@@ -61,3 +61,12 @@ def test_where_helpers(spark):
     assert rel.where_in(df, "s", ["a"], negate=True).count() == 2  # NULL passes neither
     assert rel.where_optional(df, {"s": "All"}).count() == 4
     assert rows(rel.where_optional(df, {"s": "b"}), "r") == [(6,)]
+
+
+def test_cross_scalar_and_group_value(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 5)], "k string, v int")
+    total = df.groupBy().agg(F.sum("v").alias("total"))
+    out = rel.cross_scalar(df, total)
+    assert {r.total for r in out.collect()} == {9}
+    per_k = df.groupBy("k").agg(F.sum("v").alias("k_sum"))
+    assert rows(rel.with_group_value(df, per_k, "k"), "k", "v", "k_sum") == [("a", 1, 4), ("a", 3, 4), ("b", 5, 5)]

@@ -59,3 +59,12 @@ def test_example_models_and_checks(spark):
 def test_constants_escape(spark):
     df = files.constants(spark, [("it's", 1.5, None), ("a\\b", 2.0, True)], "s string, x double, b boolean")
     assert set(rows(df)) == {("a\\b", 2.0, True), ("it's", 1.5, None)}
+
+
+def test_register_sources_from_landing_folder(spark):
+    root = tempfile.mkdtemp(prefix="tm-reg-")
+    dims = dimension_frames(spark)
+    files.land_raw(dims["dim_grades"], root, "2000-01-03", "dim_grades")
+    names = files.register_sources(spark, root, {"dim_grades": "grade_id int, name string"})
+    assert names == ["dim_grades"]
+    assert rows(spark.sql("SELECT grade_id, name FROM dim_grades WHERE grade_id >= 2")) == [(2, "IV"), (3, "V")]

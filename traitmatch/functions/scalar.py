@@ -103,3 +103,24 @@ def as_float(c: ColumnOrName) -> Column:
 
 def run_date_text(c: ColumnOrName) -> Column:
     return F.date_format(_c(c), "yyyy-MM-dd")
+
+
+def array_member(value: ColumnOrName, normalised_list: ColumnOrName) -> Column:
+    """``norm(value) IN UNNEST(list)`` for a list already normalised with
+    :func:`norm`; NULL value, NULL list, or no match -> False."""
+    return F.coalesce(F.array_contains(_c(normalised_list), norm(value)), F.lit(False))
+
+
+def array_overlap_count(items: ColumnOrName, normalised_targets: ColumnOrName) -> Column:
+    """Number of distinct raw ``items`` whose normalised form is in
+    ``normalised_targets`` (a per-row semi join of two lists, done with
+    higher-order functions); 0 when either list is NULL."""
+    hits = F.filter(_c(items), lambda x: array_member(x, normalised_targets))
+    return F.coalesce(F.size(F.array_distinct(hits)), F.lit(0))
+
+
+def first_item(arr: ColumnOrName, field: str | None = None) -> Column:
+    """``arr[OFFSET(0)]`` (optionally one struct field of it); NULL for an
+    empty or NULL array."""
+    item = F.get(_c(arr), 0)
+    return item[field] if field else item

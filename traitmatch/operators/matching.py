@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traitmatch.functions import (
-    array_to_json, clamp, join_items, json_to_array, norm, null_if_zero, num_to_text,
+    array_member, array_overlap_count, array_to_json, clamp, join_items, json_to_array, norm, null_if_zero, num_to_text,
     round_numeric, to_double,
 )
 from traitmatch.operators.relational import flag_members
@@ -149,16 +149,12 @@ def match_score_expr() -> Column:
     """
     u = F.col("user_score")
     ud, td = to_double(u), F.col("_t_numeric")
-    user_items = json_to_array(u)
-    target_norm = F.col("_t_strength")
-    overlap = F.size(F.array_distinct(F.filter(
-        user_items, lambda x: F.coalesce(F.array_contains(target_norm, norm(x)), F.lit(False)))))
-    strength = F.when(u.isNull() | target_norm.isNull(), F.lit(0.0)).otherwise(
-        F.coalesce(overlap, F.lit(0)).cast("double") / F.lit(STRENGTH_SLOTS) * F.lit(100.0))
+    overlap = array_overlap_count(json_to_array(u), F.col("_t_strength"))
+    strength = F.when(u.isNull() | F.col("_t_strength").isNull(), F.lit(0.0)).otherwise(
+        overlap.cast("double") / F.lit(STRENGTH_SLOTS) * F.lit(100.0))
     inverse = clamp((F.lit(2.0) * td - ud) / null_if_zero(td) * F.lit(100.0))
     direct = clamp(ud / null_if_zero(td) * F.lit(100.0))
-    categorical = F.when(F.coalesce(F.array_contains(F.col("_t_categorical"), norm(u)), F.lit(False)),
-                         F.lit(100.0)).otherwise(F.lit(0.0))
+    categorical = F.when(array_member(u, F.col("_t_categorical")), F.lit(100.0)).otherwise(F.lit(0.0))
     return (F.when(F.col("tv_name") == STRENGTH_TRAIT, strength)
              .when(F.col("tv_type") == "numeric",
                    F.when(F.col("tv_name").isin(list(INVERSE_TRAITS)), inverse).otherwise(direct))

@@ -109,6 +109,23 @@ def inner_join(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> D
     return left.join(right, key, "inner")
 
 
+def with_group_value(df: DataFrame, agg: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Each row joined to its own group's aggregate (left join on the
+    group key).  The aggregate is hash-partitioned by the key already, so only
+    the row side shuffles; AQE splits a hot key on the row side."""
+    return df.join(agg, key, "left")
+
+
+def cross_scalar(df: DataFrame, one_row: DataFrame, out: str | None = None) -> DataFrame:
+    """Attach the value of a one-row, one-column frame to every row.
+
+    Planned as a scalar subquery (computed once, inlined as a value), not as a
+    cross join.
+    """
+    value = one_row.scalar()
+    return df.select("*", value.alias(out or one_row.columns[0]))
+
+
 def drop_unmatched(df: DataFrame, col: str) -> DataFrame:
     """Drop rows whose joined column stayed NULL."""
     return df.dropna(subset=[col])

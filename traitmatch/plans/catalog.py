@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitmatch.functions import join_items, json_to_array, norm, round_numeric
+from traitmatch.functions import (array_member, array_overlap_count, join_items, json_to_array, norm,
+                                  round_numeric)
 from traitmatch.operators import checks, dashboard, matching, relational as rel, staging, traits
 from traitmatch.sources import files
 from traitmatch.sources.fixtures import (CURRENT_YEAR, FACT_TABLES, TalentTables, benchmark_ids,
@@ -317,17 +318,15 @@ def array_overlap(c: Context) -> DataFrame:
     rows = c.long.where(F.col("tv_name") == traits.STRENGTH_TRAIT).join(
         bounded(c.profile.select("tv_name", "strength_target")), "tv_name", "left")
     tnorm = F.transform(json_to_array("strength_target"), norm)
-    hits = F.array_distinct(F.filter(json_to_array("user_score"),
-                                     lambda x: F.coalesce(F.array_contains(tnorm, norm(x)), F.lit(False))))
-    return rows.select("employee_id", F.coalesce(F.size(hits), F.lit(0)).cast("int").alias("overlap_count"))
+    overlap = array_overlap_count(json_to_array("user_score"), tnorm)
+    return rows.select("employee_id", overlap.cast("int").alias("overlap_count"))
 
 
 def array_membership(c: Context) -> DataFrame:
     """Whether each categorical value is in its trait's target list."""
     cat = c.long.where(F.col("tv_type") == "categorical").where(F.col("tv_name").isin(traits.SCORED_TRAITS))
     joined = cat.join(bounded(c.profile.select("tv_name", "categorical_target")), "tv_name", "left")
-    member = F.coalesce(F.array_contains(F.transform(json_to_array("categorical_target"), norm),
-                                         norm(F.col("user_score"))), F.lit(False))
+    member = array_member("user_score", F.transform(json_to_array("categorical_target"), norm))
     return joined.select("employee_id", "tv_name", "user_score", member.alias("is_member"))
 
 

@@ -104,8 +104,19 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def register_sources(spark: SparkSession, tables: Mapping[str, DataFrame]) -> list[str]:
-    """Name each source table so SQL models can refer to it."""
+def register_sources(spark: SparkSession, tables: Mapping[str, DataFrame] | str,
+                     schemas: Mapping[str, StructType | str] | None = None) -> list[str]:
+    """Name each source table so SQL models can refer to it.
+
+    ``tables`` is a mapping of frames, or a landing folder: then every table
+    found by :func:`discover_tables` is read as CSV (with its declared schema
+    from ``schemas`` when given) and registered.  Only the table names and
+    paths pass through the driver.
+    """
+    if isinstance(tables, str):
+        found = discover_tables(spark, tables).groupBy("table_name").agg(F.collect_set("uri").alias("uris"))
+        listing = {r.table_name: sorted(r.uris) for r in found.collect()}
+        tables = {name: read_csv(spark, uris, (schemas or {}).get(name)) for name, uris in listing.items()}
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return sorted(tables)
