@@ -70,3 +70,9 @@ def test_cross_scalar_and_group_value(spark):
     assert {r.total for r in out.collect()} == {9}
     per_k = df.groupBy("k").agg(F.sum("v").alias("k_sum"))
     assert rows(rel.with_group_value(df, per_k, "k"), "k", "v", "k_sum") == [("a", 1, 4), ("a", 3, 4), ("b", 5, 5)]
+
+
+def test_approximate_variants(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    assert spark.range(1).select(rel.mode_value(df, "k", approx=True).alias("m")).collect()[0]["m"] == "b"
+    assert spark.range(1).select(rel.mode_value(df, "k").alias("m")).collect()[0]["m"] == "b"

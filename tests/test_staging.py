@@ -105,3 +105,29 @@ def test_stg_employees_rules(spark):
         ("e6", "Finance", "Brand Executive", "Distribution", 120.0, 40.0, "ENTJ", None, 2),
         ("e6", "Finance", "Brand Executive", "Distribution", 120.0, 40.0, "ENTJ", None, 4),
     ], key=repr)
+
+
+def test_rating_zero_and_null_are_not_rated(spark):
+    emp = spark.createDataFrame([("e1", "A", "N1", 1, 1, 1, 1, 1, 1, 1, 1, 1), ("e2", "B", "N2", 1, 1, 1, 1, 1, 1, 1, 1, 1),
+                                 ("e3", "C", "N3", 1, 1, 1, 1, 1, 1, 1, 1, 1)],
+                                "employee_id string, fullname string, nip string, years_of_service_months int, "
+                                "department_id int, position_id int, grade_id int, education_id int, major_id int, "
+                                "company_id int, area_id int, directorate_id int")
+    psych = spark.createDataFrame([("e1", 90.0, 10.0, "ENTJ", "D", None, 1.0, 1.0, 1.0)],
+                                  "employee_id string, iq double, gtq double, mbti string, disc string, "
+                                  "disc_word string, pauli double, tiki double, faxtor double")
+    perf = spark.createDataFrame([("e1", 2000, 0), ("e2", 2000, None), ("e3", 2000, 5)],
+                                 "employee_id string, year int, rating int")
+    out = staging.stg_employees(emp, psych, perf, dimension_frames(spark), year=2000)
+    got = rows(out, "employee_id", "iq_imputed", "mbti_final", "rating")
+    # e3 has no psych row: iq from the department median over rated employees with iq/gtq (none) -> NULL;
+    # MBTI falls back to the global mode
+    assert got == [("e3", None, "ENTJ", 5)]
+
+
+def test_approximate_median_imputation(spark):
+    comp = spark.createDataFrame([("e1", "A", 2000, 1), ("e2", "A", 2000, 3), ("e3", "A", 2000, None)],
+                                 "employee_id string, pillar_code string, year int, score int")
+    exact = rows(staging.impute_group_median(comp, "pillar_code", "score"), "employee_id", "score_imputed")
+    approx = rows(staging.impute_group_median(comp, "pillar_code", "score", approx=True), "employee_id", "score_imputed")
+    assert exact[-1] == ("e3", 2.0) and approx[-1] == ("e3", 1.0)  # approx returns an observed value
