@@ -132,14 +132,28 @@ def benchmark_profile(long: DataFrame, ids: DataFrame) -> DataFrame:
     return benchmark_profile_from_rows(benchmark_rows(long, ids))
 
 
+def _listed(tv_name: Column) -> Column:
+    return (tv_name == STRENGTH_TRAIT) | tv_name.isin(list(LIST_DISPLAY_TRAITS))
+
+
+def _display(tv_name: Column, target: Column) -> Column:
+    """Baseline as shown: JSON lists unpacked to ``a, b`` for the list traits."""
+    return F.when(_listed(tv_name), join_items(json_to_array(target))).otherwise(target)
+
+
 def scoring_targets(profile: DataFrame) -> DataFrame:
-    """The profile prepared for scoring: target lists parsed and normalised
-    once per trait (at most 26 rows), so no row of the big side parses them."""
+    """The profile prepared for scoring: target lists parsed and normalised,
+    and the display text of each target rendered, once per trait (at most 26
+    rows) -- no row of the big side parses a target."""
+    name = F.col("tv_name")
     return profile.select(
         "tv_name", "strength_target", "numeric_target", "categorical_target",
         F.transform(json_to_array("strength_target"), norm).alias("_t_strength"),
         to_double("numeric_target").alias("_t_numeric"),
-        F.transform(json_to_array("categorical_target"), norm).alias("_t_categorical"))
+        F.transform(json_to_array("categorical_target"), norm).alias("_t_categorical"),
+        _display(name, F.col("strength_target")).alias("_d_strength"),
+        _display(name, F.col("numeric_target")).alias("_d_numeric"),
+        _display(name, F.col("categorical_target")).alias("_d_categorical"))
 
 
 def match_score_expr() -> Column:
@@ -161,17 +175,26 @@ def match_score_expr() -> Column:
              .otherwise(categorical))
 
 
-def match_scores(long: DataFrame, profile: DataFrame) -> DataFrame:
+def _by_branch(strength: str, numeric: str, other: str) -> Column:
+    return (F.when(F.col("tv_name") == STRENGTH_TRAIT, F.col(strength))
+             .when(F.col("tv_type") == "numeric", F.col(numeric))
+             .otherwise(F.col(other)))
+
+
+def match_scores(long: DataFrame, profile: DataFrame, with_display: bool = False) -> DataFrame:
     """Score every scored-trait row against the profile (0..100 or NULL).
 
     The profile has at most 26 rows and is broadcast; scoring is map-only.
+    ``with_display`` adds ``baseline_display``, the target as the result
+    shows it (taken from the per-trait rendering, not parsed per row).
     """
     joined = select_traits(long).join(bounded(scoring_targets(profile)), "tv_name", "left")
-    display = (F.when(F.col("tv_name") == STRENGTH_TRAIT, F.col("strength_target"))
-                .when(F.col("tv_type") == "numeric", F.col("numeric_target"))
-                .otherwise(F.col("categorical_target")))
-    return joined.select("employee_id", "tgv_name", "tv_name", "tv_type", "user_score",
-                         display.alias("target_val_display"), match_score_expr().alias("match_score"))
+    cols = ["employee_id", "tgv_name", "tv_name", "tv_type", "user_score",
+            _by_branch("strength_target", "numeric_target", "categorical_target").alias("target_val_display"),
+            match_score_expr().alias("match_score")]
+    if with_display:
+        cols.append(_by_branch("_d_strength", "_d_numeric", "_d_categorical").alias("baseline_display"))
+    return joined.select(*cols)
 
 
 def weights_frame(spark: SparkSession, weights: Sequence[tuple[str, float]] = TRAIT_WEIGHTS) -> DataFrame:
@@ -205,17 +228,17 @@ def group_ratio_expr() -> Column:
     return expr.otherwise(F.lit(0.0))
 
 
-def group_ratios(weighted: DataFrame, agg: DataFrame) -> DataFrame:
+def group_ratios(weighted: DataFrame, agg: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Each row with its employee's final rate and its group's ratio.
 
     The aggregate is already hash-partitioned by ``employee_id``; the join
     only shuffles the row side, and a hot employee is split by AQE's skew
-    join.
+    join.  ``keep`` passes extra row columns through.
     """
     return (weighted.join(agg, "employee_id", "left")
             .select("employee_id", "tgv_name", "tv_name", "user_score",
                     F.col("target_val_display").alias("baseline_score"), "match_score",
-                    "final_match_rate", group_ratio_expr().alias("tgv_match_ratio")))
+                    "final_match_rate", group_ratio_expr().alias("tgv_match_ratio"), *keep))
 
 
 def result_order() -> list[Column]:
@@ -241,15 +264,13 @@ def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataF
         long = cut_lineage(select_traits(long), "long_traits")
     idf = benchmark_frame(spark, ids)
     profile = benchmark_profile(long, idf)
-    weighted = weighted_scores(match_scores(long, profile))
-    detailed = group_ratios(weighted, aggregate_scores(weighted))
+    weighted = weighted_scores(match_scores(long, profile, with_display=True))
+    detailed = group_ratios(weighted, aggregate_scores(weighted), keep=["baseline_display"])
     meta = stg_emp.select("employee_id", "directorate", F.col("position").alias("role"), "grade")
     joined = flag_members(detailed.join(meta, "employee_id", "left"), "employee_id", idf)
-    listed = (F.col("tv_name") == STRENGTH_TRAIT) | F.col("tv_name").isin(list(LIST_DISPLAY_TRAITS))
     out = joined.select(
         "employee_id", "directorate", "role", "grade", "tgv_name", "tv_name",
-        F.when(listed, join_items(json_to_array("baseline_score"))).otherwise(F.col("baseline_score"))
-        .alias("baseline_score"),
+        F.col("baseline_display").alias("baseline_score"),
         F.when(F.col("tv_name") == STRENGTH_TRAIT, join_items(json_to_array("user_score")))
         .otherwise(F.col("user_score")).alias("user_score"),
         F.col("match_score").alias("tv_match_rate"),
