@@ -76,3 +76,12 @@ def test_approximate_variants(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
     assert spark.range(1).select(rel.mode_value(df, "k", approx=True).alias("m")).collect()[0]["m"] == "b"
     assert spark.range(1).select(rel.mode_value(df, "k").alias("m")).collect()[0]["m"] == "b"
+
+
+def test_scale_settings(spark):
+    from traitmatch.session import apply_unset, scale_settings
+    s = scale_settings(100 * 1024 ** 4, partition_bytes=1024 ** 3)
+    assert s["spark.sql.shuffle.partitions"] == str(100 * 1024) and s["spark.sql.adaptive.enabled"] == "true"
+    assert scale_settings(10, executors_cores=16)["spark.sql.shuffle.partitions"] == "16"
+    applied = apply_unset(spark, {"spark.sql.shuffle.partitions": "3", "spark.traitmatch.test.flag": "on"})
+    assert applied == {"spark.traitmatch.test.flag": "on"}  # shuffle partitions were already set

@@ -44,6 +44,39 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_settings(input_bytes: int, executors_cores: int = 8,
+                   partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a given input volume.
+
+    Scans split files into ``partition_bytes`` pieces; the first shuffle gets
+    about one partition per ``partition_bytes`` of input (never fewer than
+    the available cores), which AQE then coalesces toward the same advisory
+    size and splits further where a key is skewed.  For 100 TB and 256 MiB
+    that is ~400k partitions -- use a larger ``partition_bytes`` (e.g. 1 GiB)
+    when executors have the memory, to keep task counts manageable.
+    """
+    shuffle = max(executors_cores, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+    }
+
+
+def apply_unset(spark: SparkSession, settings: dict[str, str]) -> dict[str, str]:
+    """Apply only the SQL settings the session does not already have."""
+    applied = {}
+    for key, value in settings.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
