@@ -85,3 +85,17 @@ def test_scale_settings(spark):
     assert scale_settings(10, executors_cores=16)["spark.sql.shuffle.partitions"] == "16"
     applied = apply_unset(spark, {"spark.sql.shuffle.partitions": "3", "spark.traitmatch.test.flag": "on"})
     assert applied == {"spark.traitmatch.test.flag": "on"}  # shuffle partitions were already set
+
+
+def test_large_id_sets_are_not_broadcast(spark):
+    from traitmatch.operators import matching as m
+    ids = spark.range(0, 50).selectExpr("concat('e', cast(id as string)) as employee_id")
+    old = m.MAX_BENCHMARK_IDS
+    try:
+        m.MAX_BENCHMARK_IDS = 10
+        frame, small = m.checked_benchmark_frame(spark, ids)
+        assert not small and frame.count() == 50
+    finally:
+        m.MAX_BENCHMARK_IDS = old
+    frame, small = m.checked_benchmark_frame(spark, ["a", "b", "a"])
+    assert small and frame.count() == 2

@@ -16,7 +16,7 @@ from traitmatch.operators.traits import (
     COGNITIVE, COMPETENCY, CONTEXTUAL, PERSONALITY, STRENGTH_TRAIT, STRENGTHS, select_traits,
 )
 from traitmatch.plans.lineage import cut_lineage, reuse
-from traitmatch.plans.sizing import bounded, broadcast_if_small
+from traitmatch.plans.sizing import bounded, checked_broadcast
 from traitmatch.sources.files import constants
 
 # --- fixed values ----------------------------------------------------------------------
@@ -51,15 +51,22 @@ RESULT_COLUMNS = ["employee_id", "directorate", "role", "grade", "tgv_name", "tv
                   "final_match_rate", "is_benchmark"]
 
 
-def benchmark_frame(spark: SparkSession, ids: Sequence[str] | DataFrame) -> DataFrame:
-    """Benchmark ids as a broadcastable one-column frame.
+def checked_benchmark_frame(spark: SparkSession, ids: Sequence[str] | DataFrame) -> tuple[DataFrame, bool]:
+    """Benchmark ids as a one-column frame, and whether it may be broadcast.
 
-    A Python list becomes literal rows (size known).  A DataFrame is
-    materialised once and broadcast only after a size check.
+    A Python list becomes literal rows (size known).  A DataFrame is computed
+    once (cached) and counted; it is broadcast only if it has at most
+    ``MAX_BENCHMARK_IDS`` rows, otherwise every join with it is a shuffled
+    join.
     """
     if isinstance(ids, DataFrame):
-        return broadcast_if_small(ids.select("employee_id").distinct(), MAX_BENCHMARK_IDS)
-    return bounded(constants(spark, [(str(i),) for i in dict.fromkeys(ids)], "employee_id string"))
+        return checked_broadcast(ids.select("employee_id").distinct(), MAX_BENCHMARK_IDS)
+    return bounded(constants(spark, [(str(i),) for i in dict.fromkeys(ids)], "employee_id string")), True
+
+
+def benchmark_frame(spark: SparkSession, ids: Sequence[str] | DataFrame) -> DataFrame:
+    """Benchmark ids as a one-column frame (broadcast when checked small)."""
+    return checked_benchmark_frame(spark, ids)[0]
 
 
 def benchmark_rows(long: DataFrame, ids: DataFrame) -> DataFrame:
@@ -262,12 +269,12 @@ def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataF
     spark = long.sparkSession
     if materialize:
         long = cut_lineage(select_traits(long), "long_traits")
-    idf = benchmark_frame(spark, ids)
+    idf, small = checked_benchmark_frame(spark, ids)
     profile = benchmark_profile(long, idf)
     weighted = weighted_scores(match_scores(long, profile, with_display=True))
     detailed = group_ratios(weighted, aggregate_scores(weighted), keep=["baseline_display"])
     meta = stg_emp.select("employee_id", "directorate", F.col("position").alias("role"), "grade")
-    joined = flag_members(detailed.join(meta, "employee_id", "left"), "employee_id", idf)
+    joined = flag_members(detailed.join(meta, "employee_id", "left"), "employee_id", idf, small=small)
     out = joined.select(
         "employee_id", "directorate", "role", "grade", "tgv_name", "tv_name",
         F.col("baseline_display").alias("baseline_score"),

@@ -48,13 +48,15 @@ def where_not_null(df: DataFrame, *cols: str) -> DataFrame:
     return df.where(cond)
 
 
-def flag_members(df: DataFrame, key: str, ids: DataFrame, out: str = "is_benchmark") -> DataFrame:
+def flag_members(df: DataFrame, key: str, ids: DataFrame, out: str = "is_benchmark",
+                 small: bool = True) -> DataFrame:
     """``key IN UNNEST(ids)`` as a boolean column (never NULL).
 
-    ``ids`` must be small (a handful of chosen ids); it is broadcast.
+    With ``small`` (the ids are a known-small set, e.g. a handful of chosen
+    benchmarks) the id set is broadcast; otherwise it joins by shuffle.
     """
     marks = ids.select(F.col(key)).distinct().select(key, F.lit(True).alias(out))
-    return (df.join(bounded(marks), key, "left")
+    return (df.join(bounded(marks) if small else marks, key, "left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(False))))
 
 

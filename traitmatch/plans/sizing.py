@@ -13,19 +13,24 @@ from pyspark import StorageLevel
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Compute ``df`` once and hint a broadcast only if it has at most
-    ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Compute ``df`` once, count it, and hint a broadcast only if it has at
+    most ``max_rows`` rows; also return that decision.
 
     The frame is cached (memory, spilling to disk) while it is counted, so the
     aggregate behind it runs once; a lost executor only means recomputing the
     cached blocks from lineage.  Above ``max_rows`` the frame is returned
-    without a hint and the join is a shuffled join (AQE may still convert it at
-    run time).
+    without a hint and joins with it are shuffled joins (AQE may still
+    convert them at run time).
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    return F.broadcast(cached) if n <= max_rows else cached
+    small = cached.count() <= max_rows
+    return (F.broadcast(cached) if small else cached), small
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """:func:`checked_broadcast` without the decision."""
+    return checked_broadcast(df, max_rows)[0]
 
 
 def bounded(df: DataFrame) -> DataFrame:
