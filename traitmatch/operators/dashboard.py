@@ -14,7 +14,7 @@ from traitmatch.operators.relational import (
 )
 from traitmatch.operators.traits import SCORED_TRAITS, TRAIT_GROUPS
 from traitmatch.plans.ranking import global_rank
-from traitmatch.plans.sizing import bounded
+from traitmatch.plans.sizing import bounded, broadcast_if_small
 from traitmatch.sources.files import constants
 from traitmatch.sources.fixtures import CURRENT_YEAR
 
@@ -112,16 +112,18 @@ def group_averages(result: DataFrame) -> DataFrame:
 
 
 def _id_frame(result: DataFrame, ids: str | DataFrame) -> DataFrame:
+    """One or a few ids as a frame to semi-join with: a literal row, or a
+    given frame broadcast after a size check."""
     if isinstance(ids, DataFrame):
-        return ids.select("employee_id")
-    return constants(result.sparkSession, [(ids,)], "employee_id string")
+        return broadcast_if_small(ids.select("employee_id").distinct())
+    return bounded(constants(result.sparkSession, [(ids,)], "employee_id string"))
 
 
 def compare_to_benchmark(result: DataFrame, candidate: str | DataFrame) -> DataFrame:
     """Per trait group (fixed order): benchmark distinct-average,
     candidate rate, both 0-filled, and candidate minus benchmark."""
     bench = _distinct_group_avg(result.where(F.col("is_benchmark").eqNullSafe(F.lit(True))), "benchmark_avg")
-    cand_rows = result.join(bounded(_id_frame(result, candidate)), "employee_id", "left_semi")
+    cand_rows = result.join(_id_frame(result, candidate), "employee_id", "left_semi")
     cand = (cand_rows.select("tgv_name", "tgv_match_rate").distinct()
             .groupBy("tgv_name").agg(F.max("tgv_match_rate").alias("candidate_rate")))
     both = bench.join(cand, "tgv_name", "full")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitmatch.plans.ranking import global_rank
-from traitmatch.plans.sizing import bounded
+from traitmatch.plans.sizing import bounded, broadcast_if_small
 from traitmatch.sources.files import constants
 
 ColumnOrName = Column | str
@@ -314,11 +314,13 @@ def sort_result(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def pick_first(df: DataFrame, key: str, wanted: DataFrame, order: Sequence[Column], n: int = 3) -> DataFrame:
-    """O3: rows whose ``key`` is among ``wanted``, first ``n`` in ``order``.
+    """O3: rows whose ``key`` is among ``wanted``, first ``n`` in ``order``
+    (a top-n: each partition keeps its best ``n`` before the merge).
 
-    ``wanted`` is a small id list (broadcast).
+    ``wanted`` is broadcast after a size check.
     """
-    return df.join(bounded(wanted.select(key).distinct()), key, "left_semi").orderBy(*order).limit(n)
+    ids = broadcast_if_small(wanted.select(key).distinct())
+    return df.join(ids, key, "left_semi").orderBy(*order).limit(n)
 
 
 def sorted_options(df: DataFrame, col: str, desc: bool = False, where: Column | None = None,
