@@ -38,7 +38,7 @@ def test_dimension_joins_are_broadcast(spark):
 
 def test_global_rank_has_no_single_partition_exchange(spark):
     df = spark.range(0, 2000).select((F.col("id") % 13).alias("s"), "id")
-    plan = physical(global_rank(df, [F.col("s").desc(), F.col("id")], num_partitions=4))
+    plan = physical(global_rank(df, [F.col("s").desc(), F.col("id")], num_partitions=4, small_rows=0))
     assert "SinglePartition" not in plan.split("Window")[0]  # only the tiny per-partition offsets window
     # the range-partitioned, sorted rows were written once; the rank reads them back
     assert "Scan parquet" in plan

@@ -8,10 +8,10 @@ from conftest import rows
 
 def test_global_rank_matches_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 97).cast("double").alias("score"), F.col("id").alias("k"))
-    ranked = global_rank(df, [F.col("score").desc(), F.col("k")], num_partitions=7)
-    got = [(r["rank"], r.k) for r in ranked.collect()]
-    expect = sorted(((-(k % 97), k) for k in range(5000)))
-    assert sorted(got) == [(i + 1, k) for i, (_, k) in enumerate(expect)]
+    expect = [(i + 1, k) for i, (_, k) in enumerate(sorted(((-(k % 97), k) for k in range(5000))))]
+    for small_rows in (0, 100_000):  # the distributed path and the checked single-window path
+        ranked = global_rank(df, [F.col("score").desc(), F.col("k")], num_partitions=7, small_rows=small_rows)
+        assert sorted((r["rank"], r.k) for r in ranked.collect()) == expect
 
 
 def test_modes_with_ties_and_null(spark):
