@@ -99,3 +99,40 @@ def test_large_id_sets_are_not_broadcast(spark):
         m.MAX_BENCHMARK_IDS = old
     frame, small = m.checked_benchmark_frame(spark, ["a", "b", "a"])
     assert small and frame.count() == 2
+
+
+def test_small_building_blocks(spark):
+    df = spark.createDataFrame([("e1", "G1", 2.0, True), ("e1", "G2", None, False), ("e2", "G1", 4.0, None)],
+                               "k string, g string, v double, flag boolean")
+    assert rows(rel.tag(df.select("k"), src="x"), "k", "src") == [("e1", "x"), ("e1", "x"), ("e2", "x")]
+    c = rel.case([(F.col("v") > 3, "big"), (F.col("v").isNotNull(), "small")], otherwise="none")
+    assert rows(df.select("k", "g", c.alias("c")), "k", "g", "c") == [("e1", "G1", "small"), ("e1", "G2", "none"),
+                                                                     ("e2", "G1", "big")]
+    assert rel.where_not_null(df, "v", "flag").count() == 1
+    assert rows(rel.where_flag(df, "flag", False), "k", "g") == [("e1", "G2")]  # NULL flag passes neither
+    sums = rel.conditional_sums(df, "k", "g", "v", {"g1": "G1", "g2": "G2"})
+    assert rows(sums) == [("e1", 2.0, 0.0), ("e2", 4.0, 0.0)]  # NULL value in its group: SUM skips it
+    assert rows(rel.collect_distinct(df, "k", "g", "gs")) == [("e1", ["G1", "G2"]), ("e2", ["G1"])]
+    assert rows(rel.collect_sorted(df, "g", "k", "ks")) == [("G1", ["e1", "e2"]), ("G2", ["e1"])]
+    assert rel.row_count(df).collect()[0]["n"] == 3
+    assert rel.distinct_rows(df, "k").count() == 2
+    assert [r.k for r in rel.sort_result(df, [F.col("v").desc_nulls_last(), F.col("k")]).collect()] == ["e2", "e1", "e1"]
+    assert rows(rel.count_by(df, "k")) == [("e1", 2), ("e2", 1)]
+    assert rows(rel.row_number_by(df, ["k"], [F.col("g")]), "k", "g", "rn") == [("e1", "G1", 1), ("e1", "G2", 2),
+                                                                                ("e2", "G1", 1)]
+    assert rel.union_all(df, df).count() == 6
+
+
+def test_reshaping_and_lateral(spark):
+    long = spark.createDataFrame([("e1", "A", "1"), ("e1", "B", "2"), ("e2", "A", "3")], "id string, t string, v string")
+    wide = rel.long_to_wide(long, "t", "v", ["A", "B", "C"], name_fn=str.lower, group_by=["id"])
+    assert rows(wide) == [("e1", "1", "2", None), ("e2", "3", None, None)]
+    g = spark.createDataFrame([("Y", 5.0)], "grp string, val double")
+    assert rows(rel.reindex(g, "grp", ["X", "Y", "Z"], ["val"]), "grp", "ordinal", "val") == [
+        ("X", 0, 0.0), ("Y", 1, 5.0), ("Z", 2, 0.0)]
+    arr = spark.createDataFrame([("s", ["a", "b"]), ("s", []), ("n", ["z"])], "t string, items array<string>")
+    out = rel.explode_when(arr, F.col("t") == "s", F.col("items"), "item")
+    assert rows(out, "t", "item") == sorted([("n", None), ("s", None), ("s", "a"), ("s", "b")], key=repr)
+    joined = rel.left_join(long, spark.createDataFrame([("e1", "Ann")], "id string, name string"), "id")
+    assert rows(rel.drop_unmatched(joined, "name"), "id", "t") == [("e1", "A"), ("e1", "B")]
+    assert rel.inner_join(long, spark.createDataFrame([("e2",)], "id string"), "id").count() == 1
