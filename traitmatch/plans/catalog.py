@@ -8,6 +8,7 @@ whole derived tables.  The matching SQL for the DuckDB oracle lives in
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,9 +105,24 @@ class Context:
     def stg_strengths(self):
         return staging.stg_strengths(self.t.strengths)
 
+    def _concurrently(self, *steps) -> None:
+        """Run independent preparation steps as concurrent Spark jobs.
+
+        Each step touches a different lazily built attribute whose inputs are
+        already built, so no two threads build the same thing.  Spark runs
+        jobs submitted from several driver threads at the same time, which
+        fills the cores when each job alone has only a few tasks.
+        """
+        with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+            for future in [pool.submit(step) for step in steps]:
+                future.result()
+
     @cached_property
     def long(self):
-        # One reliable checkpoint; every later model scans it.
+        t = self.t
+        self._concurrently(lambda: t.performance_yearly, lambda: t._lines)
+        self._concurrently(lambda: self.ids, lambda: self.stg_comp, lambda: self.stg_papi, lambda: self.stg_emp)
+        # One stored table; every later model scans it.
         return cut_lineage(traits.unpivot_traits(self.stg_comp, self.stg_emp, self.stg_papi, self.stg_strengths),
                            "long_traits")
 
