@@ -185,9 +185,12 @@ def csv_roundtrip(c: Context) -> DataFrame:
 
 
 def _landing_root(c: Context) -> str:
+    """Land all 16 source tables (independent write jobs, submitted together)."""
     root = scratch_path(c.spark, "landing")
-    for name, df in c.t.as_dict().items():
-        files.land_raw(df, root, LANDING_DATE, name)
+    tables = c.t.as_dict()
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for future in [pool.submit(files.land_raw, df, root, LANDING_DATE, name) for name, df in tables.items()]:
+            future.result()
     return root
 
 
