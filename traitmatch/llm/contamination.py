@@ -278,6 +278,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                     ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated")))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW) -> DataFrame:
+    """The rows that are not contaminated, all columns unchanged.
+
+    The search runs on row numbers, not ids, so repeated or missing ids never
+    take another row along.
+    """
+    names = docs.columns
+    numbered = cut_lineage(docs.toDF(*[f"_c{i}" for i in range(len(names))])
+                           .withColumn("_row", F.monotonically_increasing_id()), "numbered_docs")
+    found = find_contamination(numbered, benchmark, "_row", f"_c{names.index(text_col)}", item_col, item_text_col, size)
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("_row"))
+    return (numbered.join(bad, "_row", "left_anti")
+            .select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)]))
+
+
 # One row per document; the word table, the windows and the hits in plain SQL.
 FIND_CONTAMINATION_SQL = r"""
 WITH doc_words AS (

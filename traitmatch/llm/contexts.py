@@ -1,15 +1,17 @@
 """Vectorised lookup of variable-length byte contexts.
 
-A set of contexts (byte strings of length 0 to 4) becomes integer tables, so the
-longest known suffix before every byte of a long array is found by a few array
-gathers: one dense table over the last three symbols, and a second step for
-contexts of four.
+A set of contexts (byte strings) becomes integer tables, so the longest known
+suffix before every byte of a long array is found by a few array gathers: one
+dense table over the last three symbols, and one step of a prefix tree for each
+further symbol of the longer contexts.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+PAD = b"\n" * 8            # what stands before a text's first byte; contexts are shorter
+
 
 class ContextTable:
     """Contexts over an alphabet of the bytes that occur in training, plus one symbol for all others."""
@@ -20,41 +22,47 @@ class ContextTable:
         self.symbol = np.full(256, a - 1, np.int32)
         self.symbol[self.bytes_of] = np.arange(len(self.bytes_of), dtype=np.int32)
         self.contexts = sorted({b"", *contexts}, key=lambda c: (len(c), c))
-        if len(self.contexts[-1]) > 4:
-            raise ValueError("contexts of more than four bytes")
-        number = {c: i for i, c in enumerate(self.contexts)}
-        code = lambda c: [int(self.symbol[b]) for b in c]
+        self.depth = len(self.contexts[-1])
+        if self.depth > len(PAD):
+            raise ValueError(f"contexts of more than {len(PAD)} bytes")
         # dense[s3, s2, s1]: number of the longest context of up to three symbols
         dense = np.zeros((a, a, a), np.int32)
-        fours: dict[bytes, list[tuple[int, int]]] = {}
-        for c, i in number.items():
-            s = code(c)
-            if len(s) == 1:
+        nodes: dict[bytes, int] = {}              # proper prefixes and whole long contexts, 0 is dead
+        for i, c in enumerate(self.contexts):
+            s = self.symbol[np.frombuffer(c, np.uint8)]
+            if len(c) == 1:
                 dense[:, :, s[0]] = i
-            elif len(s) == 2:
+            elif len(c) == 2:
                 dense[:, s[0], s[1]] = i
-            elif len(s) == 3:
+            elif len(c) == 3:
                 dense[s[0], s[1], s[2]] = i
-            elif len(s) == 4:
-                fours.setdefault(c[:3], []).append((s[3], i))
+            else:
+                for k in range(3, len(c) + 1):
+                    nodes.setdefault(c[:k], len(nodes) + 1)
         self.dense = dense.reshape(-1)
-        self.has_four = bool(fours)
-        if fours:
-            self.prefix = np.zeros(a * a * a, np.int32)
-            self.four = np.zeros((len(fours) + 1, a), np.int32)
-            for row, (p, ends) in enumerate(fours.items(), 1):
-                s = code(p)
-                self.prefix[(s[0] * a + s[1]) * a + s[2]] = row
-                for last, i in ends:
-                    self.four[row, last] = i
-            self.four = self.four.reshape(-1)
+        if self.depth > 3:
+            self.first = np.zeros(a * a * a, np.int32)
+            step = np.zeros((len(nodes) + 1, a), np.int32)
+            self.number = np.zeros(len(nodes) + 1, np.int32)
+            numbers = {c: i for i, c in enumerate(self.contexts)}
+            for c, node in nodes.items():
+                s = [int(x) for x in self.symbol[np.frombuffer(c, np.uint8)]]
+                if len(c) == 3:
+                    self.first[(s[0] * a + s[1]) * a + s[2]] = node
+                else:
+                    step[nodes[c[:-1]], s[-1]] = node
+                    self.number[node] = numbers.get(c, 0)
+            self.step = step.reshape(-1)
 
     def states(self, symbols: np.ndarray) -> np.ndarray:
-        """For each position from 4 on, the number of the longest context of the bytes before it."""
-        a, s = self.size, symbols
-        triple = (s[:-3] * a + s[1:-2]) * a + s[2:-1]        # of positions t-3..t-1, for t = 3..n-1
-        state = self.dense[triple[1:]]
-        if self.has_four:
-            longer = self.four[self.prefix[triple[:-1]] * a + s[3:-1]]
-            state = np.where(longer > 0, longer, state)
+        """For each position from ``len(PAD)`` on, the number of the longest context of the bytes before it."""
+        a, s, n, p = self.size, symbols, len(symbols), len(PAD)
+        triple = (s[:-3] * a + s[1:-2]) * a + s[2:-1]        # entry i: symbols i..i+2
+        state = self.dense[triple[p - 3:]]
+        if self.depth > 3:
+            node = self.first[triple]                        # entry i: node of symbols i..i+k-1
+            for k in range(4, self.depth + 1):
+                node = self.step[node[:n - k] * a + s[k - 1:n - 1]]
+                longer = self.number[node[p - k:]]
+                state = np.where(longer > 0, longer, state)
         return state

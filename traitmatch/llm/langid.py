@@ -19,12 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitmatch.llm.common import arrow_batch, byte_slices, pick, schema_of
-from traitmatch.llm.contexts import ContextTable
+from traitmatch.llm.contexts import PAD, ContextTable
 
 ORDER = 3
 TRAIN_DOCS_PER_LANG = 400     # documented bound of the training sample: whole texts per language
 MAX_LANGS = 64                # more label values than this are refused, not cut
-PAD = b"\n" * 4               # what stands before a text's first byte
 LETTER = re.compile(r"[^\W\d_]")
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double"),
           ("bits_per_byte", "double")]
@@ -103,11 +102,11 @@ class ContextModels:
         """Code length in bits of each (non-empty) text under each language."""
         data = np.frombuffer(b"".join(PAD + t for t in texts), np.uint8)
         symbols = self.table.symbol[data]
-        at = self.table.states(symbols) * self.table.size + symbols[4:]
+        at = self.table.states(symbols) * self.table.size + symbols[len(PAD):]
         sizes = np.array([len(t) for t in texts]) + len(PAD)
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        # position t of the data is entry t-4 here; a text's bytes are entries [start, end-4)
+        # position t of the data is entry t-len(PAD) here; a text's bytes are entries [start, end-len(PAD))
         bounds = np.column_stack([starts, ends - len(PAD)]).reshape(-1)
         out = np.empty((len(texts), len(self.langs)))
         for j in range(len(self.langs)):

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from traitmatch.llm.bpe import encode_documents
 from traitmatch.llm.contamination import FIND_CONTAMINATION_SQL, find_contamination
+from traitmatch.llm.fixity import AUDIT_SQL, audit_damaged_copy
+from traitmatch.llm.jaccard import JACCARD_SQL, jaccard_components
 from traitmatch.llm.langid import predict_language
 from traitmatch.llm.quality_model import score_quality
 from traitmatch.llm.quality_rules import quality_rules
@@ -24,6 +26,10 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(table(spark, sf_dir, "documents"))
 
@@ -32,6 +38,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_damaged_copy(table(spark, sf_dir, "pages"))
+
+
 def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -53,8 +63,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_encode_decode, op3_language_id, op4_secret_scan, op6_suffix_tree_scores,
+    f.__name__: f for f in (op1_bpe_encode_decode, op2_jaccard_join, op3_language_id, op4_secret_scan, op5_merkle_fixity,
+                              op6_suffix_tree_scores,
                               op7_quality_rules, op8_quality_classifier, op9_decontamination, op10_token_counts)
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_decontamination": FIND_CONTAMINATION_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL, "op5_merkle_fixity": AUDIT_SQL, "op9_decontamination": FIND_CONTAMINATION_SQL}

@@ -1,14 +1,14 @@
 """Language-model scores: a probabilistic suffix tree, beside an exact unigram base.
 
 Both are learned from every training text.  One pass counts words and byte
-5-grams (pre-aggregated in each task); sums meet in one shuffle.
+6-grams (pre-aggregated in each task); sums meet in one shuffle.
 
 * Base: the unigram score needs each token's corpus count.  The most frequent
   words (a fixed number, ``HEAD_WORDS``) go to the tasks as a table of bounded
   size; all other tokens of a text find their counts in a shuffled join, so the
   result is exact for any vocabulary.
 * Tree: symbols are the bytes of the lower-cased words joined by single spaces
-  and closed by an end symbol.  A context of up to four bytes is kept if its share
+  and closed by an end symbol.  A context of up to ``DEPTH`` bytes is kept if its share
   of all positions is at least ``MIN_SHARE`` and its next-symbol distribution
   diverges from that of its suffix by ``MIN_DIVERGENCE`` nats or more.  At most
   1 / MIN_SHARE contexts of each length can pass, whatever the corpus size, which
@@ -27,20 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traitmatch.llm.common import byte_slices, texts_of
-from traitmatch.llm.contexts import ContextTable
+from traitmatch.llm.contexts import PAD, ContextTable
 from traitmatch.llm.langid import gram_counts, remainder
 from traitmatch.plans.lineage import cut_lineage
 
-DEPTH = 4
-MIN_SHARE = 5e-5
-MIN_DIVERGENCE = 0.005
+DEPTH = 5
+MIN_SHARE = 1e-5
+MIN_DIVERGENCE = 0.01
 WEIGHT = 2.0               # pseudo-count of the suffix's distribution
 ROOT_COUNT = 0.1           # added to every byte's count at the root
 HEAD_WORDS = 100_000
 HELD_WORDS = 300_000       # distinct words a task holds before it passes its counts on
 GRAM_BYTES = 4 << 20
 END = b"\n"                # cannot occur in a word
-PAD = b"\n" * 4
 ADD = 0.1                  # the base score's additive smoothing
 
 
@@ -50,7 +49,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def corpus_counts(training: DataFrame) -> DataFrame:
-    """``(kind, key, n)``: word counts (kind 0, the end token as ``\\n``) and byte 5-gram counts (kind 1)."""
+    """``(kind, key, n)``: word counts (kind 0, the end token as ``\\n``) and byte 6-gram counts (kind 1)."""
     schema = "kind int, key binary, n bigint"
 
     def batch_of(kind, keys, counts):
@@ -92,7 +91,7 @@ def corpus_counts(training: DataFrame) -> DataFrame:
             codes, counts = merged()
         step = 1 << 18
         for i in range(0, len(codes), step):
-            raw = np.ascontiguousarray(codes[i:i + step].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:])
+            raw = np.ascontiguousarray(codes[i:i + step].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 7 - DEPTH:])
             keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(DEPTH + 1), len(raw), [None, pa.py_buffer(raw)])
             yield batch_of(1, keys.cast(pa.binary()), counts[i:i + step])
 
@@ -100,7 +99,7 @@ def corpus_counts(training: DataFrame) -> DataFrame:
 
 
 def context_counts(grams: DataFrame) -> dict[bytes, dict[int, int]]:
-    """Next-symbol counts of every context (length 0 to 4) with a share of ``MIN_SHARE`` or more.
+    """Next-symbol counts of every context (length 0 to DEPTH) with a share of ``MIN_SHARE`` or more.
 
     At most 1 / MIN_SHARE contexts of each length, of at most 256 symbols each.
     """
@@ -149,7 +148,7 @@ class SuffixTree:
         """log10 probability of each (non-empty) symbol stream."""
         data = np.frombuffer(b"".join(PAD + s for s in streams), np.uint8)
         symbols = self.table.symbol[data]
-        logs = self.log10[self.table.states(symbols) * self.table.size + symbols[4:]]
+        logs = self.log10[self.table.states(symbols) * self.table.size + symbols[len(PAD):]]
         sizes = np.array([len(s) for s in streams]) + len(PAD)
         ends = np.cumsum(sizes)
         bounds = np.column_stack([ends - sizes, ends - len(PAD)]).reshape(-1)
