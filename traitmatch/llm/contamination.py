@@ -26,7 +26,7 @@ from traitmatch.llm.common import byte_slices, pick, texts_of
 from traitmatch.plans.lineage import cut_lineage
 
 WINDOW = 13
-SEGMENT_BYTES = 6 << 20      # text bytes per segment (a longer single text still makes one segment)
+SEGMENT_BYTES = 4 << 20      # text bytes per segment (a longer single text still makes one segment)
 BLOCK_WORDS = 250_000        # query words per broadcast block (8 bytes each)
 # Word characters: 0-9, letters, and everything beyond ASCII; A-Z become a-z, the rest blanks.
 TO_WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32
@@ -86,6 +86,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return texts_of(docs, id_col, text_col).mapInArrow(run, INDEX_SCHEMA)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time: only one segment's integers are copied out at once."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Segment:
     """One row of the index."""
 
@@ -184,7 +190,7 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, span: int | N
 
         def run(batches, shared=shared):
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in rows_of(batch):
                     yield from _hits(Segment(row), shared.value, span)
 
         parts.append(index.mapInArrow(run, HIT_SCHEMA))
@@ -234,7 +240,7 @@ def index_documents(index: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 n = np.frombuffer(row["n_words"], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["segment"]] * len(n), pa.int64()), pa.array(np.arange(len(n), dtype=np.int32)),
