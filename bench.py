@@ -56,12 +56,10 @@ def main() -> None:
 
     cold: dict[str, float] = {}
     for key in selected:
-        catalog._CONTEXTS.clear()
-        spark.catalog.clearCache()
+        catalog.release(spark)
         cold[key] = _run(spark, catalog, key, sf_dir)
 
-    catalog._CONTEXTS.clear()
-    spark.catalog.clearCache()
+    catalog.release(spark)
     warm = {key: _run(spark, catalog, key, sf_dir) for key in selected}
 
     m = re.search(r"sf([0-9.]+)", sf_dir)

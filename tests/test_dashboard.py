@@ -89,7 +89,7 @@ def test_baseline_profile_and_key_competencies(spark):
     res = result_frame(spark)
     wide = d.baseline_profile(res).collect()[0]
     assert wide.baseline_sea == "4.5" and wide.baseline_iq == "100" and wide.baseline_mbti == "INTJ"
-    assert wide.baseline_tenure is None
+    assert wide.baseline_tenure == "N/A"  # the reported default where there is no baseline
     pillars = dimension_frames(spark)["dim_competency_pillars"]
     lines = rows(d.key_competencies(res, pillars), "ordinal", "line")
     assert lines == [(1, "Social Empathy & Awareness (4.5)")]

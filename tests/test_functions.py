@@ -21,6 +21,8 @@ def test_num_to_text(spark):
     assert one(spark, num_to_text(F.lit(123456789.0))) == "123456789"
     assert one(spark, num_to_text(F.lit(7))) == "7"
     assert one(spark, num_to_text(F.lit(None).cast("double"))) is None
+    assert one(spark, num_to_text(F.lit(0.0005))) == "0.0005"            # no exponent
+    assert one(spark, num_to_text(F.lit(9007199254740993).cast("bigint"))) == "9007199254740993"  # no digit lost
 
 
 def test_to_double_never_raises(spark):

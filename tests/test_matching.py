@@ -131,3 +131,22 @@ def test_benchmark_ids_as_frame(spark):
     emp = spark.createDataFrame([], "employee_id string, directorate string, position string, grade string")
     res = m.talent_match(long, emp, ids)
     assert rows(res, "employee_id", "tv_match_rate", "is_benchmark") == [("b1", 100.0, True), ("u1", 50.0, False)]
+
+
+def test_no_benchmark_gives_an_empty_result(spark):
+    long = long_frame(spark, [("e1", COMPETENCY, "SEA", "3", "numeric")])
+    meta = spark.createDataFrame([("e1", "D", "P", "G")],
+                                 "employee_id string, directorate string, position string, grade string")
+    assert m.talent_match(long, meta, [], materialize=False).count() == 0
+    assert m.talent_match(long, meta, ["e1"], materialize=False).count() == 1
+
+
+def test_weights_shares_and_lists_are_the_fixed_values():
+    weights = dict(m.TRAIT_WEIGHTS)
+    assert len(weights) == 26
+    assert weights["SEA"] == weights["CEX_GDR"] == 0.084375 and weights["IQ"] == 0.01
+    assert weights["MBTI"] == weights["Papi_W"] == 0.00714 and weights["Strength"] == 0.05 and weights["Tenure"] == 0.035
+    assert {k: v for k, (_, v) in m.GROUP_TOTALS.items()} == {
+        "competency_raw": 0.675, "cognitive_raw": 0.05, "personality_raw": 0.05, "strengths_raw": 0.05,
+        "contextual_raw": 0.175}
+    assert m.INVERSE_TRAITS == ("Papi_S", "Papi_G", "Papi_T")

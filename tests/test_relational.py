@@ -2,16 +2,14 @@ from pyspark.sql import functions as F
 
 from traitmatch.operators import relational as rel
 from traitmatch.plans.ranking import global_rank
-from traitmatch.plans.sizing import broadcast_if_small
 from conftest import rows
 
 
 def test_global_rank_matches_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 97).cast("double").alias("score"), F.col("id").alias("k"))
     expect = [(i + 1, k) for i, (_, k) in enumerate(sorted(((-(k % 97), k) for k in range(5000))))]
-    for small_rows in (0, 100_000):  # the distributed path and the checked single-window path
-        ranked = global_rank(df, [F.col("score").desc(), F.col("k")], num_partitions=7, small_rows=small_rows)
-        assert sorted((r["rank"], r.k) for r in ranked.collect()) == expect
+    ranked = global_rank(df, [F.col("score").desc(), F.col("k")], num_partitions=7)
+    assert sorted((r["rank"], r.k) for r in ranked.collect()) == expect
 
 
 def test_modes_with_ties_and_null(spark):
@@ -45,16 +43,6 @@ def test_top1_and_arg_extreme(spark):
     assert (ext.max_g, ext.min_g) == ("x", "z")
 
 
-def test_broadcast_if_small_falls_back(spark):
-    small = broadcast_if_small(spark.range(10), max_rows=100)
-    big = broadcast_if_small(spark.range(1000), max_rows=100)
-    j_small = spark.range(5000).join(small, "id")
-    j_big = spark.range(5000).join(big, "id")
-    assert j_small.count() == 10 and j_big.count() == 1000
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in big._jdf.queryExecution().analyzed().toString()
-
-
 def test_where_helpers(spark):
     df = spark.createDataFrame([(1, "a"), (5, None), (6, "b"), (None, "c")], "r int, s string")
     assert rel.where_between(df, "r", 1, 5).count() == 2
@@ -87,18 +75,23 @@ def test_scale_settings(spark):
     assert applied == {"spark.traitmatch.test.flag": "on"}  # shuffle partitions were already set
 
 
-def test_large_id_sets_are_not_broadcast(spark):
+def test_id_frames_carry_no_broadcast_hint(spark):
     from traitmatch.operators import matching as m
     ids = spark.range(0, 50).selectExpr("concat('e', cast(id as string)) as employee_id")
-    old = m.MAX_BENCHMARK_IDS
-    try:
-        m.MAX_BENCHMARK_IDS = 10
-        frame, small = m.checked_benchmark_frame(spark, ids)
-        assert not small and frame.count() == 50
-    finally:
-        m.MAX_BENCHMARK_IDS = old
-    frame, small = m.checked_benchmark_frame(spark, ["a", "b", "a"])
-    assert small and frame.count() == 2
+    frame = m.benchmark_frame(spark, ids)
+    assert frame.count() == 50 and "strategy=broadcast" not in frame._jdf.queryExecution().analyzed().toString()
+    assert m.benchmark_frame(spark, ["a", "b", "a"]).count() == 2
+
+
+def test_mode_rows_keep_ties_and_null(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None), ("b", None), ("b", "z")], "k string, v string")
+    assert rows(rel.mode_rows(df, "k", "v")) == [("a", "x"), ("a", "y"), ("b", None)]
+
+
+def test_median_even_odd_and_repeated_values(spark):
+    data = [("odd", v) for v in (9, 1, 5)] + [("even", v) for v in (1, 2, 2, 8)] + [("half", v) for v in (3, 4)]
+    df = spark.createDataFrame(data, "k string, v int")
+    assert rows(rel.median_by(df, "k", "v")) == [("even", 2.0), ("half", 3.5), ("odd", 5.0)]
 
 
 def test_small_building_blocks(spark):

@@ -68,3 +68,31 @@ def test_register_sources_from_landing_folder(spark):
     names = files.register_sources(spark, root, {"dim_grades": "grade_id int, name string"})
     assert names == ["dim_grades"]
     assert rows(spark.sql("SELECT grade_id, name FROM dim_grades WHERE grade_id >= 2")) == [(2, "IV"), (3, "V")]
+
+
+def test_newest_landed_day_wins(spark):
+    root = tempfile.mkdtemp(prefix="tm-days-")
+    grades = dimension_frames(spark)["dim_grades"]
+    files.land_raw(grades, root, "2000-01-03", "dim_grades")
+    files.land_raw(grades.where("grade_id = 1"), root, "2000-01-04", "dim_grades")
+    files.land_raw(grades.where("grade_id < 3"), root, "2000-01-02", "other")
+    schemas = {"dim_grades": "grade_id int, name string", "other": "grade_id int, name string"}
+    files.register_sources(spark, root, schemas)
+    assert rows(spark.sql("SELECT grade_id FROM dim_grades")) == [(1,)]      # not the union of both days
+    files.register_sources(spark, root, schemas, run_date="2000-01-03")
+    assert rows(spark.sql("SELECT grade_id FROM dim_grades")) == [(1,), (2,), (3,)]
+    target = tempfile.mkdtemp(prefix="tm-all-")
+    assert rows(files.load_all(spark, root, target, schemas)) == [("dim_grades", 1), ("other", 2)]
+    assert spark.read.parquet(f"{target}/other").count() == 2
+    assert files.load_all(spark, tempfile.mkdtemp(prefix="tm-none-"), target).count() == 0
+
+
+def test_checkpoint_folder_and_scratch(spark):
+    from traitmatch import session
+
+    assert session._is_local("local[4]") and not session._is_local("local-cluster[3,2,1000]")
+    assert not session._is_local("spark://host:7077")
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    listed = session.input_listing(spark, path)
+    assert any(name.endswith(".parquet") for name, _, _ in listed)

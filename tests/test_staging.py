@@ -66,11 +66,16 @@ def test_mbti_and_disc(spark):
 
 
 def test_every_disc_word_maps(spark):
-    words = list(staging.DISC_WORD_CODES)
-    df = spark.createDataFrame([(f"e{i}", None, w) for i, w in enumerate(words)],
+    expect = {
+        "Dominant-Influencer": "DI", "Dominant-Steadiness": "DS", "Dominant-Conscientious": "DC",
+        "Influencer-Dominant": "ID", "Influencer-Steadiness": "IS", "Influencer-Conscientious": "IC",
+        "Steadiness-Dominant": "SD", "Steadiness-Influencer": "SI", "Steadiness-Conscientious": "SC",
+        "Conscientious-Dominant": "CD", "Conscientious-Influencer": "CI", "Conscientious-Steadiness": "CS",
+        "Dominance": "D", "Influence": "I", "Steadiness": "S", "Conscientiousness": "C",
+    }
+    df = spark.createDataFrame([(f"e{i}", None, w) for i, w in enumerate(expect)],
                                "employee_id string, disc string, disc_word string")
-    got = dict((r.disc_word, r.disc) for r in staging.clean_disc(df).collect())
-    assert got == staging.DISC_WORD_CODES
+    assert {r.disc_word: r.disc for r in staging.clean_disc(df).collect()} == expect
 
 
 def test_stg_employees_rules(spark):

@@ -26,3 +26,8 @@ def test_available_now_loads_new_days_and_replaces(spark):
     # nothing new: the table stays as it is
     load_landed(spark, root, "dim_grades", "grade_id int, name string", target, ckpt)
     assert rows(spark.read.parquet(target)) == [(1, "III"), (2, "IV")]
+
+    # a day that lands late is older than the loaded one: the table does not go back
+    files.land_raw(grades, root, "1999-12-31", "dim_grades")
+    load_landed(spark, root, "dim_grades", "grade_id int, name string", target, ckpt)
+    assert rows(spark.read.parquet(target)) == [(1, "III"), (2, "IV")]

@@ -39,13 +39,21 @@ def clamp(c: ColumnOrName, lo: float = 0.0, hi: float = 100.0) -> Column:
 
 
 def num_to_text(c: ColumnOrName) -> Column:
-    """Render a number as text: whole values without a fraction (``3``), the
-    rest with the plain double text (``3.5``)."""
-    d = _c(c).cast("double")
+    """Render a number as text: integer types as they are (no digit lost),
+    whole doubles without a fraction (``3``), the rest with the plain double text
+    (``3.5``); small and large doubles without an exponent (``0.0005``)."""
+    x = _c(c)
+    d = x.cast("double")
     whole = (d == F.floor(d)) & (F.abs(d) < F.lit(1e15))
+    text = d.cast("string")
+    # decimal(38,18) holds every ordinary double printed with an exponent; beyond it the text stays as it is
+    plain = F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    ordinary = text.contains("E") & (F.abs(d) >= F.lit(1e-15)) & (F.abs(d) < F.lit(1e19))
     return (F.when(d.isNull(), F.lit(None).cast("string"))
+             .when(F.typeof(x).isin("tinyint", "smallint", "int", "bigint"), x.cast("string"))
              .when(whole, F.floor(d).cast("bigint").cast("string"))
-             .otherwise(d.cast("string")))
+             .when(ordinary, plain)
+             .otherwise(text))
 
 
 def round_numeric(c: ColumnOrName, scale: int = 2) -> Column:

@@ -5,16 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitmatch.functions import code_prefix, display_label, to_double
 from traitmatch.operators.relational import (
-    arg_extreme, histogram, long_to_wide, pick_first, reindex, sorted_options, where_optional,
+    arg_extreme, histogram, long_to_wide, pick_first, reindex, row_count, sorted_options, where_optional,
 )
 from traitmatch.operators.traits import SCORED_TRAITS, TRAIT_GROUPS
 from traitmatch.plans.ranking import global_rank
-from traitmatch.plans.sizing import bounded, broadcast_if_small
+from traitmatch.plans.sizing import bounded
 from traitmatch.sources.files import constants
 from traitmatch.sources.fixtures import CURRENT_YEAR
 
@@ -30,14 +30,15 @@ DEFAULT_COMPETENCY_LINE = "Standard Competencies based on Benchmark Median"
 
 def employee_directory(stg_emp: DataFrame, perf: DataFrame, year: int = CURRENT_YEAR) -> DataFrame:
     """Id, name, role, grade, that year's rating (0 when missing) and a
-    ``name (id)`` display label; missing role/grade -> ``Unknown``."""
+    ``name (id)`` display label; missing role/grade -> ``Unknown``; sorted by name."""
     py = perf.where(F.col("year") == year).select("employee_id", F.col("rating").alias("_rating"))
     return (stg_emp.join(py, "employee_id", "left")
             .select("employee_id", "fullname",
                     F.coalesce(F.col("position"), F.lit(UNKNOWN)).alias("role"),
                     F.coalesce(F.col("grade"), F.lit(UNKNOWN)).alias("grade"),
                     F.coalesce(F.col("_rating"), F.lit(0)).cast("double").alias("rating"),
-                    display_label("fullname", "employee_id").alias("display")))
+                    display_label("fullname", "employee_id").alias("display"))
+            .orderBy(F.col("fullname").asc_nulls_first(), "employee_id"))
 
 
 def filter_directory(directory: DataFrame, role: str = ALL, grade: str = ALL,
@@ -55,11 +56,13 @@ def filter_options(directory: DataFrame, role: str = ALL, grade: str = ALL) -> D
     descending (as text, e.g. ``3.0``)."""
     step1 = where_optional(directory, {"role": role})
     step2 = where_optional(step1, {"grade": grade})
-    roles = sorted_options(directory, "role").select(F.lit("role").alias("kind"), "value", "ordinal")
-    grades = sorted_options(step1, "grade").select(F.lit("grade").alias("kind"), "value", "ordinal")
-    ratings = (sorted_options(step2, "rating", desc=True, where=F.col("value") > 0)
-               .select(F.lit("rating").alias("kind"), F.col("value").cast("string").alias("value"), "ordinal"))
-    return roles.unionByName(grades).unionByName(ratings)
+    none = F.lit(None).cast("double")
+    roles = directory.select(F.lit("role").alias("kind"), F.col("role").alias("value"), none.alias("_number"))
+    grades = step1.select(F.lit("grade").alias("kind"), F.col("grade").alias("value"), none.alias("_number"))
+    ratings = step2.where(F.col("rating") > 0).select(
+        F.lit("rating").alias("kind"), F.col("rating").cast("string").alias("value"), F.col("rating").alias("_number"))
+    return sorted_options(roles.unionByName(grades).unionByName(ratings), "kind", "value",
+                          [F.col("_number").desc(), F.col("value")])
 
 
 def default_benchmarks(directory: DataFrame, defaults: DataFrame, n: int = 3) -> DataFrame:
@@ -73,30 +76,48 @@ def default_benchmarks(directory: DataFrame, defaults: DataFrame, n: int = 3) ->
 def top_group(result: DataFrame) -> DataFrame:
     """Per employee the trait group with the highest group rate (ties:
     group name; a NULL rate only wins when all are NULL)."""
-    rates = result.select("employee_id", "tgv_name", "tgv_match_rate").distinct()
+    return result.groupBy("employee_id").agg(_best_group().alias("top_tgv"))
+
+
+def _best_group() -> Column:
     rate = F.col("tgv_match_rate")
-    best = F.min_by("tgv_name", F.struct(rate.isNull().alias("n"), (-rate).alias("v"),
-                                         F.col("tgv_name").alias("l")))
-    return rates.groupBy("employee_id").agg(best.alias("top_tgv"))
+    return F.min_by("tgv_name", F.struct(rate.isNull().alias("n"), (-rate).alias("v"), F.col("tgv_name").alias("l")))
+
+
+def candidates(result: DataFrame, directory: DataFrame) -> DataFrame:
+    """The rows of D31 without their rank: one aggregation by employee gives rate,
+    flag and best group, and meets the directory on the same key."""
+    per_emp = result.groupBy("employee_id").agg(
+        F.max("directorate").alias("directorate"), F.max("final_match_rate").alias("final_match_rate"),
+        F.max("is_benchmark").alias("is_benchmark"), F.coalesce(_best_group(), F.lit(NO_GROUP)).alias("top_tgv"))
+    named = directory.select("employee_id", "fullname", "role", "grade").where(F.col("fullname").isNotNull())
+    return (per_emp.where(F.col("is_benchmark").eqNullSafe(F.lit(False))).join(named, "employee_id")
+            .select("employee_id", "fullname", "role", "grade", "directorate", "top_tgv", "final_match_rate"))
+
+
+def candidate_order() -> list[Column]:
+    return [F.col("final_match_rate").desc_nulls_last(), F.col("employee_id").asc()]
 
 
 def ranked_candidates(result: DataFrame, directory: DataFrame) -> DataFrame:
     """One row per named, non-benchmark employee, ranked by final rate
     (ties by id), with the best trait group (``N/A`` if none)."""
-    per_emp = result.select("employee_id", "directorate", "final_match_rate", "is_benchmark").distinct()
-    named = (per_emp.join(directory.select("employee_id", "fullname", "role", "grade"), "employee_id", "left")
-             .dropna(subset=["fullname"]))
-    with_top = (named.join(top_group(result), "employee_id", "left")
-                .withColumn("top_tgv", F.coalesce(F.col("top_tgv"), F.lit(NO_GROUP))))
-    candidates = with_top.where(F.col("is_benchmark").eqNullSafe(F.lit(False)))
-    ranked = global_rank(candidates, [F.col("final_match_rate").desc_nulls_last(), F.col("employee_id").asc()])
-    return ranked.select("rank", "employee_id", "fullname", "role", "grade", "directorate", "top_tgv",
-                         "final_match_rate")
-
-
-def rate_histogram(ranked: DataFrame, bins: int = 20) -> DataFrame:
+    return global_rank(candidates(result, directory), candidate_order())
+
+
+def best_candidate(result: DataFrame, directory: DataFrame) -> DataFrame:
+    """The id ranked first (a top-1, without ranking the rest)."""
+    return candidates(result, directory).orderBy(*candidate_order()).limit(1).select("employee_id")
+
+
+def candidate_count(result: DataFrame, directory: DataFrame) -> DataFrame:
+    """The number of candidates, one row."""
+    return row_count(candidates(result, directory), "n_candidates")
+
+
+def rate_histogram(candidates: DataFrame, bins: int = 20) -> DataFrame:
     """Candidate count per equal-width bin of the final rate on 0..100."""
-    return histogram(ranked, "final_match_rate", 0.0, 100.0, bins)
+    return histogram(candidates, "final_match_rate", 0.0, 100.0, bins)
 
 
 def _distinct_group_avg(rows: DataFrame, out: str) -> DataFrame:
@@ -112,10 +133,10 @@ def group_averages(result: DataFrame) -> DataFrame:
 
 
 def _id_frame(result: DataFrame, ids: str | DataFrame) -> DataFrame:
-    """One or a few ids as a frame to semi-join with: a literal row, or a
-    given frame broadcast after a size check."""
+    """One or a few ids as a frame to semi-join with: a literal row, or the
+    distinct ids of a given frame."""
     if isinstance(ids, DataFrame):
-        return broadcast_if_small(ids.select("employee_id").distinct())
+        return ids.select("employee_id").distinct()
     return bounded(constants(result.sparkSession, [(ids,)], "employee_id string"))
 
 
@@ -141,9 +162,10 @@ def strongest_and_gap(comparison: DataFrame) -> DataFrame:
 
 def baseline_profile(result: DataFrame, traits: Sequence[str] = SCORED_TRAITS) -> DataFrame:
     """The distinct (trait, baseline) pairs as one wide row with a
-    ``baseline_<trait>`` column per scored trait."""
+    ``baseline_<trait>`` column per scored trait; ``N/A`` where there is none."""
     pairs = result.select("tv_name", "baseline_score").distinct()
-    return long_to_wide(pairs, "tv_name", "baseline_score", traits, name_fn=lambda t: f"baseline_{t.lower()}")
+    wide = long_to_wide(pairs, "tv_name", "baseline_score", traits, name_fn=lambda t: f"baseline_{t.lower()}")
+    return wide.select(*[F.coalesce(c, F.lit(NO_GROUP)).alias(c) for c in wide.columns])
 
 
 def key_competencies(result: DataFrame, pillars: DataFrame, minimum: float = KEY_COMPETENCY_MIN) -> DataFrame:

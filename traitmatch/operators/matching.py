@@ -11,12 +11,12 @@ from traitmatch.functions import (
     array_member, array_overlap_count, array_to_json, clamp, join_items, json_to_array, norm, null_if_zero, num_to_text,
     round_numeric, to_double,
 )
-from traitmatch.operators.relational import flag_members
+from traitmatch.operators.relational import flag_members, median_of_counts
 from traitmatch.operators.traits import (
     COGNITIVE, COMPETENCY, CONTEXTUAL, PERSONALITY, STRENGTH_TRAIT, STRENGTHS, select_traits,
 )
-from traitmatch.plans.lineage import cut_lineage, reuse
-from traitmatch.plans.sizing import bounded, checked_broadcast
+from traitmatch.plans.lineage import cut_lineage
+from traitmatch.plans.sizing import bounded
 from traitmatch.sources.files import constants
 
 # --- fixed values ----------------------------------------------------------------------
@@ -42,35 +42,21 @@ LIST_DISPLAY_TRAITS = ("DISC", "Education", "Major", "Position", "Area", "MBTI")
 STRENGTH_SLOTS = 5.0
 # -------------------------------------------------------------------------------------------
 
-# Benchmark id sets are chosen by hand (at most a few); a frame larger than
-# this is not broadcast.
-MAX_BENCHMARK_IDS = 100_000
-
 RESULT_COLUMNS = ["employee_id", "directorate", "role", "grade", "tgv_name", "tv_name",
                   "baseline_score", "user_score", "tv_match_rate", "tgv_match_rate",
                   "final_match_rate", "is_benchmark"]
 
 
-def checked_benchmark_frame(spark: SparkSession, ids: Sequence[str] | DataFrame) -> tuple[DataFrame, bool]:
-    """Benchmark ids as a one-column frame, and whether it may be broadcast.
-
-    A Python list becomes literal rows (size known).  A DataFrame is computed
-    once (cached) and counted; it is broadcast only if it has at most
-    ``MAX_BENCHMARK_IDS`` rows, otherwise every join with it is a shuffled
-    join.
-    """
-    if isinstance(ids, DataFrame):
-        return checked_broadcast(ids.select("employee_id").distinct(), MAX_BENCHMARK_IDS)
-    return bounded(constants(spark, [(str(i),) for i in dict.fromkeys(ids)], "employee_id string")), True
-
-
 def benchmark_frame(spark: SparkSession, ids: Sequence[str] | DataFrame) -> DataFrame:
-    """Benchmark ids as a one-column frame (broadcast when checked small)."""
-    return checked_benchmark_frame(spark, ids)[0]
+    """Benchmark ids as a one-column frame: literal rows for a list (size known to
+    the optimizer), the distinct ids of a given frame otherwise (lazy, no hint)."""
+    if isinstance(ids, DataFrame):
+        return ids.select("employee_id").distinct()
+    return constants(spark, [(str(i),) for i in dict.fromkeys(ids)], "employee_id string")
 
 
 def benchmark_rows(long: DataFrame, ids: DataFrame) -> DataFrame:
-    """Scored-trait rows of the benchmark employees (broadcast semi join)."""
+    """Scored-trait rows of the benchmark employees (semi join)."""
     return select_traits(long).join(ids, "employee_id", "left_semi")
 
 
@@ -78,26 +64,26 @@ def benchmark_profile_from_rows(bench: DataFrame) -> DataFrame:
     """Per trait present in the benchmark rows, its type and the
     three targets (JSON / text).  At most one row per scored trait (26).
 
-    The benchmark rows are first counted per (trait, value) -- one scan of
-    the long table, cached because three small branches read it:
+    The benchmark rows are first counted per (trait, value); the three small
+    branches share that aggregate's shuffle:
 
-    * numeric: exact median via ``percentile`` with the counts as frequency;
+    * numeric: exact median over the counts;
     * categorical: every value with the top count (ties kept, NULL kept);
     * strength: the distinct union of all themes, made distinct per theme
       before it is gathered, so its size is bounded by the theme vocabulary.
     """
-    freq = reuse(bench.groupBy("tv_name", "tv_type", "user_score").agg(F.count(F.lit(1)).alias("freq")))
-    numeric = F.col("tv_type") == "numeric"
-    base = freq.groupBy("tv_name").agg(
-        F.max("tv_type").alias("_type"),
-        num_to_text(F.percentile(F.when(numeric, to_double("user_score")), F.lit(0.5), F.col("freq")))
-        .alias("numeric_target"))
+    freq = bench.groupBy("tv_name", "tv_type", "user_score").agg(F.count(F.lit(1)).alias("freq"))
+    base = freq.groupBy("tv_name").agg(F.max("tv_type").alias("_type"))
+    numbers = (freq.where(F.col("tv_type") == "numeric").select("tv_name", to_double("user_score").alias("_v"), "freq")
+               .where(F.col("_v").isNotNull()).groupBy("tv_name", "_v").agg(F.sum("freq").alias("_n")))
+    middle = (median_of_counts(numbers, ["tv_name"], "_v", "_n")
+              .select("tv_name", num_to_text("median").alias("numeric_target")))
     cat = _categorical_modes(freq)
     items = (freq.where(F.col("tv_name") == STRENGTH_TRAIT)
              .select("tv_name", F.explode(json_to_array("user_score")).alias("item"))
              .where(F.col("item").isNotNull()).distinct()
              .groupBy("tv_name").agg(array_to_json(F.sort_array(F.collect_list("item"))).alias("strength_target")))
-    return (base.join(bounded(cat), "tv_name", "left").join(bounded(items), "tv_name", "left")
+    return (base.join(middle, "tv_name", "left").join(cat, "tv_name", "left").join(items, "tv_name", "left")
             .select("tv_name", F.col("_type").alias("tv_type"), "strength_target", "numeric_target",
                     "categorical_target"))
 
@@ -106,7 +92,7 @@ def _categorical_modes(freq: DataFrame) -> DataFrame:
     """Per categorical trait: the JSON list of values with the top count."""
     cat = freq.where(F.col("tv_type") == "categorical")
     top = cat.groupBy("tv_name").agg(F.max("freq").alias("_top"))
-    winners = cat.join(bounded(top), "tv_name").where(F.col("freq") == F.col("_top"))
+    winners = cat.join(top, "tv_name").where(F.col("freq") == F.col("_top"))
     non_null = F.sort_array(F.collect_list("user_score"))
     has_null = F.max(F.col("user_score").isNull().cast("int")) == 1
     listed = F.when(has_null, F.concat(non_null, F.array(F.lit(None).cast("string")))).otherwise(non_null)
@@ -191,11 +177,13 @@ def _by_branch(strength: str, numeric: str, other: str) -> Column:
 def match_scores(long: DataFrame, profile: DataFrame, with_display: bool = False) -> DataFrame:
     """Score every scored-trait row against the profile (0..100 or NULL).
 
-    The profile has at most 26 rows and is broadcast; scoring is map-only.
+    One target row per scored trait is kept (26 at most), which bounds what is
+    broadcast whatever frame is given as the profile; scoring is map-only.
     ``with_display`` adds ``baseline_display``, the target as the result
     shows it (taken from the per-trait rendering, not parsed per row).
     """
-    joined = select_traits(long).join(bounded(scoring_targets(profile)), "tv_name", "left")
+    targets = select_traits(profile).dropDuplicates(["tv_name"])
+    joined = select_traits(long).join(bounded(scoring_targets(targets)), "tv_name", "left")
     cols = ["employee_id", "tgv_name", "tv_name", "tv_type", "user_score",
             _by_branch("strength_target", "numeric_target", "categorical_target").alias("target_val_display"),
             match_score_expr().alias("match_score")]
@@ -210,8 +198,8 @@ def weights_frame(spark: SparkSession, weights: Sequence[tuple[str, float]] = TR
 
 def weighted_scores(scores: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """``match_score * weight``; traits without a weight drop out."""
-    w = weights if weights is not None else weights_frame(scores.sparkSession)
-    return (scores.join(bounded(w), "tv_name")
+    w = weights if weights is not None else bounded(weights_frame(scores.sparkSession))
+    return (scores.join(w, "tv_name")
             .withColumn("weighted_score", F.col("match_score") * F.col("weight")))
 
 
@@ -238,9 +226,10 @@ def group_ratio_expr() -> Column:
 def group_ratios(weighted: DataFrame, agg: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Each row with its employee's final rate and its group's ratio.
 
-    The aggregate is already hash-partitioned by ``employee_id``; the join
-    only shuffles the row side, and a hot employee is split by AQE's skew
-    join.  ``keep`` passes extra row columns through.
+    Pass a stored ``agg`` (see :func:`employee_rates`) where one employee may
+    hold many rows: a join with a stored table is one that AQE can split, while a
+    join directly above the aggregation shares its shuffle and is not split.
+    ``keep`` passes extra columns through.
     """
     return (weighted.join(agg, "employee_id", "left")
             .select("employee_id", "tgv_name", "tv_name", "user_score",
@@ -253,28 +242,40 @@ def result_order() -> list[Column]:
             F.col("employee_id").asc_nulls_first(), F.col("tgv_name").asc_nulls_first()]
 
 
+def employee_rates(weighted: DataFrame, stg_emp: DataFrame) -> DataFrame:
+    """Per employee: final rate, raw group sums, and the metadata the result shows."""
+    meta = stg_emp.select("employee_id", "directorate", F.col("position").alias("role"), "grade")
+    return aggregate_scores(weighted).join(meta, "employee_id", "left")
+
+
 def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame,
-                 sort: bool = True, materialize: bool = True) -> DataFrame:
+                 sort: bool = True, materialize: bool = True, rates: DataFrame | None = None) -> DataFrame:
     """D24 (flagship): score every employee against the benchmark profile.
 
     One row per employee x scored trait with metadata, display strings,
-    rounded rates and the ``is_benchmark`` flag.
-
-    The long table is read three times (benchmark profile, per-employee
-    aggregate, row side of the back-join).  With ``materialize=True`` it is
-    checkpointed once to the shared checkpoint folder so the staging plan
-    behind it runs once; pass ``False`` when ``long`` already is a stored
-    table.
+    rounded rates and the ``is_benchmark`` flag.  Without any benchmark id the
+    result is empty.
+
+    The scored rows meet one per-employee table (rates and metadata) in one join.
+    With ``materialize=True`` the long table and the per-employee table are
+    written once to the shared checkpoint folder: the staging plan behind them
+    runs once, and AQE can split a hot employee in the join.  Pass ``False`` when
+    ``long`` is a stored table already (and ``rates`` when those are stored too);
+    then building the frame starts no job.
     """
     spark = long.sparkSession
     if materialize:
         long = cut_lineage(select_traits(long), "long_traits")
-    idf, small = checked_benchmark_frame(spark, ids)
+    idf = benchmark_frame(spark, ids)
     profile = benchmark_profile(long, idf)
     weighted = weighted_scores(match_scores(long, profile, with_display=True))
-    detailed = group_ratios(weighted, aggregate_scores(weighted), keep=["baseline_display"])
-    meta = stg_emp.select("employee_id", "directorate", F.col("position").alias("role"), "grade")
-    joined = flag_members(detailed.join(meta, "employee_id", "left"), "employee_id", idf, small=small)
+    if rates is None:
+        rates = employee_rates(weighted, stg_emp)
+        if materialize:
+            rates = cut_lineage(rates, "employee_rates")
+    detailed = group_ratios(weighted, rates, keep=["baseline_display", "directorate", "role", "grade"])
+    any_id = idf.groupBy().agg((F.count("employee_id") > 0).alias("some"))
+    joined = flag_members(detailed, "employee_id", idf).where(any_id.scalar())
     out = joined.select(
         "employee_id", "directorate", "role", "grade", "tgv_name", "tv_name",
         F.col("baseline_display").alias("baseline_score"),
@@ -289,9 +290,10 @@ def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataF
 
 
 def talent_match_candidates(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame,
-                            sort: bool = True, materialize: bool = True) -> DataFrame:
+                            sort: bool = True, materialize: bool = True,
+                            rates: DataFrame | None = None) -> DataFrame:
     """The match result without the benchmark employees, best first."""
-    out = talent_match(long, stg_emp, ids, sort=False, materialize=materialize) \
+    out = talent_match(long, stg_emp, ids, sort=False, materialize=materialize, rates=rates) \
         .where(F.col("is_benchmark").eqNullSafe(F.lit(False)))
     return out.orderBy(F.col("final_match_rate").desc_nulls_last(), F.col("employee_id"),
                        F.col("tgv_name")) if sort else out

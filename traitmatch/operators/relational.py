@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitmatch.plans.ranking import global_rank
-from traitmatch.plans.sizing import bounded, broadcast_if_small
+from traitmatch.plans.sizing import bounded
 from traitmatch.sources.files import constants
 
 ColumnOrName = Column | str
@@ -48,15 +48,13 @@ def where_not_null(df: DataFrame, *cols: str) -> DataFrame:
     return df.where(cond)
 
 
-def flag_members(df: DataFrame, key: str, ids: DataFrame, out: str = "is_benchmark",
-                 small: bool = True) -> DataFrame:
+def flag_members(df: DataFrame, key: str, ids: DataFrame, out: str = "is_benchmark") -> DataFrame:
     """``key IN UNNEST(ids)`` as a boolean column (never NULL).
 
-    With ``small`` (the ids are a known-small set, e.g. a handful of chosen
-    benchmarks) the id set is broadcast; otherwise it joins by shuffle.
+    The optimizer broadcasts the id set when its bytes allow it.
     """
     marks = ids.select(F.col(key)).distinct().select(key, F.lit(True).alias(out))
-    return (df.join(bounded(marks) if small else marks, key, "left")
+    return (df.join(marks, key, "left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(False))))
 
 
@@ -113,8 +111,9 @@ def inner_join(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> D
 
 def with_group_value(df: DataFrame, agg: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Each row joined to its own group's aggregate (left join on the
-    group key).  The aggregate is hash-partitioned by the key already, so only
-    the row side shuffles; AQE splits a hot key on the row side."""
+    group key).  Store the aggregate first where a key may be hot: a join of the
+    rows with a stored table is one that AQE can split, while a join right above
+    the aggregation shares its shuffle and is not split."""
     return df.join(agg, key, "left")
 
 
@@ -149,66 +148,83 @@ def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
 
 def median_by(df: DataFrame, keys: str | Sequence[str], value: ColumnOrName, out: str = "median",
               approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Exact median (linear interpolation, NULLs ignored) per group.
+    """Exact median (mean of the two middle values, NULLs ignored) per group.
 
-    A grouped aggregate with a map-side partial step, so a hot key is
-    pre-aggregated before the shuffle.  The exact buffer is a value->count
-    map (small for scores); ``approx=True`` switches to ``percentile_approx``
-    for unbounded value domains.
+    Rows are first counted per (key, value), which pre-aggregates a hot key in
+    each map task; see :func:`median_of_counts`.  Groups without a value have no
+    row.  ``approx=True`` uses ``percentile_approx`` (a bounded sketch).
     """
     v = _c(value).cast("double")
-    agg = F.percentile_approx(v, 0.5, accuracy) if approx else F.median(v)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(agg.cast("double").alias(out))
+    valued = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+    if approx:
+        return valued.groupBy(*keys).agg(F.percentile_approx("_v", 0.5, accuracy).cast("double").alias(out))
+    return median_of_counts(valued.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), keys, "_v", "_n", out)
+
 
+def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str, out: str = "median") -> DataFrame:
+    """Exact median per key of values that occur ``n`` times each (one row per key and value).
+
+    A running count over the sorted distinct values finds the two middle ones.
+    The window streams over one row per distinct value and spills to disk: no
+    task holds a map of all values of a key.
+    """
+    per_key = Window.partitionBy(*keys)
+    upto = per_key.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.select(*keys, F.col(value).alias("_v"), F.col(n).alias("_n"),
+                           F.sum(n).over(upto).alias("_upto"), F.sum(n).over(per_key).alias("_all"))
+    covers = lambda pos: (F.col("_upto") > pos) & (F.col("_upto") - F.col("_n") <= pos)
+    low, high = covers(F.expr("(_all - 1) div 2")), covers(F.expr("_all div 2"))
+    return (placed.where(low | high).groupBy(*keys)
+            .agg((F.max(F.when(low, F.col("_v"))) * 0.5 + F.max(F.when(high, F.col("_v"))) * 0.5).alias(out)))
 
-def median_over(value: ColumnOrName, *keys: str, weight: ColumnOrName | None = None) -> Column:
+
+def median_over(value: ColumnOrName, *keys: str) -> Column:
     """Median over a whole partition, as a window column.
 
-    With ``weight`` (an integral count column) each row stands for that many
-    copies of its value.  Over raw rows a window funnels each key into one
-    task, so at scale apply it to pre-aggregated ``(key, value, count)`` rows
-    (see :func:`median_over_counts`); the grouped form (:func:`median_by`) is
-    the production path.
+    A window over raw rows takes each key in one task; :func:`median_over_counts`
+    is the form for large inputs.
     """
-    v = _c(value).cast("double")
-    agg = F.median(v) if weight is None else F.percentile(v, F.lit(0.5), _c(weight))
-    return agg.over(Window.partitionBy(*keys))
+    return F.median(_c(value).cast("double")).over(Window.partitionBy(*keys))
 
 
 def median_over_counts(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
     """W1 at scale: ``PERCENTILE_CONT(value, 0.5) OVER (PARTITION BY key)`` +
-    ``DISTINCT``, computed as a weighted window over per-(key, value) counts,
-    so the window only sees one row per distinct value."""
-    counts = (df.where(F.col(value).isNotNull()).groupBy(key, value)
-              .agg(F.count(F.lit(1)).alias("_n")))
-    return counts.select(key, median_over(value, key, weight="_n").alias(out)).distinct()
+    ``DISTINCT``: one row per key that has a value."""
+    return median_by(df, key, value, out)
 
 
 def mode_value(df: DataFrame, col: str, approx: bool = False) -> Column:
     """A10: the most frequent non-NULL value as a scalar-subquery column.
 
-    Ties resolve to the smallest value.  The mode is computed once with a
-    partial aggregate; attaching it to rows needs no join.
+    Ties resolve to the smallest value.  Values are counted by a distributed
+    aggregate; the winner is a plain minimum over (value, count) rows, so no task
+    holds a map of all values.  Attaching it to rows needs no join.
     """
     values = df.where(F.col(col).isNotNull())
     if approx:
         one = values.select(F.expr(f"approx_top_k(`{col}`, 1)")[0]["item"].alias("v"))
     else:
-        one = values.select(F.mode(col, deterministic=True).alias("v"))
+        counts = values.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        one = counts.select(F.min_by("_v", F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("v"))
     return one.scalar()
 
 
+def mode_rows(df: DataFrame, key: str, col: str) -> DataFrame:
+    """A11 as rows: ``(key, col)`` for every value whose count equals its key's maximum (NULL counts as a value)."""
+    counts = df.groupBy(key, col).agg(F.count(F.lit(1)).alias("_freq"))
+    top = counts.groupBy(key).agg(F.max("_freq").alias("_top"))
+    return counts.join(top, key).where(F.col("_freq") == F.col("_top")).select(key, col)
+
+
 def modes_with_ties(df: DataFrame, key: str, col: str, out: str = "modes") -> DataFrame:
     """Per key, every value whose count equals the maximum, as a sorted
     array; a winning NULL is kept as a trailing NULL item.
 
-    Counts and per-key maxima are partial aggregates; only the winning values
-    are gathered per key (a join on the maxima drops the rest first).
+    The array form is for few winners per key; :func:`mode_rows` gives them as
+    rows, without gathering any key in one row.
     """
-    counts = df.groupBy(key, col).agg(F.count(F.lit(1)).alias("_freq"))
-    top = counts.groupBy(key).agg(F.max("_freq").alias("_top"))
-    winners = counts.join(top, key).where(F.col("_freq") == F.col("_top"))
+    winners = mode_rows(df, key, col)
     non_null = F.sort_array(F.collect_list(col))
     has_null = F.max(F.col(col).isNull().cast("int")) == 1
     return winners.groupBy(key).agg(
@@ -315,23 +331,16 @@ def sort_result(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 def pick_first(df: DataFrame, key: str, wanted: DataFrame, order: Sequence[Column], n: int = 3) -> DataFrame:
     """O3: rows whose ``key`` is among ``wanted``, first ``n`` in ``order``
-    (a top-n: each partition keeps its best ``n`` before the merge).
+    (a top-n: each partition keeps its best ``n`` before the merge)."""
+    return df.join(wanted.select(key).distinct(), key, "left_semi").orderBy(*order).limit(n)
 
-    ``wanted`` is broadcast after a size check.
-    """
-    ids = broadcast_if_small(wanted.select(key).distinct())
-    return df.join(ids, key, "left_semi").orderBy(*order).limit(n)
-
-
-def sorted_options(df: DataFrame, col: str, desc: bool = False, where: Column | None = None,
-                   out: str = "value") -> DataFrame:
-    """Distinct values with their position in sorted order."""
-    vals = df.select(F.col(col).alias(out))
-    if where is not None:
-        vals = vals.where(where)
-    vals = vals.where(F.col(out).isNotNull()).distinct()
-    order = F.col(out).desc() if desc else F.col(out).asc()
-    return global_rank(vals, [order], out="ordinal")
+
+def sorted_options(df: DataFrame, kind: str, value: str, order: Sequence[Column]) -> DataFrame:
+    """Distinct ``(kind, value)`` choices with their position in sorted order
+    inside their kind: one window over the distinct values, no global sort."""
+    vals = df.where(F.col(value).isNotNull()).distinct()
+    return vals.select(kind, value, F.row_number().over(Window.partitionBy(kind).orderBy(*order))
+                       .cast("bigint").alias("ordinal"))
 
 
 # --- set operations and reshaping ------------------------------------------------------------

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from traitmatch.functions import map_value
 from traitmatch.operators.relational import median_by, mode_value, star_join, top_n_by
-from traitmatch.plans.sizing import broadcast_if_small
 from traitmatch.sources.fixtures import CURRENT_YEAR
 
 # --- fixed values ------------------------------------------------------------------
@@ -45,16 +44,15 @@ def impute_group_median(df: DataFrame, key: str, value: str, invalid: Sequence[i
     """Sentinel values -> NULL, then NULL -> median of the valid values of
     the same ``key``; NULL stays when the group has no valid value.
 
-    The medians are a grouped aggregate (partial aggregation before the
-    shuffle, so a hot key costs one row per map task) and are broadcast back
-    only after a row-count check.
+    The medians start from counts per (key, value), so a hot key is
+    pre-aggregated before the shuffle; how they join back is the optimizer's choice.
     """
     v = F.col(value)
     is_invalid = v.isin(list(invalid)) if invalid else F.lit(False)
     valid = df.where(v.isNotNull() & ~is_invalid)
     if median_where is not None:
         valid = valid.where(median_where)
-    medians = broadcast_if_small(median_by(valid, key, value, out="_median", approx=approx))
+    medians = median_by(valid, key, value, out="_median", approx=approx)
     cleaned = F.when(~is_invalid, v.cast("double"))
     return (df.join(medians, key, "left")
             .select(*df.columns, F.coalesce(cleaned, F.col("_median")).alias(out)))
@@ -116,9 +114,12 @@ def cognitive_medians(employees: DataFrame, psych: DataFrame, perf: DataFrame,
     py = _rated(perf, year).select("employee_id")
     rows = (e.join(p, "employee_id").join(py, "employee_id")
             .where(F.col("iq").isNotNull() | F.col("gtq").isNotNull()))
-    return rows.groupBy("department_id").agg(
-        F.median(F.col("iq").cast("double")).alias("median_iq"),
-        F.median(F.col("gtq").cast("double")).alias("median_gtq"))
+    # one (department, test, value) row per score, so both medians share one pass
+    tests = rows.select("department_id", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("test"), F.col(t).cast("double").alias("value")) for t in ("iq", "gtq")])))
+    medians = median_by(tests, ["department_id", "test"], "value")
+    return medians.groupBy("department_id").agg(*[
+        F.max(F.when(F.col("test") == t, F.col("median"))).alias(f"median_{t}") for t in ("iq", "gtq")])
 
 
 def clean_mbti_value(c: Column) -> Column:
@@ -167,7 +168,7 @@ def stg_employees(employees: DataFrame, psych: DataFrame, perf: DataFrame,
         ("area_id", dims["dim_areas"], "area_id", "area"),
         ("directorate_id", dims["dim_directorates"], "directorate_id", "directorate"),
     ])
-    cog = broadcast_if_small(cognitive_medians(employees, psych, perf, year, exclude_dept))
+    cog = cognitive_medians(employees, psych, perf, year, exclude_dept)
     mode = mbti_mode(psych)
     p = psych.select("employee_id", "iq", "gtq", "disc", "disc_word", "pauli", "tiki", "faxtor")
     mc = clean_mbti(psych)

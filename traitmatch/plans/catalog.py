@@ -1,7 +1,9 @@
 """Registered query keys: one Spark builder per inventory line.
 
-Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole derived tables.  The matching SQL for the DuckDB oracle lives in
+Each builder takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+derived tables.  The operators build lazily; the catalog stores shared tables
+(derived sources, staging, match result) under the checkpoint folder on first use,
+so those builders start write jobs.  The matching SQL for the DuckDB oracle lives in
 :mod:`traitmatch.plans.oracle` under the same key and column names.
 """
 
@@ -14,15 +16,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitmatch.functions import (array_member, array_overlap_count, join_items, json_to_array, norm,
-                                  round_numeric)
+from traitmatch.functions import (array_member, array_overlap_count, first_item, join_items, json_to_array, norm,
+                                  round_numeric, run_date_text)
 from traitmatch.operators import checks, dashboard, matching, relational as rel, staging, traits
 from traitmatch.sources import files
 from traitmatch.sources.fixtures import (CURRENT_YEAR, FACT_TABLES, TalentTables, benchmark_ids,
                                         load_talent_tables, order_line_rollup, read_driver_tables)
 from traitmatch.plans.lineage import cut_lineage
 from traitmatch.plans.sizing import bounded
-from traitmatch.session import scratch_path
+from traitmatch.session import drop_scratch, input_listing, scratch_path
 
 LANDING_DATE = "2000-01-01"
 DIRECTORY_FILTER = {"role": "HRBP", "grade": "IV", "rating": "3.0"}
@@ -84,8 +86,8 @@ class Context:
 
     @cached_property
     def ids(self) -> DataFrame:
-        # Materialised once (checked small) so every use sees the same ids.
-        return matching.benchmark_frame(self.spark, benchmark_ids(self.t))
+        # stored once (a top-n of three rows), so every use sees the same ids
+        return cut_lineage(matching.benchmark_frame(self.spark, benchmark_ids(self.t)), "benchmark_ids")
 
     @cached_property
     def stg_comp(self):
@@ -128,16 +130,23 @@ class Context:
 
     @cached_property
     def profile(self):
-        return matching.benchmark_profile(self.long, self.ids)
+        # a row per trait, read by every scoring pass
+        return cut_lineage(matching.benchmark_profile(self.long, self.ids), "profile")
 
     @cached_property
     def weighted(self):
         return matching.weighted_scores(matching.match_scores(self.long, self.profile))
 
+    @cached_property
+    def rates(self):
+        # stored, so that the join of the scored rows with it can be split at a hot employee
+        return cut_lineage(matching.employee_rates(self.weighted, self.stg_emp), "employee_rates")
+
     @cached_property
     def result(self):
         # the dashboard models read the match result several times each
-        return cut_lineage(matching.talent_match(self.long, self.stg_emp, self.ids, sort=False, materialize=False),
+        return cut_lineage(matching.talent_match(self.long, self.stg_emp, self.ids, sort=False, materialize=False,
+                                                 rates=self.rates),
                            "match_result")
 
     @cached_property
@@ -150,22 +159,29 @@ class Context:
 
     @cached_property
     def comparison(self):
-        best = self.ranked.where(F.col("rank") == 1).select("employee_id")
-        return dashboard.compare_to_benchmark(self.result, best)
+        return dashboard.compare_to_benchmark(self.result, dashboard.best_candidate(self.result, self.directory))
 
     @cached_property
     def example(self):
         return checks.example_model(self.t.performance_yearly, "rating", name="example_model")
 
 
-_CONTEXTS: dict[tuple[int, str], Context] = {}
+def context(spark: SparkSession, sf_dir: str) -> Context:
+    """The session's context of a folder; a changed file in the folder makes a new one.
 
+    Contexts are held by the session object itself, so they end with it.
+    """
+    held = spark.__dict__.setdefault("_traitmatch_contexts", {})
+    listing = input_listing(spark, sf_dir)
+    if sf_dir not in held or held[sf_dir][0] != listing:
+        held[sf_dir] = (listing, Context(spark, sf_dir))
+    return held[sf_dir][1]
 
-def context(spark: SparkSession, sf_dir: str) -> Context:
-    key = (id(spark), sf_dir)
-    if key not in _CONTEXTS:
-        _CONTEXTS[key] = Context(spark, sf_dir)
-    return _CONTEXTS[key]
+
+def release(spark: SparkSession) -> None:
+    """Forget the session's contexts and delete the tables written for them."""
+    spark.__dict__.pop("_traitmatch_contexts", None)
+    drop_scratch(spark)
 
 
 def _q(fn: Callable[[Context], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -194,11 +210,40 @@ def _landing_root(c: Context) -> str:
     return root
 
 
+def _rating_days(c: Context) -> str:
+    """Land the ratings of every year as that year's own table and day: what is found depends on the data."""
+    root = scratch_path(c.spark, "landing")
+    (c.t.performance_yearly.withColumn("_dir", F.concat(F.col("year"), F.lit("-12-31")))
+     .repartition("_dir").write.partitionBy("_dir").option("header", True).csv(f"{root}/raw"))
+    days = [r[0] for r in c.t.performance_yearly.select("year").distinct().collect()]      # a handful of years
+    for year in days:
+        day = c.spark.read.option("header", True).csv(f"{root}/raw/_dir={year}-12-31")
+        files.land_raw(day, root, f"{year}-12-31", f"ratings_{year}")
+    return root
+
+
 def csv_discover(c: Context) -> DataFrame:
     """The tables found in a landing folder holding all 16 sources."""
     return files.discover_tables(c.spark, _landing_root(c)).select("table_name")
 
 
+def landed_days(c: Context) -> DataFrame:
+    """Tables and days found in a landing folder with one table per rating year."""
+    return files.landed_tables(c.spark, f"{_rating_days(c)}/landing_zone").select("table_name", "day")
+
+
+def load_all(c: Context) -> DataFrame:
+    """S2-S5 in one call: two landed days; the newest of each table is loaded and audited."""
+    root = scratch_path(c.spark, "landing")
+    old, new = c.t.performance_yearly.where(F.col("year") < CURRENT_YEAR), c.t.performance_yearly
+    files.land_raw(old, root, "1999-12-31", "performance_yearly")
+    files.land_raw(new, root, LANDING_DATE, "performance_yearly")
+    files.land_raw(c.t.strengths, root, "1999-12-31", "strengths")
+    return files.load_all(c.spark, root, scratch_path(c.spark, "tables"), {
+        "performance_yearly": "employee_id string, year int, rating int",
+        "strengths": "employee_id string, rank int, theme string"})
+
+
 def land_raw(c: Context) -> DataFrame:
     """S3: rows landed under the dated folder, read back with their date."""
     root = scratch_path(c.spark, "landing")
@@ -487,14 +532,17 @@ def aggregate_scores(c: Context) -> DataFrame:
 
 
 def group_ratios(c: Context) -> DataFrame:
-    out = matching.group_ratios(c.weighted, matching.aggregate_scores(c.weighted))
+    out = matching.group_ratios(c.weighted, c.rates)
     return out.select("employee_id", "tgv_name", "tv_name", "match_score",
                       round_numeric("final_match_rate", 6).alias("final_match_rate"),
                       round_numeric("tgv_match_ratio", 6).alias("tgv_match_ratio"))
 
 
-def talent_match(c): return matching.talent_match(c.long, c.stg_emp, c.ids, materialize=False)
-def talent_match_candidates(c): return matching.talent_match_candidates(c.long, c.stg_emp, c.ids, materialize=False)
+def talent_match(c): return matching.talent_match(c.long, c.stg_emp, c.ids, materialize=False, rates=c.rates)
+
+
+def talent_match_candidates(c: Context) -> DataFrame:
+    return matching.talent_match_candidates(c.long, c.stg_emp, c.ids, materialize=False, rates=c.rates)
 
 
 # --- dashboard -------------------------------------------------------------------------------------------
@@ -502,6 +550,18 @@ def talent_match_candidates(c): return matching.talent_match_candidates(c.long,
 def employee_directory(c): return c.directory
 
 
+def first_target(c: Context) -> DataFrame:
+    """the first item of each trait's categorical target list."""
+    return c.profile.where(F.col("categorical_target").isNotNull()).select(
+        "tv_name", first_item(json_to_array("categorical_target")).alias("first_value"))
+
+
+def ingest_days(c: Context) -> DataFrame:
+    """the run-date text of every order day, with its number of ratings."""
+    return (read_driver_tables(c.spark, c.sf_dir)["orders"].select(run_date_text("o_orderdate").alias("run_date"))
+            .groupBy("run_date").agg(F.count(F.lit(1)).alias("n_orders")))
+
+
 def filter_directory(c: Context) -> DataFrame:
     return dashboard.filter_directory(c.directory, **DIRECTORY_FILTER)
 
@@ -523,7 +583,8 @@ def default_benchmarks(c: Context) -> DataFrame:
 
 
 def ranked_candidates(c): return c.ranked
-def rate_histogram(c): return dashboard.rate_histogram(c.ranked)
+def rate_histogram(c): return dashboard.rate_histogram(dashboard.candidates(c.result, c.directory))
+def candidate_count(c): return dashboard.candidate_count(c.result, c.directory)
 def group_averages(c: Context) -> DataFrame:
     out = dashboard.group_averages(c.result)
     return out.select("tgv_name", F.round("avg_match_rate", 4).alias("avg_match_rate"))
@@ -545,7 +606,7 @@ def key_competencies(c): return dashboard.key_competencies(c.result, c.t.dims["d
 
 
 _ALL = [
-    csv_roundtrip, csv_discover, land_raw, load_overwrite, stream_load, load_audit, inline_weights, model_chain,
+    csv_roundtrip, csv_discover, landed_days, load_all, land_raw, load_overwrite, stream_load, load_audit, inline_weights, model_chain,
     sql_parametrised, sql_ordinal_group,
     check_unique, check_not_null,
     filter_ratings, filter_in_list, benchmark_flag, case_disc_map,
@@ -559,7 +620,7 @@ _ALL = [
     categorical_targets, numeric_targets, strength_target, benchmark_profile, match_scores,
     weighted_scores, aggregate_scores, group_ratios, talent_match, talent_match_candidates,
     employee_directory, filter_directory, filter_options, display_roundtrip, default_benchmarks, ranked_candidates,
-    rate_histogram, group_averages, compare_to_benchmark, strongest_and_gap, baseline_profile,
+    rate_histogram, candidate_count, first_target, ingest_days, group_averages, compare_to_benchmark, strongest_and_gap, baseline_profile,
     key_competencies,
 ]
 

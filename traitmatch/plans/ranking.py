@@ -1,4 +1,4 @@
-"""Global rank without funnelling an unbounded number of rows through one task."""
+"""Global rank without funnelling rows through one task."""
 
 from __future__ import annotations
 
@@ -8,42 +8,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitmatch.plans.lineage import cut_lineage
-
-# At most this many rows may be numbered by one task (an ordered window).
-SMALL_RANK_ROWS = 100_000
+from traitmatch.plans.sizing import bounded
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank",
-                num_partitions: int | None = None, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Number rows 1..n in ``order`` (``row_number`` over a total order).
 
-    The input is written once to shared storage and counted (a metadata-cheap
-    Parquet count).  Up to ``small_rows`` rows, one ordered window numbers
-    them -- a checked, bounded amount of work for one task.  Beyond that the
-    rows are range-partitioned and sorted in parallel; in that same stage each
-    row records its partition index and its position inside the partition, and
-    the result is written, so the positions are data and cannot change on a
-    retry.  Counting rows per partition gives one row per partition; a running
-    sum over those few rows gives each partition's start offset (a
-    proven-small broadcast), and rank = start + position + 1.  ``order`` must be
-    a total order (end it with a unique key).
+    The same plan at every size: rows are range-partitioned and sorted in
+    parallel; in that stage each row records its partition index and its
+    position inside the partition, and the result is written once, so the
+    positions are data and cannot change on a retry.  Counting rows per partition
+    gives one row per partition; a running sum over those few rows gives each
+    partition's start (at most one row per partition, hence broadcast), and
+    rank = start + position + 1.  ``order`` must be a total order (end it with a
+    unique key).
     """
     spark = df.sparkSession
-    stored = cut_lineage(df, "rank_input")
-    if stored.limit(small_rows + 1).count() <= small_rows:
-        numbered = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return stored.select(numbered.alias(out), *df.columns)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id()
     # monotonically_increasing_id = (partition index << 33) + row index
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    placed = (stored.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .select("*", pid.alias("_pid"), pos.alias("_pos")))
-    positioned = cut_lineage(placed, "rank")
+    positioned = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                             .select("*", pid.alias("_pid"), pos.alias("_pos")), "rank")
     sizes = positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_start"))
-    ranked = positioned.join(F.broadcast(offsets), "_pid")
-    return ranked.select((F.col("_start") + F.col("_pos") + 1).cast("bigint").alias(out), *df.columns)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return (positioned.join(bounded(starts), "_pid")
+            .select((F.col("_start") + F.col("_pos") + 1).cast("bigint").alias(out), *df.columns))

@@ -1,39 +1,13 @@
-"""Broadcast only behind a size check."""
+"""Broadcast hints only for frames whose size is bounded by construction."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
-# A side with at most this many rows is broadcast.  Group-level aggregates
-# (medians per code or department) are far below it; a per-employee frame is
-# far above it and then joins by shuffle.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Compute ``df`` once, count it, and hint a broadcast only if it has at
-    most ``max_rows`` rows; also return that decision.
-
-    The frame is cached (memory, spilling to disk) while it is counted, so the
-    aggregate behind it runs once; a lost executor only means recomputing the
-    cached blocks from lineage.  Above ``max_rows`` the frame is returned
-    without a hint and joins with it are shuffled joins (AQE may still
-    convert them at run time).
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    small = cached.count() <= max_rows
-    return (F.broadcast(cached) if small else cached), small
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """:func:`checked_broadcast` without the decision."""
-    return checked_broadcast(df, max_rows)[0]
-
 
 def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a frame whose size bound is proven by construction
-    (a fixed list of traits, a top-n with a small n, literal rows)."""
+    """Hint a broadcast for literal rows, a fixed list of traits, or a top-n with
+    a small n.  Every other join is left to the optimizer, which broadcasts by
+    bytes (``spark.sql.autoBroadcastJoinThreshold``), at run time too."""
     return F.broadcast(df)

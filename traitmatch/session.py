@@ -81,7 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is left as
-    is.  Only a session without one (tests, a laptop) gets a private folder.
+    is.  Only a local session without one (tests, a laptop) gets a private folder;
+    a session with executors elsewhere must name a folder they all share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -89,6 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="traitmatch-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -102,5 +105,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/traitmatch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what :func:`scratch_path` named for this application (its frames can no longer be read)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/traitmatch")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _is_local(master: str) -> bool:
+    """Whether all tasks run in the driver's process (``local``, ``local[4]``), not ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
+def input_listing(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, length and modification time of the files directly in a folder, by Spark's file system."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))

@@ -5,6 +5,8 @@ from traitmatch.sources.dims import DIMENSIONS, dimension_frames
 from traitmatch.sources.files import (
     constants,
     discover_tables,
+    landed_tables,
+    load_all,
     land_raw,
     load_audit,
     load_table,

@@ -51,17 +51,12 @@ DIMENSIONS: dict[str, tuple[str, list[tuple]]] = {
 # ---------------------------------------------------------------------------
 
 
-_FRAMES: dict[int, dict[str, DataFrame]] = {}
-
-
 def dimension_frames(spark: SparkSession) -> dict[str, DataFrame]:
     """Each dimension as a small local DataFrame (a ``LocalRelation``: the
-    optimizer knows its exact size and broadcasts it).  Memoised per session."""
+    optimizer knows its exact size and broadcasts it)."""
     from traitmatch.sources.files import constants
 
-    if id(spark) not in _FRAMES:
-        _FRAMES[id(spark)] = {name: constants(spark, rows, schema) for name, (schema, rows) in DIMENSIONS.items()}
-    return dict(_FRAMES[id(spark)])
+    return {name: constants(spark, rows, schema) for name, (schema, rows) in DIMENSIONS.items()}
 
 
 def dimension_values_sql(name: str) -> str:

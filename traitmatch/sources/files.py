@@ -104,19 +104,60 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+_DAY_FROM_URI = r"/manual/([0-9]{4}-[0-9]{2}-[0-9]{2})/"
+
+
+def landed_tables(spark: SparkSession, folder: str, run_date: _dt.date | str | None = None) -> DataFrame:
+    """``(table_name, day, uri)`` of one landed day per table.
+
+    The day is ``run_date``, or each table's newest one.  Files outside a dated
+    folder have a NULL day and count as older than any dated file.
+    """
+    found = discover_tables(spark, folder).withColumn(
+        "day", F.nullif(F.regexp_extract("uri", _DAY_FROM_URI, 1), F.lit("")))
+    if run_date is not None:
+        day = run_date if isinstance(run_date, str) else run_date.strftime("%Y-%m-%d")
+        return found.where(F.col("day") == day).select("table_name", "day", "uri")
+    newest = found.groupBy("table_name").agg(F.max("day").alias("_newest"))
+    return (found.join(newest, "table_name").where(F.col("day").eqNullSafe(F.col("_newest")))
+            .select("table_name", "day", "uri"))
+
+
+def _landed_frames(spark: SparkSession, folder: str, schemas: Mapping[str, StructType | str] | None,
+                   run_date: _dt.date | str | None) -> dict[str, DataFrame]:
+    # one row per table: only names and paths pass through the driver
+    listing = (landed_tables(spark, folder, run_date).groupBy("table_name")
+               .agg(F.sort_array(F.collect_set("uri")).alias("uris")).collect())
+    return {r.table_name: read_csv(spark, list(r.uris), (schemas or {}).get(r.table_name)) for r in listing}
+
+
+def load_all(spark: SparkSession, folder: str, target_root: str,
+             schemas: Mapping[str, StructType | str] | None = None,
+             run_date: _dt.date | str | None = None) -> DataFrame:
+    """S2-S5 in one call: load one landed day of every table found, replacing the
+    table under ``target_root``, and audit what was loaded.
+
+    Returns ``(table_name, num_rows)`` counted on the written tables; a folder
+    without tables loads nothing and gives an empty audit.
+    """
+    loaded = {name: load_table(df, f"{target_root.rstrip('/')}/{name}")
+              for name, df in sorted(_landed_frames(spark, folder, schemas, run_date).items())}
+    if not loaded:
+        return constants(spark, [], "table_name string, num_rows bigint")
+    return load_audit(loaded)
+
+
 def register_sources(spark: SparkSession, tables: Mapping[str, DataFrame] | str,
-                     schemas: Mapping[str, StructType | str] | None = None) -> list[str]:
+                     schemas: Mapping[str, StructType | str] | None = None,
+                     run_date: _dt.date | str | None = None) -> list[str]:
     """Name each source table so SQL models can refer to it.
 
     ``tables`` is a mapping of frames, or a landing folder: then every table
-    found by :func:`discover_tables` is read as CSV (with its declared schema
-    from ``schemas`` when given) and registered.  Only the table names and
-    paths pass through the driver.
+    found in it is read as CSV from one landed day (``run_date``, or the table's
+    newest day), with its declared schema from ``schemas`` when given.
     """
     if isinstance(tables, str):
-        found = discover_tables(spark, tables).groupBy("table_name").agg(F.collect_set("uri").alias("uris"))
-        listing = {r.table_name: sorted(r.uris) for r in found.collect()}
-        tables = {name: read_csv(spark, uris, (schemas or {}).get(name)) for name, uris in listing.items()}
+        tables = _landed_frames(spark, tables, schemas, run_date)
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return sorted(tables)

@@ -53,17 +53,9 @@ def _emp(custkey: Column) -> Column:
     return F.concat(F.lit("EMP"), custkey.cast("string"))
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Parquet scan of one driver table (the lazy plan is memoised per session,
-    so the footer is read once)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key].select(*cols)
+    """Parquet scan of one driver table, pruned to the named columns."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
 
 
 def derive_employees(customer: DataFrame) -> DataFrame:
