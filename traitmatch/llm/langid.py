@@ -119,12 +119,17 @@ def training_grams(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG,
                    order: int = ORDER) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Gram counts of a bounded sample per language.
 
-    ``rows`` has ``lang, text, pick_key``; the ``per_lang`` rows with the smallest
-    key of each language are used, whole (the window keeps at most that many rows
-    per language in each map task before it shuffles).
+    ``rows`` has ``doc_id, lang, text``; the ``per_lang`` ids with the smallest hash
+    of each language are picked on ids alone (each map task passes on at most that
+    many per language), then their whole texts are read by a join with those few ids.
     """
-    order_by = Window.partitionBy("lang").orderBy("pick_key", "text")
-    sample = rows.withColumn("_n", F.row_number().over(order_by)).filter(F.col("_n") <= per_lang)
+    order_by = Window.partitionBy("lang").orderBy("_key", "_id")
+    picked = (rows.select("lang", F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_key"))
+              .withColumn("_n", F.row_number().over(order_by)).filter(F.col("_n") <= per_lang)
+              .select("lang", "_id").distinct())
+    # at most MAX_LANGS x per_lang ids
+    sample = rows.join(F.broadcast(picked.withColumnRenamed("lang", "_lang")),
+                       (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
 
     def count(batches):
         for batch in batches:
@@ -168,7 +173,7 @@ def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                            & F.col("doc_id").isNotNull() & ~held_out)
     if labelled.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} language labels")
-    grams = training_grams(labelled.select("lang", "text", F.xxhash64("doc_id").alias("pick_key")), per_lang)
+    grams = training_grams(labelled.select("doc_id", "lang", "text"), per_lang)
     shared = docs.sparkSession.sparkContext.broadcast(grams)     # bounded by the sample
 
     def run(batches):
