@@ -40,7 +40,7 @@ def duck():
 
 
 ORDERED = {"talent_match": ["is_benchmark", "final_match_rate", "employee_id", "tgv_name"],
-           "talent_match_candidates": ["final_match_rate", "employee_id", "tv_name"],
+           "talent_match_candidates": ["final_match_rate", "employee_id", "tgv_name"],
            "employee_directory": ["fullname", "employee_id"]}
 
 
