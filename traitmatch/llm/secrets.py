@@ -11,7 +11,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +32,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)  # md5, sha1, sha224, sha256, sha384, sha512 in hex
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-# Identifiers: words of one case style, or digits, joined by separators.
+# Identifiers: words of one case style, or digits, joined by separators.  A run of separators is
+# taken whole (possessive), so a long one cannot be cut in exponentially many ways.
 IDENTIFIER = re.compile(r"([a-z]+|[A-Z]+|([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})+|[0-9]+)?"
-                        r"([-_/+=]+([a-z]+|[A-Z]+|([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})+|[0-9]+)?)*")
+                        r"([-_/+=]++([a-z]+|[A-Z]+|([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})+|[0-9]+)?)*")
 MAX_CHARS_PER_TOKEN = 2.0
 # The ratio of a very long run is read from pieces of this size, so the test stays linear.
 PIECE = 4096
@@ -92,8 +95,9 @@ def scan_text(text: str | None, encoding, limit: float = MAX_CHARS_PER_TOKEN):
     """All spans of a text: the base spans, and random runs not already inside a base span."""
     text = text or ""
     base = base_spans(text)
-    more = [s for s in random_spans(text, encoding, limit)
-            if not any(a <= s[0] and s[2] <= b for a, _, b in base)]
+    starts, furthest = [a for a, _, _ in base], [-1, *accumulate((b for _, _, b in base), max)]
+    # inside a base span: one that starts no later reaches as far
+    more = [s for s in random_spans(text, encoding, limit) if furthest[bisect_right(starts, s[0])] < s[2]]
     return base, sorted(base + more)
 
 
