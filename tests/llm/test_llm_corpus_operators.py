@@ -70,6 +70,39 @@ def test_near_copies_at_the_threshold(spark):
     assert got == plain_components(rows)
 
 
+def near_copies(rng, first, copies, size=120):
+    """Copies of one text, each with one of its words changed."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    out = []
+    for n in range(first, first + copies):
+        changed = list(words)
+        changed[rng.randrange(size)] = f"v{n}"
+        out.append((n, " ".join(changed)))
+    return out
+
+
+def test_a_large_class_is_not_paired_with_itself(spark):
+    rng = random.Random(11)
+    rows = near_copies(rng, 0, 400) + near_copies(rng, 1000, 60)
+    rows += [(2000 + i, rows[i][1] + " " + " ".join(f"x{rng.randrange(10**6)}" for _ in range(20))) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    size = 2000                                   # about 17 texts: the large class has some 47 blocks
+    assert components_of(ja.jaccard_components(docs, group_shingles=size)) == plain_components(rows)
+
+    sets = ja.shingle_sets(docs)
+    edges = ja.candidate_edges(sets)
+    large = (components.connected_components(edges).withColumnRenamed("node", "doc_id")
+             .join(sets.select("doc_id", "set_hash", "n_shingles"), "doc_id"))
+    lead = ja.leader_rows(large, edges, size)
+    assert lead.count() <= 1.5 * len(rows)
+    classes = components.connected_components(ja.links_of_blocks(docs, lead))
+    placed = ja.block_rows(large, classes, size)
+    # all pairs of blocks would be some 50 rows a text
+    assert placed.count() <= 4 * len(rows)
+    most = placed.groupBy("component", "i", "j").count().agg({"count": "max"}).first()[0]
+    assert most <= 4 * size / 110
+
+
 def test_signatures_never_lose_a_link():
     rng = np.random.default_rng(5)
     for _ in range(300):

@@ -15,9 +15,13 @@ least 0.9; the result names each text's component of linked texts.
    trees: nodes hold the OR of their texts' shingle bitmaps and their size range,
    and a dual traversal drops pairs of nodes whose largest possible overlap is too
    small, or whose texts are already connected.  What remains is verified on the
-   exact hash sets.  Groups beyond a size are cut into blocks, and every pair of
-   blocks is joined in its own task, so memory is bounded and no link is lost.
-4. The links (a spanning forest of each group, never all its pairs) give the
+   exact hash sets.
+4. A group beyond a size first has each text verified against one leader, the text
+   it shares most signatures with.  The classes that come of it are cut into
+   blocks, and pairs of blocks are joined in their own tasks.  Blocks of one class
+   are never paired, so copies of one text, however many, are read once for each
+   block of texts outside their class; memory is bounded and no link is lost.
+5. The links (a spanning forest of each group, never all its pairs) give the
    components.
 """
 
@@ -159,11 +163,12 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def candidate_edges(representatives: DataFrame) -> DataFrame:
-    """``(a, b)``: a text and the least text it shares a signature with."""
+    """``(a, b, n)``: a text, a lesser one, and for how many signatures that one leads the batch or all texts."""
     rows = representatives.select("doc_id", "signatures").mapInArrow(_signature_rows, "signature bigint, a bigint, b bigint")
     same = Window.partitionBy("signature", F.col("b").isNull())
     lead = F.coalesce(F.col("b"), F.min("a").over(same))
-    return rows.select("a", lead.alias("b")).filter(F.col("a") != F.col("b")).distinct()
+    return (rows.select("a", lead.alias("b")).filter(F.col("a") != F.col("b"))
+            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
 
 
 class SignatureTree:
@@ -198,10 +203,12 @@ def may_link(bits_a, low_a, high_a, excess_a, bits_b, low_b, high_b, excess_b) -
     return 19 * most >= 9 * (low_a[:, None] + low_b[None, :])
 
 
-def tree_join(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+def tree_join(left: list[np.ndarray], right: list[np.ndarray] | None = None,
+              classes: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between ``left`` and ``right`` (or within ``left``) that form a spanning forest.
 
     Positions count through ``left``, then ``right``; sets are sorted and distinct.
+    Texts of one class (an entry per position) are known to be connected already.
     """
     n = len(left)
     sets = [*left, *(right or [])]
@@ -219,8 +226,9 @@ def tree_join(left: list[np.ndarray], right: list[np.ndarray] | None = None) ->
         b = SignatureTree([right[i] for i in order_b], bits)
         order_b = [n + i for i in order_b]
     # component labels of texts in tree order (one array if the trees are one)
-    label_a = np.arange(len(order_a))
-    label_b = label_a if right is None else len(order_a) + np.arange(len(order_b))
+    label = np.arange(len(sets)) if classes is None else np.unique(classes, return_inverse=True)[1]
+    label_a = label[order_a]
+    label_b = label_a if right is None else label[order_b]
     links: list[tuple[int, int]] = []
 
     def connected(ra, rb) -> bool:
@@ -272,21 +280,22 @@ def tree_join(left: list[np.ndarray], right: list[np.ndarray] | None = None) ->
 
 
 def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (group, i, j) -> links.  One group of blocks is held at a time."""
+    """Rows sorted by (component, i, j) -> links.  One pair of blocks is held at a time."""
     key, members = None, []
 
     def close():
         _, i, j = key
         seen, left, right = set(), [], []
-        for doc_id, block, digest, text in members:
+        for doc_id, block, known, digest, text in members:
             if (doc_id, digest) in seen:
                 continue
             hashes = shingle_set(text)
             if set_digest(hashes) == digest:      # another row may carry the same id with another text
                 seen.add((doc_id, digest))
-                (left if block == i else right).append((doc_id, hashes))
-        found = tree_join([s for _, s in left], [s for _, s in right] if i != j else None)
-        ids = [d for d, _ in left] + [d for d, _ in right]
+                (left if block == i else right).append((doc_id, hashes, known))
+        found = tree_join([s for _, s, _ in left], [s for _, s, _ in right] if i != j else None,
+                          [c for _, _, c in left + right])
+        ids = [d for d, _, _ in left + right]
         return [(ids[x], ids[y]) for x, y in found]
 
     def batch_of(links):
@@ -296,7 +305,7 @@ def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     links: list[tuple[int, int]] = []
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in range(batch.num_columns)]
-        for group, i, j, doc_id, block, digest, text in zip(*columns):
+        for group, i, j, doc_id, block, known, digest, text in zip(*columns):
             if (group, i, j) != key:
                 if members:
                     links += close()
@@ -304,30 +313,86 @@ def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(links) > 10_000:
                     yield batch_of(links)
                     links = []
-            members.append((doc_id, block, digest, text))
+            members.append((doc_id, block, known, digest, text))
     if members:
         links += close()
     if links:
         yield batch_of(links)
 
 
-def verified_links(docs: DataFrame, representatives: DataFrame, groups: DataFrame,
+PLACE = ["component", "i", "j", "doc_id", "block", "class", "set_hash"]
+
+
+def links_of_blocks(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links between blocks ``i`` and ``j`` of a component; ``rows`` has ``PLACE``, texts come from ``docs``."""
+    keys = PLACE[:3]
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.join(docs, "doc_id").select(*PLACE, "text").repartition(n, *keys).sortWithinPartitions(*keys)
+            .mapInArrow(_join_groups, "a bigint, b bigint"))
+
+
+def leader_rows(large: DataFrame, edges: DataFrame, group_shingles: int) -> DataFrame:
+    """``PLACE`` of the texts of large groups, each with one leader: the text it shares most signatures with.
+
+    A leader is block 0; its followers are cut into blocks of about ``group_shingles``,
+    each in a task of its own with the leader.
+    """
+    leads = edges.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("component"))
+    followers = large.drop("component").join(leads, F.col("doc_id") == F.col("a")).drop("a")
+    cuts = (followers.groupBy("component").agg(F.sum("n_shingles").alias("total"))
+            .select("component", F.ceil(F.col("total") / group_shingles).alias("cuts")))
+    block = F.pmod(F.xxhash64("doc_id"), F.col("cuts")) + 1
+    follows = (followers.join(cuts, "component").withColumn("block", block.cast("string"))
+               .select("component", F.lit("0").alias("i"), F.col("block").alias("j"), "doc_id", "block",
+                       F.col("doc_id").alias("class"), "set_hash"))
+    lead = (cuts.join(large.select("doc_id", "set_hash"), F.col("component") == F.col("doc_id"))
+            .select("component", F.lit("0").alias("i"), F.explode(F.sequence(F.lit(1), F.col("cuts")).cast("array<string>")).alias("j"),
+                    "doc_id", F.lit("0").alias("block"), F.col("doc_id").alias("class"), "set_hash"))
+    return follows.unionByName(lead)
+
+
+def block_rows(large: DataFrame, classes: DataFrame, group_shingles: int) -> DataFrame:
+    """``PLACE`` of large groups: a row for every pair of blocks that holds the text.
+
+    A class of more than half ``group_shingles`` has its own blocks, which are
+    paired with all blocks of other classes; the remaining classes share pooled
+    blocks, which are also paired with each other and joined within.
+    """
+    half = group_shingles / 2
+    classed = (large.join(classes.select(F.col("node").alias("doc_id"), F.col("component").alias("class")), "doc_id", "left")
+               .withColumn("class", F.coalesce("class", "doc_id")))
+    sizes = classed.groupBy("component", "class").agg(F.sum("n_shingles").alias("size"))
+    kind = F.when(F.col("size") > half, F.col("class").cast("string")).otherwise("pool")
+    sizes = sizes.withColumn("kind", kind)
+    kinds = (sizes.groupBy("component", "kind").agg(F.sum("size").alias("total"))
+             .select("component", "kind", F.ceil(F.col("total") / half).cast("int").alias("blocks")))
+    other = kinds.select(F.col("component").alias("_c"), F.col("kind").alias("_kind"), F.col("blocks").alias("_blocks"))
+    pairs = kinds.join(other, (F.col("component") == F.col("_c"))
+                       & ((F.col("kind") != F.col("_kind")) | (F.col("kind") == "pool"))).drop("_c")
+    # a pooled class stays whole in its block
+    spread = F.when(F.col("kind") == "pool", F.xxhash64("class")).otherwise(F.xxhash64("doc_id"))
+    return (classed.join(sizes.drop("size"), ["component", "class"]).join(pairs, ["component", "kind"])
+            .withColumn("block", F.concat_ws(":", "kind", F.pmod(spread, F.col("blocks"))))
+            .withColumn("_number", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+            .withColumn("_other", F.concat_ws(":", "_kind", "_number"))
+            .withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")}).select(*PLACE))
+
+
+def verified_links(docs: DataFrame, representatives: DataFrame, groups: DataFrame, edges: DataFrame,
                    group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """Links within candidate groups: ``groups`` has ``node, component``; texts come from ``docs``."""
+    """Links within candidate groups: ``groups`` has ``node, component``, ``edges`` the candidates behind them."""
     members = (groups.withColumnRenamed("node", "doc_id")
                .join(representatives.select("doc_id", "set_hash", "n_shingles"), "doc_id"))
-    sizes = members.groupBy("component").agg(F.sum("n_shingles").alias("total"))
-    blocks = F.when(F.col("total") <= group_shingles, 1).otherwise(F.ceil(F.col("total") / (group_shingles / 2)))
-    placed = (members.join(sizes, "component").withColumn("_blocks", blocks.cast("int"))
-              .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")))
-    # a text goes to the task of every pair of blocks that holds its own
-    paired = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    keys = ["component", "i", "j"]
-    rows = (paired.select("component", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
-                          "doc_id", "block", "set_hash")
-            .join(docs, "doc_id").select(*keys, "doc_id", "block", "set_hash", "text"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_join_groups, "a bigint, b bigint")
+    totals = members.groupBy("component").agg(F.sum("n_shingles").alias("total"))
+    members = cut_lineage(members.join(totals, "component"), "jaccard_members")
+    whole, large = (members.filter(F.col("total") <= group_shingles),
+                    members.filter(F.col("total") > group_shingles).drop("total"))
+    only = F.lit("0")
+    rows = whole.select("component", only.alias("i"), only.alias("j"), "doc_id", only.alias("block"),
+                        F.col("doc_id").alias("class"), "set_hash")
+    led = cut_lineage(links_of_blocks(docs, leader_rows(large, edges, group_shingles)), "jaccard_led")
+    rows = rows.unionByName(block_rows(large, connected_components(led), group_shingles))
+    return links_of_blocks(docs, rows).unionByName(led)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -348,8 +413,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                   "shingle_reps")
     signed = (named.filter(F.octet_length("signatures") > 0)
               .join(representatives.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi"))
-    groups = connected_components(candidate_edges(signed))
-    labels = connected_components(verified_links(texts, representatives, groups, group_shingles))
+    edges = cut_lineage(candidate_edges(signed), "candidate_edges")
+    labels = connected_components(verified_links(texts, representatives, connected_components(edges), edges, group_shingles))
     named_sets = (representatives.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                   .groupBy("set_hash").agg(F.min(F.coalesce("component", "doc_id")).alias("component")))
     return (sets.select("doc_id", "n_shingles", "set_hash").join(named_sets, "set_hash", "left")
