@@ -415,8 +415,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .join(representatives.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi"))
     edges = cut_lineage(candidate_edges(signed), "candidate_edges")
     labels = connected_components(verified_links(texts, representatives, connected_components(edges), edges, group_shingles))
-    named_sets = (representatives.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                  .groupBy("set_hash").agg(F.min(F.coalesce("component", "doc_id")).alias("component")))
+    # stored, so that a join of the copies of one text with its row reads two plain shuffles, which AQE can split
+    named_sets = cut_lineage(
+        representatives.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .groupBy("set_hash").agg(F.min(F.coalesce("component", "doc_id")).alias("component")), "set_components")
     return (sets.select("doc_id", "n_shingles", "set_hash").join(named_sets, "set_hash", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
