@@ -23,6 +23,7 @@ from traitmatch.llm.contexts import PAD, ContextTable
 
 ORDER = 3
 TRAIN_DOCS_PER_LANG = 400     # documented bound of the training sample: whole texts per language
+PICK_PARTS = 64
 MAX_LANGS = 64                # more label values than this are refused, not cut
 LETTER = re.compile(r"[^\W\d_]")
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double"),
@@ -120,13 +121,18 @@ def training_grams(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG,
     """Gram counts of a bounded sample per language.
 
     ``rows`` has ``doc_id, lang, text``; the ``per_lang`` ids with the smallest hash
-    of each language are picked on ids alone (each map task passes on at most that
-    many per language), then their whole texts are read by a join with those few ids.
+    of each language are picked on ids alone, then their whole texts are read by a
+    join with those few ids.  A language is first cut into ``PICK_PARTS`` parts,
+    each of which passes on at most ``per_lang`` ids, so that the last pick meets a
+    bounded number of rows however many map tasks there are.
     """
-    order_by = Window.partitionBy("lang").orderBy("_key", "_id")
-    picked = (rows.select("lang", F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_key"))
-              .withColumn("_n", F.row_number().over(order_by)).filter(F.col("_n") <= per_lang)
-              .select("lang", "_id").distinct())
+    def first(ids: DataFrame, *keys: str) -> DataFrame:
+        at = F.row_number().over(Window.partitionBy(*keys).orderBy("_key", "_id"))
+        return ids.withColumn("_n", at).filter(F.col("_n") <= per_lang).drop("_n")
+
+    ids = rows.select("lang", F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_key"))
+    parted = ids.withColumn("_part", F.pmod("_key", F.lit(PICK_PARTS)))
+    picked = first(first(parted, "lang", "_part"), "lang").select("lang", "_id").distinct()
     # at most MAX_LANGS x per_lang ids
     sample = rows.join(F.broadcast(picked.withColumnRenamed("lang", "_lang")),
                        (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
