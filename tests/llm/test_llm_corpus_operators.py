@@ -367,3 +367,19 @@ def test_queries_are_registered():
 
     names = set(entry.queries())
     assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11)) and "pipeline" in names
+
+
+def test_records_without_id_have_the_offsets_of_one_ordered_archive(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, None, -3, 7, 1500]), f"http://h/{i % 40}", "x" * rng.randrange(50)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = fixity.catalogue(pages).collect()
+    by_archive = {}
+    for r in found:
+        by_archive.setdefault(r.archive, []).append(r)
+    assert len(found) == len(rows) and set(by_archive) == {-1, 0, 1}
+    for each in by_archive.values():
+        at = 0
+        for r in sorted(each, key=lambda r: (r.page_id is not None, r.page_id or 0, r.digest, r.offset)):
+            assert r.offset == at
+            at += r.length

@@ -2,7 +2,7 @@
 
 Every archived record has a digest and an offset range.  A tree's lowest nodes
 hash the records that begin in one fixed range of offsets, in order; the next
-level hashes runs of those, then whole archives, then groups of archives up to
+levels hash runs of those, then whole archives, then groups of archives up to
 one root.  Two replicas are compared root first; only the children of mismatching
 nodes are looked at on the way down, to the damaged records.
 
@@ -21,7 +21,9 @@ from traitmatch.plans.lineage import cut_lineage
 ARCHIVE_IDS = 1000         # id values per archive
 RANGE = 1 << 16            # offsets per lowest node; a record is longer than 100 bytes, so a node has under 656
 FAN = 16                   # lowest nodes per second-level node
-ARCHIVE_FAN = 256          # archives per group, groups per group of groups; six levels with the root
+RUN_FAN = 256              # nodes per node on the next two levels; an archive has one of those for each 64 GB
+ARCHIVE_FAN = 256          # archives per group, groups per group of groups; eight levels with the root
+SLICE = 3                  # leading hex digits of a digest that cut the records without id
 
 
 def warc_record(url: Column, payload: Column) -> Column:
@@ -38,7 +40,8 @@ def catalogue(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", p
 
     An archive holds the records of ``ARCHIVE_IDS`` consecutive ids (one more
     archive those without id), ordered by id, then digest; offsets are running
-    sums of record lengths.  ``more`` adds columns computed from ``page_id``,
+    sums of record lengths.  The archive without id may hold any share of the
+    rows: it is summed in slices of the digest.  ``more`` adds columns computed from ``page_id``,
     ``url`` and ``payload`` in the same scan.
     """
     p = pick(pages, page_id=id_col, url=url_col, payload=payload_col)
@@ -47,10 +50,19 @@ def catalogue(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", p
         F.coalesce(F.floor(F.col("page_id") / ARCHIVE_IDS), F.lit(-1)).cast("bigint").alias("archive"),
         F.col("page_id").cast("bigint").alias("page_id"), F.octet_length(record).cast("bigint").alias("length"),
         F.sha2(record, 256).alias("digest"), *[c.alias(n) for n, c in more.items()])
-    before = (Window.partitionBy("archive").orderBy("page_id", "digest")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return rows.select("archive", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length",
-                       "page_id", "digest", *more)
+    # nulls stand first in their archive, slice by slice; rows with an id come behind all slices
+    rows = rows.withColumn("slice", F.when(F.col("page_id").isNull(), F.substring("digest", 1, SLICE)).otherwise("~"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    slices = (rows.filter(F.col("page_id").isNull()).groupBy("slice").agg(F.sum("length").alias("size"))
+              .unionByName(pages.sparkSession.createDataFrame([("~", 0)], "slice string, size bigint")))
+    # 16 ** SLICE + 1 rows at most
+    bases = slices.select(F.col("slice").alias("_slice"), F.sum("size").over(earlier(Window.orderBy("slice"))).alias("base"))
+    local = F.sum("length").over(earlier(Window.partitionBy("archive", "slice").orderBy("page_id", "digest")))
+    zero = F.lit(0).cast("bigint")
+    return (rows.withColumn("local", local)
+            .join(F.broadcast(bases), (F.col("archive") == -1) & (F.col("slice") == F.col("_slice")), "left")
+            .select("archive", (F.coalesce("base", zero) + F.coalesce("local", zero)).alias("offset"), "length",
+                    "page_id", "digest", *more))
 
 
 def _up(name: str, by: int) -> Column:
@@ -68,9 +80,10 @@ def _parents(children: DataFrame, archive: Column, number: Column) -> DataFrame:
 
 
 def _parent_keys() -> list[tuple[Column, Column]]:
-    """Archive and number of the parent of a record, and of a node at levels 0 to 4."""
+    """Archive and number of the parent of a record, and of a node at levels 0 to 6."""
     zero = F.lit(0).cast("bigint")
-    return [(F.col("archive"), _up("number", RANGE)), (F.col("archive"), _up("number", FAN)), (F.col("archive"), zero),
+    within = [(F.col("archive"), _up("number", by)) for by in (RANGE, FAN, RUN_FAN, RUN_FAN)]
+    return [*within, (F.col("archive"), zero),
             (_up("archive", ARCHIVE_FAN), zero), (_up("archive", ARCHIVE_FAN), zero), (zero, zero)]
 
 
