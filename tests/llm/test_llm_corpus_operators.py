@@ -103,6 +103,20 @@ def test_a_large_class_is_not_paired_with_itself(spark):
     assert most <= 4 * size / 110
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(spark):
+    rng = random.Random(21)
+    a, b, c, d, e = (sentence(rng, 60) for _ in range(5))
+    near = " ".join(["x"] + b.split()[1:])
+    rows = [(1, a, 0), (None, a, 1), (None, b, 2), (None, b, 3), (None, near, 4), (None, c, 5), (7, d, 6), (7, d, 7),
+            (7, e, 8), (3, d, 9), (None, "", 10), (None, None, 11), (9, "", 12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, at int")
+    out = ja.keep_one_per_component(docs)
+    assert out.columns == docs.columns
+    got = sorted(r["at"] for r in out.collect())
+    assert got == [0, 2, 5, 8, 9, 10, 11, 12]
+    assert ja.keep_one_per_component(docs.limit(0)).count() == 0
+
+
 def test_signatures_never_lose_a_link():
     rng = np.random.default_rng(5)
     for _ in range(300):

@@ -425,24 +425,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """The rows with the least id of each component, all columns unchanged.
+    """One row of each component, all columns unchanged: that of the least id.
 
-    Rows that repeat that id stay with it.  Texts without a shingle are linked with
-    nothing and stay.  Rows without id go together: all of them with words, if one
-    of them equals a text with an id, else none.
+    The join runs on row numbers, not ids, so repeated or missing ids never take
+    another row along.  A row without id is kept only where no row of its component
+    has one; among equal ids the first row is kept.  Texts without a shingle are
+    linked with nothing and stay.
     """
-    found = jaccard_components(docs, id_col, text_col, group_shingles)
-    # ids of rows that go: they have shingles, and the least id of their component is another one
-    dropped = (found.filter((F.col("n_shingles") > 0) & F.col("component_id").isNotNull()
-                            & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-               .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")).alias("_key")).distinct())
     names = docs.columns
-    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    at_id, text = F.col(f"_c{names.index(id_col)}"), F.col(f"_c{names.index(text_col)}")
-    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    # rows without a word join nothing (null key), so that they all stay
-    keyed = plain.withColumn("_key", F.when(~wordless, F.coalesce(at_id.cast("string"), F.lit("none"))))
-    return (keyed.join(dropped, "_key", "left_anti")
+    numbered = cut_lineage(docs.toDF(*[f"_c{i}" for i in range(len(names))])
+                           .withColumn("_row", F.monotonically_increasing_id()), "numbered_texts")
+    found = jaccard_components(numbered, "_row", f"_c{names.index(text_col)}", group_shingles)
+    ids = numbered.select("_row", F.col(f"_c{names.index(id_col)}").alias("_id"))
+    order = F.struct(F.col("_id").isNull(), "_id", "_row")
+    kept = (found.withColumnRenamed("doc_id", "_row").join(ids, "_row")
+            .groupBy("component_id").agg(F.min(order).alias("_least")).select("_least._row"))
+    return (numbered.join(kept, "_row", "left_semi")
             .select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)]))
 
 
