@@ -103,6 +103,25 @@ def test_a_large_class_is_not_paired_with_itself(spark):
     assert most <= 4 * size / 110
 
 
+def test_an_empty_block_is_paired_with_nothing(spark):
+    some = [np.arange(k, k + 20, dtype=np.uint64) for k in range(3)]
+    assert ja.tree_join(some, []) == [] and ja.tree_join([], some) == [] and ja.tree_join([], []) == []
+
+    # one class above half the limit and two pooled ones: two pooled blocks, both classes in one of them
+    size, rng = 2000, random.Random(13)
+    at = {r.id: r.block for r in spark.range(100, 200).select("id", F.pmod(F.xxhash64("id"), F.lit(2)).alias("block")).collect()}
+    leads = [i for i in at if at[i] == at[100]][:2]
+    rows = {1000: near_copies(rng, 1000, 30)} | {x: near_copies(rng, 2000 + 10 * k, 5) for k, x in enumerate(leads)}
+    classes = spark.createDataFrame([(i, x) for x, texts in rows.items() for i, _ in texts], "node bigint, component bigint")
+    docs = spark.createDataFrame([r for texts in rows.values() for r in texts], "doc_id bigint, text string")
+    large = ja.shingle_sets(docs).select("doc_id", "set_hash", "n_shingles", F.lit(1).cast("bigint").alias("component"))
+    placed = ja.block_rows(large, classes, size)
+    blocks = {r.block for r in placed.collect()}
+    assert len([b for b in blocks if b.startswith("pool")]) == 1
+    assert {b for r in placed.collect() for b in (r.i, r.j)} == blocks
+    assert ja.links_of_blocks(docs, placed).count() == 0              # the classes are connected already
+
+
 def test_one_row_of_each_component_stays_whatever_its_id(spark):
     rng = random.Random(21)
     a, b, c, d, e = (sentence(rng, 60) for _ in range(5))

@@ -212,7 +212,7 @@ def tree_join(left: list[np.ndarray], right: list[np.ndarray] | None = None,
     """
     n = len(left)
     sets = [*left, *(right or [])]
-    if len(sets) < 2:
+    if len(sets) < 2 or not left or (right is not None and not right):
         return []
     bits = 256
     while bits < 2 * max(map(len, sets)) and bits < 1 << 14:
@@ -356,7 +356,8 @@ def block_rows(large: DataFrame, classes: DataFrame, group_shingles: int) -> Dat
 
     A class of more than half ``group_shingles`` has its own blocks, which are
     paired with all blocks of other classes; the remaining classes share pooled
-    blocks, which are also paired with each other and joined within.
+    blocks, which are also paired with each other and joined within.  A block
+    number that no text hashes to is paired with nothing.
     """
     half = group_shingles / 2
     classed = (large.join(classes.select(F.col("node").alias("doc_id"), F.col("component").alias("class")), "doc_id", "left")
@@ -366,15 +367,16 @@ def block_rows(large: DataFrame, classes: DataFrame, group_shingles: int) -> Dat
     sizes = sizes.withColumn("kind", kind)
     kinds = (sizes.groupBy("component", "kind").agg(F.sum("size").alias("total"))
              .select("component", "kind", F.ceil(F.col("total") / half).cast("int").alias("blocks")))
-    other = kinds.select(F.col("component").alias("_c"), F.col("kind").alias("_kind"), F.col("blocks").alias("_blocks"))
-    pairs = kinds.join(other, (F.col("component") == F.col("_c"))
-                       & ((F.col("kind") != F.col("_kind")) | (F.col("kind") == "pool"))).drop("_c")
     # a pooled class stays whole in its block
     spread = F.when(F.col("kind") == "pool", F.xxhash64("class")).otherwise(F.xxhash64("doc_id"))
-    return (classed.join(sizes.drop("size"), ["component", "class"]).join(pairs, ["component", "kind"])
-            .withColumn("block", F.concat_ws(":", "kind", F.pmod(spread, F.col("blocks"))))
-            .withColumn("_number", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-            .withColumn("_other", F.concat_ws(":", "_kind", "_number"))
+    blocked = (classed.join(sizes.drop("size"), ["component", "class"]).join(kinds, ["component", "kind"])
+               .withColumn("block", F.concat_ws(":", "kind", F.pmod(spread, F.col("blocks")))).drop("blocks"))
+    # only blocks that hold a text; one row gathers the block names of a kind, not its texts
+    held = (blocked.groupBy("component", "kind").agg(F.collect_set("block").alias("_blocks"))
+            .withColumnsRenamed({"component": "_c", "kind": "_kind"}))
+    pairs = kinds.drop("blocks").join(held, (F.col("component") == F.col("_c"))
+                                      & ((F.col("kind") != F.col("_kind")) | (F.col("kind") == "pool"))).drop("_c")
+    return (blocked.join(pairs, ["component", "kind"]).withColumn("_other", F.explode("_blocks"))
             .withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")}).select(*PLACE))
 
 
