@@ -369,6 +369,31 @@ def test_audit_finds_exactly_the_damage(spark):
     assert fixity.audit(primary.limit(0), primary.limit(0)).count() == 0
 
 
+def test_a_lost_or_shortened_record_does_not_move_the_others(spark):
+    rng = random.Random(6)
+    rows = [(i, f"http://h/{i}", "body " * rng.randrange(1, 50)) for i in range(2500)]
+    rows += [(8, "http://h/8", "twice")] * 2 + [(None, "http://h/n", "x"), (3, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    kept = [r for r in rows if r[0] != 4] + [(1200, "http://h/new", "one more")]
+    kept = [(i, u, t[:3] if i == 1100 else t + "!" if i == 2000 else t) for i, u, t in kept]
+    kept.remove((8, "http://h/8", "twice"))
+    replica = fixity.catalogue(spark.createDataFrame(kept, "page_id bigint, url string, html string"))
+    found = fixity.audit(fixity.catalogue(pages), replica).collect()
+    assert sorted((r.page_id, r.status) for r in found) == [
+        (4, "missing"), (8, "missing"), (1100, "altered"), (1200, "extra"), (2000, "altered")]
+    at = {(r.page_id, r.digest): r for r in fixity.catalogue(pages).collect()}
+    for r in found:
+        if r.status != "extra":
+            assert (r.offset in {x.offset for k, x in at.items() if k[0] == r.page_id} or r.page_id == 8)
+            assert at[(r.page_id, r.primary_digest)].length == r.length
+    # the damaged copy is hashed record by record, and none but the damage is told
+    copy = fixity.catalogue(fixity.damaged_copy(pages)).collect()
+    assert len(copy) == sum(i is None or i % 97 != 64 for i, _, _ in rows)
+    told = sorted((r.page_id, r.status) for r in fixity.audit_damaged_copy(pages).collect())
+    assert told == sorted((i, "missing" if i % 97 == 64 else "altered") for i, _, _ in rows if i is not None and i % 97 in (5, 31, 64))
+    assert {r.length for r in copy if r.page_id == 31} != {r.length for k, r in at.items() if k[0] == 31}
+
+
 # --- pipeline and registration ---
 
 def test_pipeline_stages(spark, tmp_path):

@@ -1,10 +1,12 @@
 """WARC fixity audit with Merkle trees.
 
 Every archived record has a digest and an offset range.  A tree's lowest nodes
-hash the records that begin in one fixed range of offsets, in order; the next
-levels hash runs of those, then whole archives, then groups of archives up to
-one root.  Two replicas are compared root first; only the children of mismatching
-nodes are looked at on the way down, to the damaged records.
+hash the records of one id and one slice of the digests, in order; the next levels
+hash the slices of an id, runs of ids, then whole archives, then groups of archives
+up to one root.  No node depends on offsets, so a lost or shortened record, which
+moves all that follow it, changes the nodes above itself only.  Two replicas are
+compared root first; only the children of mismatching nodes are looked at on the
+way down, to the damaged records.
 
 Payloads never move: a record's digest and length are computed where it is
 scanned, and everything behind that handles digests only.
@@ -19,9 +21,10 @@ from traitmatch.llm.common import pick
 from traitmatch.plans.lineage import cut_lineage
 
 ARCHIVE_IDS = 1000         # id values per archive
-RANGE = 1 << 16            # offsets per lowest node; a record is longer than 100 bytes, so a node has under 656
-FAN = 16                   # lowest nodes per second-level node
-RUN_FAN = 256              # nodes per node on the next two levels; an archive has one of those for each 64 GB
+RANGE = 1 << 16            # offsets per reported range
+FAN = 64                   # nodes per node on the next three levels
+ID_SLICES = FAN ** 2       # digest slices (lowest nodes) of one id
+NULL_SLICES = FAN ** 3     # digest slices of the archive without id
 ARCHIVE_FAN = 256          # archives per group, groups per group of groups; eight levels with the root
 SLICE = 3                  # leading hex digits of a digest that cut the records without id
 
@@ -82,20 +85,29 @@ def _parents(children: DataFrame, archive: Column, number: Column) -> DataFrame:
 def _parent_keys() -> list[tuple[Column, Column]]:
     """Archive and number of the parent of a record, and of a node at levels 0 to 6."""
     zero = F.lit(0).cast("bigint")
-    within = [(F.col("archive"), _up("number", by)) for by in (RANGE, FAN, RUN_FAN, RUN_FAN)]
+    within = [(F.col("archive"), _up("number", by)) for by in (1, FAN, FAN, FAN)]
     return [*within, (F.col("archive"), zero),
             (_up("archive", ARCHIVE_FAN), zero), (_up("archive", ARCHIVE_FAN), zero), (zero, zero)]
 
 
+def _slot() -> Column:
+    """Number of a record's lowest node in its archive: by id and digest, whatever its offset."""
+    slice_of = lambda n: F.pmod(F.xxhash64("digest"), F.lit(n))
+    place = F.pmod(F.col("page_id"), F.lit(ARCHIVE_IDS)) * ID_SLICES + slice_of(ID_SLICES)
+    return F.coalesce(place, slice_of(NULL_SLICES)).cast("bigint")
+
+
 def merkle_levels(records: DataFrame) -> list[DataFrame]:
-    """``side, archive, number, hash`` of the nodes, one stored table per level, from ranges to the root.
+    """``side, archive, number, hash`` of the nodes, one stored table per level, from slices to the root.
 
-    ``records`` has ``side, archive, offset, length, digest``.  What one row
-    gathers is bounded: a range by its width, every other node by its fan-out;
-    the root has one child for each 65,536 archives.
+    ``records`` has ``side, archive, length, page_id, digest``; equal records count
+    as one with a number of copies.  What one row gathers is bounded by the fan-out,
+    and in a lowest node by the share of its slice in the distinct records of one id
+    (or of those without id); the root has one child for each 65,536 archives.
     """
-    below = records.select("side", "archive", F.col("offset").alias("number"),
-                           F.concat_ws(":", "length", "digest").alias("hash"))
+    below = (records.withColumn("number", _slot()).groupBy("side", "archive", "number", "page_id", "length", "digest")
+             .agg(F.count(F.lit(1)).alias("copies"))
+             .select("side", "archive", "number", F.concat_ws(":", "page_id", "length", "digest", "copies").alias("hash")))
     levels = []
     for k, (archive, number) in enumerate(_parent_keys()):
         below = cut_lineage(_parents(below, archive, number), f"merkle_{k}")
@@ -129,47 +141,54 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     One row per record that
     differs: ``status`` is ``altered``, ``missing`` (not in the replica) or
     ``extra`` (not in the primary).  Equal replicas, also two empty ones, give no
-    rows.  Records are told apart by archive and offset; a repeated page has its
-    own offset.  A null id is kept.
+    rows.  Records are paired by archive and id, not by offset, which may differ
+    in every record behind a lost or shortened one: equal records first, copy by
+    copy, then the remaining ones of an id in the order of their offsets (which of
+    several altered records of one id belong together is not known otherwise).
+    ``offset`` and ``length`` are the primary's, or the replica's of an extra
+    record.  A null id is kept.
     """
     sides = (primary.withColumn("side", F.lit("p"))
              .unionByName(replica.select(*primary.columns).withColumn("side", F.lit("r"))))
     ranges = mismatching_ranges(merkle_levels(sides))
-    inside = (sides.withColumn("number", _up("offset", RANGE))
-              .join(ranges, ["archive", "number"], "left_semi"))
-    side = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c)))
-    record = F.struct("page_id", "length", "digest")
-    found = (inside.withColumn("record", record).groupBy("archive", "number", "offset")
-             .agg(side("p", "record").alias("p"), side("r", "record").alias("r")))
+    inside = sides.withColumn("number", _slot()).join(ranges, ["archive", "number"], "left_semi")
+    numbered = lambda df, *keys: df.withColumn("_n", F.row_number().over(
+        Window.partitionBy("side", *keys).orderBy("offset", "length", "digest")))
+    record = F.struct("offset", "length", "digest")
+    side = lambda s: F.max(F.when(F.col("side") == s, F.col("record")))
+    same = ["archive", "page_id", "length", "digest"]
+    alone = (numbered(inside, *same).withColumn("record", record).groupBy(*same, "_n")
+             .agg(F.max("side").alias("side"), F.count(F.lit(1)).alias("sides"), F.max("record.offset").alias("offset"))
+             .filter("sides = 1"))
+    found = (numbered(alone, "archive", "page_id").withColumn("record", record).groupBy("archive", "page_id", "_n")
+             .agg(side("p").alias("p"), side("r").alias("r")))
     status = (F.when(F.col("r").isNull(), "missing").when(F.col("p").isNull(), "extra").otherwise("altered"))
-    return (found.filter(F.col("p").isNull() | F.col("r").isNull() | (F.col("p.digest") != F.col("r.digest"))
-                         | (F.col("p.length") != F.col("r.length")))
-            .select("archive", "offset", F.coalesce("p.length", "r.length").alias("length"),
-                    F.coalesce("p.page_id", "r.page_id").alias("page_id"), status.alias("status"),
-                    F.col("p.digest").alias("primary_digest"), F.col("r.digest").alias("replica_digest"),
-                    (F.col("number") * RANGE).alias("range_start"),
-                    ((F.col("number") + 1) * RANGE).alias("range_end")))
+    start = F.floor(F.coalesce("p.offset", "r.offset") / RANGE).cast("bigint") * RANGE
+    return found.select("archive", F.coalesce("p.offset", "r.offset").alias("offset"),
+                        F.coalesce("p.length", "r.length").alias("length"), "page_id", status.alias("status"),
+                        F.col("p.digest").alias("primary_digest"), F.col("r.digest").alias("replica_digest"),
+                        start.alias("range_start"), (start + RANGE).alias("range_end"))
+
+
+def damaged_copy(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+    """``page_id, url, html`` of a replica: of each 97 consecutive ids, one has a character replaced, one is cut to half, one is lost."""
+    p = pick(pages, page_id=id_col, url=url_col, html=payload_col)
+    body, kind = F.coalesce("html", F.lit("")), F.pmod(F.col("page_id"), F.lit(97))
+    half = F.floor(F.length(body) / 2).cast("int")
+    damaged = (F.when(kind == 5, F.concat(F.substring(body, F.lit(1), half), F.lit("~"),
+                                          F.substring(body, half + 2, F.length(body))))
+               .when(kind == 31, F.substring(body, F.lit(1), half)).otherwise(F.col("html")))
+    return p.filter(~kind.eqNullSafe(F.lit(64))).withColumn("html", damaged)
 
 
 def audit_damaged_copy(pages: DataFrame) -> DataFrame:
     """Audit of all pages' archives against a replica with damage at fixed ids.
 
-    The replica is derived from the pages: of each 97 consecutive ids, one has a
-    character replaced, one is cut to half, one is lost.
+    Both sides are catalogued from their own rows: every record of the replica is
+    hashed and has its own length and offset.
     """
-    n, kind = F.length("payload"), F.pmod(F.col("page_id"), F.lit(97))
-    half = F.floor(n / 2).cast("int")
-    damaged = (F.when(kind == 5, F.concat(F.substring("payload", F.lit(1), half), F.lit("~"),
-                                          F.substring("payload", half + 2, n)))
-               .when(kind == 31, F.substring("payload", F.lit(1), half)).otherwise(F.col("payload")))
-    # null where the record is lost
-    replica_digest = F.when(kind.eqNullSafe(64), F.lit(None)).when(
-        kind.isin(5, 31), F.sha2(warc_record(F.col("url"), damaged), 256))
-    both = cut_lineage(catalogue(pages, replica=replica_digest, kind=kind), "warc_catalogue")
-    columns = ["archive", "offset", "length", "page_id"]
-    replica = (both.filter(~F.col("kind").eqNullSafe(64))
-               .select(*columns, F.coalesce("replica", "digest").alias("digest")))
-    return audit(both.select(*columns, "digest"), replica)
+    return audit(cut_lineage(catalogue(pages), "warc_primary"),
+                 cut_lineage(catalogue(damaged_copy(pages)), "warc_replica"))
 
 
 AUDIT_SQL = r"""
