@@ -1,6 +1,8 @@
 """Tokens, secrets, quality rules: every row against the libraries or a plain restatement."""
 
+import base64
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -131,6 +133,23 @@ def test_compression_bands():
     assert not qr.judge(prose[:10_000] + b"z" * 40_000)[2]                                # most chunks repeat
 
 
+@pytest.mark.parametrize("size", [256, 400, 700, 1500, 3000, 4096, 9000, 40_000])
+def test_encoded_data_is_rejected_and_clean_text_kept(size):
+    rng = random.Random(size)
+    lines = base64.encodebytes(rng.randbytes(size))[:size]
+    words = " ".join(base64.b64encode(rng.randbytes(6)).decode() for _ in range(size))[:size].encode()
+    hexes = [sep.join(rng.randbytes(n).hex() for _ in range(size)).encode()[:size] for sep in (" ", "\n") for n in (1, 2, 4, 16, 32)]
+    for raw in (lines, words, *hexes, *map(bytes.upper, hexes)):
+        assert not qr.judge(raw)[2]
+    # unrelated words, as hard to compress as any prose, with numbers and hex-like words among them
+    made = ["".join(rng.choice(["ing", "th", "er", "an", "ou", "st", "re", "de", "on", "ly", "is"]) for _ in range(rng.choice([1, 2, 2, 3])))
+            for _ in range(size)]
+    clean = " ".join(w if i % 9 else rng.choice(["2024", "dead", "a", "be", "fee", "17"]) for i, w in enumerate(made))[:size]
+    assert qr.judge(clean.encode())[2]
+    if size > 8192:
+        assert not qr.judge(clean[:size // 4].encode() + lines)[2]                            # an attachment
+
+
 def test_edges_of_every_text_operator(spark, docs, clashing, empty):
     for run in (bpe.encode_documents, tc.count_tokens, se.scan_secrets, qr.quality_rules):
         assert run(empty).count() == 0
