@@ -3,7 +3,9 @@
 Ordinary words cost few tokens a character under a large public vocabulary;
 random strings cost many.  Runs of key characters with a low characters-per-token
 ratio are reported as kind ``random``, after known digests and identifiers are
-excluded.  The fixed patterns (``assign``, ``access``, ``hex``) are always reported.
+excluded.  A path or a name joined to a key raises the ratio of the whole run, so
+its parts without words, digests and UUIDs are tested too, then the costliest
+stretch of each.  The fixed patterns (``assign``, ``access``, ``hex``) are always reported.
 """
 
 from __future__ import annotations
@@ -28,10 +30,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")          # a maximal run of 24 or more
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "random")
 
+LEAST = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+PART = re.compile(r"[A-Za-z0-9]+")
+WORD = 4                                    # an identifier of so many characters ends a stretch; a shorter one may lie in a key
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)  # md5, sha1, sha224, sha256, sha384, sha512 in hex
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+UUID_PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 # Identifiers: words of one case style, or digits, joined by separators.  A run of separators is
 # taken whole (possessive), so a long one cannot be cut in exponentially many ways.
 IDENTIFIER = re.compile(r"([a-z]+|[A-Z]+|([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})+|[0-9]+)?"
@@ -57,11 +63,22 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def is_digest(run: str) -> bool:
+    return len(run) in DIGEST_LENGTHS and bool(DIGEST.fullmatch(run))
+
+
 def excluded(run: str) -> bool:
-    """Whether a run is a known digest or an identifier."""
-    if len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run):
+    """Whether a run is a known digest or an identifier, or beside digests and UUIDs holds no more than an identifier or a few characters."""
+    if is_digest(run) or IDENTIFIER.fullmatch(run):
         return True
-    return bool(UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
+    rest = UUID_PART.sub("", run)
+    rest = PART.sub(lambda m: "" if is_digest(m[0]) else m[0], rest)
+    return len(rest) < len(run) and (len(rest) < LEAST or bool(IDENTIFIER.fullmatch(rest)))
+
+
+def token_lengths(run: str, encoding) -> list[int]:
+    return [len(encoding.decode_single_token_bytes(t)) for i in range(0, len(run), PIECE)
+            for t in encoding.encode_ordinary(run[i:i + PIECE])]
 
 
 def chars_per_token(run: str, encoding) -> float:
@@ -69,6 +86,48 @@ def chars_per_token(run: str, encoding) -> float:
     return len(run) / max(1, tokens)
 
 
+def stretches(run: str) -> list[tuple[int, int]]:
+    """Bounds of the longest stretches of parts without a word, digest or UUID, of ``LEAST`` characters or more."""
+    known = [m.span() for m in UUID_PART.finditer(run)]
+    out, start, end, at = [], None, 0, 0
+    for m in PART.finditer(run):
+        while at < len(known) and known[at][1] <= m.start():
+            at += 1
+        if (at < len(known) and known[at][0] <= m.start() or is_digest(m[0])
+                or len(m[0]) >= WORD and IDENTIFIER.fullmatch(m[0])):
+            out.append((start, end))
+            start = None
+        else:
+            start, end = m.start() if start is None else start, m.end()
+            while run[end:end + 1] == "=":          # padding of base64
+                end += 1
+    out.append((start, end))
+    return [(a, b) for a, b in out if a is not None and b - a >= LEAST and not excluded(run[a:b])]
+
+
+def costly(run: str, encoding, limit: float) -> list[tuple[int, int]]:
+    """Bounds of disjoint stretches of tokens, ``LEAST`` characters or more, of a ratio of at most ``limit``.
+
+    A stretch begins where the spare (``limit`` a token, less its characters) is
+    positive and ends at its highest sum; what follows begins anew once the sum is
+    used up.  Each token is passed once or, after a stretch's end, twice.
+    """
+    out, at, start, best, end, spare = [], 0, 0, 0.0, 0, 0.0
+    for n in token_lengths(run, encoding):
+        if spare <= 0:
+            if end - start >= LEAST:
+                out.append((start, end))
+            start, end, spare, best = at, at, 0.0, 0.0
+        at += n
+        spare += limit - n
+        # the furthest end whose stretch still keeps to the limit, while it has not fallen far from its best
+        if spare >= best or end - start < LEAST and spare >= 0:
+            best, end = max(best, spare), at
+    if end - start >= LEAST:
+        out.append((start, end))
+    return [(a, b) for a, b in out if not excluded(run[a:b])]
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of the fixed patterns, in code points, end exclusive."""
     out = []
@@ -82,9 +141,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, encoding, limit: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
-    """Runs of 20 or more key characters whose characters-per-token ratio is at most ``limit``."""
-    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text)
-            if not excluded(m[0]) and chars_per_token(m[0], encoding) <= limit]
+    """Runs of 20 or more key characters whose characters-per-token ratio is at most ``limit``.
+
+    Where a run exceeds it, its stretches between words, digests and UUIDs that keep
+    to it, or else the costliest stretches within these.
+    """
+    out = []
+    for m in CANDIDATE.finditer(text):
+        if excluded(m[0]):
+            continue
+        if chars_per_token(m[0], encoding) <= limit:
+            out.append((m.start(), 3, m.end()))
+            continue
+        for a, b in stretches(m[0]):
+            part = m[0][a:b]
+            found = [(0, len(part))] if chars_per_token(part, encoding) <= limit else costly(part, encoding, limit)
+            out += [(m.start() + a + x, 3, m.start() + a + y) for x, y in found]
+    return out
 
 
 def joined(spans) -> str:
