@@ -273,6 +273,24 @@ def test_prediction_reads_only_the_text(spark):
     assert key(langid.predict_language(df)) == key(langid.predict_language(other))
 
 
+def test_any_number_of_labels_is_scored(spark):
+    df, rows = language_rows(spark)
+    key = lambda d: sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 6), round(r.bits_per_byte, 4))
+                            for r in d.collect()), key=repr)
+    # noisy labels and other alphabets: the same in blocks of two as in one table
+    few = df.unionByName(spark.createDataFrame(
+        [(200 + i, t, x) for i, (t, x) in enumerate([("привет мир как дела", "ru"), ("γεια σου κόσμε", "el"),
+                                                     ("the and of ing", "EN"), ("12 zażółć gęślą", "pl")] * 8)],
+        "doc_id bigint, text string, lang string"))
+    assert key(langid.predict_language(few)) == key(langid.predict_language(few, block_langs=2))
+    many = df.unionByName(df.filter("doc_id < 120").select((F.col("doc_id") + 1000).alias("doc_id"), F.lit("zz zz").alias("text"),
+                                              F.concat(F.lit("x"), F.col("doc_id").cast("string")).alias("lang")))
+    assert many.select("lang").distinct().count() > langid.BLOCK_LANGS + 20
+    got = langid.predict_language(many).collect()
+    held = {i: x for i, t, x in rows if i is not None and i < 120 and fold(i, 4) == 2}
+    assert len(got) == many.count() and all(r.lang_pred == held[r.doc_id] for r in got if r.doc_id in held)
+
+
 def test_code_lengths_equal_a_plain_walk():
     train = [b"abracadabra abra", b"cadabra bar"]
     model = langid.ContextModels(["x"], [langid.gram_counts(train)])

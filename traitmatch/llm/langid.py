@@ -7,6 +7,10 @@ escape probabilities of the longer contexts (escape method C, with the symbols
 of a longer context excluded from the shorter ones).  All code lengths go into
 one table, so a text's exact code length under every language is a sum of table
 entries; the language with the shortest code wins.
+
+Tables of more than ``BLOCK_LANGS`` languages are made and scored block by block: each
+block is one pass over the texts, whose results (a few numbers a text) meet in a
+shuffle.  The blocks share one alphabet, so the code lengths are those of one table.
 """
 
 from __future__ import annotations
@@ -20,11 +24,12 @@ from pyspark.sql import functions as F
 
 from traitmatch.llm.common import arrow_batch, byte_slices, pick, schema_of
 from traitmatch.llm.contexts import PAD, ContextTable
+from traitmatch.plans.lineage import cut_lineage
 
 ORDER = 3
 TRAIN_DOCS_PER_LANG = 400     # documented bound of the training sample: whole texts per language
 PICK_PARTS = 64
-MAX_LANGS = 64                # more label values than this are refused, not cut
+BLOCK_LANGS = 64              # languages of one table; more labels are scored in several passes
 LETTER = re.compile(r"[^\W\d_]")
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double"),
           ("bits_per_byte", "double")]
@@ -47,7 +52,9 @@ def gram_counts(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.
 class ContextModels:
     """PPM context trees of several languages, frozen into one code-length table."""
 
-    def __init__(self, langs: list[str], grams: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER):
+    def __init__(self, langs: list[str], grams: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER,
+                 others: bytes = b""):
+        """``others``: bytes seen in the training texts of languages outside this table."""
         self.langs = langs
         trees = []
         seen: set[int] = set()
@@ -60,7 +67,7 @@ class ContextModels:
                     node = tree.setdefault(raw[k:order], {})
                     node[raw[-1]] = node.get(raw[-1], 0) + n
             trees.append(tree)
-        alphabet = bytes(seen | {10})
+        alphabet = bytes(seen | {10, *others})
         self.table = ContextTable(alphabet, [c for t in trees for c in t])
         a = self.table.size
         self.bits = np.empty((len(self.table.contexts), a, len(langs)), np.float32)
@@ -116,9 +123,8 @@ class ContextModels:
         return out
 
 
-def training_grams(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG,
-                   order: int = ORDER) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Gram counts of a bounded sample per language.
+def training_counts(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG, order: int = ORDER) -> DataFrame:
+    """``lang, gram, n``: gram counts of a bounded sample per language, for one block of languages.
 
     ``rows`` has ``doc_id, lang, text``; the ``per_lang`` ids with the smallest hash
     of each language are picked on ids alone, then their whole texts are read by a
@@ -133,7 +139,7 @@ def training_grams(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG,
     ids = rows.select("lang", F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_key"))
     parted = ids.withColumn("_part", F.pmod("_key", F.lit(PICK_PARTS)))
     picked = first(first(parted, "lang", "_part"), "lang").select("lang", "_id").distinct()
-    # at most MAX_LANGS x per_lang ids
+    # at most BLOCK_LANGS x per_lang ids
     sample = rows.join(F.broadcast(picked.withColumnRenamed("lang", "_lang")),
                        (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
 
@@ -147,10 +153,13 @@ def training_grams(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG,
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes),
                                                   pa.array(n)], names=["lang", "gram", "n"])
 
-    counted = (sample.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
-               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
-    # bounded: at most MAX_LANGS x per_lang texts were counted
-    frame = counted.to_pandas().sort_values(["lang", "gram"])
+    return (sample.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+
+
+def collected(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Gram counts by language; bounded: at most BLOCK_LANGS x per_lang texts were counted."""
+    frame = counts.toArrow().to_pandas().sort_values(["lang", "gram"])
     return {lang: (g["gram"].to_numpy(np.int64), g["n"].to_numpy(np.int64)) for lang, g in frame.groupby("lang")}
 
 
@@ -160,7 +169,7 @@ def remainder(column, divisor: int):
 
 
 def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     per_lang: int = TRAIN_DOCS_PER_LANG) -> DataFrame:
+                     per_lang: int = TRAIN_DOCS_PER_LANG, block_langs: int = BLOCK_LANGS) -> DataFrame:
     """Language of every whole text; one row per input row, repeated rows included.
 
     Training uses only text and label of rows whose crc32(id) mod 4 is not 2 and
@@ -177,39 +186,86 @@ def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     labelled = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "")
                            & F.col("doc_id").isNotNull() & ~held_out)
-    if labelled.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} language labels")
-    grams = training_grams(labelled.select("doc_id", "lang", "text"), per_lang)
-    shared = docs.sparkSession.sparkContext.broadcast(grams)     # bounded by the sample
+    labelled = labelled.select("doc_id", "lang", "text")
+    labels = sorted(r[0] for r in labelled.select("lang").distinct().collect())
+    blocks = [labels[i:i + block_langs] for i in range(0, len(labels), block_langs)]
+    rows = rows.select("doc_id", held_out.alias("held_out"), "text")
+    if len(blocks) > 1:
+        return _predict_in_passes(rows, labelled, blocks, per_lang)
+    grams = collected(training_counts(labelled, per_lang))
+    shared = docs.sparkSession.sparkContext.broadcast((grams, b""))     # bounded by the sample
 
     def run(batches):
         models = _models(shared)
         for batch in batches:
             for part in byte_slices(batch, 2, 2 << 20):
-                texts = part.column(2).to_pylist()
-                good = [i for i, t in enumerate(texts) if t and models is not None and LETTER.search(t)]
-                pred, score, rate = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-                if good:
-                    raw = [texts[i].encode() for i in good]
-                    bits = models.lengths(raw)
-                    best = bits.argmin(axis=1)
-                    least = bits[np.arange(len(good)), best]
-                    share = 1 / np.exp2(np.clip(least[:, None] - bits, -1000, 0)).sum(axis=1)
-                    for k, i in enumerate(good):
-                        pred[i], score[i] = models.langs[best[k]], float(share[k])
-                        rate[i] = float(least[k]) / len(raw[k])
+                pred, score, rate = ["und"] * part.num_rows, [0.0] * part.num_rows, [0.0] * part.num_rows
+                for i, lang, least, total, size in _scored(models, part.column(2).to_pylist()):
+                    pred[i], score[i], rate[i] = lang, 1 / total, least / size
                 yield arrow_batch(FIELDS, [part.column(0), part.column(1), pred, score, rate])
 
-    return rows.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, schema_of(FIELDS))
+    return rows.mapInArrow(run, schema_of(FIELDS))
+
+
+def _scored(models: ContextModels | None, texts: list[str | None]):
+    """For each text with a letter: position, best language, its bits, the sum of all languages' likelihoods over its own, bytes."""
+    good = [i for i, t in enumerate(texts) if t and models is not None and LETTER.search(t)]
+    if good:
+        raw = [texts[i].encode() for i in good]
+        bits = models.lengths(raw)
+        best = bits.argmin(axis=1)
+        least = bits[np.arange(len(good)), best]
+        total = np.exp2(np.clip(least[:, None] - bits, -1000, 0)).sum(axis=1)
+        for k, i in enumerate(good):
+            yield i, models.langs[best[k]], float(least[k]), float(total[k]), len(raw[k])
+
+
+def _predict_in_passes(rows: DataFrame, labelled: DataFrame, blocks: list[list[str]], per_lang: int) -> DataFrame:
+    """``FIELDS`` of ``rows`` (``doc_id, held_out, text``): one pass over the stored texts for each block of labels."""
+    context = rows.sparkSession.sparkContext
+    # stored, so that row numbers are data and all passes read the same rows
+    numbered = cut_lineage(rows.withColumn("row_no", F.monotonically_increasing_id()), "lang_rows")
+    counts = [cut_lineage(training_counts(labelled.filter(F.col("lang").isin(block)), per_lang), "lang_counts")
+              for block in blocks]
+    alphabet = bytes({r[0] for each in counts for r in each.select(F.pmod("gram", F.lit(256))).distinct().collect()})
+    fields = [("row_no", "bigint"), ("lang", "string"), ("least", "double"), ("total", "double"), ("size", "bigint")]
+    passes = None
+    for each in counts:
+        shared = context.broadcast((collected(each), alphabet))
+
+        def run(batches, shared=shared):
+            models = _models(shared)
+            for batch in batches:
+                for part in byte_slices(batch, 1, 2 << 20):
+                    found = list(_scored(models, part.column(1).to_pylist()))
+                    at, *columns = zip(*found) if found else [()] * 5
+                    yield arrow_batch(fields, [part.column(0).take(pa.array(at, pa.int64())), *columns])
+
+        done = cut_lineage(numbered.select("row_no", "text").mapInArrow(run, schema_of(fields)), "lang_pass")
+        shared.destroy()
+        passes = done if passes is None else passes.unionByName(done)
+    # one row a block; ties take the first label
+    best = passes.groupBy("row_no").agg(
+        F.min(F.struct("least", "lang", "size")).alias("best"), F.collect_list(F.struct("least", "total")).alias("all"))
+    share = F.aggregate("all", F.lit(0.0), lambda acc, x: acc + x["total"] * F.pow(
+        F.lit(2.0), F.greatest(F.col("best.least") - x["least"], F.lit(-1000.0))))
+    best = best.select("row_no", F.col("best.lang").alias("lang"), (1 / share).alias("score"),
+                       (F.col("best.least") / F.col("best.size")).alias("rate"))
+    zero = F.lit(0.0)
+    return (numbered.drop("text").join(best, "row_no", "left")
+            .select("doc_id", "held_out", F.coalesce("lang", F.lit("und")).alias("lang_pred"),
+                    F.coalesce("score", zero).alias("score"), F.coalesce("rate", zero).alias("bits_per_byte")))
 
 
-_BUILT: dict[int, ContextModels | None] = {}
+_BUILT: dict[int, tuple] = {}
 
 
 def _models(shared) -> ContextModels | None:
     """The frozen tables, built once per Python worker and broadcast."""
-    grams = shared.value
-    if id(grams) not in _BUILT:
+    value = shared.value
+    if id(value) not in _BUILT:
         _BUILT.clear()
-        _BUILT[id(grams)] = ContextModels(list(grams), list(grams.values())) if grams else None
-    return _BUILT[id(grams)]
+        grams, others = value
+        # the value is held beside its tables, so that no later broadcast can have its id
+        _BUILT[id(value)] = value, ContextModels(list(grams), list(grams.values()), others=others) if grams else None
+    return _BUILT[id(value)][1]
