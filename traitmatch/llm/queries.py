@@ -13,9 +13,11 @@ from traitmatch.llm.jaccard import JACCARD_SQL, jaccard_components
 from traitmatch.llm.langid import predict_language
 from traitmatch.llm.quality_model import score_quality
 from traitmatch.llm.quality_rules import quality_rules
+from traitmatch.llm.resampling import RESAMPLE_SQL, resample
 from traitmatch.llm.secrets import scan_secrets
 from traitmatch.llm.suffix_lm import score_documents
 from traitmatch.llm.token_counts import count_tokens
+from traitmatch.llm.whitening import whiten_embeddings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,10 +64,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), max_run=1)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_encode_decode, op2_jaccard_join, op3_language_id, op4_secret_scan, op5_merkle_fixity,
-                              op6_suffix_tree_scores,
-                              op7_quality_rules, op8_quality_classifier, op9_decontamination, op10_token_counts)
+                              op6_suffix_tree_scores, op7_quality_rules, op8_quality_classifier, op9_decontamination,
+                              op10_token_counts, op11_importance_resampling, op12_embedding_whitening)
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL, "op5_merkle_fixity": AUDIT_SQL, "op9_decontamination": FIND_CONTAMINATION_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL, "op5_merkle_fixity": AUDIT_SQL,
+                              "op9_decontamination": FIND_CONTAMINATION_SQL, "op11_importance_resampling": RESAMPLE_SQL}
