@@ -17,6 +17,7 @@ from traitmatch.llm.resampling import RESAMPLE_SQL, resample
 from traitmatch.llm.secrets import scan_secrets
 from traitmatch.llm.suffix_lm import score_documents
 from traitmatch.llm.token_counts import count_tokens
+from traitmatch.llm.toxicity import score_toxicity
 from traitmatch.llm.whitening import whiten_embeddings
 
 
@@ -72,10 +73,14 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe_encode_decode, op2_jaccard_join, op3_language_id, op4_secret_scan, op5_merkle_fixity,
                               op6_suffix_tree_scores, op7_quality_rules, op8_quality_classifier, op9_decontamination,
-                              op10_token_counts, op11_importance_resampling, op12_embedding_whitening)
+                              op10_token_counts, op11_importance_resampling, op12_embedding_whitening, op13_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL, "op5_merkle_fixity": AUDIT_SQL,
