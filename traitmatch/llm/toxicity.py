@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -239,22 +240,28 @@ def inverse_root(matrix: np.ndarray) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 3e-4, rounds: int = 60) -> np.ndarray:
     """Squared-hinge linear machine (weights and, last, bias) by Newton steps on its support vectors."""
-    n, d = x.shape
-    a = np.column_stack([x, np.ones(n)])
+    d = x.shape[1]
     t, w = 2.0 * y - 1, np.zeros(d + 1)
     penalty = np.append(np.full(d, ridge), 1e-9)
     share = weight / weight.sum()
 
+    def margins(w):
+        return 1 - t * (x @ w[:-1].astype(x.dtype) + w[-1])
+
     def loss(w):
-        return float((share * np.maximum(0, 1 - t * (a @ w)) ** 2).sum() + (penalty * w * w).sum())
+        return float((share * np.maximum(0, margins(w)) ** 2).sum() + (penalty * w * w).sum())
 
     now = loss(w)
     for _ in range(rounds):
-        margin = 1 - t * (a @ w)
-        on = margin > 0
-        grad = -2 * (a[on] * (share * t * margin)[on, None]).sum(axis=0) + 2 * penalty * w
-        hess = 2 * (a[on].T * share[on]) @ a[on] + 2 * np.diag(penalty)
-        step, size = np.linalg.solve(hess + 1e-12 * np.eye(d + 1), grad), 1.0
+        margin = margins(w)
+        on = np.nonzero(margin > 0)[0]
+        pull = share[on] * t[on] * margin[on]
+        grad, hess = 2 * penalty * w, 2 * np.diag(penalty) + 1e-12 * np.eye(d + 1)
+        for i in range(0, len(on), 4096):             # a block of support vectors at a time
+            a = np.column_stack([x[on[i:i + 4096]], np.ones(len(on[i:i + 4096]))])
+            grad -= 2 * pull[i:i + 4096] @ a
+            hess += 2 * (a.T * share[on[i:i + 4096]]) @ a
+        step, size = np.linalg.solve(hess, grad), 1.0
         while size > 1e-6 and loss(w - size * step) > now:
             size /= 2
         w = w - size * step
@@ -342,13 +349,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, fold: in
 def _sample_slices(batches):
     for batch in batches:
         for part in byte_slices(batch, 2, SLICE):
-            yield part.column(0).to_pylist(), part.column(1).to_pylist(), [sentences(t) for t in part.column(2).to_pylist()]
+            yield part.column(1).to_pylist(), [sentences(t) for t in part.column(2).to_pylist()]
 
 
 def candidate_words(sample: DataFrame) -> tuple[list[str], dict[str, int]]:
     """Words most tied to toxic documents, and the most frequent other ones with their documents (``POOL`` each)."""
     def run(batches):
-        for _, labels, found in _sample_slices(batches):
+        for labels, found in _sample_slices(batches):
             words, ys = [], []
             for y, text in zip(labels, found):
                 distinct = {u for s in text for w in s for u in windows(w)}
@@ -383,20 +390,26 @@ def choose_landmarks(bad: list[str], good: dict[str, int], n_bad: int = TOXIC_LA
     return chosen + spread([words[i] for i in np.argsort(-harm, kind="stable") if harm[i] > 0], n_good)
 
 
-def _vectors_of(table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids, y = np.array(table.column("doc_id").to_pylist(), np.int64), np.array(table.column("y").to_pylist(), float)
-    x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(-1, size).astype(np.float64)
-    order = np.lexsort([*x.T, y, ids])                  # the fit does not depend on the order of arrival
-    return ids[order], y[order], x[order]
+def _vectors(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, how often, and values of the distinct vectors, in an order that is theirs alone."""
+    table = (rows.groupBy("y", "x").agg(F.sum("n").alias("n")).orderBy("y", "x")).toArrow()
+    x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(-1, size)
+    return table.column("y").to_numpy().astype(float), table.column("n").to_numpy().astype(float), x
+
+
+def _counted(ys: list[int], x: np.ndarray) -> pa.RecordBatch:
+    counts = Counter(zip(ys, map(bytes, x)))
+    return pa.RecordBatch.from_arrays([pa.array([y for y, _ in counts], pa.int32()), pa.array([v for _, v in counts], pa.binary()),
+                                       pa.array(list(counts.values()), pa.int64())], names=["y", "x", "n"])
 
 
 def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
     """Model of a labelled sample; ``None`` without both labels or without a word in them.
 
     Three quarters of the documents train both machines, the last quarter (by the hash of the
-    id) calibrates.  Reaches the driver: candidate words, one vector (a number a landmark) for
-    each document and each chosen sentence, and one for its disturbed copy (at most ``1 + 2 *
-    CLEAN_SENTENCES`` a document), and the decisions of the last quarter.
+    id) calibrates.  Reaches the driver: candidate words, the distinct vectors (a number a landmark)
+    of documents, chosen sentences and their disturbed copies (at most ``1 + 2 * CLEAN_SENTENCES`` a
+    document; those without a similar word are one), and the decisions of the last quarter.
     """
     calibrates = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
     fitted = sample.filter(~calibrates)
@@ -406,42 +419,39 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
     landmarks = choose_landmarks(bad, good)
     size = len(landmarks)
 
-    def emit(ids, ys, x):
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ys, pa.int32()),
-                                           pa.array([row.tobytes() for row in x], pa.binary())], names=["doc_id", "y", "x"])
-
     def whole(batches):
-        for ids, ys, found in _sample_slices(batches):
+        for ys, found in _sample_slices(batches):
             keep = [i for i, s in enumerate(found) if s]
-            yield emit([ids[i] for i in keep], [ys[i] for i in keep],
-                       _kernel(landmarks).pooled([[w for s in found[i] for w in s] for i in keep]))
+            yield _counted([ys[i] for i in keep], _kernel(landmarks).pooled([[w for s in found[i] for w in s] for i in keep]))
 
-    schema = "doc_id bigint, y int, x binary"
-    documents = _vectors_of(fitted.mapInArrow(whole, schema).toArrow(), size)
-    _, y, x = documents
-    if not 0 < y.sum() < len(y):
+    schema = "y int, x binary, n bigint"
+    documents = _vectors(fitted.mapInArrow(whole, schema), size)
+    if len(set(documents[0])) < 2:
         return None
     root = inverse_root(LandmarkKernel(landmarks).matrix(landmarks))
-    balance = lambda y: np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    direction = root @ fit_svm(x @ root, y, balance(y))[:-1]
+
+    def machine(y, n, x):
+        """Both labels weigh the same."""
+        return fit_svm(x @ root.astype(np.float32), y, np.where(y > 0, n / (n * y).sum(), n / (n * (1 - y)).sum()))
+
+    direction = root @ machine(*documents)[:-1]
 
     def worst(batches):
-        for ids, ys, found in _sample_slices(batches):
+        for ys, found in _sample_slices(batches):
             groups = [words for s in found for words in s]
-            x, at, picked, who = _kernel(landmarks).pooled(groups), 0, [], []
+            x, at, picked, labels = _kernel(landmarks).pooled(groups), 0, [], []
             f = x @ direction
             for i, s in enumerate(found):
                 take = 1 if ys[i] else CLEAN_SENTENCES
                 best = at + np.argsort(-f[at:at + len(s)], kind="stable")[:take]
                 picked += best.tolist()
-                who += [i] * len(best)
+                labels += [ys[i]] * len(best)
                 at += len(s)
             copies = _kernel(landmarks).pooled([[disturbed(w) for w in groups[k]] for k in picked])
-            yield emit([ids[i] for i in who] * 2, [ys[i] for i in who] * 2, np.concatenate([x[picked], copies]))
+            yield _counted(labels * 2, np.concatenate([x[picked], copies]))
 
-    labelled = _vectors_of(fitted.mapInArrow(worst, schema).toArrow(), size)
-    _, y, x = (np.concatenate(pair) for pair in zip(documents, labelled))
-    second = fit_svm(x @ root, y, balance(y))
+    labelled = _vectors(fitted.mapInArrow(worst, schema), size)
+    second = machine(*(np.concatenate(pair) for pair in zip(documents, labelled)))
     model = ToxicityModel(landmarks, root @ second[:-1], float(second[-1]))
 
     def decide(batches):
