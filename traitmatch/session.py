@@ -105,10 +105,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/traitmatch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder by Spark's file system; a missing one is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what :func:`scratch_path` named for this application (its frames can no longer be read)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/traitmatch")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/traitmatch")
 
 
 def _is_local(master: str) -> bool:
