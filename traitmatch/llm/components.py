@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.plans.lineage import cut_lineage
+from traitmatch.plans.lineage import cut_lineage, let_go
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,15 +31,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the least node) of every node with an edge in ``(a, b)``.
 
     Each round is two joins; rounds are stored under the shared checkpoint folder
-    and end when nothing moves (about the logarithm of the longest chain).  Self
+    (each is deleted when the next one stands) and end when nothing moves (about the
+    logarithm of the longest chain).  Self
     loops and repeated edges are allowed; no edges give no rows.
     """
     now = cut_lineage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .filter(F.col("a") != F.col("b")).distinct(), "cc_edges")
     before = _state(now)
     while True:
-        now = cut_lineage(_small_star(_large_star(now).distinct()).distinct(), "cc_round")
+        last, now = now, cut_lineage(_small_star(_large_star(now).distinct()).distinct(), "cc_round")
         state = _state(now)
+        let_go(last)
         if state == before:
             break
         before = state

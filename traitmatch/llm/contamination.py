@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traitmatch.llm.common import byte_slices, pick, texts_of
-from traitmatch.plans.lineage import cut_lineage
+from traitmatch.plans.lineage import cut_lineage, number_rows, scratch_scope
 
 WINDOW = 13
 SEGMENT_BYTES = 4 << 20      # text bytes per segment (a longer single text still makes one segment)
@@ -289,13 +289,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows that are not contaminated, all columns unchanged.
 
     The search runs on row numbers, not ids, so repeated or missing ids never
-    take another row along.
+    take another row along.  Null or wordless texts stay; an empty benchmark drops
+    nothing; an empty table gives no rows.  The index is deleted once the dropped rows are known.
     """
     names = docs.columns
-    numbered = cut_lineage(docs.toDF(*[f"_c{i}" for i in range(len(names))])
-                           .withColumn("_row", F.monotonically_increasing_id()), "numbered_docs")
-    found = find_contamination(numbered, benchmark, "_row", f"_c{names.index(text_col)}", item_col, item_text_col, size)
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("_row"))
+    numbered = number_rows(docs.toDF(*[f"_c{i}" for i in range(len(names))]))
+    with scratch_scope(docs.sparkSession):
+        found = find_contamination(numbered, benchmark, "_row", f"_c{names.index(text_col)}", item_col, item_text_col, size)
+        bad = cut_lineage(found.filter("contaminated").select(F.col("doc_id").alias("_row")), "dropped_rows", outlive=True)
     return (numbered.join(bad, "_row", "left_anti")
             .select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)]))
 

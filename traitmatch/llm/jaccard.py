@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from traitmatch.llm.common import byte_slices, texts_of
 from traitmatch.llm.components import connected_components
-from traitmatch.plans.lineage import cut_lineage
+from traitmatch.plans.lineage import cut_lineage, number_rows, scratch_scope
 
 SHINGLE = 3
 GROUP_SHINGLES = 4_000_000     # most shingle hashes (8 bytes each) that one joining task holds
@@ -409,18 +409,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gives no rows; other columns are ignored.
     """
     texts = texts_of(docs, id_col, text_col)
-    sets = cut_lineage(shingle_sets(texts), "shingle_sets")
-    named = sets.filter(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())
-    representatives = cut_lineage(named.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("doc_id")),
-                                  "shingle_reps")
-    signed = (named.filter(F.octet_length("signatures") > 0)
-              .join(representatives.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi"))
-    edges = cut_lineage(candidate_edges(signed), "candidate_edges")
-    labels = connected_components(verified_links(texts, representatives, connected_components(edges), edges, group_shingles))
-    # stored, so that a join of the copies of one text with its row reads two plain shuffles, which AQE can split
-    named_sets = cut_lineage(
-        representatives.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .groupBy("set_hash").agg(F.min(F.coalesce("component", "doc_id")).alias("component")), "set_components")
+    with scratch_scope(docs.sparkSession):
+        sets = cut_lineage(shingle_sets(texts), "shingle_sets", outlive=True)
+        named = sets.filter(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())
+        representatives = cut_lineage(named.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("doc_id")),
+                                      "shingle_reps")
+        signed = (named.filter(F.octet_length("signatures") > 0)
+                  .join(representatives.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi"))
+        edges = cut_lineage(candidate_edges(signed), "candidate_edges")
+        links = verified_links(texts, representatives, connected_components(edges), edges, group_shingles)
+        labels = connected_components(links)
+        # stored, so that a join of the copies of one text with its row reads two plain shuffles, which AQE can split
+        named_sets = cut_lineage(
+            representatives.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .groupBy("set_hash").agg(F.min(F.coalesce("component", "doc_id")).alias("component")), "set_components",
+            outlive=True)
     return (sets.select("doc_id", "n_shingles", "set_hash").join(named_sets, "set_hash", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
@@ -435,14 +438,16 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     linked with nothing and stay.
     """
     names = docs.columns
-    numbered = cut_lineage(docs.toDF(*[f"_c{i}" for i in range(len(names))])
-                           .withColumn("_row", F.monotonically_increasing_id()), "numbered_texts")
-    found = jaccard_components(numbered, "_row", f"_c{names.index(text_col)}", group_shingles)
-    ids = numbered.select("_row", F.col(f"_c{names.index(id_col)}").alias("_id"))
-    order = F.struct(F.col("_id").isNull(), "_id", "_row")
-    kept = (found.withColumnRenamed("doc_id", "_row").join(ids, "_row")
-            .groupBy("component_id").agg(F.min(order).alias("_least")).select("_least._row"))
-    return (numbered.join(kept, "_row", "left_semi")
+    numbered = number_rows(docs.toDF(*[f"_c{i}" for i in range(len(names))]))
+    with scratch_scope(docs.sparkSession):
+        found = jaccard_components(numbered, "_row", f"_c{names.index(text_col)}", group_shingles)
+        ids = numbered.select("_row", F.col(f"_c{names.index(id_col)}").alias("_id"))
+        order = F.struct(F.col("_id").isNull(), "_id", "_row")
+        kept = (found.withColumnRenamed("doc_id", "_row").join(ids, "_row")
+                .groupBy("component_id").agg(F.min(order).alias("_least")).select("_least._row"))
+        # a plain stored table of numbers: the optimizer sees its bytes when it plans the join with the texts
+        dropped = cut_lineage(ids.select("_row").join(kept, "_row", "left_anti"), "dropped_rows", outlive=True)
+    return (numbered.join(dropped, "_row", "left_anti")
             .select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)]))
 
 

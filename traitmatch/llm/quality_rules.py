@@ -137,7 +137,11 @@ def _verdict():
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows whose text passes, all columns unchanged; every row is judged by its own text in one scan."""
+    """The rows whose text passes, all columns unchanged; every row is judged by its own text in one scan.
+
+    A null or empty text has no words and goes; repeated rows go or stay alike; an
+    empty table gives no rows.
+    """
     names = docs.columns
     at = names.index(text_col)
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
