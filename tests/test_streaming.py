@@ -15,19 +15,19 @@ def test_available_now_loads_new_days_and_replaces(spark):
     files.land_raw(grades, root, "2000-01-01", "dim_grades")
     first = load_landed(spark, root, "dim_grades", "grade_id int, name string", target, ckpt)
     assert first["num_input_rows"] == 3
-    assert rows(spark.read.parquet(target)) == [(1, "III"), (2, "IV"), (3, "V")]
+    assert rows(files.read_table(spark, target)) == [(1, "III"), (2, "IV"), (3, "V")]
 
     # next day: a changed file lands; the rerun loads only it and replaces the table
     files.land_raw(grades.where("grade_id < 3"), root, "2000-01-02", "dim_grades")
     second = load_landed(spark, root, "dim_grades", "grade_id int, name string", target, ckpt)
     assert second["num_input_rows"] == 2
-    assert rows(spark.read.parquet(target)) == [(1, "III"), (2, "IV")]
+    assert rows(files.read_table(spark, target)) == [(1, "III"), (2, "IV")]
 
     # nothing new: the table stays as it is
     load_landed(spark, root, "dim_grades", "grade_id int, name string", target, ckpt)
-    assert rows(spark.read.parquet(target)) == [(1, "III"), (2, "IV")]
+    assert rows(files.read_table(spark, target)) == [(1, "III"), (2, "IV")]
 
     # a day that lands late is older than the loaded one: the table does not go back
     files.land_raw(grades, root, "1999-12-31", "dim_grades")
     load_landed(spark, root, "dim_grades", "grade_id int, name string", target, ckpt)
-    assert rows(spark.read.parquet(target)) == [(1, "III"), (2, "IV")]
+    assert rows(files.read_table(spark, target)) == [(1, "III"), (2, "IV")]

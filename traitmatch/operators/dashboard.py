@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.functions import code_prefix, display_label, to_double
+from traitmatch.functions import as_float, code_prefix, display_label, to_double
 from traitmatch.operators.relational import (
-    arg_extreme, histogram, long_to_wide, pick_first, reindex, row_count, sorted_options, where_optional,
+    arg_extreme, avg_distinct, best_label, drop_unmatched, histogram, inner_join, left_join, long_to_wide, pick_first, reindex,
+    round_histogram, row_count, sort_result, sorted_options, top_1_by, where_flag, where_optional,
 )
 from traitmatch.operators.traits import SCORED_TRAITS, TRAIT_GROUPS
 from traitmatch.plans.ranking import global_rank
@@ -32,13 +33,13 @@ def employee_directory(stg_emp: DataFrame, perf: DataFrame, year: int = CURRENT_
     """Id, name, role, grade, that year's rating (0 when missing) and a
     ``name (id)`` display label; missing role/grade -> ``Unknown``; sorted by name."""
     py = perf.where(F.col("year") == year).select("employee_id", F.col("rating").alias("_rating"))
-    return (stg_emp.join(py, "employee_id", "left")
+    named = (left_join(stg_emp, py, "employee_id")
             .select("employee_id", "fullname",
                     F.coalesce(F.col("position"), F.lit(UNKNOWN)).alias("role"),
                     F.coalesce(F.col("grade"), F.lit(UNKNOWN)).alias("grade"),
-                    F.coalesce(F.col("_rating"), F.lit(0)).cast("double").alias("rating"),
-                    display_label("fullname", "employee_id").alias("display"))
-            .orderBy(F.col("fullname").asc_nulls_first(), "employee_id"))
+                    as_float(F.coalesce(F.col("_rating"), F.lit(0))).alias("rating"),
+                    display_label("fullname", "employee_id").alias("display")))
+    return sort_result(named, [F.col("fullname").asc_nulls_first(), F.col("employee_id")])
 
 
 def filter_directory(directory: DataFrame, role: str = ALL, grade: str = ALL,
@@ -76,12 +77,7 @@ def default_benchmarks(directory: DataFrame, defaults: DataFrame, n: int = 3) ->
 def top_group(result: DataFrame) -> DataFrame:
     """Per employee the trait group with the highest group rate (ties:
     group name; a NULL rate only wins when all are NULL)."""
-    return result.groupBy("employee_id").agg(_best_group().alias("top_tgv"))
-
-
-def _best_group() -> Column:
-    rate = F.col("tgv_match_rate")
-    return F.min_by("tgv_name", F.struct(rate.isNull().alias("n"), (-rate).alias("v"), F.col("tgv_name").alias("l")))
+    return top_1_by(result, "employee_id", "tgv_match_rate", "tgv_name", "top_tgv", nulls=True)
 
 
 def candidates(result: DataFrame, directory: DataFrame) -> DataFrame:
@@ -89,9 +85,10 @@ def candidates(result: DataFrame, directory: DataFrame) -> DataFrame:
     flag and best group, and meets the directory on the same key."""
     per_emp = result.groupBy("employee_id").agg(
         F.max("directorate").alias("directorate"), F.max("final_match_rate").alias("final_match_rate"),
-        F.max("is_benchmark").alias("is_benchmark"), F.coalesce(_best_group(), F.lit(NO_GROUP)).alias("top_tgv"))
-    named = directory.select("employee_id", "fullname", "role", "grade").where(F.col("fullname").isNotNull())
-    return (per_emp.where(F.col("is_benchmark").eqNullSafe(F.lit(False))).join(named, "employee_id")
+        F.max("is_benchmark").alias("is_benchmark"),
+        F.coalesce(best_label("tgv_match_rate", "tgv_name"), F.lit(NO_GROUP)).alias("top_tgv"))
+    named = drop_unmatched(directory.select("employee_id", "fullname", "role", "grade"), "fullname")
+    return (inner_join(where_flag(per_emp, "is_benchmark", False), named, "employee_id")
             .select("employee_id", "fullname", "role", "grade", "directorate", "top_tgv", "final_match_rate"))
 
 
@@ -115,21 +112,25 @@ def candidate_count(result: DataFrame, directory: DataFrame) -> DataFrame:
     return row_count(candidates(result, directory), "n_candidates")
 
 
-def rate_histogram(candidates: DataFrame, bins: int = 20) -> DataFrame:
-    """Candidate count per equal-width bin of the final rate on 0..100."""
+def rate_histogram(candidates: DataFrame, bins: int = 20, data_range: bool = False) -> DataFrame:
+    """Candidate count per bin of the final rate: ``bins`` equal bins on 0..100, or with
+    ``data_range`` at most ``bins`` bins of a round width over the rates' own range."""
+    if data_range:
+        return round_histogram(candidates, "final_match_rate", bins)
     return histogram(candidates, "final_match_rate", 0.0, 100.0, bins)
 
 
-def _distinct_group_avg(rows: DataFrame, out: str) -> DataFrame:
-    return (rows.select("tgv_name", "tgv_match_rate").distinct()
-            .groupBy("tgv_name").agg(F.avg("tgv_match_rate").alias(out)))
-
+def group_averages(result: DataFrame, distinct: bool = True) -> DataFrame:
+    """Per trait group, the mean over the *distinct* candidate group rates
+    (two candidates with the same rate count once).
 
-def group_averages(result: DataFrame) -> DataFrame:
-    """Per trait group, the mean over the *distinct* candidate group
-    rates (two candidates with the same rate count once)."""
-    cand = result.where(F.col("is_benchmark").eqNullSafe(F.lit(False)))
-    return _distinct_group_avg(cand, "avg_match_rate").orderBy("avg_match_rate")
+    ``distinct=False`` counts every candidate: one rate per candidate and group, however many traits
+    the group has.
+    """
+    cand = where_flag(result, "is_benchmark", False)
+    if not distinct:
+        cand = cand.select("employee_id", "tgv_name", "tgv_match_rate").distinct()
+    return sort_result(avg_distinct(cand, "tgv_name", "tgv_match_rate", "avg_match_rate", distinct), [F.col("avg_match_rate")])
 
 
 def _id_frame(result: DataFrame, ids: str | DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def _id_frame(result: DataFrame, ids: str | DataFrame) -> DataFrame:
 def compare_to_benchmark(result: DataFrame, candidate: str | DataFrame) -> DataFrame:
     """Per trait group (fixed order): benchmark distinct-average,
     candidate rate, both 0-filled, and candidate minus benchmark."""
-    bench = _distinct_group_avg(result.where(F.col("is_benchmark").eqNullSafe(F.lit(True))), "benchmark_avg")
+    bench = avg_distinct(where_flag(result, "is_benchmark", True), "tgv_name", "tgv_match_rate", "benchmark_avg")
     cand_rows = result.join(_id_frame(result, candidate), "employee_id", "left_semi")
     cand = (cand_rows.select("tgv_name", "tgv_match_rate").distinct()
             .groupBy("tgv_name").agg(F.max("tgv_match_rate").alias("candidate_rate")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,12 @@ from traitmatch.functions import (
     array_member, array_overlap_count, array_to_json, clamp, join_items, json_to_array, norm, null_if_zero, num_to_text,
     round_numeric, to_double,
 )
-from traitmatch.operators.relational import flag_members, median_of_counts
+from traitmatch.operators.relational import (conditional_sums, flag_members, inner_join, median_of_counts, sort_result,
+                                             where_flag, with_group_value)
 from traitmatch.operators.traits import (
     COGNITIVE, COMPETENCY, CONTEXTUAL, PERSONALITY, STRENGTH_TRAIT, STRENGTHS, select_traits,
 )
+from traitmatch.plans.copartition import KeyedTable, heavy_keys, store_keyed
 from traitmatch.plans.lineage import cut_lineage
 from traitmatch.plans.sizing import bounded
 from traitmatch.sources.files import constants
@@ -199,7 +202,7 @@ def weights_frame(spark: SparkSession, weights: Sequence[tuple[str, float]] = TR
 def weighted_scores(scores: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """``match_score * weight``; traits without a weight drop out."""
     w = weights if weights is not None else bounded(weights_frame(scores.sparkSession))
-    return (scores.join(w, "tv_name")
+    return (inner_join(scores, w, "tv_name")
             .withColumn("weighted_score", F.col("match_score") * F.col("weight")))
 
 
@@ -209,9 +212,8 @@ def aggregate_scores(weighted: DataFrame) -> DataFrame:
     NULL scores are skipped by SUM (a missing trait lowers the total).  A
     grouped aggregate with map-side partial sums.
     """
-    raw = [F.sum(F.when(F.col("tgv_name") == group, F.col("weighted_score")).otherwise(F.lit(0.0))).alias(name)
-           for name, (group, _) in GROUP_TOTALS.items()]
-    return weighted.groupBy("employee_id").agg(F.sum("weighted_score").alias("final_match_rate"), *raw)
+    return conditional_sums(weighted, "employee_id", "tgv_name", "weighted_score",
+                            {name: group for name, (group, _) in GROUP_TOTALS.items()}, total="final_match_rate")
 
 
 def group_ratio_expr() -> Column:
@@ -231,7 +233,7 @@ def group_ratios(weighted: DataFrame, agg: DataFrame, keep: Sequence[str] = ())
     join directly above the aggregation shares its shuffle and is not split.
     ``keep`` passes extra columns through.
     """
-    return (weighted.join(agg, "employee_id", "left")
+    return (with_group_value(weighted, agg, "employee_id")
             .select("employee_id", "tgv_name", "tv_name", "user_score",
                     F.col("target_val_display").alias("baseline_score"), "match_score",
                     "final_match_rate", group_ratio_expr().alias("tgv_match_ratio"), *keep))
@@ -248,6 +250,25 @@ def employee_rates(weighted: DataFrame, stg_emp: DataFrame) -> DataFrame:
     return aggregate_scores(weighted).join(meta, "employee_id", "left")
 
 
+def _shown(detailed: DataFrame, idf: DataFrame) -> DataFrame:
+    """The columns of the result, from scored rows with their employee's rates and metadata."""
+    any_id = idf.groupBy().agg((F.count("employee_id") > 0).alias("some"))
+    joined = flag_members(detailed, "employee_id", idf).where(any_id.scalar())
+    return joined.select(
+        "employee_id", "directorate", "role", "grade", "tgv_name", "tv_name",
+        F.col("baseline_display").alias("baseline_score"),
+        F.when(F.col("tv_name") == STRENGTH_TRAIT, join_items(json_to_array("user_score")))
+        .otherwise(F.col("user_score")).alias("user_score"),
+        F.col("match_score").alias("tv_match_rate"),
+        round_numeric("tgv_match_ratio", 2).alias("tgv_match_rate"),
+        round_numeric("final_match_rate", 2).alias("final_match_rate"),
+        "is_benchmark",
+    )
+
+
+SHOWN_META = ["baseline_display", "directorate", "role", "grade"]
+
+
 def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame,
                  sort: bool = True, materialize: bool = True, rates: DataFrame | None = None) -> DataFrame:
     """D24 (flagship): score every employee against the benchmark profile.
@@ -261,7 +282,8 @@ def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataF
     written once to the shared checkpoint folder: the staging plan behind them
     runs once, and AQE can split a hot employee in the join.  Pass ``False`` when
     ``long`` is a stored table already (and ``rates`` when those are stored too);
-    then building the frame starts no job.
+    then building the frame starts no job.  :func:`stored_match` is the form whose tables
+    are stored by employee.
     """
     spark = long.sparkSession
     if materialize:
@@ -273,27 +295,51 @@ def talent_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataF
         rates = employee_rates(weighted, stg_emp)
         if materialize:
             rates = cut_lineage(rates, "employee_rates")
-    detailed = group_ratios(weighted, rates, keep=["baseline_display", "directorate", "role", "grade"])
-    any_id = idf.groupBy().agg((F.count("employee_id") > 0).alias("some"))
-    joined = flag_members(detailed, "employee_id", idf).where(any_id.scalar())
-    out = joined.select(
-        "employee_id", "directorate", "role", "grade", "tgv_name", "tv_name",
-        F.col("baseline_display").alias("baseline_score"),
-        F.when(F.col("tv_name") == STRENGTH_TRAIT, join_items(json_to_array("user_score")))
-        .otherwise(F.col("user_score")).alias("user_score"),
-        F.col("match_score").alias("tv_match_rate"),
-        round_numeric("tgv_match_ratio", 2).alias("tgv_match_rate"),
-        round_numeric("final_match_rate", 2).alias("final_match_rate"),
-        "is_benchmark",
-    )
-    return out.orderBy(*result_order()) if sort else out
+    out = _shown(group_ratios(weighted, rates, keep=SHOWN_META), idf)
+    return sort_result(out, result_order()) if sort else out
+
+
+@dataclass
+class StoredMatch:
+    """The match tables stored by ``employee_id``: nothing that joins or groups them by it moves rows."""
+
+    scored: KeyedTable      # scored and weighted rows (D20, D21)
+    rates: KeyedTable       # per employee: final rate, group sums, metadata (D22)
+    result: KeyedTable      # the rows of D24
+
+    def tables(self) -> tuple[str, ...]:
+        return (*self.scored.names, *self.rates.names, *self.result.names)
+
+
+def stored_match(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame, buckets: int | None = None,
+                 profile: DataFrame | None = None) -> StoredMatch:
+    """D20-D24 with scored rows, rates and result stored by employee.
+
+    Scored rows move once, into their buckets; the per-employee sums, the join back and the result's
+    aggregates then run where the rows lie.  Employees with more rows than half a
+    bucket's share are kept apart (see :mod:`traitmatch.plans.copartition`).
+    """
+    spark = long.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    idf = benchmark_frame(spark, ids)
+    profile = benchmark_profile(long, idf) if profile is None else profile
+    weighted = weighted_scores(match_scores(long, profile, with_display=True))
+    heavy = heavy_keys(select_traits(long), "employee_id", buckets)
+    scored = store_keyed(weighted, "employee_id", "scored_rows", heavy, buckets)
+    meta = stg_emp.select("employee_id", "directorate", F.col("position").alias("role"), "grade")
+    named = store_keyed(meta, "employee_id", "employee_meta", heavy, buckets)
+    rates = scored.with_parts(aggregate_scores).join(named).stored("employee_rates", buckets, moved=True)
+    rates = KeyedTable(rates.key, rates.light, rates.heavy, (*rates.names, *named.names))
+    detailed = KeyedTable(scored.key, group_ratios(scored.light, rates.light, keep=SHOWN_META),
+                          None if scored.heavy is None else group_ratios(scored.heavy, rates.heavy, keep=SHOWN_META))
+    result = detailed.with_parts(lambda part: _shown(part, idf)).stored("match_result", buckets, moved=True)
+    return StoredMatch(scored, rates, result)
 
 
 def talent_match_candidates(long: DataFrame, stg_emp: DataFrame, ids: Sequence[str] | DataFrame,
                             sort: bool = True, materialize: bool = True,
                             rates: DataFrame | None = None) -> DataFrame:
     """The match result without the benchmark employees, best first."""
-    out = talent_match(long, stg_emp, ids, sort=False, materialize=materialize, rates=rates) \
-        .where(F.col("is_benchmark").eqNullSafe(F.lit(False)))
-    return out.orderBy(F.col("final_match_rate").desc_nulls_last(), F.col("employee_id"),
-                       F.col("tgv_name")) if sort else out
+    out = where_flag(talent_match(long, stg_emp, ids, sort=False, materialize=materialize, rates=rates), "is_benchmark", False)
+    return sort_result(out, [F.col("final_match_rate").desc_nulls_last(), F.col("employee_id"), F.col("tgv_name")]) \
+        if sort else out

@@ -11,6 +11,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from traitmatch.operators.selection import middle_of_counts
+from traitmatch.operators.sketches import (distinct_of, distinct_states, most_frequent, quantile_of, quantile_states,
+                                           top_states)
 from traitmatch.plans.ranking import global_rank
 from traitmatch.plans.sizing import bounded
 from traitmatch.sources.files import constants
@@ -117,16 +120,6 @@ def with_group_value(df: DataFrame, agg: DataFrame, key: str | Sequence[str]) ->
     return df.join(agg, key, "left")
 
 
-def cross_scalar(df: DataFrame, one_row: DataFrame, out: str | None = None) -> DataFrame:
-    """Attach the value of a one-row, one-column frame to every row.
-
-    Planned as a scalar subquery (computed once, inlined as a value), not as a
-    cross join.
-    """
-    value = one_row.scalar()
-    return df.select("*", value.alias(out or one_row.columns[0]))
-
-
 def drop_unmatched(df: DataFrame, col: str) -> DataFrame:
     """Drop rows whose joined column stayed NULL."""
     return df.dropna(subset=[col])
@@ -147,51 +140,37 @@ def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
 
 
 def median_by(df: DataFrame, keys: str | Sequence[str], value: ColumnOrName, out: str = "median",
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
+              approx: bool = False) -> DataFrame:
     """Exact median (mean of the two middle values, NULLs ignored) per group.
 
     Rows are first counted per (key, value), which pre-aggregates a hot key in
-    each map task; see :func:`median_of_counts`.  Groups without a value have no
-    row.  ``approx=True`` uses ``percentile_approx`` (a bounded sketch).
+    each map task; the middle is then selected without a task per key (see
+    :mod:`traitmatch.operators.selection`).  Groups without a value have no
+    row.  ``approx=True`` estimates from a sketch state of bounded size
+    (:mod:`traitmatch.operators.sketches`).
     """
     v = _c(value).cast("double")
     keys = [keys] if isinstance(keys, str) else list(keys)
     valued = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
     if approx:
-        return valued.groupBy(*keys).agg(F.percentile_approx("_v", 0.5, accuracy).cast("double").alias(out))
+        return quantile_states(valued, keys, "_v").select(*keys, quantile_of("state", 0.5).alias(out))
     return median_of_counts(valued.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), keys, "_v", "_n", out)
 
 
 def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str, out: str = "median") -> DataFrame:
-    """Exact median per key of values that occur ``n`` times each (one row per key and value).
-
-    A running count over the sorted distinct values finds the two middle ones.
-    The window streams over one row per distinct value and spills to disk: no
-    task holds a map of all values of a key.
-    """
-    per_key = Window.partitionBy(*keys)
-    upto = per_key.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.select(*keys, F.col(value).alias("_v"), F.col(n).alias("_n"),
-                           F.sum(n).over(upto).alias("_upto"), F.sum(n).over(per_key).alias("_all"))
-    covers = lambda pos: (F.col("_upto") > pos) & (F.col("_upto") - F.col("_n") <= pos)
-    low, high = covers(F.expr("(_all - 1) div 2")), covers(F.expr("_all div 2"))
-    return (placed.where(low | high).groupBy(*keys)
-            .agg((F.max(F.when(low, F.col("_v"))) * 0.5 + F.max(F.when(high, F.col("_v"))) * 0.5).alias(out)))
+    """A13 of values that occur ``n`` times each (one row per key and value)."""
+    return middle_of_counts(counts, keys, value, n, out)
 
 
-def median_over(value: ColumnOrName, *keys: str) -> Column:
-    """Median over a whole partition, as a window column.
-
-    A window over raw rows takes each key in one task; :func:`median_over_counts`
-    is the form for large inputs.
-    """
-    return F.median(_c(value).cast("double")).over(Window.partitionBy(*keys))
-
-
-def median_over_counts(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
-    """W1 at scale: ``PERCENTILE_CONT(value, 0.5) OVER (PARTITION BY key)`` +
-    ``DISTINCT``: one row per key that has a value."""
-    return median_by(df, key, value, out)
+def median_window(df: DataFrame, keys: str | Sequence[str], value: ColumnOrName, out: str = "median") -> DataFrame:
+    """``PERCENTILE_CONT(value, 0.5) OVER (PARTITION BY keys)``: every row with the median
+    of its group (NULL without a value in it).  The rows meet the medians in a join; no window holds a key."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    medians = median_by(df, keys, value, out).withColumnsRenamed({k: f"_m_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(medians[f"_m_{k}"])
+    return df.join(medians, same, "left").drop(*[f"_m_{k}" for k in keys])
 
 
 def mode_value(df: DataFrame, col: str, approx: bool = False) -> Column:
@@ -199,11 +178,12 @@ def mode_value(df: DataFrame, col: str, approx: bool = False) -> Column:
 
     Ties resolve to the smallest value.  Values are counted by a distributed
     aggregate; the winner is a plain minimum over (value, count) rows, so no task
-    holds a map of all values.  Attaching it to rows needs no join.
+    holds a map of all values.  Attaching it to rows needs no join.  ``approx``
+    estimates from a sketch state of bounded size.
     """
     values = df.where(F.col(col).isNotNull())
     if approx:
-        one = values.select(F.expr(f"approx_top_k(`{col}`, 1)")[0]["item"].alias("v"))
+        one = top_states(values, [], col).select(most_frequent().alias("v"))
     else:
         counts = values.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
         one = counts.select(F.min_by("_v", F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))).alias("v"))
@@ -231,10 +211,11 @@ def modes_with_ties(df: DataFrame, key: str, col: str, out: str = "modes") -> Da
         F.when(has_null, F.concat(non_null, F.array(F.lit(None).cast("string")))).otherwise(non_null).alias(out))
 
 
-def conditional_sums(df: DataFrame, key: str, group: str, value: str,
-                     groups: Mapping[str, str]) -> DataFrame:
-    """A5: ``SUM(CASE WHEN group = g THEN value ELSE 0 END)`` per output column."""
-    return df.groupBy(key).agg(*[
+def conditional_sums(df: DataFrame, key: str, group: str, value: str, groups: Mapping[str, str],
+                     total: str | None = None) -> DataFrame:
+    """A5: ``SUM(CASE WHEN group = g THEN value ELSE 0 END)`` per output column; ``total`` names the plain sum."""
+    plain = [F.sum(value).alias(total)] if total else []
+    return df.groupBy(key).agg(*plain, *[
         F.sum(F.when(F.col(group) == g, F.col(value)).otherwise(F.lit(0.0))).alias(name)
         for name, g in groups.items()])
 
@@ -244,14 +225,28 @@ def collect_sorted(df: DataFrame, key: str, col: str, out: str) -> DataFrame:
     return df.groupBy(key).agg(F.sort_array(F.collect_list(col)).alias(out))
 
 
-def collect_distinct(df: DataFrame, key: str, col: str, out: str) -> DataFrame:
-    """Distinct non-NULL values, sorted."""
-    return df.groupBy(key).agg(F.sort_array(F.collect_set(col)).alias(out))
+def avg_distinct(df: DataFrame, key: str, col: str, out: str = "avg", distinct: bool = True) -> DataFrame:
+    """Mean of the distinct values per group (``AVG(DISTINCT x)``), or of all with ``distinct=False``.
 
+    Values are made distinct per group before the shuffle, so equal ones of a hot group collapse in the map tasks.
+    """
+    rows = df.select(key, col).distinct() if distinct else df
+    return rows.groupBy(key).agg(F.avg(col).alias(out))
 
-def avg_distinct(df: DataFrame, key: str, col: str, out: str = "avg") -> DataFrame:
-    """Mean of the distinct values per group (``AVG(DISTINCT x)``)."""
-    return df.groupBy(key).agg(F.expr(f"avg(DISTINCT `{col}`)").alias(out))
+
+def count_distinct(df: DataFrame, key: str | Sequence[str], col: str, out: str = "n_distinct",
+                   approx: bool = False) -> DataFrame:
+    """Number of distinct non-NULL values per group (0 where all are NULL; a NULL group counts too).
+
+    Exact: rows are made distinct per (group, value) first, so no task holds the values
+    of a group.  ``approx`` estimates from one state of bounded size per group.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if not approx:
+        return df.select(*keys, col).distinct().groupBy(*keys).agg(F.count(col).alias(out))
+    states = distinct_states(df, keys, col).select(*keys, distinct_of().alias(out))
+    zero = df.select(*keys, F.lit(0).cast("bigint").alias(out))
+    return states.unionByName(zero).groupBy(*keys).agg(F.max(out).alias(out))
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int = 20) -> DataFrame:
@@ -275,6 +270,39 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int = 20) ->
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count")))
 
 
+def round_histogram(df: DataFrame, col: str, max_bins: int = 20) -> DataFrame:
+    """Histogram over the values' own range, in at most ``max_bins`` bins of a round width.
+
+    The width is the least of 1, 2 or 5 times a power of ten that covers the range
+    with at most ``max_bins`` bins whose edges are multiples of it.  A value on an edge belongs
+    to the bin above it, the last edge to the last bin.  Every bin is present; no
+    value (or only NULL and NaN) gives no bin, one distinct value one bin.  Two aggregates: the
+    bounds (one row, met by scalar subqueries), then partial counts.
+    """
+    v = F.col("_v")
+    values = df.select(F.col(col).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+    span = F.col("hi") - F.col("lo")
+    # the widths from the power of ten below span / max_bins on; the first that is wide enough wins
+    power = F.floor(F.log10(F.greatest(span, F.lit(1e-300)) / F.lit(float(max_bins)))).cast("int")
+    widths = F.flatten(F.transform(F.sequence(power, power + 2), lambda p: F.transform(
+        F.array(F.lit(1.0), F.lit(2.0), F.lit(5.0)), lambda m: F.when(p < 0, m / F.pow(F.lit(10.0), -p)).otherwise(
+            m * F.pow(F.lit(10.0), p)))))
+    first, last = lambda w: F.floor(F.col("lo") / w), lambda w: F.greatest(
+        F.ceil(F.col("hi") / w), F.floor(F.col("lo") / w) + 1)
+    fits = F.filter(widths, lambda w: last(w) - first(w) <= max_bins)
+    plan = (values.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).where(F.col("lo").isNotNull())
+            .select("lo", "hi", F.when(span > 0, fits[0]).otherwise(F.lit(1.0)).alias("w"))
+            .select("w", first(F.col("w")).cast("bigint").alias("first"), last(F.col("w")).cast("bigint").alias("end")))
+    width, end = (plan.select(c).scalar() for c in ("w", "end"))
+    at = F.least(F.floor(v / width).cast("bigint"), end - 1).alias("_at")
+    counts = values.select(at).groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
+    bins = plan.select("w", "first", F.explode(F.sequence(F.col("first"), F.col("end") - 1)).alias("_bin"))
+    edge = lambda n: F.round(n * F.col("w"), 9)
+    return (bins.join(counts, F.col("_bin") == F.col("_at"), "left")
+            .select((F.col("_bin") - F.col("first")).cast("int").alias("bin"), edge(F.col("_bin")).alias("bin_lo"),
+                    edge(F.col("_bin") + 1).alias("bin_hi"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("count")))
+
+
 def arg_extreme(df: DataFrame, label: str, value: str, ordinal: str,
                 keys: Sequence[str] = ()) -> DataFrame:
     """Label of the largest and of the smallest value; ties go to the
@@ -290,11 +318,6 @@ def row_count(df: DataFrame, out: str = "n") -> DataFrame:
     return df.groupBy().agg(F.count(F.lit(1)).alias(out))
 
 
-def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
-    """A14."""
-    return (df.select(*cols) if cols else df).distinct()
-
-
 # --- windows, sorting, top-k ----------------------------------------------------------
 
 def row_number_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rn") -> DataFrame:
@@ -311,17 +334,21 @@ def top_n_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
     return ranked if out else ranked.drop("_rn")
 
 
-def top_1_by(df: DataFrame, key: str, value: str, label: str, out: str, fill: str | None = None) -> DataFrame:
-    """Per key, the label with the highest value (ties: smallest label).
+def best_label(value: str, label: str) -> Column:
+    """The label with the highest value as an aggregate (ties: smallest label; a NULL value only wins over none)."""
+    v = F.col(value)
+    return F.min_by(label, F.struct(v.isNull().alias("n"), (-v).alias("v"), F.col(label).alias("l")))
+
+
+def top_1_by(df: DataFrame, key: str, value: str, label: str, out: str, fill: str | None = None,
+             nulls: bool = False) -> DataFrame:
+    """Per key, the label with the highest value; an aggregate, so it pre-aggregates before the shuffle.
 
-    An aggregate (``min_by`` over ``(-value, label)``), so it pre-aggregates
-    before the shuffle.
+    Rows without a value are left out, or with ``nulls`` only win where a key has no other.
     """
-    best = F.min_by(label, F.struct((-F.col(value)).alias("v"), F.col(label).alias("l")))
-    res = df.where(F.col(value).isNotNull()).groupBy(key).agg(best.alias(out))
-    if fill is not None:
-        res = res.fillna({out: fill})
-    return res
+    rows = df if nulls else where_not_null(df, value)
+    res = rows.groupBy(key).agg(best_label(value, label).alias(out))
+    return res if fill is None else res.fillna({out: fill})
 
 
 def sort_result(df: DataFrame, order: Sequence[Column]) -> DataFrame:

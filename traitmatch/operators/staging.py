@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traitmatch.functions import map_value
-from traitmatch.operators.relational import median_by, mode_value, star_join, top_n_by
+from traitmatch.operators.relational import (inner_join, left_join, median_by, mode_value, star_join, top_n_by,
+                                             where_between, where_not_null)
 from traitmatch.sources.fixtures import CURRENT_YEAR
 
 # --- fixed values ------------------------------------------------------------------
@@ -82,9 +83,8 @@ def stg_papi(papi: DataFrame) -> DataFrame:
 
 def stg_performance_yearly(perf: DataFrame, before: int = CURRENT_YEAR) -> DataFrame:
     """History ratings: not NULL, 1..5, before ``before``."""
-    return (perf.where(F.col("rating").isNotNull() & F.col("rating").between(1, 5)
-                       & (F.col("year") < before))
-            .select("employee_id", "year", "rating"))
+    rated = where_between(where_not_null(perf, "rating"), "rating", 1, 5)
+    return rated.where(F.col("year") < before).select("employee_id", "year", "rating")
 
 
 def stg_strengths(strengths: DataFrame, n: int = 5) -> DataFrame:
@@ -173,10 +173,8 @@ def stg_employees(employees: DataFrame, psych: DataFrame, perf: DataFrame,
     p = psych.select("employee_id", "iq", "gtq", "disc", "disc_word", "pauli", "tiki", "faxtor")
     mc = clean_mbti(psych)
     py = _rated(perf, year).select("employee_id", "rating")
-    joined = (e.join(p, "employee_id", "left")
-              .join(cog, "department_id", "left")
-              .join(mc, "employee_id", "left")
-              .join(py, "employee_id"))
+    described = left_join(left_join(left_join(e, p, "employee_id"), cog, "department_id"), mc, "employee_id")
+    joined = inner_join(described, py, "employee_id")
     in_excluded = F.col("department_id") == exclude_dept
     return joined.select(
         "employee_id", "fullname", "nip",

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from traitmatch.functions import (array_member, array_overlap_count, first_item, join_items, json_to_array, norm,
                                   round_numeric, run_date_text)
-from traitmatch.operators import checks, dashboard, matching, relational as rel, staging, traits
-from traitmatch.sources import files
+from traitmatch.operators import checks, dashboard, matching, relational as rel, sketches, staging, traits
+from traitmatch.sources import files, typed
 from traitmatch.sources.fixtures import (CURRENT_YEAR, FACT_TABLES, TalentTables, benchmark_ids,
                                         load_talent_tables, order_line_rollup, read_driver_tables)
 from traitmatch.plans.lineage import cut_lineage
@@ -149,6 +149,11 @@ class Context:
                                                  rates=self.rates),
                            "match_result")
 
+    @cached_property
+    def stored(self):
+        # scored rows, rates and result by employee: later joins and aggregates on it move no rows
+        return matching.stored_match(self.long, self.stg_emp, self.ids, profile=self.profile)
+
     @cached_property
     def directory(self):
         return dashboard.employee_directory(self.stg_emp, self.t.performance_yearly)
@@ -180,7 +185,10 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
 
 def release(spark: SparkSession) -> None:
     """Forget the session's contexts and delete the tables written for them."""
-    spark.__dict__.pop("_traitmatch_contexts", None)
+    for _, held in spark.__dict__.pop("_traitmatch_contexts", {}).values():
+        if "stored" in held.__dict__:
+            for name in held.stored.tables():
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
     drop_scratch(spark)
 
 
@@ -233,7 +241,7 @@ def landed_days(c: Context) -> DataFrame:
 
 
 def load_all(c: Context) -> DataFrame:
-    """S2-S5 in one call: two landed days; the newest of each table is loaded and audited."""
+    """S1-S5 in one call: two landed days; the newest of each table is loaded and audited as it is written."""
     root = scratch_path(c.spark, "landing")
     old, new = c.t.performance_yearly.where(F.col("year") < CURRENT_YEAR), c.t.performance_yearly
     files.land_raw(old, root, "1999-12-31", "performance_yearly")
@@ -244,6 +252,49 @@ def load_all(c: Context) -> DataFrame:
         "strengths": "employee_id string, rank int, theme string"})
 
 
+def _rating_lines(c: Context) -> str:
+    """The ratings as CSV lines without a header, some of them spoilt by the number in their id."""
+    n = F.substring("employee_id", 4, 12).cast("bigint") % 97
+    rating = F.coalesce(F.col("rating").cast("string"), F.lit(""))
+    line = (F.when(n == 0, F.concat_ws(",", "employee_id", "year"))
+            .when(n == 1, F.concat_ws(",", "employee_id", "year", F.concat(F.lit("x"), rating)))
+            .when(n == 2, F.concat_ws(",", "employee_id", "year", rating, F.lit("more")))
+            .when(n == 3, F.concat_ws(",", F.lit(""), F.col("year"), rating))
+            .otherwise(F.concat_ws(",", "employee_id", "year", rating)))
+    path = scratch_path(c.spark, "lines")
+    c.t.performance_yearly.select(line.alias("value")).write.text(path)
+    return path
+
+
+RATING_COLUMNS = ["employee_id", "year", "rating"]
+
+
+def csv_rejects(c: Context) -> DataFrame:
+    """A CSV with spoilt lines, types detected, loaded in one pass: the lines kept apart, with reasons."""
+    rows = typed.read_typed(c.spark, _rating_lines(c), required=["employee_id"], columns=RATING_COLUMNS)
+    target = scratch_path(c.spark, "table")
+    files.load_checked(rows, target, "ratings", "employee_id")
+    return files.loaded_rejects(c.spark, target)
+
+
+def csv_loaded(c: Context) -> DataFrame:
+    """The rows of that CSV which fit, with the detected types."""
+    rows = typed.read_typed(c.spark, _rating_lines(c), required=["employee_id"], columns=RATING_COLUMNS)
+    target = scratch_path(c.spark, "table")
+    files.load_checked(rows, target, "ratings", "employee_id")
+    return files.loaded_rows(c.spark, target)
+
+
+def landed_partition(c: Context) -> DataFrame:
+    """S3: two days landed as partitions of one table, one of them landed again; the rows of that day."""
+    root, ratings = scratch_path(c.spark, "landing"), c.t.performance_yearly
+    past = ratings.where(F.col("year") < CURRENT_YEAR)
+    files.land_day(past, root, "1999-12-31", "ratings")
+    files.land_day(ratings, root, LANDING_DATE, "ratings")
+    path = files.land_day(rel.where_not_null(past, "rating"), root, "1999-12-31", "ratings")
+    return files.landed_between(c.spark, path, last="1999-12-31").withColumn("ingest_date", run_date_text("ingest_date"))
+
+
 def land_raw(c: Context) -> DataFrame:
     """S3: rows landed under the dated folder, read back with their date."""
     root = scratch_path(c.spark, "landing")
@@ -271,7 +322,7 @@ def stream_load(c: Context) -> DataFrame:
     target = scratch_path(c.spark, "table")
     load_landed(c.spark, root, "performance_yearly", "employee_id string, year int, rating int", target,
                 checkpoint=scratch_path(c.spark, "stream"))
-    return c.spark.read.parquet(target)
+    return files.read_table(c.spark, target)
 
 
 def load_audit(c: Context) -> DataFrame:
@@ -413,7 +464,8 @@ def median_by_key(c: Context) -> DataFrame:
 
 def median_window(c: Context) -> DataFrame:
     """PAPI scale medians through the window form, then DISTINCT."""
-    return rel.median_over_counts(c.t.papi_scores, "scale_code", "score", out="median_score")
+    rows = rel.median_window(c.t.papi_scores, "scale_code", "score", out="median_score")
+    return rel.where_not_null(rows, "median_score").select("scale_code", "median_score").distinct()
 
 
 def mode_value(c: Context) -> DataFrame:
@@ -421,6 +473,48 @@ def mode_value(c: Context) -> DataFrame:
     return c.spark.range(1).select(staging.mbti_mode(c.t.profiles_psych).alias("mbti_mode"))
 
 
+def _pillar_scores(c: Context) -> DataFrame:
+    return (rel.where_in(rel.where_not_null(c.t.competencies_yearly, "score"), "score",
+                         staging.COMPETENCY_INVALID_SCORES, negate=True).select("pillar_code", "year", "score", "employee_id"))
+
+
+def median_sketch(c: Context) -> DataFrame:
+    """A13 approx: states of single years, stored and merged over all years; held against the exact median."""
+    scores = _pillar_scores(c)
+    years = cut_lineage(sketches.quantile_states(scores, ["pillar_code", "year"], "score"), "year_states")
+    merged = sketches.combine_quantile_states(years, ["pillar_code"]).select(
+        "pillar_code", sketches.quantile_of("state", 0.5).alias("_estimate"))
+    placed = scores.join(merged, "pillar_code").groupBy("pillar_code").agg(
+        F.count(F.lit(1)).alias("n_scores"), F.count_if(F.col("score") < F.col("_estimate")).alias("_below"),
+        F.count_if(F.col("score") <= F.col("_estimate")).alias("_upto"))
+    off = sketches.RANK_ERROR * F.col("n_scores")
+    within = (F.col("_below") <= F.col("n_scores") / 2 + off) & (F.col("_upto") >= F.col("n_scores") / 2 - off)
+    exact = rel.median_by(scores, "pillar_code", "score", out="exact_median")
+    return placed.join(exact, "pillar_code").select("pillar_code", "n_scores", "exact_median", within.alias("within_bound"))
+
+
+def mode_sketch(c: Context) -> DataFrame:
+    """A10 approx: states per department, stored and merged: the most frequent clean MBTI (exact for so few values)."""
+    rows = staging.clean_mbti(c.t.profiles_psych).join(c.t.employees.select("employee_id", "department_id"), "employee_id")
+    states = cut_lineage(sketches.top_states(rows, ["department_id"], "mbti_val"), "mbti_states")
+    return sketches.combine_top_states(states).select(sketches.most_frequent().alias("mbti_mode"))
+
+
+def count_distinct(c: Context) -> DataFrame:
+    """Employees with a valid score per pillar, exactly."""
+    return rel.count_distinct(_pillar_scores(c), "pillar_code", "employee_id", out="n_employees")
+
+
+def distinct_sketch(c: Context) -> DataFrame:
+    """A12 approx: states of single years, stored and merged over all years; held against the exact count."""
+    scores = _pillar_scores(c)
+    years = cut_lineage(sketches.distinct_states(scores, ["pillar_code", "year"], "employee_id"), "distinct_states")
+    merged = sketches.combine_distinct_states(years, ["pillar_code"]).select("pillar_code", sketches.distinct_of().alias("_guess"))
+    exact = rel.count_distinct(scores, "pillar_code", "employee_id", out="n_employees")
+    within = F.abs(F.col("_guess") - F.col("n_employees")) <= sketches.DISTINCT_ERROR * F.col("n_employees")
+    return exact.join(merged, "pillar_code").select("pillar_code", "n_employees", within.alias("within_bound"))
+
+
 def mode_with_ties(c: Context) -> DataFrame:
     """Per categorical trait over all employees, every top value (JSON)."""
     cat = c.long.where(F.col("tv_type") == "categorical")
@@ -462,6 +556,11 @@ def histogram(c: Context) -> DataFrame:
     return rel.histogram(c.t.employees, "years_of_service_months", 0.0, 180.0, 20)
 
 
+def round_histogram(c: Context) -> DataFrame:
+    """Tenure months of all employees in at most 20 bins of a round width over their range."""
+    return rel.round_histogram(c.t.employees, "years_of_service_months", 20)
+
+
 # --- windows / top-k -------------------------------------------------------------------------------
 
 def top5_strengths(c: Context) -> DataFrame:
@@ -545,6 +644,16 @@ def talent_match_candidates(c: Context) -> DataFrame:
     return matching.talent_match_candidates(c.long, c.stg_emp, c.ids, materialize=False, rates=c.rates)
 
 
+def talent_match_stored(c: Context) -> DataFrame:
+    """The match result from tables stored by employee."""
+    return c.stored.result.rows()
+
+
+def ranked_stored(c: Context) -> DataFrame:
+    """D31 on the stored result: per-employee aggregate and join where the rows lie, then the rank."""
+    return dashboard.ranked_candidates(c.stored.result.rows(), c.directory)
+
+
 # --- dashboard -------------------------------------------------------------------------------------------
 
 def employee_directory(c): return c.directory
@@ -584,12 +693,19 @@ def default_benchmarks(c: Context) -> DataFrame:
 
 def ranked_candidates(c): return c.ranked
 def rate_histogram(c): return dashboard.rate_histogram(dashboard.candidates(c.result, c.directory))
+def rate_round_histogram(c): return dashboard.rate_histogram(dashboard.candidates(c.result, c.directory), data_range=True)
 def candidate_count(c): return dashboard.candidate_count(c.result, c.directory)
 def group_averages(c: Context) -> DataFrame:
     out = dashboard.group_averages(c.result)
     return out.select("tgv_name", F.round("avg_match_rate", 4).alias("avg_match_rate"))
 
 
+def group_averages_all(c: Context) -> DataFrame:
+    """The averages over all candidates, equal rates counted each."""
+    out = dashboard.group_averages(c.result, distinct=False)
+    return out.select("tgv_name", F.round("avg_match_rate", 4).alias("avg_match_rate"))
+
+
 def compare_to_benchmark(c: Context) -> DataFrame:
     return c.comparison.select("tgv_name", "ordinal", *[F.round(x, 4).alias(x) for x in
                                                         ("benchmark_avg", "candidate_rate", "diff")])
@@ -606,21 +722,22 @@ def key_competencies(c): return dashboard.key_competencies(c.result, c.t.dims["d
 
 
 _ALL = [
-    csv_roundtrip, csv_discover, landed_days, load_all, land_raw, load_overwrite, stream_load, load_audit, inline_weights, model_chain,
+    csv_roundtrip, csv_discover, landed_days, load_all, csv_rejects, csv_loaded, land_raw, landed_partition, load_overwrite, stream_load, load_audit, inline_weights, model_chain,
     sql_parametrised, sql_ordinal_group,
     check_unique, check_not_null,
     filter_ratings, filter_in_list, benchmark_flag, case_disc_map,
     star_join, left_join_year_on, cross_join_mode, array_overlap, array_membership, lateral_strengths,
-    median_by_key, median_window, mode_value, mode_with_ties, conditional_sum, array_agg_themes,
-    string_agg_themes, avg_distinct, histogram,
+    median_by_key, median_window, median_sketch, mode_value, mode_sketch, count_distinct, distinct_sketch, mode_with_ties, conditional_sum, array_agg_themes,
+    string_agg_themes, avg_distinct, histogram, round_histogram,
     top5_strengths, top1_group, global_rank,
     unpivot_traits, composites, pivot_baseline,
     stg_competencies, stg_competencies_yearly, stg_papi, stg_performance_yearly, stg_strengths,
     cognitive_medians, clean_mbti, clean_disc, stg_employees,
     categorical_targets, numeric_targets, strength_target, benchmark_profile, match_scores,
-    weighted_scores, aggregate_scores, group_ratios, talent_match, talent_match_candidates,
+    weighted_scores, aggregate_scores, group_ratios, talent_match, talent_match_candidates, talent_match_stored, ranked_stored,
     employee_directory, filter_directory, filter_options, display_roundtrip, default_benchmarks, ranked_candidates,
-    rate_histogram, candidate_count, first_target, ingest_days, group_averages, compare_to_benchmark, strongest_and_gap, baseline_profile,
+    rate_histogram, rate_round_histogram, candidate_count, first_target, ingest_days, group_averages, group_averages_all,
+    compare_to_benchmark, strongest_and_gap, baseline_profile,
     key_competencies,
 ]
 

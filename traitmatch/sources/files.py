@@ -9,11 +9,15 @@ import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from traitmatch.session import scratch_path
+from traitmatch.session import delete_path, scratch_path
+from traitmatch.sources import typed, versions
+
+DAY = "ingest_date"
+REJECTED = "_rejected"
 
 _TABLE_FROM_PATH = r"/([^/]+)\.csv(/[^/]*)?$"
 _URI_FROM_PATH = r"^(.*?/[^/]+\.csv)(/[^/]+)?$"
@@ -76,20 +80,66 @@ def land_raw(df: DataFrame, root: str, run_date: _dt.date | str, name: str) -> s
     return uri
 
 
-def load_table(df: DataFrame, target: str, mode: str = "overwrite",
-               fmt: str = "parquet") -> DataFrame:
-    """Replace a table completely (``WRITE_TRUNCATE``) and return it.
+def land_day(df: DataFrame, root: str, run_date: _dt.date | str, name: str) -> str:
+    """S3: land a day as one partition of the table ``landing_zone/by_day/<name>``.
+
+    Dynamic partition overwrite replaces the day's rows and leaves all other days alone, so a
+    retried day is harmless; a day without rows ends up without a partition.  The rows are
+    counted while they are written.
+    """
+    day = run_date if isinstance(run_date, str) else run_date.strftime("%Y-%m-%d")
+    path = f"{root.rstrip('/')}/landing_zone/by_day/{name}"
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("n")).withColumn(DAY, F.to_date(F.lit(day)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path))
+    if not seen.get["n"]:
+        delete_path(df.sparkSession, f"{path}/{DAY}={day}")
+    return path
+
+
+def landed_between(spark: SparkSession, path: str, first: _dt.date | str | None = None,
+                   last: _dt.date | str | None = None) -> DataFrame:
+    """S3: the rows of the days ``first`` to ``last`` (inclusive; open without one), with ``ingest_date``.
 
-    ``target`` is a path (``/``, ``file:``, ``s3a:`` ...) or a catalog name.
+    The days are partitions: folders outside the range are not listed, let alone read.
+    """
+    rows = spark.read.parquet(path)
+    for bound, keep in ((first, F.col(DAY).__ge__), (last, F.col(DAY).__le__)):
+        if bound is not None:
+            rows = rows.where(keep(F.to_date(F.lit(str(bound)))))
+    return rows
+
+
+def load_table(df: DataFrame, target: str, **stated) -> DataFrame:
+    """Replace a table completely (``WRITE_TRUNCATE``) in one step, and return it.
+
+    ``target`` is a path (``/``, ``file:``, ``s3a:`` ...), read with :func:`read_table`, or a catalog
+    name.  The new rows are written as a version of their own and published at the end: a load
+    that dies leaves the old table, and readers never meet a half-written one
+    (:mod:`traitmatch.sources.versions`).  ``stated`` is stored with the version.
     """
     spark = df.sparkSession
     if "/" in target or ":" in target:
-        df.write.mode(mode).format(fmt).save(target)
-        return spark.read.format(fmt).load(target)
-    df.write.mode(mode).format(fmt).saveAsTable(target)
+        return versions.replace(df, target, **stated)
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{target}.versions"
+    at = versions.publish(spark, path, versions.stage(df, path), schema=df.schema, **stated)
+    place = versions.version_path(path, at["version"])
+    new = spark.read.parquet(place)
+    if spark.catalog.tableExists(target):
+        if spark.table(target).schema == new.schema:
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(target)
+            return spark.table(target)
+        spark.sql(f"DROP TABLE {target}")              # an external table: only its name goes
+    spark.catalog.createTable(target, path=place, source="parquet")
     return spark.table(target)
 
 
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    """The published rows of a table that :func:`load_table` wrote to a path."""
+    return versions.read_version(spark, target)
+
+
 def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, num_rows)`` for each loaded table.
 
@@ -123,28 +173,60 @@ def landed_tables(spark: SparkSession, folder: str, run_date: _dt.date | str | N
             .select("table_name", "day", "uri"))
 
 
-def _landed_frames(spark: SparkSession, folder: str, schemas: Mapping[str, StructType | str] | None,
-                   run_date: _dt.date | str | None) -> dict[str, DataFrame]:
+def _landed_uris(spark: SparkSession, folder: str, run_date: _dt.date | str | None) -> dict[str, list[str]]:
     # one row per table: only names and paths pass through the driver
     listing = (landed_tables(spark, folder, run_date).groupBy("table_name")
                .agg(F.sort_array(F.collect_set("uri")).alias("uris")).collect())
-    return {r.table_name: read_csv(spark, list(r.uris), (schemas or {}).get(r.table_name)) for r in listing}
+    return {r.table_name: list(r.uris) for r in listing}
 
 
-def load_all(spark: SparkSession, folder: str, target_root: str,
-             schemas: Mapping[str, StructType | str] | None = None,
-             run_date: _dt.date | str | None = None) -> DataFrame:
-    """S2-S5 in one call: load one landed day of every table found, replacing the
-    table under ``target_root``, and audit what was loaded.
+def load_checked(rows: DataFrame, target: str, name: str, key: str) -> dict:
+    """Load a split of typed rows and rejects (:mod:`traitmatch.sources.typed`) and audit it.
+
+    One scan and one write: accepted and rejected lines go to two partitions of the same
+    version, published together, and the counts (loaded rows, loaded rows without ``key``, rejected
+    lines) are observed on the way.  They are stored with the version and returned.
+    """
+    seen, fits = Observation(), F.size("reasons") == 0
+    counted = rows.observe(seen, F.count_if(fits).alias("num_rows"),
+                           F.count_if(fits & F.col(key).isNull()).alias("null_keys"), F.count_if(~fits).alias("rejected_rows"))
+    flagged = counted.withColumn("line", F.when(~fits, F.col("line"))).withColumn(REJECTED, F.when(fits, 0).otherwise(1))
+    version = versions.stage(flagged, target, partition_by=REJECTED)
+    audit = {"table_name": name, **{k: int(v) for k, v in seen.get.items()}}
+    versions.publish(rows.sparkSession, target, version, schema=flagged.schema, audit=audit)
+    return audit
+
 
-    Returns ``(table_name, num_rows)`` counted on the written tables; a folder
+def loaded_rows(spark: SparkSession, target: str) -> DataFrame:
+    """The accepted rows of a table loaded by :func:`load_checked`."""
+    return read_table(spark, target).where(F.col(REJECTED) == 0).drop("reasons", "line", REJECTED)
+
+
+def loaded_rejects(spark: SparkSession, target: str) -> DataFrame:
+    """``line, reason`` of the lines that its last load rejected."""
+    return typed.rejected(read_table(spark, target).where(F.col(REJECTED) == 1))
+
+
+def load_all(spark: SparkSession, folder: str, target_root: str,
+             schemas: Mapping[str, StructType | str] | None = None, run_date: _dt.date | str | None = None,
+             keys: Mapping[str, str] | None = None) -> DataFrame:
+    """S1-S5 in one call: load one landed day of every table found, replacing the
+    table under ``target_root``, and audit each load.
+
+    Returns ``(table_name, num_rows, null_keys, rejected_rows)`` as observed while the rows were written.
+    ``keys`` names a table's key column (default: its first).  Types come from ``schemas`` or are detected;
+    lines that do not fit are kept apart with their reasons (:func:`loaded_rejects`).  A folder
     without tables loads nothing and gives an empty audit.
     """
-    loaded = {name: load_table(df, f"{target_root.rstrip('/')}/{name}")
-              for name, df in sorted(_landed_frames(spark, folder, schemas, run_date).items())}
-    if not loaded:
-        return constants(spark, [], "table_name string, num_rows bigint")
-    return load_audit(loaded)
+    audits = []
+    for name, uris in sorted(_landed_uris(spark, folder, run_date).items()):
+        schema = (schemas or {}).get(name)
+        kinds = None if schema is None else {
+            f.name: f.dataType.simpleString() for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
+        rows = typed.read_typed(spark, uris, kinds)
+        audits.append(load_checked(rows, f"{target_root.rstrip('/')}/{name}", name, (keys or {}).get(name, rows.columns[0])))
+    fields = "table_name string, num_rows bigint, null_keys bigint, rejected_rows bigint"
+    return constants(spark, [tuple(a[f.split()[0]] for f in fields.split(", ")) for a in audits], fields)
 
 
 def register_sources(spark: SparkSession, tables: Mapping[str, DataFrame] | str,
@@ -157,7 +239,8 @@ def register_sources(spark: SparkSession, tables: Mapping[str, DataFrame] | str,
     newest day), with its declared schema from ``schemas`` when given.
     """
     if isinstance(tables, str):
-        tables = _landed_frames(spark, tables, schemas, run_date)
+        tables = {name: read_csv(spark, uris, (schemas or {}).get(name))
+                  for name, uris in _landed_uris(spark, tables, run_date).items()}
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return sorted(tables)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from traitmatch.session import ensure_checkpoint_dir
+from traitmatch.sources import versions
 
 _DAY = r"/manual/([0-9]{4}-[0-9]{2}-[0-9]{2})/"
 
@@ -22,34 +22,20 @@ def landed_stream(spark: SparkSession, landing_root: str, table: str, schema: St
     return src.select("*", day.alias("ingest_date"))
 
 
-def _loaded_day(spark: SparkSession, day_path: str) -> str:
-    """The day the target holds (empty before the first load)."""
-    try:
-        row = spark.read.schema("day string").json(day_path).agg(F.max("day")).first()
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-            raise
-        return ""
-    return row[0] or ""
-
-
 def _replace_with_latest(target: str):
-    # the loaded day lies next to the table, written after it: a retry of a batch rewrites the same rows
-    day_path = f"{target.rstrip('/')}__loaded_day"
-
     def write(batch: DataFrame, batch_id: int) -> None:
         # WRITE_TRUNCATE: the table becomes the newest day's rows in this batch,
         # unless it already holds a newer day.  The batch is read twice (newest
-        # date, then the rows), so cache it.
+        # date, then the rows), so cache it.  Rows and day become true in one published pointer.
         spark = batch.sparkSession
+        held = versions.current(spark, target) or {}
         cached = batch.persist()
         try:
             latest = cached.select(F.max("ingest_date")).first()[0]
-            if latest is None or latest < _loaded_day(spark, day_path):
+            if latest is None or latest < held.get("day", ""):
                 return
-            (cached.where(F.col("ingest_date") == F.lit(latest)).drop("ingest_date")
-             .write.mode("overwrite").parquet(target))
-            spark.range(1).select(F.lit(latest).alias("day")).write.mode("overwrite").json(day_path)
+            rows = cached.where(F.col("ingest_date") == F.lit(latest)).drop("ingest_date")
+            versions.replace(rows, target, day=latest)
         finally:
             cached.unpersist()
     return write
@@ -61,7 +47,8 @@ def load_landed(spark: SparkSession, landing_root: str, table: str, schema: Stru
 
     Each micro-batch replaces ``target`` with the rows of the newest run date
     it contains (a full reload, as in the daily job), unless the table already
-    holds a newer day: a day that arrives late never takes the table back.  A
+    holds a newer day: a day that arrives late never takes the table back.  The table is read with
+    :func:`traitmatch.sources.files.read_table`.  A
     batch that is retried rewrites the same rows, so a retry is harmless.  The stream
     checkpoint defaults to a folder under the shared ``spark.checkpoint.dir``.
     Returns the last progress report (``numInputRows`` etc.).
