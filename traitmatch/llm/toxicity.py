@@ -17,18 +17,19 @@ fitted on documents that trained neither machine.
 
 from __future__ import annotations
 
-import hashlib
-import re
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.llm.common import arrow_batch, byte_slices, pick, schema_of, texts_of
+from traitmatch.llm.common import arrow_batch, byte_slices, schema_of, texts_of
+from traitmatch.llm.labels import labelled_sample
 from traitmatch.llm.langid import remainder
 from traitmatch.plans.lineage import cut_lineage
 
@@ -38,22 +39,19 @@ CLEAN_LANDMARKS = 64
 POOL = 1024                   # candidate words of a kind that reach the driver
 ALIKE = 0.9                   # a landmark is not taken beside a more similar one
 ORDER = 3
-SPAN = 6                      # symbols from the first to the last of a subsequence
+SPAN = 5                      # symbols from the first to the last of a subsequence
 DECAY = 0.5                   # per symbol left out
 POWER = 2                     # of the normalised kernel (a power of a kernel is one)
 FLOOR = 0.5                   # smaller normalised values count as 0
 WINDOW, STEP = 24, 12         # a longer word is seen through overlapping windows
 THRESHOLD = 0.7
 CACHED_WORDS = 200_000        # words whose kernel row (or lack of one) a worker holds
-SLICE = 2 << 20
+SLICE = 4 << 20
 CLEAN_SENTENCES = 2           # worst sentences of a clean document used in training
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
 
-SENTENCE_END = re.compile(r"[.!?]+(?=\s)|\n")
-# three or more single characters set apart ("s p e l l e d") are one word with gaps
-SPELLED = re.compile(r"(?<!\S)\w(?:[^\w\s]?[ \t]+\w){2,}(?!\w)")
-BLANK = re.compile(r"[ \t]+")
 INSERTED = "._-*aeioxz"        # put into words of labelled sentences for disturbed copies of them
+ENDS, SINGLE = r"[.!?]$", r"^[\pL\pN_][^\pL\pN_\s]?$"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # symbols: letters 1..26, digits 27, word start 29 30, word end 31, a character beyond ASCII one of
@@ -65,11 +63,61 @@ _ASCII = np.array([ord(chr(c).lower()) - 96 if chr(c).isalpha() else DIGIT if ch
 OFFSETS = [(a, b) for b in range(ORDER - 1, SPAN) for a in range(1, b)]
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """Words of every sentence of a text that has any, in lower case, without outer punctuation."""
-    low = SPELLED.sub(lambda m: BLANK.sub("_", m.group()), (text or "").lower())
-    found = ([w.strip(PUNCTUATION) for w in part.split()] for part in SENTENCE_END.split(low))
-    return [words for words in found if words]
+@dataclass
+class Tokens:
+    """Words of some texts: distinct ``words``, and for each occurrence its word, sentence and text (all numbers).
+
+    ``text_of`` holds the text of each sentence; sentences are numbered in the order of the texts.
+    """
+
+    words: list[str]
+    code: np.ndarray
+    sentence: np.ndarray
+    text_of: np.ndarray
+    n_texts: int
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Tokens:
+        """Lower-cased words between blanks, without outer punctuation; a sentence ends with a line or after ``.!?``.
+
+        Three or more single characters in a row ("s p e l l e d") are one more word of their
+        sentence, with gaps.
+        """
+        lines = pc.split_pattern(pc.utf8_lower(pc.fill_null(column, "")), "\n")
+        parts = pc.utf8_split_whitespace(lines.flatten())
+        tokens, line = parts.flatten(), pc.list_parent_indices(parts).to_numpy()
+        full = pc.not_equal(pc.binary_length(tokens), 0)
+        tokens, line = tokens.filter(full), line[full.to_numpy(zero_copy_only=False)]
+        raw = tokens.dictionary_encode()
+        code = raw.indices.to_numpy()
+        ends, single = (pc.match_substring_regex(raw.dictionary, r).to_numpy(zero_copy_only=False)[code] for r in (ENDS, SINGLE))
+        plain = pc.utf8_trim(raw.dictionary, characters=PUNCTUATION).dictionary_encode()
+        words, code = plain.dictionary.to_pylist(), plain.indices.to_numpy()[code].astype(np.int64)
+        start = np.append(True, (line[1:] != line[:-1]) | ends[:-1]) if len(code) else np.zeros(0, bool)
+        sentence = np.cumsum(start) - 1
+        text_of = pc.list_parent_indices(lines).to_numpy()[line[start]].astype(np.int64)
+        at = np.nonzero(single)[0]
+        first = np.append(True, (np.diff(at) != 1) | (line[at[1:]] != line[at[:-1]])) if len(at) else np.zeros(0, bool)
+        begins = np.nonzero(first)[0]
+        spelled = [at[i:j] for i, j in zip(begins, np.append(begins[1:], len(at))) if j - i >= 3]
+        extra = ["_".join(words[c] for c in code[run]) for run in spelled]
+        code = np.append(code, len(words) + np.arange(len(extra)))
+        sentence = np.append(sentence, [sentence[run[0]] for run in spelled]).astype(np.int64)
+        return cls(words + extra, code, sentence, text_of, len(column))
+
+    @classmethod
+    def of_sentences(cls, groups: list[list[str]]) -> Tokens:
+        """Given words, each group a sentence (and a text) of its own."""
+        numbers: dict[str, int] = {}
+        code = np.array([numbers.setdefault(w, len(numbers)) for g in groups for w in g], np.int64)
+        sentence = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+        return cls(list(numbers), code, sentence, np.arange(len(groups)), len(groups))
+
+    def words_of(self, sentences: np.ndarray) -> list[list[str]]:
+        """The words of some sentences (each named once or more)."""
+        order = np.argsort(self.sentence, kind="stable")
+        low, high = (np.searchsorted(self.sentence[order], sentences, side) for side in ("left", "right"))
+        return [[self.words[c] for c in self.code[order[i:j]]] for i, j in zip(low, high)]
 
 
 def windows(word: str) -> list[str]:
@@ -198,10 +246,9 @@ class LandmarkKernel:
         at = list(map(self.words.get, words))
         if None in at:
             new = list({w: 0 for w, n in zip(words, at) if n is None})
-            units = [u for w in new for u in windows(w)] if max(map(len, new)) > WINDOW else new
-            of = (np.repeat(np.arange(len(new)), [len(windows(w)) for w in new]) if len(units) > len(new)
-                  else np.arange(len(new)))
-            like, rows = self.rows(units)
+            cut = [windows(w) for w in new]
+            of = np.repeat(np.arange(len(new)), list(map(len, cut)))
+            like, rows = self.rows([u for c in cut for u in c])
             whose, first = np.unique(of[like], return_index=True)
             rows = np.maximum.reduceat(rows, first, axis=0) if len(first) else rows
             if self.held + len(rows) > len(self.cache):
@@ -215,20 +262,26 @@ class LandmarkKernel:
             at = list(map(self.words.__getitem__, words))
         return np.array(at, np.int64)
 
-    def pooled(self, groups: list[list[str]]) -> np.ndarray:
-        """A row per group of words: the greatest value of its words with each landmark."""
-        out = np.zeros((len(groups), len(self.landmarks)), np.float32)
-        at = self.numbers([w for g in groups for w in g]) if groups else np.zeros(0, np.int64)
-        group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-        like = np.nonzero(at)[0]
+    def pooled(self, tokens: Tokens) -> np.ndarray:
+        """A row per sentence: the greatest value of its words with each landmark."""
+        out = np.zeros((len(tokens.text_of), len(self.landmarks)), np.float32)
+        row = self.numbers(tokens.words)[tokens.code] if tokens.words else np.zeros(0, np.int64)
+        like = np.nonzero(row)[0]
+        like = like[np.argsort(tokens.sentence[like], kind="stable")]
         for i in range(0, len(like), 65_536):
             part = like[i:i + 65_536]
-            whose, first = np.unique(group[part], return_index=True)
-            out[whose] = np.maximum(out[whose], np.maximum.reduceat(self.cache[at[part]], first, axis=0))
+            whose, first = np.unique(tokens.sentence[part], return_index=True)
+            out[whose] = np.maximum(out[whose], np.maximum.reduceat(self.cache[row[part]], first, axis=0))
         return out
 
     def matrix(self, words: list[str]) -> np.ndarray:
-        return self.pooled([[w] for w in words])
+        return self.pooled(Tokens.of_sentences([[w] for w in words]))
+
+
+def by_text(values: np.ndarray, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with a sentence, and the greatest of their sentences' values (or rows of values)."""
+    whose, first = np.unique(tokens.text_of, return_index=True)
+    return whose, np.maximum.reduceat(values, first, axis=0) if len(first) else values
 
 
 def inverse_root(matrix: np.ndarray) -> np.ndarray:
@@ -294,17 +347,13 @@ class ToxicityModel:
         self.landmarks, self.weights, self.bias = landmarks, weights, bias
         self.steps = fit_calibration(np.zeros(0), np.zeros(0))
 
-    def decisions(self, kernel: LandmarkKernel, texts: list[str | None]) -> np.ndarray:
+    def decisions(self, kernel: LandmarkKernel, texts: pa.Array) -> np.ndarray:
         """Greatest decision of each text's sentences and of its words as a whole (a text without words: the bias)."""
-        found = [sentences(t) for t in texts]
+        tokens = Tokens.of(texts)
+        x = kernel.pooled(tokens)
         out = np.full(len(texts), self.bias)
-        counts = np.array([len(s) for s in found], np.int64)
-        some = np.nonzero(counts)[0]
-        if len(some):
-            first = (np.cumsum(counts) - counts)[some]
-            x = kernel.pooled([words for s in found for words in s])
-            whole = np.maximum.reduceat(x, first, axis=0) @ self.weights
-            out[some] += np.maximum(np.maximum.reduceat(x @ self.weights, first), whole)
+        whose, worst = by_text(x @ self.weights, tokens)
+        out[whose] += np.maximum(worst, by_text(x, tokens)[1] @ self.weights)
         return out
 
     def probability(self, decision: np.ndarray) -> np.ndarray:
@@ -315,56 +364,27 @@ class ToxicityModel:
 
 # --- training ----------------------------------------------------------------------
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, fold: int, held: int, max_rows: int) -> DataFrame:
-    """``doc_id, y, text``: at most ``max_rows`` labelled documents outside the held-out fold, one row an id.
-
-    Ids are chosen by their hash.  An id with several labels takes the more frequent one
-    (a tie: 1), one with several texts the text of the least digest, so that the sample does not depend on
-    the order of rows.
-    """
-    marked = (pick(labels, _id="doc_id", y=label_col)
-              .filter(F.col("_id").isNotNull() & F.col("y").isin(0, 1) & (remainder(F.col("_id"), fold) != held))
-              .groupBy(F.col("_id").cast("bigint").alias("_id")).agg((F.avg("y") >= 0.5).cast("int").alias("y"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
-    # bounded by max_rows rows of two numbers
-    joined = docs.join(F.broadcast(marked), docs["doc_id"] == marked["_id"]).select("doc_id", "y", "text")
-
-    def least(batches):
-        held: dict[int, tuple] = {}                      # at most max_rows texts
-        for batch in batches:
-            for doc_id, y, text in zip(*(c.to_pylist() for c in batch.columns)):
-                digest = hashlib.sha256((text or "").encode("utf-8", "surrogatepass")).digest()
-                if doc_id not in held or digest < held[doc_id][1]:
-                    held[doc_id] = (y, digest, text or "")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int64()), pa.array([h[0] for h in held.values()], pa.int32()),
-             pa.array([h[1] for h in held.values()], pa.binary()), pa.array([h[2] for h in held.values()], pa.string())],
-            names=["doc_id", "y", "digest", "text"])
-
-    one = joined.mapInArrow(least, "doc_id bigint, y int, digest binary, text string")
-    return (one.groupBy("doc_id").agg(F.min(F.struct("digest", "y", "text")).alias("_one"))
-            .select("doc_id", "_one.y", "_one.text"))
-
-
 def _sample_slices(batches):
     for batch in batches:
         for part in byte_slices(batch, 2, SLICE):
-            yield part.column(1).to_pylist(), [sentences(t) for t in part.column(2).to_pylist()]
+            yield part.column(1).to_numpy().astype(np.int64), Tokens.of(part.column(2))
 
 
 def candidate_words(sample: DataFrame) -> tuple[list[str], dict[str, int]]:
     """Words most tied to toxic documents, and the most frequent other ones with their documents (``POOL`` each)."""
     def run(batches):
-        for labels, found in _sample_slices(batches):
-            words, ys = [], []
-            for y, text in zip(labels, found):
-                distinct = {u for s in text for w in s for u in windows(w)}
-                words += distinct
-                ys += [y] * len(distinct)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(ys, pa.int32())], names=["word", "y"])
-
-    counted = cut_lineage(sample.mapInArrow(run, "word string, y int").groupBy("word")
-                          .agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")), "toxicity_words")
+        for y, tokens in _sample_slices(batches):
+            size = max(1, len(tokens.words))
+            pair = np.unique(tokens.text_of[tokens.sentence] * size + tokens.code)          # each word once a text
+            n = np.bincount(pair % size, minlength=size)
+            toxic = np.bincount(pair % size, y[pair // size], size).astype(np.int64)
+            units = [(u, i) for i, w in enumerate(tokens.words) for u in windows(w)]
+            at = np.array([i for _, i in units], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in units], pa.string()), pa.array(toxic[at]), pa.array(n[at])],
+                                             names=["word", "toxic", "n"])
+
+    counted = cut_lineage(sample.mapInArrow(run, "word string, toxic bigint, n bigint").groupBy("word")
+                          .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")), "toxicity_words")
     rate = sample.agg(F.avg("y")).first()[0] or 0.0
     lift = (F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate + 1)
     bad = counted.filter((F.col("toxic") > 0) & (lift > 0)).orderBy(lift.desc(), "word").limit(POOL)
@@ -397,8 +417,8 @@ def _vectors(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return table.column("y").to_numpy().astype(float), table.column("n").to_numpy().astype(float), x
 
 
-def _counted(ys: list[int], x: np.ndarray) -> pa.RecordBatch:
-    counts = Counter(zip(ys, map(bytes, x)))
+def _counted(ys: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    counts = Counter(zip(ys.tolist(), map(bytes, x)))
     return pa.RecordBatch.from_arrays([pa.array([y for y, _ in counts], pa.int32()), pa.array([v for _, v in counts], pa.binary()),
                                        pa.array(list(counts.values()), pa.int64())], names=["y", "x", "n"])
 
@@ -420,9 +440,9 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
     size = len(landmarks)
 
     def whole(batches):
-        for ys, found in _sample_slices(batches):
-            keep = [i for i, s in enumerate(found) if s]
-            yield _counted([ys[i] for i in keep], _kernel(landmarks).pooled([[w for s in found[i] for w in s] for i in keep]))
+        for y, tokens in _sample_slices(batches):
+            whose, x = by_text(_kernel(landmarks).pooled(tokens), tokens)
+            yield _counted(y[whose], x)
 
     schema = "y int, x binary, n bigint"
     documents = _vectors(fitted.mapInArrow(whole, schema), size)
@@ -437,18 +457,16 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
     direction = root @ machine(*documents)[:-1]
 
     def worst(batches):
-        for ys, found in _sample_slices(batches):
-            groups = [words for s in found for words in s]
-            x, at, picked, labels = _kernel(landmarks).pooled(groups), 0, [], []
-            f = x @ direction
-            for i, s in enumerate(found):
-                take = 1 if ys[i] else CLEAN_SENTENCES
-                best = at + np.argsort(-f[at:at + len(s)], kind="stable")[:take]
-                picked += best.tolist()
-                labels += [ys[i]] * len(best)
-                at += len(s)
-            copies = _kernel(landmarks).pooled([[disturbed(w) for w in groups[k]] for k in picked])
-            yield _counted(labels * 2, np.concatenate([x[picked], copies]))
+        for y, tokens in _sample_slices(batches):
+            x = _kernel(landmarks).pooled(tokens)
+            # sentences of a text from the worst on, and their place among them
+            order = np.lexsort([-(x @ direction), tokens.text_of])
+            whose, first, many = np.unique(tokens.text_of, return_index=True, return_counts=True)
+            place = np.arange(len(order)) - np.repeat(first, many)
+            picked = order[place < np.where(y[tokens.text_of] > 0, 1, CLEAN_SENTENCES)]
+            label = y[tokens.text_of[picked]]
+            copies = Tokens.of_sentences([[disturbed(w) for w in g] for g in tokens.words_of(picked)])
+            yield _counted(np.append(label, label), np.concatenate([x[picked], _kernel(landmarks).pooled(copies)]))
 
     labelled = _vectors(fitted.mapInArrow(worst, schema), size)
     second = machine(*(np.concatenate(pair) for pair in zip(documents, labelled)))
@@ -458,7 +476,7 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
         for batch in batches:
             for part in byte_slices(batch, 2, SLICE):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array(model.decisions(_kernel(landmarks), part.column(2).to_pylist()))], names=["y", "f"])
+                    [part.column(1), pa.array(model.decisions(_kernel(landmarks), part.column(2)))], names=["y", "f"])
 
     table = sample.filter(calibrates).mapInArrow(decide, "y int, f double").toArrow()
     model.steps = fit_calibration(np.array(table.column("f").to_pylist(), float), np.array(table.column("y").to_pylist(), float))
@@ -483,9 +501,8 @@ def _score(shared, threshold: float, batches):
     model = shared.value
     for batch in batches:
         for part in byte_slices(batch, 2, SLICE):
-            texts = part.column(2).to_pylist()
-            score = (model.probability(model.decisions(_kernel(model.landmarks), texts)) if model
-                     else np.full(len(texts), 0.5))
+            score = (model.probability(model.decisions(_kernel(model.landmarks), part.column(2))) if model
+                     else np.full(part.num_rows, 0.5))
             yield arrow_batch(FIELDS, [part.column(0), part.column(1), score, (score >= threshold).astype(np.int32)])
 
 
@@ -494,7 +511,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """Toxicity score of every whole text; one row per input row, repeated rows included.
 
     Learns from at most ``max_rows`` labelled documents whose crc32(id) mod 3 is not 1
-    (see :func:`labelled_sample`); a score reads the text alone.  A null or wordless text scores as a
+    (see :func:`traitmatch.llm.labels.labelled_sample`); a score reads the text alone.  A null or wordless text scores as a
     text unlike every landmark; a null id stays null (``held_out`` false); without both
     labels every score is 0.5; an empty table gives no rows; other columns are ignored.
     """
