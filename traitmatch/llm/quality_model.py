@@ -10,14 +10,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.llm.common import arrow_batch, byte_slices, pick, schema_of, texts_of
+from traitmatch.llm.common import arrow_batch, byte_slices, schema_of, texts_of
+from traitmatch.llm.labels import labelled_sample
 from traitmatch.llm.langid import remainder
 from traitmatch.llm.quality_rules import base_counts, ratio
 
-MAX_TRAIN_ROWS = 20_000    # documented bound of the training sample (labelled rows)
+MAX_TRAIN_ROWS = 20_000    # documented bound of the training sample (labelled documents)
 BINS = 32
 PAIR_BINS = 8
 ROUNDS = 200
@@ -156,28 +158,20 @@ class AdditiveModel:
         return sigmoid(f)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature matrix and labels of at most ``max_rows`` labelled rows outside the held-out fold."""
-    marked = (pick(labels, doc_id="doc_id", y=label_col)
-              .filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
-              .select(F.col("doc_id").cast("bigint").alias("_id"), F.col("y").cast("int").alias("y")))
-    # bounded by max_rows rows of two numbers
-    joined = docs.join(F.broadcast(marked), docs["doc_id"] == marked["_id"]).select("y", "text")
+def training_rows(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Feature matrix and labels of a labelled sample, in an order that is theirs alone."""
     width = len(FEATURES)
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            rows = [features(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["y", "x"])
+            for part in byte_slices(batch, 1):
+                rows = [features(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["y", "x"])
 
-    # a label or a document may be repeated; the bound holds for what is collected
-    table = joined.mapInArrow(run, "y int, x array<double>").limit(2 * max_rows).toArrow()
+    table = sample.select("y", "text").mapInArrow(run, "y int, x array<double>").toArrow()     # a row a sampled document
     y = np.array(table.column("y").to_pylist(), float)
     x = np.array(table.column("x").to_pylist(), float).reshape(len(y), width)
-    order = np.lexsort([*x.T, y])              # the fit must not depend on arrival order
+    order = np.lexsort([*x.T, y])
     return x[order], y[order]
 
 
@@ -186,13 +180,15 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   threshold: float = THRESHOLD) -> DataFrame:
     """Quality score of every whole text; one row per input row, repeated rows included.
 
-    Learns from at most ``max_rows`` labelled rows (0 or 1) whose crc32(id) mod 5
-    is not 0, chosen by the hash of their id.  A null text scores as an empty one;
+    Learns from at most ``max_rows`` labelled documents (0 or 1) whose crc32(id) mod 5
+    is not 0: ids are chosen by their hash, and a repeated label or document counts
+    once (see :func:`traitmatch.llm.labels.labelled_sample`), so the scores are the
+    same however the rows are dealt out.  A null text scores as an empty one;
     a null id stays null (``held_out`` false); without any label the score is 0.5;
     an empty table gives no rows; other columns are ignored.
     """
     rows = texts_of(docs, id_col, text_col)
-    x, y = training_rows(rows, labels, label_col, max_rows)
+    x, y = training_rows(labelled_sample(rows, labels, label_col, 5, 0, max_rows))
     model = AdditiveModel(x, y) if len(y) else None
     shared = docs.sparkSession.sparkContext.broadcast(model)     # a few thousand numbers
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
