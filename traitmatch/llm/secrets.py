@@ -3,7 +3,7 @@
 Ordinary words cost few tokens a character under a large public vocabulary;
 random strings cost many.  Runs of key characters with a low characters-per-token
 ratio are reported as kind ``random``, after known digests and identifiers are
-excluded.  A path or a name joined to a key raises the ratio of the whole run, so
+excluded: an identifier is what has the form of one and is made of words that cost few tokens.  A path or a name joined to a key raises the ratio of the whole run, so
 its parts without words, digests and UUIDs are tested too, then the costliest
 stretch of each.  The fixed patterns (``assign``, ``access``, ``hex``) are always reported.
 """
@@ -42,6 +42,7 @@ UUID_PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 # taken whole (possessive), so a long one cannot be cut in exponentially many ways.
 IDENTIFIER = re.compile(r"([a-z]+|[A-Z]+|([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})+|[0-9]+)?"
                         r"([-_/+=]++([a-z]+|[A-Z]+|([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})+|[0-9]+)?)*")
+LETTERS = re.compile(r"[A-Za-z]+")
 MAX_CHARS_PER_TOKEN = 2.0
 # The ratio of a very long run is read from pieces of this size, so the test stays linear.
 PIECE = 4096
@@ -67,13 +68,27 @@ def is_digest(run: str) -> bool:
     return len(run) in DIGEST_LENGTHS and bool(DIGEST.fullmatch(run))
 
 
-def excluded(run: str) -> bool:
+def is_identifier(run: str, encoding, limit: float) -> bool:
+    """Whether a run has the form of an identifier and its words, apart from its numbers, cost few tokens:
+    all together, and each that is long enough for a key.
+
+    The form alone proves nothing: a random key of one letter case has it too.
+    """
+    if not IDENTIFIER.fullmatch(run):
+        return False
+    words = LETTERS.findall(run)
+    tokens = [sum(len(encoding.encode_ordinary(w[i:i + PIECE])) for i in range(0, len(w), PIECE)) for w in words]
+    return (not words or sum(map(len, words)) > limit * sum(tokens)
+            and all(len(w) < LEAST or len(w) > limit * n for w, n in zip(words, tokens)))
+
+
+def excluded(run: str, encoding, limit: float = MAX_CHARS_PER_TOKEN) -> bool:
     """Whether a run is a known digest or an identifier, or beside digests and UUIDs holds no more than an identifier or a few characters."""
-    if is_digest(run) or IDENTIFIER.fullmatch(run):
+    if is_digest(run) or is_identifier(run, encoding, limit):
         return True
     rest = UUID_PART.sub("", run)
     rest = PART.sub(lambda m: "" if is_digest(m[0]) else m[0], rest)
-    return len(rest) < len(run) and (len(rest) < LEAST or bool(IDENTIFIER.fullmatch(rest)))
+    return len(rest) < len(run) and (len(rest) < LEAST or is_identifier(rest, encoding, limit))
 
 
 def token_lengths(run: str, encoding) -> list[int]:
@@ -86,7 +101,7 @@ def chars_per_token(run: str, encoding) -> float:
     return len(run) / max(1, tokens)
 
 
-def stretches(run: str) -> list[tuple[int, int]]:
+def stretches(run: str, encoding, limit: float) -> list[tuple[int, int]]:
     """Bounds of the longest stretches of parts without a word, digest or UUID, of ``LEAST`` characters or more."""
     known = [m.span() for m in UUID_PART.finditer(run)]
     out, start, end, at = [], None, 0, 0
@@ -94,7 +109,7 @@ def stretches(run: str) -> list[tuple[int, int]]:
         while at < len(known) and known[at][1] <= m.start():
             at += 1
         if (at < len(known) and known[at][0] <= m.start() or is_digest(m[0])
-                or len(m[0]) >= WORD and IDENTIFIER.fullmatch(m[0])):
+                or len(m[0]) >= WORD and is_identifier(m[0], encoding, limit)):
             out.append((start, end))
             start = None
         else:
@@ -102,7 +117,7 @@ def stretches(run: str) -> list[tuple[int, int]]:
             while run[end:end + 1] == "=":          # padding of base64
                 end += 1
     out.append((start, end))
-    return [(a, b) for a, b in out if a is not None and b - a >= LEAST and not excluded(run[a:b])]
+    return [(a, b) for a, b in out if a is not None and b - a >= LEAST and not excluded(run[a:b], encoding, limit)]
 
 
 def costly(run: str, encoding, limit: float) -> list[tuple[int, int]]:
@@ -125,7 +140,7 @@ def costly(run: str, encoding, limit: float) -> list[tuple[int, int]]:
             best, end = max(best, spare), at
     if end - start >= LEAST:
         out.append((start, end))
-    return [(a, b) for a, b in out if not excluded(run[a:b])]
+    return [(a, b) for a, b in out if not excluded(run[a:b], encoding, limit)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -148,12 +163,12 @@ def random_spans(text: str, encoding, limit: float = MAX_CHARS_PER_TOKEN) -> lis
     """
     out = []
     for m in CANDIDATE.finditer(text):
-        if excluded(m[0]):
+        if excluded(m[0], encoding, limit):
             continue
         if chars_per_token(m[0], encoding) <= limit:
             out.append((m.start(), 3, m.end()))
             continue
-        for a, b in stretches(m[0]):
+        for a, b in stretches(m[0], encoding, limit):
             part = m[0][a:b]
             found = [(0, len(part))] if chars_per_token(part, encoding) <= limit else costly(part, encoding, limit)
             out += [(m.start() + a + x, 3, m.start() + a + y) for x, y in found]
