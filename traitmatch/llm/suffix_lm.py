@@ -8,12 +8,14 @@ Both are learned from every training text.  One pass counts words and byte
   size; all other tokens of a text find their counts in a shuffled join, so the
   result is exact for any vocabulary.
 * Tree: symbols are the bytes of the lower-cased words joined by single spaces
-  and closed by an end symbol.  A context of up to ``DEPTH`` bytes is kept if its share
-  of all positions is at least ``MIN_SHARE`` and its next-symbol distribution
-  diverges from that of its suffix by ``MIN_DIVERGENCE`` nats or more.  At most
-  1 / MIN_SHARE contexts of each length can pass, whatever the corpus size, which
-  bounds the tree.  Distributions are smoothed toward the suffix's own, down to
-  the root; each symbol is scored in the longest kept suffix of what precedes it.
+  and closed by an end symbol.  A context of up to ``DEPTH`` bytes is kept if its
+  divergence from its suffix, weighted by its count (the nats it saves on the
+  training text), is at least ``GAIN`` times the square root of the number of positions.
+  The test is a Spark join of each context with its suffix, and only kept contexts
+  leave the cluster.  All nats together are at most 5.55 a position, so at most
+  5.55 / GAIN * sqrt(positions) contexts can pass: the tree grows with the corpus, but
+  slower, so that it can still be broadcast.  Distributions are smoothed toward the
+  suffix's own, down to the root; each symbol is scored in the longest kept suffix of what precedes it.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from traitmatch.llm.langid import gram_counts, remainder
 from traitmatch.plans.lineage import cut_lineage
 
 DEPTH = 5
-MIN_SHARE = 1e-5
-MIN_DIVERGENCE = 0.01
+GAIN = 0.1
+MOST_NATS = math.log(256)  # divergence of one position at most
 WEIGHT = 2.0               # pseudo-count of the suffix's distribution
 ROOT_COUNT = 0.1           # added to every byte's count at the root
 HEAD_WORDS = 100_000
@@ -98,21 +100,36 @@ def corpus_counts(training: DataFrame) -> DataFrame:
     return (training.mapInArrow(run, schema).groupBy("kind", "key").agg(F.sum("n").alias("n")))
 
 
-def context_counts(grams: DataFrame) -> dict[bytes, dict[int, int]]:
-    """Next-symbol counts of every context (length 0 to DEPTH) with a share of ``MIN_SHARE`` or more.
+def kept_contexts(grams: DataFrame, gain: float = GAIN) -> DataFrame:
+    """``context, total, cells`` (next symbol, count) of the root and of every context (length 1 to DEPTH)
+    whose count-weighted divergence from its suffix is at least ``gain`` * sqrt(positions).
 
-    At most 1 / MIN_SHARE contexts of each length, of at most 256 symbols each.
+    A context whose count alone cannot reach that is left out before the join; its
+    suffixes always have its count or more, so each context meets its suffix.
     """
+    positions = grams.agg(F.sum("n")).first()[0] or 0
+    least = gain * math.sqrt(positions)
     by_length = grams.select(F.explode(F.array(*[F.lit(k) for k in range(DEPTH + 1)])).alias("k"), "key", "n")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    cells = (by_length.select(F.expr(f"substring(key, {DEPTH + 1} - k, k)").alias("context"),
-                              F.expr(f"substring(key, {DEPTH + 1}, 1)").alias("next"), "n")
-             .groupBy("context", "next").agg(F.sum("n").alias("n"))
-             .groupBy("context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("next", "n")).alias("cells"))
-             .filter(F.col("total") >= F.lit(MIN_SHARE * total)))
-    table = cells.select("context", "cells.next", "cells.n").toArrow()
-    return {bytes(c): {s[0]: n for s, n in zip(nexts, ns)} for c, nexts, ns in zip(
-        *(table.column(i).to_pylist() for i in range(3)))}
+    cells = F.collect_list(F.struct(F.conv(F.hex("next"), 16, 10).cast("int").alias("s"), "n"))
+    counted = (by_length.select(F.expr(f"substring(key, {DEPTH + 1} - k, k)").alias("context"),
+                                F.expr(f"substring(key, {DEPTH + 1}, 1)").alias("next"), "n")
+               .groupBy("context", "next").agg(F.sum("n").alias("n"))
+               .groupBy("context").agg(F.sum("n").alias("total"), cells.alias("cells"))
+               .filter((F.octet_length("context") == 0) | (F.col("total") * F.lit(MOST_NATS) >= F.lit(least))))
+    rows = cut_lineage(counted, "lm_contexts")
+    suffixes = rows.select(F.col("context").alias("_c"), F.col("total").alias("_t"),
+                           F.map_from_entries("cells").alias("_m"))
+    saved = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + x["n"] * F.ln(
+        x["n"] / F.col("total") / (F.col("_m")[x["s"]] / F.col("_t"))))
+    longer = (rows.filter(F.octet_length("context") > 0)
+              .join(suffixes, F.expr("substring(context, 2)") == F.col("_c")).filter(saved >= F.lit(least)))
+    return rows.filter(F.octet_length("context") == 0).unionByName(longer.select(*rows.columns))
+
+
+def context_counts(grams: DataFrame, gain: float = GAIN) -> dict[bytes, dict[int, int]]:
+    """Next-symbol counts of the kept contexts: at most MOST_NATS / gain * sqrt(positions), one row each."""
+    table = kept_contexts(grams, gain).select("context", "cells.s", "cells.n").toArrow()
+    return {bytes(c): dict(zip(symbols, ns)) for c, symbols, ns in zip(*(table.column(i).to_pylist() for i in range(3)))}
 
 
 class SuffixTree:
@@ -132,10 +149,8 @@ class SuffixTree:
             vector = np.zeros(256)
             for s, n in counts[context].items():
                 vector[s] = n
-            p = (vector + WEIGHT * probs[suffix]) / (vector.sum() + WEIGHT)
-            if float((p * np.log(p / probs[suffix])).sum()) >= MIN_DIVERGENCE:
-                probs[context] = p
-                kept.append(context)
+            probs[context] = (vector + WEIGHT * probs[suffix]) / (vector.sum() + WEIGHT)
+            kept.append(context)
         self.table = ContextTable(alphabet, kept)
         known = self.table.bytes_of
         other = next((b for b in range(256) if b not in set(known)), 255)
@@ -155,17 +170,17 @@ class SuffixTree:
         return np.add.reduceat(np.append(logs, np.float32(0)), bounds, dtype=np.float64)[::2]
 
 
-_BUILT: dict[int, tuple] = {}
+_BUILT: list[tuple] = []
 
 
 def _model(shared):
-    """Tree and head-word table, built once per Python worker and broadcast."""
+    """Tree and head-word table, built once per Python worker and broadcast; the broadcast value is held
+    beside them, so that no other one can be taken for it."""
     value = shared.value
-    if id(value) not in _BUILT:
-        _BUILT.clear()
+    if not _BUILT or _BUILT[0][0] is not value:
         counts, (words, ns), denominator = value
-        _BUILT[id(value)] = SuffixTree(counts), {w: math.log10((n + ADD) / denominator) for w, n in zip(words, ns)}
-    return _BUILT[id(value)]
+        _BUILT[:] = [(value, SuffixTree(counts), {w: math.log10((n + ADD) / denominator) for w, n in zip(words, ns)})]
+    return _BUILT[0][1:]
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD_WORDS,
