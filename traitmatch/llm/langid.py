@@ -8,14 +8,19 @@ of a longer context excluded from the shorter ones).  All code lengths go into
 one table, so a text's exact code length under every language is a sum of table
 entries; the language with the shortest code wins.
 
-Tables of more than ``BLOCK_LANGS`` languages are made and scored block by block: each
-block is one pass over the texts, whose results (a few numbers a text) meet in a
-shuffle.  The blocks share one alphabet, so the code lengths are those of one table.
+A table holds contexts x alphabet x languages numbers.  Languages whose table would
+be larger than ``TABLE_BYTES`` are scored block by block: each block is one pass over
+the texts, whose results (a few numbers a text) meet in a shuffle.  The blocks share
+one alphabet, so the code lengths are those of one table.  A table is built once, on
+the driver, from counts of a bounded sample, and broadcast.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +29,14 @@ from pyspark.sql import functions as F
 
 from traitmatch.llm.common import arrow_batch, byte_slices, pick, schema_of
 from traitmatch.llm.contexts import PAD, ContextTable
-from traitmatch.plans.lineage import cut_lineage
+from traitmatch.plans.lineage import cut_lineage, number_rows
 
 ORDER = 3
 TRAIN_DOCS_PER_LANG = 400     # documented bound of the training sample: whole texts per language
 PICK_PARTS = 64
-BLOCK_LANGS = 64              # languages of one table; more labels are scored in several passes
+BLOCK_LANGS = 64              # languages whose sample is counted at once
+TABLE_BYTES = 64 << 20        # of one table of code lengths; a single language may need more
+COUNT_BYTES = 4 << 20         # text bytes counted at once
 LETTER = re.compile(r"[^\W\d_]")
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double"),
           ("bits_per_byte", "double")]
@@ -130,30 +137,47 @@ def training_counts(rows: DataFrame, per_lang: int = TRAIN_DOCS_PER_LANG, order:
     of each language are picked on ids alone, then their whole texts are read by a
     join with those few ids.  A language is first cut into ``PICK_PARTS`` parts,
     each of which passes on at most ``per_lang`` ids, so that the last pick meets a
-    bounded number of rows however many map tasks there are.
+    bounded number of rows however many map tasks there are.  A repeated id counts once, with
+    the text of the least digest.
     """
     def first(ids: DataFrame, *keys: str) -> DataFrame:
         at = F.row_number().over(Window.partitionBy(*keys).orderBy("_key", "_id"))
         return ids.withColumn("_n", at).filter(F.col("_n") <= per_lang).drop("_n")
 
-    ids = rows.select("lang", F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_key"))
+    ids = rows.select("lang", F.col("doc_id").alias("_id"), F.xxhash64("doc_id").alias("_key")).distinct()
     parted = ids.withColumn("_part", F.pmod("_key", F.lit(PICK_PARTS)))
-    picked = first(first(parted, "lang", "_part"), "lang").select("lang", "_id").distinct()
+    picked = first(first(parted, "lang", "_part"), "lang").select("lang", "_id")
     # at most BLOCK_LANGS x per_lang ids
     sample = rows.join(F.broadcast(picked.withColumnRenamed("lang", "_lang")),
                        (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
 
+    def least(batches):
+        held: dict[tuple[str, int], tuple[bytes, str]] = {}      # at most one text a picked id
+        for batch in batches:
+            for lang, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                digest = hashlib.sha256(text.encode()).digest()
+                if (lang, doc_id) not in held or digest < held[lang, doc_id][0]:
+                    held[lang, doc_id] = digest, text
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.int64()),
+             pa.array([d for d, _ in held.values()], pa.binary()), pa.array([t for _, t in held.values()], pa.string())],
+            names=["lang", "doc_id", "digest", "text"])
+
+    one = (sample.select("lang", "doc_id", "text").mapInArrow(least, "lang string, doc_id bigint, digest binary, text string")
+           .groupBy("lang", "doc_id").agg(F.min(F.struct("digest", "text")).alias("_one")))
+
     def count(batches):
         for batch in batches:
-            by: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by.setdefault(lang, []).append(text.encode())
-            for lang, texts in by.items():
-                codes, n = gram_counts(texts, order)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes),
-                                                  pa.array(n)], names=["lang", "gram", "n"])
-
-    return (sample.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
+            for part in byte_slices(batch, 1, COUNT_BYTES):
+                by: dict[str, list[bytes]] = {}
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    by.setdefault(lang, []).append(text.encode())
+                for lang, texts in by.items():
+                    codes, n = gram_counts(texts, order)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes),
+                                                      pa.array(n)], names=["lang", "gram", "n"])
+
+    return (one.select("lang", "_one.text").mapInArrow(count, "lang string, gram bigint, n bigint")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
@@ -163,18 +187,40 @@ def collected(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return {lang: (g["gram"].to_numpy(np.int64), g["n"].to_numpy(np.int64)) for lang, g in frame.groupby("lang")}
 
 
+def contexts_of(grams: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """The contexts of grams, of all lengths, as numbers."""
+    before = grams >> 8
+    return np.unique(np.concatenate([before & ((1 << (8 * k)) - 1) | (k << (8 * order)) for k in range(order + 1)]))
+
+
+def packed(grams: dict[str, tuple[np.ndarray, np.ndarray]], symbols: int, limit: int = TABLE_BYTES) -> list[list[str]]:
+    """Languages in sorted order, cut into runs whose tables take at most ``limit`` bytes each (one language at least)."""
+    out: list[list[str]] = []
+    held = np.zeros(0, np.int64)
+    for lang in sorted(grams):
+        own = contexts_of(grams[lang][0])
+        union = np.union1d(held, own)
+        if not out or len(union) * symbols * (len(out[-1]) + 1) * 4 > limit:
+            out.append([lang])
+            held = own
+        else:
+            out[-1].append(lang)
+            held = union
+    return out
+
+
 def remainder(column, divisor: int):
     """crc32 of a number as text, modulo ``divisor`` (null stays null)."""
     return F.crc32(column.cast("string").cast("binary")) % divisor
 
 
 def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                     per_lang: int = TRAIN_DOCS_PER_LANG, block_langs: int = BLOCK_LANGS) -> DataFrame:
+                     per_lang: int = TRAIN_DOCS_PER_LANG, block_langs: int = BLOCK_LANGS, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """Language of every whole text; one row per input row, repeated rows included.
 
     Training uses only text and label of rows whose crc32(id) mod 4 is not 2 and
     whose label, text and id are not null, up to ``per_lang`` whole texts per
-    label; a prediction reads the text alone.  ``und`` with score 0 if the text
+    label (a repeated id counts once); a prediction reads the text alone.  ``und`` with score 0 if the text
     is null or has no letter, or if there is nothing to learn from.  Ties take
     the first label in sorted order.  ``score`` is the posterior share of the best
     language under equal priors.  A null id stays null (``held_out`` false); an
@@ -188,15 +234,19 @@ def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                            & F.col("doc_id").isNotNull() & ~held_out)
     labelled = labelled.select("doc_id", "lang", "text")
     labels = sorted(r[0] for r in labelled.select("lang").distinct().collect())
-    blocks = [labels[i:i + block_langs] for i in range(0, len(labels), block_langs)]
+    # counts of the sample: one stored table for each block of labels
+    counts = [cut_lineage(training_counts(labelled.filter(F.col("lang").isin(labels[i:i + block_langs])), per_lang), "lang_counts")
+              for i in range(0, len(labels), block_langs)]
+    alphabet = bytes(sorted({r[0] for each in counts for r in each.select(F.pmod("gram", F.lit(256))).distinct().collect()}))
     rows = rows.select("doc_id", held_out.alias("held_out"), "text")
-    if len(blocks) > 1:
-        return _predict_in_passes(rows, labelled, blocks, per_lang)
-    grams = collected(training_counts(labelled, per_lang))
-    shared = docs.sparkSession.sparkContext.broadcast((grams, b""))     # bounded by the sample
+    tables = _tables(counts, alphabet, table_bytes)
+    first, second = next(tables, None), next(tables, None)
+    if second is not None:
+        return _predict_in_passes(rows, chain([first, second], tables))
+    shared = docs.sparkSession.sparkContext.broadcast(first)     # one table of TABLE_BYTES, or of one language
 
     def run(batches):
-        models = _models(shared)
+        models = shared.value
         for batch in batches:
             for part in byte_slices(batch, 2, 2 << 20):
                 pred, score, rate = ["und"] * part.num_rows, [0.0] * part.num_rows, [0.0] * part.num_rows
@@ -207,6 +257,14 @@ def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(run, schema_of(FIELDS))
 
 
+def _tables(counts: list[DataFrame], alphabet: bytes, table_bytes: int) -> Iterator[ContextModels]:
+    """The frozen tables, one at a time; the driver holds one block's counts and one table."""
+    for each in counts:
+        grams = collected(each)
+        for langs in packed(grams, len(alphabet) + 1, table_bytes):
+            yield ContextModels(langs, [grams[x] for x in langs], others=alphabet)
+
+
 def _scored(models: ContextModels | None, texts: list[str | None]):
     """For each text with a letter: position, best language, its bits, the sum of all languages' likelihoods over its own, bytes."""
     good = [i for i, t in enumerate(texts) if t and models is not None and LETTER.search(t)]
@@ -220,21 +278,18 @@ def _scored(models: ContextModels | None, texts: list[str | None]):
             yield i, models.langs[best[k]], float(least[k]), float(total[k]), len(raw[k])
 
 
-def _predict_in_passes(rows: DataFrame, labelled: DataFrame, blocks: list[list[str]], per_lang: int) -> DataFrame:
-    """``FIELDS`` of ``rows`` (``doc_id, held_out, text``): one pass over the stored texts for each block of labels."""
+def _predict_in_passes(rows: DataFrame, tables: Iterable[ContextModels]) -> DataFrame:
+    """``FIELDS`` of ``rows`` (``doc_id, held_out, text``): one pass over the stored texts for each table."""
     context = rows.sparkSession.sparkContext
-    # stored, so that row numbers are data and all passes read the same rows
-    numbered = cut_lineage(rows.withColumn("row_no", F.monotonically_increasing_id()), "lang_rows")
-    counts = [cut_lineage(training_counts(labelled.filter(F.col("lang").isin(block)), per_lang), "lang_counts")
-              for block in blocks]
-    alphabet = bytes({r[0] for each in counts for r in each.select(F.pmod("gram", F.lit(256))).distinct().collect()})
+    # all passes read the same rows under the same numbers
+    numbered = number_rows(rows, "row_no")
     fields = [("row_no", "bigint"), ("lang", "string"), ("least", "double"), ("total", "double"), ("size", "bigint")]
     passes = None
-    for each in counts:
-        shared = context.broadcast((collected(each), alphabet))
+    for table in tables:
+        shared = context.broadcast(table)
 
         def run(batches, shared=shared):
-            models = _models(shared)
+            models = shared.value
             for batch in batches:
                 for part in byte_slices(batch, 1, 2 << 20):
                     found = list(_scored(models, part.column(1).to_pylist()))
@@ -256,16 +311,3 @@ def _predict_in_passes(rows: DataFrame, labelled: DataFrame, blocks: list[list[s
             .select("doc_id", "held_out", F.coalesce("lang", F.lit("und")).alias("lang_pred"),
                     F.coalesce("score", zero).alias("score"), F.coalesce("rate", zero).alias("bits_per_byte")))
 
-
-_BUILT: dict[int, tuple] = {}
-
-
-def _models(shared) -> ContextModels | None:
-    """The frozen tables, built once per Python worker and broadcast."""
-    value = shared.value
-    if id(value) not in _BUILT:
-        _BUILT.clear()
-        grams, others = value
-        # the value is held beside its tables, so that no later broadcast can have its id
-        _BUILT[id(value)] = value, ContextModels(list(grams), list(grams.values()), others=others) if grams else None
-    return _BUILT[id(value)][1]
