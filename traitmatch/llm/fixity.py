@@ -1,12 +1,15 @@
 """WARC fixity audit with Merkle trees.
 
 Every archived record has a digest and an offset range.  A tree's lowest nodes
-hash the records of one id and one slice of the digests, in order; the next levels
+hash the records of one id and one slice of the digests; the next levels
 hash the slices of an id, runs of ids, then whole archives, then groups of archives
-up to one root.  No node depends on offsets, so a lost or shortened record, which
-moves all that follow it, changes the nodes above itself only.  Two replicas are
+up to one root.  Above the ids a node also holds the offset range of its records and
+hashes which of its children reach behind the start of the next one: the order of all
+records of an archive is in its hashes, but no absolute offset.  So a lost or shortened
+record, which moves all that follow it, changes the nodes above itself only, while records that
+stand in another order are told as moved.  Two replicas are
 compared root first; only the children of mismatching nodes are looked at on the
-way down, to the damaged records.
+way down, to the damaged records and the ranges out of order.
 
 Payloads never move: a record's digest and length are computed where it is
 scanned, and everything behind that handles digests only.
@@ -72,14 +75,22 @@ def _up(name: str, by: int) -> Column:
     return F.floor(F.col(name) / by).cast("bigint")
 
 
-def _parents(children: DataFrame, archive: Column, number: Column) -> DataFrame:
-    """Parent nodes: the hash of the children's hashes in order."""
-    ordered = F.array_sort(F.collect_list(F.struct("archive", "number", "hash")))
-    return (children.withColumns({"_a": archive, "_n": number}).groupBy("side", "_a", "_n")
-            .agg(ordered.alias("_c"))
+def _parents(children: DataFrame, archive: Column, number: Column, ordered_ids: bool) -> DataFrame:
+    """Parent nodes: the hash of the children's hashes in order, and their offset range.
+
+    With ``ordered_ids`` the children hold whole ids, in the order that their archive has: ``behind`` lists the
+    children that reach behind the start of the next one, and is hashed too.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("archive", "number", "hash", "first", "last")))
+    grouped = (children.withColumns({"_a": archive, "_n": number}).groupBy("side", "_a", "_n")
+               .agg(listed.alias("_c"), F.min("first").alias("first"), F.max("last").alias("last")))
+    after = lambda i: F.get("_c", i + 1)["first"]
+    behind = F.array_join(F.transform(F.filter(F.transform("_c", lambda c, i: F.when(
+        (c["archive"] >= 0) & (c["last"] > after(i)), c["number"])), lambda x: x.isNotNull()), lambda x: x.cast("string")), ",")
+    hashes = F.array_join(F.transform("_c", lambda c: F.concat_ws(":", c["number"], c["hash"])), ",")
+    return (grouped.withColumn("behind", behind if ordered_ids else F.lit(""))
             .select("side", F.col("_a").alias("archive"), F.col("_n").alias("number"),
-                    F.sha2(F.array_join(F.transform("_c", lambda c: F.concat_ws(":", c["number"], c["hash"])), ","),
-                           256).alias("hash")))
+                    F.sha2(F.concat_ws("|", hashes, F.nullif("behind", F.lit(""))), 256).alias("hash"), "first", "last", "behind"))
 
 
 def _parent_keys() -> list[tuple[Column, Column]]:
@@ -90,6 +101,10 @@ def _parent_keys() -> list[tuple[Column, Column]]:
             (_up("archive", ARCHIVE_FAN), zero), (_up("archive", ARCHIVE_FAN), zero), (zero, zero)]
 
 
+# levels whose nodes' children are whole ids, or runs of ids, of one archive
+ORDERED_LEVELS = (3, 4)
+
+
 def _slot() -> Column:
     """Number of a record's lowest node in its archive: by id and digest, whatever its offset."""
     slice_of = lambda n: F.pmod(F.xxhash64("digest"), F.lit(n))
@@ -98,41 +113,73 @@ def _slot() -> Column:
 
 
 def merkle_levels(records: DataFrame) -> list[DataFrame]:
-    """``side, archive, number, hash`` of the nodes, one stored table per level, from slices to the root.
+    """``side, archive, number, hash, first, last, behind`` of the nodes, one stored table per level, from slices to the root.
 
-    ``records`` has ``side, archive, length, page_id, digest``; equal records count
+    ``records`` has ``side, archive, offset, length, page_id, digest``; equal records count
     as one with a number of copies.  What one row gathers is bounded by the fan-out,
     and in a lowest node by the share of its slice in the distinct records of one id
     (or of those without id); the root has one child for each 65,536 archives.
     """
     below = (records.withColumn("number", _slot()).groupBy("side", "archive", "number", "page_id", "length", "digest")
-             .agg(F.count(F.lit(1)).alias("copies"))
-             .select("side", "archive", "number", F.concat_ws(":", "page_id", "length", "digest", "copies").alias("hash")))
+             .agg(F.count(F.lit(1)).alias("copies"), F.min("offset").alias("first"),
+                  F.max(F.col("offset") + F.col("length")).alias("last"))
+             .select("side", "archive", "number", F.concat_ws(":", "page_id", "length", "digest", "copies").alias("hash"),
+                     "first", "last"))
     levels = []
     for k, (archive, number) in enumerate(_parent_keys()):
-        below = cut_lineage(_parents(below, archive, number), f"merkle_{k}")
+        below = cut_lineage(_parents(below, archive, number, k in ORDERED_LEVELS), f"merkle_{k}")
         levels.append(below)
     return levels
 
 
-def mismatching_ranges(levels: list[DataFrame]) -> DataFrame:
-    """``archive, number`` of the lowest nodes that differ between the sides ``p`` and ``r``.
+def mismatching_ranges(levels: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``archive, number`` of the lowest nodes that differ between the sides ``p`` and ``r``; and
+    ``archive, run, level, first, last`` of the nodes whose children may stand in another order in ``r``.
 
     Descends from the root: a level is joined with the mismatching nodes above it,
     so subtrees with equal hashes are never looked at.
     """
-    side = lambda s: F.max(F.when(F.col("side") == s, F.col("hash")))
+    side = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c)))
     differing = lambda nodes: (nodes.groupBy("archive", "number")
-                               .agg(side("p").alias("_p"), side("r").alias("_r"))
-                               .filter(~F.col("_p").eqNullSafe(F.col("_r"))).select("archive", "number"))
+                               .agg(side("p", "hash").alias("_p"), side("r", "hash").alias("_r"),
+                                    side("p", "behind").alias("_pb"), side("r", "behind").alias("_rb"),
+                                    side("p", "first").alias("first"), side("p", "last").alias("last"))
+                               .filter(~F.col("_p").eqNullSafe(F.col("_r"))))
     keys = _parent_keys()
-    bad = differing(levels[-1])
+    bad, moved = differing(levels[-1]), None
     for level in range(len(levels) - 2, -1, -1):
         archive, number = keys[level + 1]
         marked = bad.select(F.col("archive").alias("_a"), F.col("number").alias("_n"))
         bad = differing(levels[level].withColumns({"_a": archive, "_n": number})
                         .join(marked, ["_a", "_n"], "left_semi"))
-    return bad
+        if level in ORDERED_LEVELS:
+            here = bad.filter(F.col("_pb") != F.col("_rb")).select(                      # on both sides
+                "archive", F.col("number").alias("run"), F.lit(level).alias("level"), "first", "last")
+            moved = here if moved is None else moved.unionByName(here)
+    return bad.select("archive", "number"), moved
+
+
+def out_of_order(suspects: DataFrame, sides: DataFrame, same: list[str]) -> DataFrame:
+    """The suspected nodes whose records that both sides hold stand in another order in ``r``.
+
+    A record that is altered, extra or lost may reach behind its neighbours without any other being
+    moved, so only equal records are looked at, and only in suspected archives: the offset range of each
+    id, then of each run of ids, against the next one's.
+    """
+    there = suspects.select("archive").distinct()
+    copies = (sides.join(there, "archive", "left_semi").withColumn("_n", F.row_number().over(
+        Window.partitionBy("side", *same).orderBy("offset"))))
+    side = lambda s: F.max(F.when(F.col("side") == s, F.col("offset")))
+    ids = (copies.groupBy(*same, "_n").agg(side("p").alias("_p"), side("r").alias("_r")).filter("_p is not null and _r is not null")
+           .groupBy("archive", "page_id").agg(F.min("_r").alias("a"), F.max(F.col("_r") + F.col("length")).alias("b"))
+           .withColumn("run", F.floor(F.pmod("page_id", F.lit(ARCHIVE_IDS)) / FAN).cast("bigint")))
+    behind = lambda rows, keys, order: (rows.withColumn(
+        "_next", F.lead("a").over(Window.partitionBy(*keys).orderBy(order))).filter("b > _next").select(*keys).distinct())
+    runs = ids.groupBy("archive", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    low, high = ORDERED_LEVELS
+    found = (behind(ids, ["archive", "run"], "page_id").withColumn("level", F.lit(low))
+             .unionByName(behind(runs, ["archive"], "run").select("archive", F.lit(0).cast("bigint").alias("run"), F.lit(high).alias("level"))))
+    return suspects.join(found, ["archive", "run", "level"], "left_semi")
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
@@ -140,7 +187,9 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
 
     One row per record that
     differs: ``status`` is ``altered``, ``missing`` (not in the replica) or
-    ``extra`` (not in the primary).  Equal replicas, also two empty ones, give no
+    ``extra`` (not in the primary).  And one row, ``moved``, for each range of the primary (64 ids of an
+    archive, or the 64-id ranges of an archive among themselves) whose records stand in another
+    order in the replica, with the range's offsets and no record.  Equal replicas, also two empty ones, give no
     rows.  Records are paired by archive and id, not by offset, which may differ
     in every record behind a lost or shortened one: equal records first, copy by
     copy, then the remaining ones of an id in the order of their offsets (which of
@@ -150,7 +199,7 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """
     sides = (primary.withColumn("side", F.lit("p"))
              .unionByName(replica.select(*primary.columns).withColumn("side", F.lit("r"))))
-    ranges = mismatching_ranges(merkle_levels(sides))
+    ranges, suspects = mismatching_ranges(merkle_levels(sides))
     inside = sides.withColumn("number", _slot()).join(ranges, ["archive", "number"], "left_semi")
     numbered = lambda df, *keys: df.withColumn("_n", F.row_number().over(
         Window.partitionBy("side", *keys).orderBy("offset", "length", "digest")))
@@ -164,10 +213,15 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
              .agg(side("p").alias("p"), side("r").alias("r")))
     status = (F.when(F.col("r").isNull(), "missing").when(F.col("p").isNull(), "extra").otherwise("altered"))
     start = F.floor(F.coalesce("p.offset", "r.offset") / RANGE).cast("bigint") * RANGE
+    none = F.lit(None)
+    moved = out_of_order(suspects, sides, same).select(
+        "archive", F.col("first").alias("offset"), none.cast("bigint").alias("length"), none.cast("bigint").alias("page_id"),
+        F.lit("moved").alias("status"), none.cast("string").alias("primary_digest"), none.cast("string").alias("replica_digest"),
+        F.col("first").alias("range_start"), F.col("last").alias("range_end"))
     return found.select("archive", F.coalesce("p.offset", "r.offset").alias("offset"),
                         F.coalesce("p.length", "r.length").alias("length"), "page_id", status.alias("status"),
                         F.col("p.digest").alias("primary_digest"), F.col("r.digest").alias("replica_digest"),
-                        start.alias("range_start"), (start + RANGE).alias("range_end"))
+                        start.alias("range_start"), (start + RANGE).alias("range_end")).unionByName(moved)
 
 
 def damaged_copy(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
