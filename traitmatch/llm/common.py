@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -67,6 +68,27 @@ def arrow_batch(fields: Sequence[tuple[str, str]], columns: Sequence) -> pa.Reco
     return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
+def release_memory() -> None:
+    """Hand freed memory of this process back to the system (Arrow's pool, then the C heap where it can)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):         # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, handing memory back at the end of each task: workers are used again, and
+    what one stage freed must not stand beside what the next one needs."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def map_texts(df: DataFrame, make: Callable, args: tuple, fields: Sequence[tuple[str, str]],
               text_at: int = 1) -> DataFrame:
     """One output row per input row: all input columns but the text, then ``fields``.

@@ -22,11 +22,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.llm.common import byte_slices, pick, texts_of
+from traitmatch.llm.common import byte_slices, pick, texts_of, tidy
 from traitmatch.plans.lineage import cut_lineage, number_rows, scratch_scope
 
 WINDOW = 13
-SEGMENT_BYTES = 4 << 20      # text bytes per segment (a longer single text still makes one segment)
+SEGMENT_BYTES = 2 << 20      # text bytes per segment (a longer single text still makes one segment)
 BLOCK_WORDS = 250_000        # query words per broadcast block (8 bytes each)
 # Word characters: 0-9, letters, and everything beyond ASCII; A-Z become a-z, the rest blanks.
 TO_WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32
@@ -83,7 +83,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if ids:
             yield segment(number, ids, words)
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, INDEX_SCHEMA)
+    return texts_of(docs, id_col, text_col).mapInArrow(tidy(run), INDEX_SCHEMA)
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -193,7 +193,7 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, span: int | N
                 for row in rows_of(batch):
                     yield from _hits(Segment(row), shared.value, span)
 
-        parts.append(index.mapInArrow(run, HIT_SCHEMA))
+        parts.append(index.mapInArrow(tidy(run), HIT_SCHEMA))
     if not parts:
         return index.sparkSession.createDataFrame([], HIT_SCHEMA)
     out = parts[0]
@@ -248,7 +248,7 @@ def index_documents(index: DataFrame) -> DataFrame:
                     names=["segment", "doc_no", "doc_id", "n_words"])
 
     return index.select("segment", "doc_ids", "n_words").mapInArrow(
-        run, "segment bigint, doc_no int, doc_id bigint, n_words bigint")
+        tidy(run), "segment bigint, doc_no int, doc_id bigint, n_words bigint")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

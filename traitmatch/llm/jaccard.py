@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traitmatch.llm.common import byte_slices, texts_of
+from traitmatch.llm.common import byte_slices, texts_of, tidy
 from traitmatch.llm.components import connected_components
 from traitmatch.plans.lineage import cut_lineage, number_rows, scratch_scope
 
@@ -130,7 +130,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                      pa.array(packed, pa.binary())], names=["doc_id", "n_shingles", "set_hash", "signatures"])
 
-    return docs.mapInArrow(run, SET_SCHEMA)
+    return docs.mapInArrow(tidy(run), SET_SCHEMA)
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def candidate_edges(representatives: DataFrame) -> DataFrame:
     """``(a, b, n)``: a text, a lesser one, and for how many signatures that one leads the batch or all texts."""
-    rows = representatives.select("doc_id", "signatures").mapInArrow(_signature_rows, "signature bigint, a bigint, b bigint")
+    rows = representatives.select("doc_id", "signatures").mapInArrow(tidy(_signature_rows), "signature bigint, a bigint, b bigint")
     same = Window.partitionBy("signature", F.col("b").isNull())
     lead = F.coalesce(F.col("b"), F.min("a").over(same))
     return (rows.select("a", lead.alias("b")).filter(F.col("a") != F.col("b"))
@@ -328,7 +328,7 @@ def links_of_blocks(docs: DataFrame, rows: DataFrame) -> DataFrame:
     keys = PLACE[:3]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.join(docs, "doc_id").select(*PLACE, "text").repartition(n, *keys).sortWithinPartitions(*keys)
-            .mapInArrow(_join_groups, "a bigint, b bigint"))
+            .mapInArrow(tidy(_join_groups), "a bigint, b bigint"))
 
 
 def leader_rows(large: DataFrame, edges: DataFrame, group_shingles: int) -> DataFrame:
