@@ -282,7 +282,9 @@ def test_any_number_of_labels_is_scored(spark):
         [(200 + i, t, x) for i, (t, x) in enumerate([("привет мир как дела", "ru"), ("γεια σου κόσμε", "el"),
                                                      ("the and of ing", "EN"), ("12 zażółć gęślą", "pl")] * 8)],
         "doc_id bigint, text string, lang string"))
-    assert key(langid.predict_language(few)) == key(langid.predict_language(few, block_langs=2))
+    whole = key(langid.predict_language(few))
+    assert whole == key(langid.predict_language(few, block_langs=2)) == key(langid.predict_language(few, table_bytes=1 << 17))
+    assert whole == key(langid.predict_language(few.unionByName(few).unionByName(few).repartition(3)).distinct())
     many = df.unionByName(df.filter("doc_id < 120").select((F.col("doc_id") + 1000).alias("doc_id"), F.lit("zz zz").alias("text"),
                                               F.concat(F.lit("x"), F.col("doc_id").cast("string")).alias("lang")))
     assert many.select("lang").distinct().count() > langid.BLOCK_LANGS + 20
@@ -414,6 +416,31 @@ def test_a_lost_or_shortened_record_does_not_move_the_others(spark):
 
 # --- pipeline and registration ---
 
+def test_records_in_another_order_are_told_as_moved(spark):
+    pages = spark.range(0, 400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                       F.concat(F.lit("body "), F.col("id") * 7).alias("html"))
+    primary = fixity.catalogue(pages).cache()
+    size = primary.agg(F.sum("length")).first()[0]
+    first = {r.page_id: r.offset for r in primary.collect()}
+    ends = {r.page_id: r.offset + r.length for r in primary.collect()}
+    # all records in reverse: every range of 64 ids, and the ranges among themselves
+    turned = primary.withColumn("offset", F.lit(size) - F.col("offset") - F.col("length"))
+    got = {(r.status, r.offset, r.range_end) for r in fixity.audit(primary, turned).collect()}
+    assert got == {("moved", 0, size), *(("moved", first[i], ends[min(i + 63, 399)]) for i in range(0, 400, 64))}
+    # two neighbours swapped, and one lost record elsewhere: its range is not out of order
+    a, b = first[10], first[11]
+    swapped = (primary.withColumn("offset", F.when(F.col("page_id") == 10, F.lit(a) + ends[11] - b)
+                                  .when(F.col("page_id") == 11, F.lit(a)).otherwise(F.col("offset")))
+               .filter("page_id <> 200"))
+    rows = fixity.audit(primary, swapped).collect()
+    assert sorted((r.status, r.page_id, r.range_start, r.range_end) for r in rows if r.status == "moved") == [("moved", None, 0, ends[63])]
+    assert [(r.status, r.page_id) for r in rows if r.status != "moved"] == [("missing", 200)]
+    # one record far from its place: the archive's ranges overlap
+    far = primary.withColumn("offset", F.when(F.col("page_id") == 63, F.lit(size)).otherwise(F.col("offset")))
+    assert [(r.status, r.range_start, r.range_end) for r in fixity.audit(primary, far).collect()] == [("moved", 0, size)]
+    assert fixity.audit(primary, primary).count() == 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(8)
     item = sentence(rng, 30)
@@ -442,7 +469,7 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14)) and "pipeline" in names
 
 
 def test_records_without_id_have_the_offsets_of_one_ordered_archive(spark):

@@ -107,6 +107,22 @@ def test_a_key_behind_a_path_or_name_is_found(before):
         assert missed <= 4, (size, missed)
 
 
+def test_random_keys_of_one_letter_case_are_found_and_ordinary_names_are_not():
+    encoding, rng = se.vocabulary(se.default_vocabulary()), random.Random(8)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        for n in (24, 40):
+            keys = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(500)]
+            for text in ("see %s here", "com/services/incoming/%s"):
+                assert sum(not se.random_spans(text % k, encoding) for k in keys) < 25, (letters, n, text)
+    names = """application_configuration_credentials_production internationalization_framework getElementsByTagNameNS
+        AbstractSingletonProxyFactoryBean donaudampfschifffahrtsgesellschaft rechtsschutzversicherungsgesellschaften
+        anticonstitutionnellement electroencefalografista kraftfahrzeughaftpflichtversicherung usr/local/share/applications
+        src/main/java/org/apache/commons MAX_CONNECTION_RETRY_COUNT THIS_IS_A_LONG_CONSTANT_NAME very-long-css-class-name-here
+        pneumonoultramicroscopicsilicovolcanoconiosis lorem_ipsum_dolor_sit_amet some_long_identifier_name_here
+        2024-01-31_12-30-45_backup 00123456789012345678901 -----------------------------""".split()
+    assert [x for x in names if se.random_spans(x, encoding)] == []
+
+
 def test_paths_digests_and_names_are_no_secrets():
     encoding = se.vocabulary(se.default_vocabulary())
     digest = hashlib.sha256(b"x").hexdigest().upper()
