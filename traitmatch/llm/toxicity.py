@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
@@ -347,11 +347,10 @@ class ToxicityModel:
         self.landmarks, self.weights, self.bias = landmarks, weights, bias
         self.steps = fit_calibration(np.zeros(0), np.zeros(0))
 
-    def decisions(self, kernel: LandmarkKernel, texts: pa.Array) -> np.ndarray:
+    def decisions(self, kernel: LandmarkKernel, tokens: Tokens) -> np.ndarray:
         """Greatest decision of each text's sentences and of its words as a whole (a text without words: the bias)."""
-        tokens = Tokens.of(texts)
         x = kernel.pooled(tokens)
-        out = np.full(len(texts), self.bias)
+        out = np.full(tokens.n_texts, self.bias)
         whose, worst = by_text(x @ self.weights, tokens)
         out[whose] += np.maximum(worst, by_text(x, tokens)[1] @ self.weights)
         return out
@@ -427,7 +426,7 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
     """Model of a labelled sample; ``None`` without both labels or without a word in them.
 
     Three quarters of the documents train both machines, the last quarter (by the hash of the
-    id) calibrates.  Reaches the driver: candidate words, the distinct vectors (a number a landmark)
+    id), with a disturbed copy of each document, calibrates.  Reaches the driver: candidate words, the distinct vectors (a number a landmark)
     of documents, chosen sentences and their disturbed copies (at most ``1 + 2 * CLEAN_SENTENCES`` a
     document; those without a similar word are one), and the decisions of the last quarter.
     """
@@ -475,8 +474,10 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
     def decide(batches):
         for batch in batches:
             for part in byte_slices(batch, 2, SLICE):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array(model.decisions(_kernel(landmarks), part.column(2)))], names=["y", "f"])
+                tokens = Tokens.of(part.column(2))
+                for each in (tokens, replace(tokens, words=[disturbed(w) for w in tokens.words])):
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(1), pa.array(model.decisions(_kernel(landmarks), each))], names=["y", "f"])
 
     table = sample.filter(calibrates).mapInArrow(decide, "y int, f double").toArrow()
     model.steps = fit_calibration(np.array(table.column("f").to_pylist(), float), np.array(table.column("y").to_pylist(), float))
@@ -501,7 +502,7 @@ def _score(shared, threshold: float, batches):
     model = shared.value
     for batch in batches:
         for part in byte_slices(batch, 2, SLICE):
-            score = (model.probability(model.decisions(_kernel(model.landmarks), part.column(2))) if model
+            score = (model.probability(model.decisions(_kernel(model.landmarks), Tokens.of(part.column(2)))) if model
                      else np.full(part.num_rows, 0.5))
             yield arrow_batch(FIELDS, [part.column(0), part.column(1), score, (score >= threshold).astype(np.int32)])
 
