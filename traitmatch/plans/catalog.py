@@ -47,7 +47,9 @@ class StoredTables:
     def _lines(self) -> TalentTables:
         # the three line-based facts share one stored GROUPING SETS pass
         src = read_driver_tables(self._spark, self._sf_dir)
-        rollup = cut_lineage(order_line_rollup(src["orders"], src["lineitem"], src["part"]), "order_lines")
+        # a partition per grouping: each fact reads its own rows only
+        rollup = cut_lineage(order_line_rollup(src["orders"], src["lineitem"], src["part"]), "order_lines",
+                             partition_by=["g_code", "g_scale", "g_brand"])
         return load_talent_tables(self._spark, self._sf_dir, rollup=rollup)
 
     @cached_property

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -17,14 +17,15 @@ from traitmatch.session import delete_path, scratch_path
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
-def cut_lineage(df: DataFrame, name: str = "stage", outlive: bool = False) -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", outlive: bool = False, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared ``spark.checkpoint.dir``
     and return a scan of it.
 
     The rows survive executor loss (they live in shared storage, not in
     executor memory or local disks); the plan above is not recomputed; and
     unlike an RDD checkpoint the scan is columnar, so later readers get
-    column pruning and filter pushdown.  The write is a single job.  Inside a
+    column pruning and filter pushdown, and with ``partition_by`` read only the
+    partitions they ask for.  The write is a single job.  Inside a
     :func:`scratch_scope` the table is deleted at the scope's end, or with
     ``outlive`` at the end of the next outer one.
     """
@@ -33,7 +34,7 @@ def cut_lineage(df: DataFrame, name: str = "stage", outlive: bool = False) -> Da
     holder = scopes[:-1] if outlive else scopes
     if holder:
         holder[-1].append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
     out = df.sparkSession.read.parquet(path)
     out._stored_at = path
     return out
