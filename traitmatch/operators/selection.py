@@ -4,9 +4,8 @@ A median needs the value at one or two positions of a key's sorted values.  Sort
 in one task does not scale to a hot key with many distinct values, so the position
 is narrowed down instead.  Values fall into buckets by a monotone function; the
 counts per bucket tell which bucket holds a position, and only that bucket's rows
-are looked at again, with finer buckets and finally in order.  Buckets are functions of
-the value alone: nothing is sampled or stored, the plan is lazy, and a retried
-task gives the same rows.
+are looked at again, in order.  Buckets are functions of the value alone: nothing is
+sampled or stored, the plan is lazy, and a retried task gives the same rows.
 """
 
 from __future__ import annotations
@@ -17,25 +16,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-COARSE = 64          # buckets per unit of log(1 + |v|): values 1.6 % apart; at most 91,000 buckets of a key
-FINE = 1 << 16       # buckets inside one coarse bucket: values about 2.4e-7 apart (relative; absolute below 1)
+# Buckets per unit of log(1 + |v|): values about 0.1 % apart (0.001 apart around 0) share one.  A key has at most
+# 2 * 712 * 1024 of them, and some 7,000 between 1 and 1000.
+RESOLUTION = 1024
 _LARGEST = 712.0     # above log(1 + the greatest double)
 
 
-def _place(v: Column) -> Column:
-    """A value's place on the coarse scale; rises with the value, NaN last (as Spark orders it)."""
+def _bucket(v: Column) -> Column:
+    """Number of a value's bucket; rises with the value, NaN last (as Spark orders it)."""
     log = F.signum(v) * F.log1p(F.abs(v))
     held = F.least(F.greatest(log, F.lit(-_LARGEST)), F.lit(_LARGEST))
-    return F.when(F.isnan(v), F.lit(_LARGEST + 1.0)).otherwise(held) * F.lit(float(COARSE))
+    return F.floor(F.when(F.isnan(v), F.lit(_LARGEST + 1.0)).otherwise(held) * F.lit(float(RESOLUTION))).cast("bigint")
 
 
-def _total(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
-
-
-def _holding(parts: Column, start: Column, total: Column) -> Column:
-    """Of sorted ``(bucket, n)`` parts that begin after ``start`` of a key's ``total`` rows:
-    those that hold a middle position, each with the rows before it."""
+def _holding(parts: Column) -> Column:
+    """Of a key's sorted ``(bucket, n)`` parts (``_all`` rows): those that hold a middle position, each with the rows before it."""
     low, high = F.expr("(_all - 1) div 2"), F.expr("_all div 2")
     none = F.array().cast("array<struct<bucket:bigint,start:bigint>>")
 
@@ -45,53 +40,28 @@ def _holding(parts: Column, start: Column, total: Column) -> Column:
         here = F.array(F.struct(x["bucket"].alias("bucket"), acc["run"].alias("start")))
         return F.struct(after.alias("run"), F.when(hit, F.concat(acc["found"], here)).otherwise(acc["found"]).alias("found"))
 
-    return F.aggregate(parts, F.struct(start.alias("run"), none.alias("found")), step, lambda acc: acc["found"])
-
-
-def _narrow(sums: DataFrame, group: Sequence[str], start: Column | None) -> DataFrame:
-    """``group, _bucket, _start, _all`` of the buckets with a middle position.
-
-    ``sums`` holds ``group, _bucket, _n`` and, within buckets found before, ``_start, _all``.
-    One row gathers the bucket counts of a group, whose number the scales bound.
-    """
-    parts = F.array_sort(F.collect_list(F.struct(F.col("_bucket").alias("bucket"), F.col("_n").alias("n"))))
-    if start is None:
-        listed = sums.groupBy(*group).agg(parts.alias("_parts")).withColumn("_all", _total(F.col("_parts")))
-        start = F.lit(0).cast("bigint")
-    else:
-        listed = sums.groupBy(*group).agg(parts.alias("_parts"), F.max("_start").alias("_start"), F.max("_all").alias("_all"))
-    found = listed.select(*group, "_all", F.explode(_holding(F.col("_parts"), start, F.col("_all"))).alias("_hit"))
-    return found.select(*group, F.col("_hit.bucket").alias("_bucket"), F.col("_hit.start").alias("_start"), "_all")
-
-
-def _meet(rows: DataFrame, found: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Rows whose columns equal those of a found bucket (NULL keys meet too)."""
-    renamed = found.withColumnsRenamed({c: f"_f_{c}" for c in on.values()})
-    same = reduce(lambda a, b: a & b, [rows[r].eqNullSafe(renamed[f"_f_{c}"]) for r, c in on.items()])
-    return rows.join(renamed, same).drop(*[f"_f_{c}" for c in on.values()])
+    return F.aggregate(parts, F.struct(F.lit(0).cast("bigint").alias("run"), none.alias("found")), step, lambda acc: acc["found"])
 
 
 def middle_of_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str, out: str = "median") -> DataFrame:
     """Exact median per key of values that occur ``n`` times each (one row per key and value).
 
     The mean of the two middle values; keys without a row have none, a NULL key is a
-    key.  No task sorts or gathers the rows of a key: rows are summed per bucket, and
-    only those of a bucket that holds a middle position are sorted, of which a key has one or two.
+    key.  No task sorts or gathers the rows of a key: rows are summed per bucket (one row gathers the
+    bucket counts of a key, whose number ``RESOLUTION`` bounds), and only the rows of a
+    bucket that holds a middle position are sorted, of which a key has one or two.
     """
     keys = list(keys)
-    place = _place(F.col("_v"))
     rows = (counts.select(*keys, F.col(value).cast("double").alias("_v"), F.col(n).alias("_n"))
-            .withColumn("_p", place).withColumn("_b", F.floor("_p").cast("bigint"))
-            .withColumn("_s", F.floor((F.col("_p") - F.col("_b")) * F.lit(float(FINE))).cast("bigint")).drop("_p"))
-    sums = rows.groupBy(*keys, F.col("_b").alias("_bucket")).agg(F.sum("_n").alias("_n"))
-    coarse = _narrow(sums, keys, None)
-    inside = _meet(rows, coarse, {**{k: k for k in keys}, "_b": "_bucket"})
-    sums = (inside.groupBy(*keys, "_b", F.col("_s").alias("_bucket"))
-            .agg(F.sum("_n").alias("_n"), F.max("_start").alias("_start"), F.max("_all").alias("_all")))
-    fine = _narrow(sums, [*keys, "_b"], F.col("_start"))
-    last = _meet(rows, fine, {**{k: k for k in keys}, "_b": "_b", "_s": "_bucket"})
-    in_order = Window.partitionBy(*keys, "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = last.withColumn("_upto", F.col("_start") + F.sum("_n").over(in_order))
+            .withColumn("_b", _bucket(F.col("_v"))))
+    parts = F.array_sort(F.collect_list(F.struct(F.col("_b").alias("bucket"), F.col("_n").alias("n"))))
+    listed = (rows.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
+              .groupBy(*keys).agg(parts.alias("_parts"), F.sum("_n").alias("_all")))
+    found = (listed.select(*[F.col(k).alias(f"_f_{k}") for k in keys], "_all", F.explode(_holding(F.col("_parts"))).alias("_hit"))
+             .select(*[f"_f_{k}" for k in keys], "_all", F.col("_hit.bucket").alias("_f_b"), F.col("_hit.start").alias("_start")))
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(found[f"_f_{k}"]) for k in keys], rows["_b"] == found["_f_b"])
+    in_order = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.join(found, same).withColumn("_upto", F.col("_start") + F.sum("_n").over(in_order))
     covers = lambda pos: (F.col("_upto") > pos) & (F.col("_upto") - F.col("_n") <= pos)
     low, high = covers(F.expr("(_all - 1) div 2")), covers(F.expr("_all div 2"))
     return (placed.where(low | high).groupBy(*keys)
