@@ -12,9 +12,9 @@ Both are learned from every training text.  One pass counts words and byte
   divergence from its suffix, weighted by its count (the nats it saves on the
   training text), is at least ``GAIN`` times the square root of the number of positions.
   The test is a Spark join of each context with its suffix, and only kept contexts
-  leave the cluster.  All nats together are at most 5.55 a position, so at most
-  5.55 / GAIN * sqrt(positions) contexts can pass: the tree grows with the corpus, but
-  slower, so that it can still be broadcast.  Distributions are smoothed toward the
+  leave the cluster.  The nats that all contexts of one length save are at most
+  log(256) a position, so at most log(256) / GAIN * sqrt(positions) contexts of each length can
+  pass: the tree grows with the corpus, but slower, so that it can still be broadcast.  Distributions are smoothed toward the
   suffix's own, down to the root; each symbol is scored in the longest kept suffix of what precedes it.
 """
 
@@ -35,7 +35,7 @@ from traitmatch.plans.lineage import cut_lineage
 
 DEPTH = 5
 GAIN = 0.1
-MOST_NATS = math.log(256)  # divergence of one position at most
+MOST_NATS = math.log(256)  # saved by all contexts of one length together, a position
 WEIGHT = 2.0               # pseudo-count of the suffix's distribution
 ROOT_COUNT = 0.1           # added to every byte's count at the root
 HEAD_WORDS = 100_000
@@ -104,8 +104,8 @@ def kept_contexts(grams: DataFrame, gain: float = GAIN) -> DataFrame:
     """``context, total, cells`` (next symbol, count) of the root and of every context (length 1 to DEPTH)
     whose count-weighted divergence from its suffix is at least ``gain`` * sqrt(positions).
 
-    A context whose count alone cannot reach that is left out before the join; its
-    suffixes always have its count or more, so each context meets its suffix.
+    One occurrence saves at most log(positions), so a context whose count alone cannot reach the limit is
+    left out before the join; its suffixes always have its count or more, so each context meets its suffix.
     """
     positions = grams.agg(F.sum("n")).first()[0] or 0
     least = gain * math.sqrt(positions)
@@ -115,7 +115,7 @@ def kept_contexts(grams: DataFrame, gain: float = GAIN) -> DataFrame:
                                 F.expr(f"substring(key, {DEPTH + 1}, 1)").alias("next"), "n")
                .groupBy("context", "next").agg(F.sum("n").alias("n"))
                .groupBy("context").agg(F.sum("n").alias("total"), cells.alias("cells"))
-               .filter((F.octet_length("context") == 0) | (F.col("total") * F.lit(MOST_NATS) >= F.lit(least))))
+               .filter((F.octet_length("context") == 0) | (F.col("total") * F.lit(math.log(max(2, positions))) >= F.lit(least))))
     rows = cut_lineage(counted, "lm_contexts")
     suffixes = rows.select(F.col("context").alias("_c"), F.col("total").alias("_t"),
                            F.map_from_entries("cells").alias("_m"))
@@ -127,7 +127,7 @@ def kept_contexts(grams: DataFrame, gain: float = GAIN) -> DataFrame:
 
 
 def context_counts(grams: DataFrame, gain: float = GAIN) -> dict[bytes, dict[int, int]]:
-    """Next-symbol counts of the kept contexts: at most MOST_NATS / gain * sqrt(positions), one row each."""
+    """Next-symbol counts of the kept contexts: at most MOST_NATS / gain * sqrt(positions) of a length, one row each."""
     table = kept_contexts(grams, gain).select("context", "cells.s", "cells.n").toArrow()
     return {bytes(c): dict(zip(symbols, ns)) for c, symbols, ns in zip(*(table.column(i).to_pylist() for i in range(3)))}
 
