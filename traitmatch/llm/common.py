@@ -90,12 +90,12 @@ def tidy(run: Callable) -> Callable:
 
 
 def map_texts(df: DataFrame, make: Callable, args: tuple, fields: Sequence[tuple[str, str]],
-              text_at: int = 1) -> DataFrame:
+              text_at: int = 1, hand_back: bool = False) -> DataFrame:
     """One output row per input row: all input columns but the text, then ``fields``.
 
     ``make(*args)`` returns, inside the Python worker, a function from a text
     (or None) to a tuple of field values.  Each row is computed on its own, so a
-    lost executor only repeats its partitions.
+    lost executor only repeats its partitions.  ``hand_back`` is for one of several stages (see :func:`tidy`).
     """
     passed = [(f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields) if i != text_at]
     fields = list(fields)
@@ -109,4 +109,4 @@ def map_texts(df: DataFrame, make: Callable, args: tuple, fields: Sequence[tuple
                 made = list(zip(*rows)) if rows else [()] * len(fields)
                 yield arrow_batch([*passed, *fields], [*kept, *made])
 
-    return df.mapInArrow(run, schema_of([*passed, *fields]))
+    return df.mapInArrow(tidy(run) if hand_back else run, schema_of([*passed, *fields]))

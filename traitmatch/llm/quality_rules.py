@@ -145,6 +145,6 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = docs.columns
     at = names.index(text_col)
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    made = map_texts(plain, _verdict, (), [("_text", "string"), ("_kept", "boolean")], text_at=at)
+    made = map_texts(plain, _verdict, (), [("_text", "string"), ("_kept", "boolean")], text_at=at, hand_back=True)
     return made.filter("_kept").select(*[F.col("_text" if i == at else f"_c{i}").alias(n)
                                          for i, n in enumerate(names)])
