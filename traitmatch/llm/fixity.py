@@ -29,7 +29,8 @@ FAN = 64                   # nodes per node on the next three levels
 ID_SLICES = FAN ** 2       # digest slices (lowest nodes) of one id
 NULL_SLICES = FAN ** 3     # digest slices of the archive without id
 ARCHIVE_FAN = 256          # archives per group, groups per group of groups; eight levels with the root
-SLICE = 3                  # leading hex digits of a digest that cut the records without id
+SLICE = 3                  # leading hex digits of a digest that cut the records of an id
+COPY_BLOCK = 4096          # copies of a record written out at a time
 
 
 def warc_record(url: Column, payload: Column) -> Column:
@@ -40,35 +41,39 @@ def warc_record(url: Column, payload: Column) -> Column:
                     F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def catalogue(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-              **more: Column) -> DataFrame:
+def catalogue(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """``archive, offset, length, page_id, digest`` of every page's record.
 
     An archive holds the records of ``ARCHIVE_IDS`` consecutive ids (one more
     archive those without id), ordered by id, then digest; offsets are running
-    sums of record lengths.  The archive without id may hold any share of the
-    rows: it is summed in slices of the digest.  ``more`` adds columns computed from ``page_id``,
-    ``url`` and ``payload`` in the same scan.
+    sums of record lengths.  One id, or no id, may hold any share of the rows: equal records are
+    counted before the shuffle and told apart again at the end, in blocks, and an id's records are
+    summed in slices of the digest.
     """
     p = pick(pages, page_id=id_col, url=url_col, payload=payload_col)
     record = warc_record(F.col("url"), F.col("payload"))
     rows = p.select(
         F.coalesce(F.floor(F.col("page_id") / ARCHIVE_IDS), F.lit(-1)).cast("bigint").alias("archive"),
         F.col("page_id").cast("bigint").alias("page_id"), F.octet_length(record).cast("bigint").alias("length"),
-        F.sha2(record, 256).alias("digest"), *[c.alias(n) for n, c in more.items()])
-    # nulls stand first in their archive, slice by slice; rows with an id come behind all slices
-    rows = rows.withColumn("slice", F.when(F.col("page_id").isNull(), F.substring("digest", 1, SLICE)).otherwise("~"))
+        F.sha2(record, 256).alias("digest"))
+    records = (rows.groupBy("archive", "page_id", "length", "digest").agg(F.count(F.lit(1)).alias("copies"))
+               .withColumn("slice", F.substring("digest", 1, SLICE)))
+    bytes_ = F.sum(F.col("length") * F.col("copies"))
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    slices = (rows.filter(F.col("page_id").isNull()).groupBy("slice").agg(F.sum("length").alias("size"))
-              .unionByName(pages.sparkSession.createDataFrame([("~", 0)], "slice string, size bigint")))
-    # 16 ** SLICE + 1 rows at most
-    bases = slices.select(F.col("slice").alias("_slice"), F.sum("size").over(earlier(Window.orderBy("slice"))).alias("base"))
-    local = F.sum("length").over(earlier(Window.partitionBy("archive", "slice").orderBy("page_id", "digest")))
+    # of an id 16 ** SLICE slices at most
+    slices = (records.groupBy("archive", "page_id", "slice").agg(bytes_.alias("size"))
+              .select(F.col("archive").alias("_a"), F.col("page_id").alias("_p"), F.col("slice").alias("_s"),
+                      F.sum("size").over(earlier(Window.partitionBy("archive").orderBy("page_id", "slice"))).alias("base")))
+    local = bytes_.over(earlier(Window.partitionBy("archive", "page_id", "slice").orderBy("digest", "length")))
     zero = F.lit(0).cast("bigint")
-    return (rows.withColumn("local", local)
-            .join(F.broadcast(bases), (F.col("archive") == -1) & (F.col("slice") == F.col("_slice")), "left")
-            .select("archive", (F.coalesce("base", zero) + F.coalesce("local", zero)).alias("offset"), "length",
-                    "page_id", "digest", *more))
+    placed = (records.withColumn("local", local)
+              .join(slices, (F.col("archive") == F.col("_a")) & F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("slice") == F.col("_s")))
+              .withColumn("start", F.coalesce("base", zero) + F.coalesce("local", zero)))
+    # copies again, COPY_BLOCK at a time
+    blocks = placed.withColumn("_from", F.explode(F.sequence(zero, F.col("copies") - 1, F.lit(COPY_BLOCK).cast("bigint"))))
+    each = F.sequence(F.col("_from"), F.least(F.col("_from") + COPY_BLOCK, F.col("copies")) - 1)
+    return (blocks.withColumn("_k", F.explode(each))
+            .select("archive", (F.col("start") + F.col("_k") * F.col("length")).alias("offset"), "length", "page_id", "digest"))
 
 
 def _up(name: str, by: int) -> Column:
