@@ -45,7 +45,8 @@ POWER = 2                     # of the normalised kernel (a power of a kernel is
 FLOOR = 0.5                   # smaller normalised values count as 0
 WINDOW, STEP = 24, 12         # a longer word is seen through overlapping windows
 THRESHOLD = 0.7
-CACHED_WORDS = 200_000        # words whose kernel row (or lack of one) a worker holds
+CACHED_WORDS = 200_000        # words of a generation whose kernel row (or lack of one) a worker holds; two are held
+CACHED_ROWS = 50_000
 SLICE = 4 << 20
 CLEAN_SENTENCES = 2           # worst sentences of a clean document used in training
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
@@ -188,6 +189,7 @@ class LandmarkKernel:
     def forget(self) -> None:
         # row 0 is that of all words unlike every landmark
         self.words: dict[str, int] = {}
+        self.before: dict[str, int] = {}
         self.cache = np.zeros((64, len(self.landmarks)), np.float32)
         self.held = 1
 
@@ -241,37 +243,55 @@ class LandmarkKernel:
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """Cache row of every word: its greatest kernel value with each landmark over the word's windows."""
-        if len(self.words) > CACHED_WORDS:
+        if self.held > CACHED_ROWS:
             self.forget()
+        elif len(self.words) > CACHED_WORDS:
+            self.before, self.words = self.words, {}
         at = list(map(self.words.get, words))
         if None in at:
-            new = list({w: 0 for w, n in zip(words, at) if n is None})
-            cut = [windows(w) for w in new]
-            of = np.repeat(np.arange(len(new)), list(map(len, cut)))
-            like, rows = self.rows([u for c in cut for u in c])
-            whose, first = np.unique(of[like], return_index=True)
-            rows = np.maximum.reduceat(rows, first, axis=0) if len(first) else rows
-            if self.held + len(rows) > len(self.cache):
-                grown = np.zeros((2 * (self.held + len(rows)), len(self.landmarks)), np.float32)
-                grown[:self.held] = self.cache[:self.held]
-                self.cache = grown
-            self.cache[self.held:self.held + len(rows)] = rows
-            self.words.update(dict.fromkeys(new, 0))
-            self.words.update((new[w], self.held + k) for k, w in enumerate(whose.tolist()))
-            self.held += len(rows)
+            missing = {w: 0 for w, n in zip(words, at) if n is None}
+            old = [w for w in missing if w in self.before]
+            self.words.update((w, self.before[w]) for w in old)
+            for w in old:
+                del missing[w]
+            self._add(list(missing))
             at = list(map(self.words.__getitem__, words))
         return np.array(at, np.int64)
 
-    def pooled(self, tokens: Tokens) -> np.ndarray:
-        """A row per sentence: the greatest value of its words with each landmark."""
-        out = np.zeros((len(tokens.text_of), len(self.landmarks)), np.float32)
+    def _add(self, new: list[str]) -> None:
+        cut = [windows(w) for w in new]
+        of = np.repeat(np.arange(len(new)), list(map(len, cut))).astype(np.int64)
+        like, rows = self.rows([u for c in cut for u in c])
+        whose, first = np.unique(of[like], return_index=True)
+        rows = np.maximum.reduceat(rows, first, axis=0) if len(first) else rows
+        if self.held + len(rows) > len(self.cache):
+            grown = np.zeros((2 * (self.held + len(rows)), len(self.landmarks)), np.float32)
+            grown[:self.held] = self.cache[:self.held]
+            self.cache = grown
+        self.cache[self.held:self.held + len(rows)] = rows
+        self.words.update(dict.fromkeys(new, 0))
+        self.words.update((new[w], self.held + k) for k, w in enumerate(whose.tolist()))
+        self.held += len(rows)
+
+    def alike(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Sentences with a word like some landmark, in order, and a row each: the greatest value of its words with each."""
         row = self.numbers(tokens.words)[tokens.code] if tokens.words else np.zeros(0, np.int64)
         like = np.nonzero(row)[0]
         like = like[np.argsort(tokens.sentence[like], kind="stable")]
-        for i in range(0, len(like), 65_536):
-            part = like[i:i + 65_536]
-            whose, first = np.unique(tokens.sentence[part], return_index=True)
-            out[whose] = np.maximum(out[whose], np.maximum.reduceat(self.cache[row[part]], first, axis=0))
+        whose, first = np.unique(tokens.sentence[like], return_index=True)
+        out = np.zeros((len(whose), len(self.landmarks)), np.float32)
+        bounds = np.append(first, len(like))
+        for i in range(0, len(whose), 16_384):            # sentences at a time
+            j = min(i + 16_384, len(whose))
+            part = self.cache[row[like[bounds[i]:bounds[j]]]]
+            out[i:j] = np.maximum.reduceat(part, first[i:j] - bounds[i], axis=0)
+        return whose, out
+
+    def pooled(self, tokens: Tokens) -> np.ndarray:
+        """A row per sentence, of zeros for one without a word like some landmark."""
+        out = np.zeros((len(tokens.text_of), len(self.landmarks)), np.float32)
+        whose, rows = self.alike(tokens)
+        out[whose] = rows
         return out
 
     def matrix(self, words: list[str]) -> np.ndarray:
@@ -349,10 +369,16 @@ class ToxicityModel:
 
     def decisions(self, kernel: LandmarkKernel, tokens: Tokens) -> np.ndarray:
         """Greatest decision of each text's sentences and of its words as a whole (a text without words: the bias)."""
-        x = kernel.pooled(tokens)
+        whose, x = kernel.alike(tokens)
         out = np.full(tokens.n_texts, self.bias)
-        whose, worst = by_text(x @ self.weights, tokens)
-        out[whose] += np.maximum(worst, by_text(x, tokens)[1] @ self.weights)
+        if len(whose):
+            text = tokens.text_of[whose]
+            texts, first, many = np.unique(text, return_index=True, return_counts=True)
+            best = np.maximum.reduceat(x @ self.weights, first)
+            whole = np.maximum.reduceat(x, first, axis=0) @ self.weights
+            # a text with further sentences has one that says nothing, of decision 0
+            others = np.bincount(tokens.text_of, minlength=tokens.n_texts)[texts] > many
+            out[texts] += np.maximum(np.where(others, np.maximum(best, 0), best), whole)
         return out
 
     def probability(self, decision: np.ndarray) -> np.ndarray:
