@@ -145,7 +145,7 @@ def test_whitening_of_equal_eigenvalues_and_of_a_dependent_dimension(spark):
 
 def test_whitening_of_very_large_entries_is_exact(spark):
     vectors = [[2.0 ** 40, 3], [-(2.0 ** 41), 1], [2.0 ** 39, -7], [5, 5]]
-    rows = [(i, v) for i, v in enumerate(vectors)]
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(vectors)]
     out = wh.whiten_embeddings(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).toPandas()
     assert out.identity_error.iloc[0] < 1e-9 and out.deviation.isna().all()          # beyond a long
 
