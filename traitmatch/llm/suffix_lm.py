@@ -34,7 +34,7 @@ from traitmatch.llm.langid import gram_counts, remainder
 from traitmatch.plans.lineage import cut_lineage
 
 DEPTH = 5
-GAIN = 0.1
+GAIN = 0.02
 MOST_NATS = math.log(256)  # saved by all contexts of one length together, a position
 WEIGHT = 2.0               # pseudo-count of the suffix's distribution
 ROOT_COUNT = 0.1           # added to every byte's count at the root
