@@ -121,3 +121,39 @@ def test_mbti_mode_is_a_scalar_subquery_not_a_cross_join(spark):
     plan = physical(out)
     assert "Subquery" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_tasks_grow_with_the_input_and_given_settings_are_kept(spark, tmp_path, monkeypatch):
+    """A larger folder gets more shuffle partitions, in proportion; what the session was given stays."""
+    from traitmatch import session
+    from traitmatch.plans import catalog
+
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 1 << 10)
+
+    def folder(name, kilobytes):
+        (tmp_path / name / "lineitem.parquet").mkdir(parents=True)     # a table of part files
+        (tmp_path / name / "lineitem.parquet" / "part-0").write_bytes(b"x" * (kilobytes << 10))
+        return str(tmp_path / name)
+
+    held = spark.__dict__.pop("_traitmatch_contexts", None)
+    plain = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = lambda: spark.conf.get(session.INITIAL_PARTITIONS, None)
+    try:
+        catalog.context(spark, folder("tiny", 1))
+        assert wanted() is None and session.shuffle_partitions(spark) == plain
+        for kilobytes in (100, 600):
+            catalog.context(spark, folder(f"k{kilobytes}", kilobytes))
+            assert int(wanted()) == session.shuffle_partitions(spark) == kilobytes
+        catalog.context(spark, folder("small_again", 2))
+        assert int(wanted()) == 600
+        session.unfit_partitions(spark)
+        assert wanted() is None and session.shuffle_partitions(spark) == plain
+        spark.conf.set(session.INITIAL_PARTITIONS, "5")
+        catalog.context(spark, folder("given", 300))
+        assert wanted() == "5"
+    finally:
+        session.unfit_partitions(spark)
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+        spark.__dict__.pop("_traitmatch_contexts", None)
+        if held is not None:
+            spark.__dict__["_traitmatch_contexts"] = held
