@@ -157,3 +157,18 @@ def test_tasks_grow_with_the_input_and_given_settings_are_kept(spark, tmp_path,
         spark.__dict__.pop("_traitmatch_contexts", None)
         if held is not None:
             spark.__dict__["_traitmatch_contexts"] = held
+
+
+def test_global_rank_takes_its_partitions_from_the_fitted_number(spark, monkeypatch):
+    from traitmatch import session
+
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 1 << 10)
+    plain = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        session.fit_partitions(spark, 40 << 10)
+        df = spark.range(0, 2000).select((F.col("id") % 13).alias("s"), "id")
+        ranked = global_rank(df, [F.col("s").desc(), F.col("id")])
+        assert ranked.agg(F.count_distinct("rank"), F.max("rank")).first() == (2000, 2000)
+        assert len(ranked.inputFiles()) > plain        # written by more tasks than the session's number
+    finally:
+        session.unfit_partitions(spark)
