@@ -172,3 +172,24 @@ def test_global_rank_takes_its_partitions_from_the_fitted_number(spark, monkeypa
         assert len(ranked.inputFiles()) > plain        # written by more tasks than the session's number
     finally:
         session.unfit_partitions(spark)
+
+
+def test_tables_stored_by_employee_and_task_sizes_follow_the_fitted_number(spark, monkeypatch):
+    from traitmatch import session
+
+    monkeypatch.setattr(session, "INPUT_BYTES_PER_PARTITION", 1 << 10)
+    long = spark.createDataFrame([(f"e{i}", COMPETENCY, "SEA", str(i % 5), "numeric") for i in range(200)],
+                                 "employee_id string, tgv_name string, tv_name string, user_score string, tv_type string")
+    meta = spark.createDataFrame([(f"e{i}", "D", "P", "G") for i in range(200)],
+                                 "employee_id string, directorate string, position string, grade string")
+    stored = None
+    try:
+        session.fit_partitions(spark, 24 << 10)
+        assert {spark.conf.get(k) for k in (session.ADVISORY_BYTES, session.SPLIT_BYTES)} == {str(session.TASK_BYTES)}
+        stored = matching.stored_match(long, meta, ["e1"])
+        plan = spark.sql(f"DESCRIBE EXTENDED {stored.result.names[0]}").where("col_name = 'Num Buckets'").first()
+        assert plan["data_type"] == "24" and stored.result.rows().count() == 200
+    finally:
+        session.unfit_partitions(spark)
+        for name in stored.tables() if stored else ():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
