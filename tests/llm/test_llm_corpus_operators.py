@@ -486,3 +486,23 @@ def test_records_without_id_have_the_offsets_of_one_ordered_archive(spark):
         for r in sorted(each, key=lambda r: (r.page_id is not None, r.page_id or 0, r.digest, r.offset)):
             assert r.offset == at
             at += r.length
+
+
+def test_a_stage_hands_back_its_tables_and_gives_the_same_rows(spark):
+    from functools import lru_cache
+
+    from traitmatch.llm import common
+    from traitmatch.llm.bpe import encode_documents
+
+    @lru_cache(maxsize=2)
+    def table(name):
+        return [name]
+
+    def run(batches):
+        for b in batches:
+            yield table(b)
+
+    assert list(common.tidy(run, [table])(["a", "b"])) == [["a"], ["b"]] and table.cache_info().currsize == 0
+    docs = spark.createDataFrame([(1, "some text " * 9), (2, None), (3, ""), (3, "漢字 🙂")], "doc_id bigint, text string")
+    plain, staged = (sorted(map(tuple, encode_documents(docs, hand_back=h).collect())) for h in (False, True))
+    assert plain == staged and len(plain) == 4

@@ -185,14 +185,15 @@ DIGESTS = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256",
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
-                     text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                     text_col: str = "text", with_ids: bool = False, hand_back: bool = False) -> DataFrame:
     """Encode and decode every text; one row per input row, repeated rows included.
 
     ``doc_id, n_tokens, ids_sha256, decoded_sha256``; ``with_ids`` adds ``ids``
     (binary, little-endian unsigned 32-bit) and ``decoded`` (string).  A null or
     empty text has no tokens (the digests are those of nothing); a null id stays
-    null; an empty table gives no rows; other columns are ignored.
+    null; an empty table gives no rows; other columns are ignored.  ``hand_back`` drops the
+    tokenizer and its cached words at the end of each task, for one of several stages.
     """
     fields = DIGESTS + ([("ids", "binary"), ("decoded", "string")] if with_ids else [])
     return map_texts(texts_of(docs, id_col, text_col), _encoder, (vocabulary or default_vocabulary(), with_ids),
-                     fields)
+                     fields, hand_back=hand_back, forget=[tokenizer])

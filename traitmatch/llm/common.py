@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # Text bytes that one Python call handles at a time (a longer single text is still taken whole).
 SLICE_BYTES = 8 << 20
+STAGE_SLICE_BYTES = 2 << 20     # the same in a stage beside others (``hand_back``)
 
 ARROW_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
                "boolean": pa.bool_(), "binary": pa.binary()}
@@ -77,36 +78,41 @@ def release_memory() -> None:
         pass
 
 
-def tidy(run: Callable) -> Callable:
+def tidy(run: Callable, forget: Sequence[Callable] = ()) -> Callable:
     """``run`` for ``mapInArrow``, handing memory back at the end of each task: workers are used again, and
-    what one stage freed must not stand beside what the next one needs."""
+    what one stage freed must not stand beside what the next one needs.  ``forget`` names cached loaders
+    whose tables no other stage reads."""
     def tidied(batches):
         try:
             yield from run(batches)
         finally:
+            for loader in forget:
+                loader.cache_clear()
             release_memory()
 
     return tidied
 
 
 def map_texts(df: DataFrame, make: Callable, args: tuple, fields: Sequence[tuple[str, str]],
-              text_at: int = 1, hand_back: bool = False) -> DataFrame:
+              text_at: int = 1, hand_back: bool = False, forget: Sequence[Callable] = ()) -> DataFrame:
     """One output row per input row: all input columns but the text, then ``fields``.
 
     ``make(*args)`` returns, inside the Python worker, a function from a text
     (or None) to a tuple of field values.  Each row is computed on its own, so a
-    lost executor only repeats its partitions.  ``hand_back`` is for one of several stages (see :func:`tidy`).
+    lost executor only repeats its partitions.  ``hand_back`` is for one of several stages (see :func:`tidy`,
+    also for ``forget``).
     """
     passed = [(f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields) if i != text_at]
-    fields = list(fields)
+    fields, forget = list(fields), tuple(forget)
+    limit = STAGE_SLICE_BYTES if hand_back else SLICE_BYTES
 
     def run(batches):
         fn = make(*args)
         for batch in batches:
-            for part in byte_slices(batch, text_at):
+            for part in byte_slices(batch, text_at, limit):
                 rows = [fn(t) for t in part.column(text_at).to_pylist()]
                 kept = [part.column(i) for i in range(part.num_columns) if i != text_at]
                 made = list(zip(*rows)) if rows else [()] * len(fields)
                 yield arrow_batch([*passed, *fields], [*kept, *made])
 
-    return df.mapInArrow(tidy(run) if hand_back else run, schema_of([*passed, *fields]))
+    return df.mapInArrow(tidy(run, forget) if hand_back else run, schema_of([*passed, *fields]))

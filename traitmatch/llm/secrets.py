@@ -249,7 +249,8 @@ def redact_secrets(docs: DataFrame, path: str | None = None, limit: float = MAX_
     at = names.index(text_col)
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     made = map_texts(plain, _masker, (path or default_vocabulary(), limit, mark),
-                     [("_text", "string"), ("_changed", "boolean")], text_at=at, hand_back=True)
+                     [("_text", "string"), ("_changed", "boolean")], text_at=at, hand_back=True,
+                     forget=[vocabulary])
     out = []
     for i, name in enumerate(names):
         if i == at:
