@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from fractions import Fraction
 
@@ -229,6 +230,54 @@ def test_kernel_equals_the_definition():
     assert kernel.matrix(["x" * 30 + "dimwit" + "y" * 30, ""]).shape == (2, 4)
 
 
+def peak_bytes(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_sentences_are_pooled_in_bounded_memory(monkeypatch):
+    rng, n = random.Random(4), 20_000
+    landmarks = [w + e for w in INSULTS for e in ("", "s", "y", "ed", "er", "ing", "ish", "est")]
+    kernel = tx.LandmarkKernel(landmarks)
+    model = tx.ToxicityModel(landmarks, np.array([rng.uniform(-1, 1) for _ in landmarks]), 0.25)
+    words = ["the", "data", *landmarks, *(tx.disturbed(w) for w in landmarks)]
+    chosen = [[rng.choice(words) for _ in range(rng.randint(1, 5))] for _ in range(n)]
+    chosen[0] = words * 400
+    text_of = np.sort(np.array([rng.randrange(30) for _ in range(n)]))
+    tokens = tx.Tokens.of_sentences(chosen)
+    tokens.text_of, tokens.n_texts = text_of, 31
+    of_word = dict(zip(words, kernel.matrix(words)))
+    want = np.array([np.max([of_word[w] for w in s], axis=0) for s in chosen])
+    assert (kernel.pooled(tokens) == want).all()
+    decided, most = peak_bytes(lambda: model.decisions(kernel, tokens))
+    each = want @ model.weights
+    for t in range(30):
+        own = text_of == t
+        assert decided[t] == pytest.approx(0.25 + max(each[own].max(), want[own].max(axis=0) @ model.weights))
+    assert decided[30] == 0.25
+    # a few numbers a word and blocks of fixed size, not rows of values of all sentences
+    assert most < 80 * len(tokens.code) + 20 * 8192 * len(landmarks)
+    monkeypatch.setattr(tx, "POOLED", 3)                                              # sentences of more than a block
+    assert (kernel.pooled(tokens) == want).all()
+    assert model.decisions(kernel, tokens) == pytest.approx(decided, abs=1e-12)
+
+
+def test_products_with_landmarks_take_bounded_memory():
+    landmarks = [f"blockhead{c}{d}" for c in "abcdefghijklmn" for d in "abcdefghijklmnop"]
+    kernel = tx.LandmarkKernel(landmarks)
+    units = [f"blockhead{a}{b}{c}" for a in "abcdefghijklmnop" for b in "abcdefghijklmnop" for c in "abcdefgh"]
+    (at, rows), most = peak_bytes(lambda: kernel.rows(units))
+    assert at.tolist() == list(range(len(units)))
+    part = kernel.rows(units[700:701])[1]
+    assert (rows[700] == part[0]).all()
+    # the rows are returned; the entries that landmarks share with the words come in small runs
+    assert most - 2 * rows.nbytes < 150 << 20
+
+
 def test_words_and_sentences():
     t = tx.Tokens.of(pa.array(["Hello THERE! you I d i o t ok.\nnext (line)\n\n", None, "", "a. b", "e.g. so"]))
     assert t.words_of(np.arange(len(t.text_of))) == [

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import partial
 
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traitmatch.llm.common import arrow_batch, byte_slices, schema_of, texts_of
+from traitmatch.llm.common import arrow_batch, byte_slices, schema_of, texts_of, tidy
 from traitmatch.llm.labels import labelled_sample
 from traitmatch.llm.langid import remainder
 from traitmatch.plans.lineage import cut_lineage
@@ -47,7 +48,9 @@ WINDOW, STEP = 24, 12         # a longer word is seen through overlapping window
 THRESHOLD = 0.7
 CACHED_WORDS = 200_000        # words of a generation whose kernel row (or lack of one) a worker holds; two are held
 CACHED_ROWS = 50_000
-SLICE = 4 << 20
+SLICE = 1 << 20
+UNITS, PRODUCTS = 4096, 256    # words whose bound, and whose products with all landmarks, are taken at a time
+POOLED = 8192                  # kernel rows gathered at a time (of words, or of sentences)
 CLEAN_SENTENCES = 2           # worst sentences of a clean document used in training
 FIELDS = [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
 
@@ -190,7 +193,7 @@ class LandmarkKernel:
         # row 0 is that of all words unlike every landmark
         self.words: dict[str, int] = {}
         self.before: dict[str, int] = {}
-        self.cache = np.zeros((64, len(self.landmarks)), np.float32)
+        self.cache = np.zeros((CACHED_ROWS, len(self.landmarks)), np.float32)     # takes memory as it is filled
         self.held = 1
 
     def _may_reach(self, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
@@ -222,11 +225,11 @@ class LandmarkKernel:
     def rows(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units that are like some landmark, and a row of kernel values for each."""
         numbers, found = [], []
-        for i in range(0, len(units), 4096):
-            part = units[i:i + 4096]
+        for i in range(0, len(units), UNITS):
+            part = units[i:i + UNITS]
             may, least = self._may_reach(Symbols(part))
-            for j in range(0, len(may), 1024):
-                at = may[j:j + 1024]
+            for j in range(0, len(may), PRODUCTS):
+                at = may[j:j + PRODUCTS]
                 products = self._products(Symbols([part[k] for k in at]), len(at))
                 like = (products >= (self.floor - 1e-4) * least[at][:, None]).any(axis=1)
                 at, products = at[like], products[like]
@@ -265,7 +268,7 @@ class LandmarkKernel:
         whose, first = np.unique(of[like], return_index=True)
         rows = np.maximum.reduceat(rows, first, axis=0) if len(first) else rows
         if self.held + len(rows) > len(self.cache):
-            grown = np.zeros((2 * (self.held + len(rows)), len(self.landmarks)), np.float32)
+            grown = np.zeros((self.held + len(rows) + CACHED_ROWS // 8, len(self.landmarks)), np.float32)
             grown[:self.held] = self.cache[:self.held]
             self.cache = grown
         self.cache[self.held:self.held + len(rows)] = rows
@@ -273,25 +276,35 @@ class LandmarkKernel:
         self.words.update((new[w], self.held + k) for k, w in enumerate(whose.tolist()))
         self.held += len(rows)
 
-    def alike(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """Sentences with a word like some landmark, in order, and a row each: the greatest value of its words with each."""
+    def alike(self, tokens: Tokens) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Sentences with a word like some landmark, in order, and a row each: the greatest value of its words with each.
+
+        Yields runs of sentences that hold ``POOLED`` different (sentence, word) pairs, or one sentence of more.
+        """
         row = self.numbers(tokens.words)[tokens.code] if tokens.words else np.zeros(0, np.int64)
         like = np.nonzero(row)[0]
-        like = like[np.argsort(tokens.sentence[like], kind="stable")]
-        whose, first = np.unique(tokens.sentence[like], return_index=True)
-        out = np.zeros((len(whose), len(self.landmarks)), np.float32)
-        bounds = np.append(first, len(like))
-        for i in range(0, len(whose), 16_384):            # sentences at a time
-            j = min(i + 16_384, len(whose))
-            part = self.cache[row[like[bounds[i]:bounds[j]]]]
-            out[i:j] = np.maximum.reduceat(part, first[i:j] - bounds[i], axis=0)
-        return whose, out
+        # a word counts once a sentence, however often it stands there
+        pair = np.unique(tokens.sentence[like] * self.held + row[like])
+        sentence, row = pair // self.held, pair % self.held
+        whose, first = np.unique(sentence, return_index=True)
+        bounds = np.append(first, len(row))
+        i = 0
+        while i < len(whose):
+            j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + POOLED, "right")) - 1)
+            if bounds[j] - bounds[i] <= POOLED:
+                rows = np.maximum.reduceat(self.cache[row[bounds[i]:bounds[j]]], first[i:j] - bounds[i], axis=0)
+            else:
+                rows = np.zeros((1, len(self.landmarks)), np.float32)
+                for k in range(bounds[i], bounds[j], POOLED):
+                    np.maximum(rows[0], self.cache[row[k:min(k + POOLED, bounds[j])]].max(axis=0), out=rows[0])
+            yield whose[i:j], rows
+            i = j
 
     def pooled(self, tokens: Tokens) -> np.ndarray:
         """A row per sentence, of zeros for one without a word like some landmark."""
         out = np.zeros((len(tokens.text_of), len(self.landmarks)), np.float32)
-        whose, rows = self.alike(tokens)
-        out[whose] = rows
+        for whose, rows in self.alike(tokens):
+            out[whose] = rows
         return out
 
     def matrix(self, words: list[str]) -> np.ndarray:
@@ -369,16 +382,21 @@ class ToxicityModel:
 
     def decisions(self, kernel: LandmarkKernel, tokens: Tokens) -> np.ndarray:
         """Greatest decision of each text's sentences and of its words as a whole (a text without words: the bias)."""
-        whose, x = kernel.alike(tokens)
-        out = np.full(tokens.n_texts, self.bias)
-        if len(whose):
-            text = tokens.text_of[whose]
-            texts, first, many = np.unique(text, return_index=True, return_counts=True)
-            best = np.maximum.reduceat(x @ self.weights, first)
-            whole = np.maximum.reduceat(x, first, axis=0) @ self.weights
-            # a text with further sentences has one that says nothing, of decision 0
-            others = np.bincount(tokens.text_of, minlength=tokens.n_texts)[texts] > many
-            out[texts] += np.maximum(np.where(others, np.maximum(best, 0), best), whole)
+        out, best = np.full(tokens.n_texts, self.bias), np.full(tokens.n_texts, -np.inf)
+        many = np.zeros(tokens.n_texts, np.int64)
+        whole = np.zeros((tokens.n_texts, len(self.weights)), np.float32)
+        for whose, x in kernel.alike(tokens):
+            texts, first, n = np.unique(tokens.text_of[whose], return_index=True, return_counts=True)
+            best[texts] = np.maximum(best[texts], np.maximum.reduceat(x @ self.weights, first))
+            whole[texts] = np.maximum(whole[texts], np.maximum.reduceat(x, first, axis=0))
+            many[texts] += n
+        texts = np.nonzero(many)[0]
+        # a text with further sentences has one that says nothing, of decision 0
+        others = np.bincount(tokens.text_of, minlength=tokens.n_texts)[texts] > many[texts]
+        best = np.where(others, np.maximum(best[texts], 0), best[texts])
+        for i in range(0, len(texts), POOLED):
+            at = texts[i:i + POOLED]
+            out[at] += np.maximum(best[i:i + POOLED], whole[at] @ self.weights)
         return out
 
     def probability(self, decision: np.ndarray) -> np.ndarray:
@@ -408,7 +426,7 @@ def candidate_words(sample: DataFrame) -> tuple[list[str], dict[str, int]]:
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in units], pa.string()), pa.array(toxic[at]), pa.array(n[at])],
                                              names=["word", "toxic", "n"])
 
-    counted = cut_lineage(sample.mapInArrow(run, "word string, toxic bigint, n bigint").groupBy("word")
+    counted = cut_lineage(sample.mapInArrow(tidy(run), "word string, toxic bigint, n bigint").groupBy("word")
                           .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")), "toxicity_words")
     rate = sample.agg(F.avg("y")).first()[0] or 0.0
     lift = (F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate + 1)
@@ -470,7 +488,7 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
             yield _counted(y[whose], x)
 
     schema = "y int, x binary, n bigint"
-    documents = _vectors(fitted.mapInArrow(whole, schema), size)
+    documents = _vectors(fitted.mapInArrow(tidy(whole), schema), size)
     if len(set(documents[0])) < 2:
         return None
     root = inverse_root(LandmarkKernel(landmarks).matrix(landmarks))
@@ -493,7 +511,7 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
             copies = Tokens.of_sentences([[disturbed(w) for w in g] for g in tokens.words_of(picked)])
             yield _counted(np.append(label, label), np.concatenate([x[picked], _kernel(landmarks).pooled(copies)]))
 
-    labelled = _vectors(fitted.mapInArrow(worst, schema), size)
+    labelled = _vectors(fitted.mapInArrow(tidy(worst), schema), size)
     second = machine(*(np.concatenate(pair) for pair in zip(documents, labelled)))
     model = ToxicityModel(landmarks, root @ second[:-1], float(second[-1]))
 
@@ -505,7 +523,7 @@ def fit_toxicity(sample: DataFrame) -> ToxicityModel | None:
                     yield pa.RecordBatch.from_arrays(
                         [part.column(1), pa.array(model.decisions(_kernel(landmarks), each))], names=["y", "f"])
 
-    table = sample.filter(calibrates).mapInArrow(decide, "y int, f double").toArrow()
+    table = sample.filter(calibrates).mapInArrow(tidy(decide), "y int, f double").toArrow()
     model.steps = fit_calibration(np.array(table.column("f").to_pylist(), float), np.array(table.column("y").to_pylist(), float))
     return model
 
@@ -547,4 +565,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     shared = docs.sparkSession.sparkContext.broadcast(fit_toxicity(sample))     # words and numbers a landmark
     held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
     return (rows.select("doc_id", held_out.alias("held_out"), "text")
-            .mapInArrow(partial(_score, shared, threshold), schema_of(FIELDS)))
+            .mapInArrow(tidy(partial(_score, shared, threshold)), schema_of(FIELDS)))
