@@ -10,7 +10,8 @@ Both are learned from every training text.  One pass counts words and byte
 * Tree: symbols are the bytes of the lower-cased words joined by single spaces
   and closed by an end symbol.  A context of up to ``DEPTH`` bytes is kept if its
   divergence from its suffix, weighted by its count (the nats it saves on the
-  training text), is at least ``GAIN`` times the square root of the number of positions.
+  training text), is at least ``GAIN`` times the square root of the number of positions,
+  and at least ``LEAST_NATS`` (in a small corpus, contexts save less than that by chance).
   The test is a Spark join of each context with its suffix, and only kept contexts
   leave the cluster.  The nats that all contexts of one length save are at most
   log(256) a position, so at most log(256) / GAIN * sqrt(positions) contexts of each length can
@@ -35,6 +36,7 @@ from traitmatch.plans.lineage import cut_lineage
 
 DEPTH = 5
 GAIN = 0.02
+LEAST_NATS = 10.0          # outweighs GAIN below 250,000 positions
 MOST_NATS = math.log(256)  # saved by all contexts of one length together, a position
 WEIGHT = 2.0               # pseudo-count of the suffix's distribution
 ROOT_COUNT = 0.1           # added to every byte's count at the root
@@ -100,15 +102,16 @@ def corpus_counts(training: DataFrame) -> DataFrame:
     return (training.mapInArrow(run, schema).groupBy("kind", "key").agg(F.sum("n").alias("n")))
 
 
-def kept_contexts(grams: DataFrame, gain: float = GAIN) -> DataFrame:
+def kept_contexts(grams: DataFrame, gain: float | None = None) -> DataFrame:
     """``context, total, cells`` (next symbol, count) of the root and of every context (length 1 to DEPTH)
-    whose count-weighted divergence from its suffix is at least ``gain`` * sqrt(positions).
+    whose count-weighted divergence from its suffix is at least ``gain`` * sqrt(positions)
+    (not given: ``GAIN`` * sqrt(positions), but ``LEAST_NATS`` at least).
 
     One occurrence saves at most log(positions), so a context whose count alone cannot reach the limit is
     left out before the join; its suffixes always have its count or more, so each context meets its suffix.
     """
     positions = grams.agg(F.sum("n")).first()[0] or 0
-    least = gain * math.sqrt(positions)
+    least = max(GAIN * math.sqrt(positions), LEAST_NATS) if gain is None else gain * math.sqrt(positions)
     by_length = grams.select(F.explode(F.array(*[F.lit(k) for k in range(DEPTH + 1)])).alias("k"), "key", "n")
     cells = F.collect_list(F.struct(F.conv(F.hex("next"), 16, 10).cast("int").alias("s"), "n"))
     counted = (by_length.select(F.expr(f"substring(key, {DEPTH + 1} - k, k)").alias("context"),
@@ -126,8 +129,8 @@ def kept_contexts(grams: DataFrame, gain: float = GAIN) -> DataFrame:
     return rows.filter(F.octet_length("context") == 0).unionByName(longer.select(*rows.columns))
 
 
-def context_counts(grams: DataFrame, gain: float = GAIN) -> dict[bytes, dict[int, int]]:
-    """Next-symbol counts of the kept contexts: at most MOST_NATS / gain * sqrt(positions) of a length, one row each."""
+def context_counts(grams: DataFrame, gain: float | None = None) -> dict[bytes, dict[int, int]]:
+    """Next-symbol counts of the kept contexts: at most MOST_NATS / gain (or GAIN) * sqrt(positions) of a length, one row each."""
     table = kept_contexts(grams, gain).select("context", "cells.s", "cells.n").toArrow()
     return {bytes(c): dict(zip(symbols, ns)) for c, symbols, ns in zip(*(table.column(i).to_pylist() for i in range(3)))}
 
